@@ -66,7 +66,7 @@ SWIMMER_LINE = java_regex(SWIMMER_LINE_PY)
 CODE_SUFFIX = java_regex(CODE_SUFFIX_PY)
 SPLIT_ENTRY = java_regex(SPLIT_ENTRY_PY)
 # split_name as one match: a leading run of last-name tokens, then the rest.
-NAME_PARTS = java_regex(r"^((?:[A-Z][A-Z\-']+(?:\s+|$))*)(.*)$")
+NAME_PARTS = java_regex(rf"^((?:[A-Z][A-Z\-']+(?:{PY_SPACE_CLASS}+|$))*)(.*)$")
 NOISE_LINE = java_regex("^(?:" + "|".join(p[1:] for p in NOISE_PATTERNS_PY) + ")", "i")
 PARA_CLASS = java_regex(PARA_CLASS_PY)
 SHORT_COURSE = java_regex(SHORT_COURSE_PY, "i")
