@@ -130,3 +130,50 @@ QUERY_SQL = {
                                               "reaction_time", *_TIME_COLS, "sex"]) + " LIMIT 5"),
     "results_row_count": with_typed("SELECT count(*) AS row_count FROM typed"),
 }
+
+
+# --------------------------------------------------------------------------- sheets and documents
+import sys as _sys  # noqa: E402
+from lapline.functions.text import EOL_PY, NOISE_PATTERNS_PY, PY_SPACE_CLASS  # noqa: E402
+
+_RAW_COLS = ['Link', 'heat', '"rank"', 'lane', 'last_name', 'first_name', 'reaction_time',
+             *_SPLITS, 'final_time']
+_STRIP = f"'^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$'"
+_NOISE_RE2 = "(?i)^(?:" + "|".join(p[1:] for p in NOISE_PATTERNS_PY) + ")"
+LINE_SEARCH_PATTERN = r"[A-Z][a-z]+ (?:the|de|la|der|und|el) "
+
+_DOC_LINES = f"""
+dl_parts AS (SELECT doc_id, text, regexp_split_to_array(text, '{EOL_PY}') AS parts
+             FROM documents WHERE text IS NOT NULL),
+dl_arr AS (SELECT doc_id, CASE WHEN text = '' THEN []::VARCHAR[]
+                  WHEN regexp_matches(text, '(?:{EOL_PY})\\z') THEN parts[1:len(parts) - 1]
+                  ELSE parts END AS arr FROM dl_parts),
+dl_raw AS (SELECT doc_id, unnest(range(0, len(arr))) AS line_no, unnest(arr) AS raw_line FROM dl_arr),
+dl AS (SELECT doc_id, CAST(line_no AS INTEGER) AS line_no,
+              regexp_replace(raw_line, {_STRIP}, '', 'g') AS line FROM dl_raw)"""
+
+_NL_LINES = """
+nl_arr AS (SELECT doc_id, string_split(text, chr(10)) AS arr FROM documents WHERE text IS NOT NULL),
+nl AS (SELECT doc_id, CAST(unnest(range(0, len(arr))) AS INTEGER) AS line_no, unnest(arr) AS line FROM nl_arr)"""
+
+QUERY_SQL.update({
+    "parse_sheets": with_raw("SELECT " + ", ".join(_RAW_COLS) + " FROM raw WHERE final_time IS NOT NULL"),
+    "sheet_sections": "WITH " + RESULTS_CS + """
+SELECT Link, CAST(dense_rank() OVER (PARTITION BY Link ORDER BY heat) AS INTEGER) AS section, heat,
+       CAST(2 + 2 * count(*) AS BIGINT) AS n_lines
+FROM rc WHERE final_time_cs IS NOT NULL GROUP BY Link, heat""",
+    "sheet_head": with_raw("SELECT " + ", ".join(_RAW_COLS) + """ FROM (
+  SELECT *, row_number() OVER (PARTITION BY Link ORDER BY heat, "rank", lane, last_name, first_name) AS i
+  FROM raw WHERE final_time IS NOT NULL) WHERE i <= 2"""),
+    "document_lines": "WITH " + _DOC_LINES + "\nSELECT doc_id, line_no, line FROM dl",
+    "document_noise": "WITH " + _DOC_LINES + f"""
+SELECT a.doc_id, CAST(len(a.arr) AS BIGINT) AS lines, CAST(coalesce(c.n, 0) AS BIGINT) AS noise_lines
+FROM dl_arr a LEFT JOIN (
+  SELECT doc_id, count(*) AS n FROM dl WHERE line = '' OR regexp_matches(line, '{_NOISE_RE2}')
+  GROUP BY doc_id) c ON a.doc_id = c.doc_id""",
+    "document_peek": "SELECT doc_id, substring(replace(replace(text, chr(173), '-'), chr(1), ''), 1, 1200) "
+                     "AS head FROM documents",
+    "document_inspect_lines": "WITH " + _NL_LINES + "\nSELECT doc_id, line_no, line FROM nl WHERE line_no < 80",
+    "document_line_search": "WITH " + _NL_LINES + "\nSELECT doc_id, line_no, line FROM nl "
+                            f"WHERE regexp_matches(line, '^(?:{LINE_SEARCH_PATTERN})')",
+})

@@ -52,3 +52,32 @@ register("slowest_women")(lambda spark, d: Q.slowest(_typed(spark, d), "F"))
 register("preview")(lambda spark, d: Q.preview(_typed(spark, d)))
 register("results_row_count")(
     lambda spark, d: _typed(spark, d).agg(F.count(F.lit(1)).alias("row_count")))
+
+
+# --------------------------------------------------------------------------- P01-P21 (sheets, documents)
+from lapline.operators import parse as P  # noqa: E402
+from lapline.sources.tables import read_table  # noqa: E402
+
+# A user pattern for the line search (P20): a capitalised word then a short function word.
+LINE_SEARCH_PATTERN = r"[A-Z][a-z]+ (?:the|de|la|der|und|el) "
+
+
+def _sheets(spark, d):
+    return FX.render_sheets(spark, d).select("Link", "text")
+
+
+def _docs(spark, d):
+    return read_table(spark, d, "documents").select("doc_id", "text")
+
+
+register("parse_sheets")(lambda spark, d: P.parse_sheets(_sheets(spark, d)))
+register("sheet_sections")(lambda spark, d: P.sections(_sheets(spark, d)).select(
+    "Link", "section", "heat",
+    F.size(P.splitlines(F.col("section_text"))).cast("bigint").alias("n_lines")))
+register("sheet_head")(lambda spark, d: P.head_per_document(P.parse_sheets(_sheets(spark, d)), 2))
+register("document_lines")(lambda spark, d: P.lines_of(_docs(spark, d), keep=["doc_id"]))
+register("document_noise")(lambda spark, d: P.noise_summary(_docs(spark, d), "doc_id"))
+register("document_peek")(lambda spark, d: P.peek(_docs(spark, d), 1200))
+register("document_inspect_lines")(lambda spark, d: P.inspect_lines(_docs(spark, d), 80))
+register("document_line_search")(
+    lambda spark, d: P.regex_line_search(_docs(spark, d), LINE_SEARCH_PATTERN))
