@@ -177,3 +177,48 @@ FROM dl_arr a LEFT JOIN (
     "document_line_search": "WITH " + _NL_LINES + "\nSELECT doc_id, line_no, line FROM nl "
                             f"WHERE regexp_matches(line, '^(?:{LINE_SEARCH_PATTERN})')",
 })
+
+
+# --------------------------------------------------------------------------- pages
+_EVENTS = f"""
+ev AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderdate AS dt, CAST(year(o_orderdate) AS INTEGER) AS y
+       FROM orders),
+evt AS (SELECT *, '{BASE_URL}/' || CAST(y AS VARCHAR) || '/comp-' || CAST(c AS VARCHAR) AS comp_url,
+          'COMPETITION ' || CAST(c AS VARCHAR) || CASE WHEN c % 6 = 0 THEN ' WORLD CUP' ELSE '' END
+            || CASE WHEN c % 9 = 0 THEN ' 25M' ELSE '' END
+            || CASE WHEN c % 10 = 0 THEN ' Short Course' ELSE '' END AS competition,
+          CASE WHEN k % 7 = 0 THEN 'X' WHEN k % 2 = 0 THEN 'M' ELSE 'F' END AS sx,
+          (k % 5 <> 0 AND k % 11 <> 0 AND k % 13 <> 0) AS listed,
+          '{BASE_URL}/File/R' || CAST(k AS VARCHAR) || '.pdf' AS link,
+          row_number() OVER (PARTITION BY c, y ORDER BY dt, k) AS pos
+        FROM ev),
+portal AS (SELECT comp_url AS url,
+          max_by(link, pos) FILTER (WHERE sx = 'M' AND listed) AS mens_400_free_pdf,
+          max_by(link, pos) FILTER (WHERE sx = 'F' AND listed) AS womens_400_free_pdf
+        FROM evt GROUP BY comp_url
+        HAVING count(*) FILTER (WHERE sx IN ('M', 'F') AND listed) > 0),
+comps AS (SELECT DISTINCT y AS year, competition, comp_url AS href FROM evt
+          WHERE k % 8 <> 3 AND k % 19 <> 0 AND y BETWEEN 1990 AND 2002),
+linktab AS (SELECT year, competition, mens_400_free_pdf, womens_400_free_pdf
+          FROM comps JOIN portal ON comps.href = portal.url
+          WHERE NOT (upper(competition) LIKE '%25M%' OR upper(competition) LIKE '%SHORT COURSE%'))"""
+
+QUERY_SQL.update({
+    "page_anchor_links": r"""
+WITH pa AS (SELECT page_id, url, regexp_extract_all(html, '<a\s[^>]*?href="([^"]*)"', 1) AS arr FROM pages),
+pr AS (SELECT page_id, url, unnest(range(0, len(arr))) AS pos, unnest(arr) AS href FROM pa),
+pb AS (SELECT page_id, CAST(pos AS INTEGER) AS pos, href,
+         CASE WHEN starts_with(href, '/')
+              THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1) || href
+              ELSE href END AS abs_url FROM pr)
+SELECT page_id, pos, href, abs_url, string_split(abs_url, '/')[-1] AS file_name FROM pb""",
+    "portal_links": "WITH " + _EVENTS + "\nSELECT * FROM portal",
+    "competition_list": "WITH " + _EVENTS + "\nSELECT * FROM comps",
+    "link_table": "WITH " + _EVENTS + "\nSELECT * FROM linktab",
+    "link_year_counters": "WITH " + _EVENTS + """
+SELECT CAST(r.range AS INTEGER) AS year,
+       CAST(coalesce(f.n, 0) AS BIGINT) AS found, CAST(coalesce(s.n, 0) AS BIGINT) AS saved
+FROM range(1990, 2003) r
+LEFT JOIN (SELECT year, count(*) AS n FROM comps GROUP BY year) f ON f.year = r.range
+LEFT JOIN (SELECT year, count(*) AS n FROM linktab GROUP BY year) s ON s.year = r.range""",
+})

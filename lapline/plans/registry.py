@@ -81,3 +81,23 @@ register("document_peek")(lambda spark, d: P.peek(_docs(spark, d), 1200))
 register("document_inspect_lines")(lambda spark, d: P.inspect_lines(_docs(spark, d), 80))
 register("document_line_search")(
     lambda spark, d: P.regex_line_search(_docs(spark, d), LINE_SEARCH_PATTERN))
+
+
+# --------------------------------------------------------------------------- S14, L01-L14 (stored pages)
+from lapline.operators import weblinks as L  # noqa: E402
+
+YEARS = (1990, 2002)
+
+register("page_anchor_links")(lambda spark, d: L.anchor_links(read_table(spark, d, "pages")))
+register("portal_links")(
+    lambda spark, d: L.links_per_competition(L.event_links(FX.portal_pages(spark, d))))
+register("competition_list")(
+    lambda spark, d: L.dedupe_first_seen(
+        L.year_range(L.competition_rows(FX.competition_list_pages(spark, d)), *YEARS))
+    .select("year", "competition", "href"))
+register("link_table")(
+    lambda spark, d: L.link_table(FX.competition_list_pages(spark, d), FX.portal_pages(spark, d), *YEARS))
+register("link_year_counters")(
+    lambda spark, d: L.year_counters(
+        spark, FX.competition_list_pages(spark, d),
+        L.link_table(FX.competition_list_pages(spark, d), FX.portal_pages(spark, d), *YEARS), *YEARS))
