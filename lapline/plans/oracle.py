@@ -222,3 +222,43 @@ FROM range(1990, 2003) r
 LEFT JOIN (SELECT year, count(*) AS n FROM comps GROUP BY year) f ON f.year = r.range
 LEFT JOIN (SELECT year, count(*) AS n FROM linktab GROUP BY year) s ON s.year = r.range""",
 })
+
+
+# --------------------------------------------------------------------------- cleaning
+def secs_table(cs: str) -> str:
+    """The table converter's arithmetic on the text form: int(m)*60 + float(ss.cc)."""
+    return (f"CASE WHEN {cs} IS NULL THEN NULL WHEN {cs} >= 6000 THEN "
+            f"CAST(({cs} // 6000) * 60 AS DOUBLE) + CAST({cs} % 6000 AS DOUBLE) / 100 "
+            f"ELSE CAST({cs} AS DOUBLE) / 100 END")
+
+
+_TYPED_FROM_TEXT = ("SELECT Link, heat, \"rank\", lane, last_name, first_name, " + secs("reaction_cs")
+                    + " AS reaction_time, " + ", ".join(f"{secs_table(c + '_cs')} AS {c}" for c in _TIME_COLS)
+                    + ", sex FROM rc WHERE final_time_cs IS NOT NULL")
+
+_PREPARED = RESULTS_CS + """,
+p0 AS (SELECT Link, heat, "rank", lane, last_name, first_name, """ + secs("reaction_cs") + """ AS reaction_time,
+       """ + ", ".join(f"{secs(c + '_cs')} AS {c}" for c in _TIME_COLS) + """
+       FROM rc WHERE final_time_cs IS NOT NULL
+         AND split_50m_cs IS NOT NULL AND split_100m_cs IS NOT NULL AND split_150m_cs IS NOT NULL
+         AND split_200m_cs IS NOT NULL AND split_250m_cs IS NOT NULL),
+prepared AS (SELECT Link, heat, "rank", lane, last_name, first_name,
+       coalesce(reaction_time, (SELECT quantile_cont(reaction_time, 0.5) FROM p0)) AS reaction_time,
+       split_50m, split_100m, split_150m, split_200m, split_250m, split_300m, split_350m, final_time,
+       split_100m - split_50m AS interval_split_100m, split_150m - split_100m AS interval_split_150m,
+       split_200m - split_150m AS interval_split_200m, split_250m - split_200m AS interval_split_250m
+       FROM p0)"""
+
+_SHORT = "regexp_matches(competition, '(?i)WORLD CUP|SHORT COURSE|25M')"
+
+QUERY_SQL.update({
+    "results_table": "WITH " + RESULTS_CS + "\n" + _TYPED_FROM_TEXT,
+    "para_filtered": with_typed(
+        "SELECT * FROM typed WHERE first_name IS NULL OR NOT regexp_matches(first_name, 'S\\d|SB|SM')"),
+    "short_course_filtered": "WITH " + TYPED + "," + _EVENTS + """
+SELECT * FROM typed WHERE Link IS NULL OR Link NOT IN (
+  SELECT mens_400_free_pdf FROM linktab WHERE """ + _SHORT + """ AND mens_400_free_pdf IS NOT NULL
+  UNION SELECT womens_400_free_pdf FROM linktab WHERE """ + _SHORT + """ AND womens_400_free_pdf IS NOT NULL)""",
+    "dropped_competitions": "WITH " + _EVENTS + "\nSELECT DISTINCT year, competition FROM linktab WHERE " + _SHORT,
+    "prepared": "WITH " + _PREPARED + "\nSELECT * FROM prepared",
+})

@@ -101,3 +101,26 @@ register("link_year_counters")(
     lambda spark, d: L.year_counters(
         spark, FX.competition_list_pages(spark, d),
         L.link_table(FX.competition_list_pages(spark, d), FX.portal_pages(spark, d), *YEARS), *YEARS))
+
+
+# --------------------------------------------------------------------------- C01-C14
+from lapline.operators import clean as C  # noqa: E402
+
+
+def _parsed_by_sex(spark, d):
+    """Rendered sheets parsed, split into the men's and women's frames by the sheet's list."""
+    parsed = P.parse_sheets(FX.render_sheets(spark, d))
+    men = parsed.filter(F.col("sex") == "M").drop("sex")
+    women = parsed.filter(F.col("sex") == "F").drop("sex")
+    return men, women
+
+
+def _links(spark, d):
+    return L.link_table(FX.competition_list_pages(spark, d), FX.portal_pages(spark, d), *YEARS)
+
+
+register("results_table")(lambda spark, d: C.prepare_for_sql(*_parsed_by_sex(spark, d)))
+register("para_filtered")(lambda spark, d: C.drop_para_class(_typed(spark, d)))
+register("short_course_filtered")(lambda spark, d: C.drop_short_course(_typed(spark, d), _links(spark, d)))
+register("dropped_competitions")(lambda spark, d: C.dropped_competitions(_links(spark, d)))
+register("prepared")(lambda spark, d: C.prepare_data(*_parsed_by_sex(spark, d)))
