@@ -19,21 +19,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapline.functions.text import py_strip
+from lapline.functions.text import PY_SPACE_CLASS
 
-# Numbers Python's int()/float() accept (underscores and nan/inf left out).
-INT_TEXT = r"^[+-]?[0-9]+$"
-FLOAT_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Numbers Python's int()/float() accept (underscores and nan/inf left out);
+# int()/float() ignore surrounding whitespace, so the patterns allow it.
+_WS = PY_SPACE_CLASS + "*"
+_INT = r"[+-]?[0-9]+"
+_NUM = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+PLAIN_TEXT = f"^{_WS}({_NUM}){_WS}$"
+COLON_INT_TEXT = f"^{_WS}({_INT}){_WS}:{_WS}({_NUM}){_WS}$"      # int(m) * 60 + float(s)
+COLON_NUM_TEXT = f"^{_WS}({_NUM}){_WS}:{_WS}({_NUM}){_WS}$"      # float(m) * 60 + float(s)
 
 
 def to_double(c: Column) -> Column:
     """numeric coercion, bad text to NULL (``try_cast`` alone accepts '1d', 'nan')."""
-    s = py_strip(c.cast("string"))
-    return F.when(s.rlike(FLOAT_TEXT), s.try_cast("double"))
+    s = c.cast("string")
+    return F.regexp_extract(s, PLAIN_TEXT, 1).try_cast("double")
 
 
-def _to_int(s: Column) -> Column:
-    return F.when(s.rlike(INT_TEXT), s.try_cast("bigint"))
+def _colon_value(s: Column, pattern: str, minutes_type: str) -> Column:
+    mins = F.regexp_extract(s, pattern, 1).try_cast(minutes_type)
+    secs = F.regexp_extract(s, pattern, 2).try_cast("double")
+    return mins * 60 + secs
 
 
 def time_to_seconds(c: Column, mode: str = "ingest", numeric: bool = False) -> Column:
@@ -45,43 +52,38 @@ def time_to_seconds(c: Column, mode: str = "ingest", numeric: bool = False) -> C
         if mode == "ingest":
             return F.when(v != 0, F.round(v, 2))
         return v
-    raw = c.cast("string")
-    parts = F.split(raw, ":", -1)
-    has_colon = raw.contains(":")
+    s = c.cast("string")
+    has_colon = s.contains(":")
+    minutes_type = "double" if mode == "strict" else "bigint"
+    pattern = COLON_NUM_TEXT if mode == "strict" else COLON_INT_TEXT
+    value = F.when(has_colon, _colon_value(s, pattern, minutes_type)).otherwise(to_double(s))
     if mode == "ingest":
-        mins = _to_int(py_strip(F.get(parts, 0)))
-        secs = to_double(F.get(parts, 1))
-        colon = F.when(F.size(parts) == 2, F.round(mins * 60 + secs, 2))
-        return (F.when(raw.isNull() | (raw == ""), F.lit(None).cast("double"))
-                .when(has_colon, colon)
-                .otherwise(F.round(to_double(raw), 2)))
-    stripped = py_strip(raw)
-    sparts = F.split(stripped, ":", -1)
-    if mode == "table":
-        mins = _to_int(py_strip(F.get(sparts, 0)))
-    else:
-        mins = to_double(F.get(sparts, 0))
-    secs = to_double(F.get(sparts, 1))
-    colon = F.when(F.size(sparts) == 2, mins * 60 + secs)
-    value = F.when(stripped.contains(":"), colon).otherwise(to_double(stripped))
+        # empty text is missing; the result is rounded to 2 digits
+        return F.when(s != "", F.round(value, 2))
     if mode == "strict":
-        bad = raw.isNotNull() & value.isNull()
-        return F.when(bad, F.raise_error(F.concat(F.lit("bad time text: "), raw))
+        bad = s.isNotNull() & value.isNull()
+        return F.when(bad, F.raise_error(F.concat(F.lit("bad time text: "), s))
                       .cast("double")).otherwise(value)
     return value
 
 
 def convert_time_columns(df: DataFrame, cols: list[str], mode: str) -> DataFrame:
-    """Convert the listed columns that exist, choosing the path by column type."""
+    """Convert the listed columns that exist, choosing the path by column type.
+
+    The converted values are produced by one generator (a one-element
+    ``inline``), so each conversion runs once per row: predicates on the
+    results (``dropna`` and the like) cannot be pushed beneath it and repeat
+    the regex work, and the generated code stays small.
+    """
     numeric_types = (T.NumericType,)
-    out = []
-    for f in df.schema.fields:
-        if f.name in cols:
-            is_num = isinstance(f.dataType, numeric_types)
-            out.append(time_to_seconds(F.col(f.name), mode, numeric=is_num).alias(f.name))
-        else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+    names = [f.name for f in df.schema.fields if f.name in cols]
+    if not names:
+        return df
+    conv = [time_to_seconds(F.col(f.name), mode, numeric=isinstance(f.dataType, numeric_types)).alias(f.name)
+            for f in df.schema.fields if f.name in cols]
+    others = [c for c in df.columns if c not in names]
+    out = df.select(*others, F.inline(F.array(F.struct(*conv))))
+    return out.select(*df.columns)
 
 
 def centis(c: Column) -> Column:
@@ -89,6 +91,11 @@ def centis(c: Column) -> Column:
     return F.round(c * 100).cast("bigint")
 
 
+def small_idiv(a: Column, b: Column) -> Column:
+    """Exact floor division of non-negative integers below 2**53 (plain long arithmetic)."""
+    return ((a - F.pmod(a, b)) / b).cast("bigint")
+
+
 def idiv(a: Column, b: Column) -> Column:
     """Exact floor division of non-negative integers (no double rounding at any size)."""
     exact = (a - F.pmod(a, b)).cast("decimal(38,0)") / b.cast("decimal(38,0)")

@@ -262,3 +262,29 @@ SELECT * FROM typed WHERE Link IS NULL OR Link NOT IN (
     "dropped_competitions": "WITH " + _EVENTS + "\nSELECT DISTINCT year, competition FROM linktab WHERE " + _SHORT,
     "prepared": "WITH " + _PREPARED + "\nSELECT * FROM prepared",
 })
+
+
+# --------------------------------------------------------------------------- statistics
+_CORR = ["reaction_time", "split_50m", "split_100m", "split_150m", "split_200m", "split_250m", "final_time"]
+
+QUERY_SQL.update({
+    "correlation_matrix": "WITH " + _PREPARED + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS row, '{b}' AS col, round(corr({a}, {b}), 6) AS r FROM prepared"
+        for a in _CORR for b in _CORR),
+    "final_time_histogram": "WITH " + TYPED + """,
+v AS (SELECT final_time AS v FROM typed WHERE final_time IS NOT NULL AND NOT isnan(final_time)),
+r0 AS (SELECT min(v) AS lo0, max(v) AS hi0 FROM v),
+r AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
+             CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM r0),
+c AS (SELECT CAST(least(floor((v - lo) * (CAST(40 AS DOUBLE) / (hi - lo))), 39) + 1 AS INTEGER) AS bin,
+             count(*) AS n FROM v, r GROUP BY 1),
+g AS (SELECT CAST(b.range AS INTEGER) AS bin, lo + (b.range - 1) * ((hi - lo) / 40) AS lo_edge,
+             lo + b.range * ((hi - lo) / 40) AS hi_edge FROM range(1, 41) b, r)
+SELECT g.bin, lo_edge, hi_edge, CAST(coalesce(c.n, 0) AS BIGINT) AS n FROM g LEFT JOIN c ON g.bin = c.bin""",
+    "ols_split250": "WITH " + _PREPARED + """,
+fit AS (SELECT regr_slope(final_time, split_250m) AS b, regr_intercept(final_time, split_250m) AS a FROM prepared),
+e AS (SELECT (a + b * split_250m) - final_time AS e, final_time FROM prepared, fit)
+SELECT 'split_250m' AS feature, round((SELECT b FROM fit), 4) AS slope, round((SELECT a FROM fit), 4) AS intercept,
+       round(avg(abs(e)), 4) AS mae, round(sqrt(avg(e * e)), 4) AS rmse,
+       round(1 - sum(e * e) / (var_pop(final_time) * count(*)), 4) AS r2 FROM e""",
+})

@@ -124,3 +124,38 @@ register("para_filtered")(lambda spark, d: C.drop_para_class(_typed(spark, d)))
 register("short_course_filtered")(lambda spark, d: C.drop_short_course(_typed(spark, d), _links(spark, d)))
 register("dropped_competitions")(lambda spark, d: C.dropped_competitions(_links(spark, d)))
 register("prepared")(lambda spark, d: C.prepare_data(*_parsed_by_sex(spark, d)))
+
+
+# --------------------------------------------------------------------------- A01-A08, M01-M14
+from lapline.operators import model as M  # noqa: E402
+from lapline.operators import stats as A  # noqa: E402
+
+
+def _prepared(spark, d):
+    """C12 over the results read as text (the parser's output shape), men's and women's lists."""
+    raw = FX.raw_results(spark, d)
+    return C.prepare_data(raw.filter(F.col("sex") == "M").drop("sex"),
+                          raw.filter(F.col("sex") == "F").drop("sex"))
+
+
+def _scored(spark, d):
+    prepared = _prepared(spark, d)
+    model, _, _ = M.train_model(spark, prepared)
+    return M.predict_batch(model, prepared)
+
+
+register("correlation_matrix")(lambda spark, d: A.correlation_matrix(_prepared(spark, d)))
+register("final_time_histogram")(lambda spark, d: A.histogram(spark, _typed(spark, d), "final_time", 40))
+register("ols_split250")(lambda spark, d: M.ols_single(spark, _prepared(spark, d), "split_250m"))
+register("holdout_sizes")(lambda spark, d: M.holdout(_prepared(spark, d)).groupBy("is_test").count())
+register("fold_sizes")(lambda spark, d: M.with_folds(_prepared(spark, d)).groupBy("fold").count())
+register("model_comparison")(lambda spark, d: A.with_label(
+    A.sort_by_error(M.compare_models(spark, _prepared(spark, d))), "mae", "%.3f", "s"))
+register("model_comparison_cv")(lambda spark, d: M.compare_models_cv(spark, _prepared(spark, d)))
+register("progressive_accuracy")(
+    lambda spark, d: A.error_by_distance(M.progressive_accuracy(spark, _prepared(spark, d))))
+register("feature_importances")(
+    lambda spark, d: A.with_label(M.train_model(spark, _prepared(spark, d))[2], "importance"))
+register("scored_results")(_scored)
+register("biggest_surprises")(lambda spark, d: A.biggest_surprises(_scored(spark, d), 5))
+register("residual_histogram")(lambda spark, d: A.histogram(spark, _scored(spark, d), "residual", 40))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lapline import schema as S
-from lapline.functions.times import idiv
+from lapline.functions.times import small_idiv as idiv
 from lapline.sources.tables import read_table
 
 # Fixed values of the fixture layout (shared with the SQL oracle).
