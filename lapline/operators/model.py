@@ -35,8 +35,8 @@ LABEL = "final_time"
 SEED = 42
 TEST_FRACTION = 0.2
 RF_TREES = 100
-RF_MAX_DEPTH = 12
-RF_MAX_BINS = 64
+RF_MAX_DEPTH = 10
+RF_MAX_BINS = 32
 GBT_ROUNDS = 100
 BASE_COLS = S.FEATURE_SPLITS + ["reaction_time"]
 PROGRESSIVE_SPLITS = [S.FEATURE_SPLITS[:i] for i in range(1, 6)]
@@ -126,8 +126,20 @@ def _mae(pred: DataFrame) -> float:
 
 # --------------------------------------------------------------------------- M08-M11
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a training frame at least one partition per core before it is cached.
+
+    Small inputs arrive as one partition (AQE coalesces them), which would
+    train every tree on one core; large inputs keep their partitioning.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def _split(prepared: DataFrame):
-    tagged = holdout(prepared).persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = spread(holdout(prepared)).persist(StorageLevel.MEMORY_AND_DISK)
     return tagged, tagged.filter(~F.col("is_test")), tagged.filter(F.col("is_test"))
 
 
@@ -148,7 +160,7 @@ def compare_models(spark: SparkSession, prepared: DataFrame, poly_degree: int =
 def compare_models_cv(spark: SparkSession, prepared: DataFrame, poly_degree: int = 2, k: int = 5,
                       parallelism: int = 2) -> DataFrame:
     """K-fold mean MAE of the four models → ``(model_name, mae)``."""
-    folded = with_folds(prepared, k).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = spread(with_folds(prepared, k)).persist(StorageLevel.MEMORY_AND_DISK)
     evaluator = RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="mae")
     rows = []
     try:

@@ -288,3 +288,19 @@ SELECT 'split_250m' AS feature, round((SELECT b FROM fit), 4) AS slope, round((S
        round(avg(abs(e)), 4) AS mae, round(sqrt(avg(e * e)), 4) AS rmse,
        round(1 - sum(e * e) / (var_pop(final_time) * count(*)), 4) AS r2 FROM e""",
 })
+
+
+# --------------------------------------------------------------------------- ingest
+_LISTS = """,
+lists AS (SELECT 'M' AS sex, mens_400_free_pdf AS Link FROM linktab WHERE mens_400_free_pdf IS NOT NULL
+          UNION ALL
+          SELECT 'F' AS sex, womens_400_free_pdf AS Link FROM linktab WHERE womens_400_free_pdf IS NOT NULL)"""
+
+QUERY_SQL.update({
+    "link_lists": "WITH " + _EVENTS + _LISTS + "\nSELECT sex, Link FROM lists",
+    "ingest_resumed": "WITH " + RAW + "," + _EVENTS + _LISTS + "\nSELECT " + ", ".join(_RAW_COLS)
+                      + " FROM raw WHERE final_time IS NOT NULL AND Link IN (SELECT Link FROM lists)",
+    "ingest_report": "WITH " + RAW + "," + _EVENTS + _LISTS + """
+SELECT l.Link, CAST(coalesce(c.n, 0) AS BIGINT) AS rows FROM (SELECT DISTINCT Link FROM lists) l
+LEFT JOIN (SELECT Link, count(*) AS n FROM raw WHERE final_time IS NOT NULL GROUP BY Link) c ON l.Link = c.Link""",
+})

@@ -159,3 +159,24 @@ register("feature_importances")(
 register("scored_results")(_scored)
 register("biggest_surprises")(lambda spark, d: A.biggest_surprises(_scored(spark, d), 5))
 register("residual_histogram")(lambda spark, d: A.histogram(spark, _scored(spark, d), "residual", 40))
+
+
+# --------------------------------------------------------------------------- K01-K11 (ingest)
+from lapline.operators import ingest as K  # noqa: E402
+
+
+def _resumed(spark, d):
+    """Two ingest runs: the first over the links of even competitions' rows, the second over all."""
+    links = K.link_lists(_links(spark, d))
+    docs = FX.render_sheets(spark, d).select("Link", "text")
+    first_half = links.filter(F.pmod(F.xxhash64("Link"), F.lit(2)) == 0)
+    earlier, _ = K.ingest(first_half, docs, S.empty(spark, S.RAW_RESULTS))
+    return K.ingest(links, docs, earlier)
+
+
+from lapline import schema as S  # noqa: E402
+
+register("link_lists")(lambda spark, d: K.link_lists(_links(spark, d)))
+register("ingest_resumed")(lambda spark, d: _resumed(spark, d)[0])
+register("ingest_second_run_rows")(lambda spark, d: _resumed(spark, d)[1].groupBy("Link").count())
+register("ingest_report")(lambda spark, d: K.report(K.link_lists(_links(spark, d)), _resumed(spark, d)[0]))
