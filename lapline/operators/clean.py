@@ -98,14 +98,23 @@ def impute_median(df: DataFrame, col: str = "reaction_time") -> DataFrame:
             .drop("_median"))
 
 
-def prepare_data(men: DataFrame, women: DataFrame) -> DataFrame:
+def prepare_data(men: DataFrame, women: DataFrame, materialize: bool = True) -> DataFrame:
     """Union → time conversion (F01) → C04 → C09 → C08 → C10.
 
-    No ``sex`` column is added here, as in the reference.
+    No ``sex`` column is added here, as in the reference.  The median needs a
+    pass over the converted rows before they can be filled; with
+    ``materialize`` those rows are checkpointed once to the shared checkpoint
+    folder, so the median pass and the output read them back instead of
+    running the upstream job (parsing, conversion) twice, and a lost
+    executor does not send the work back to the start.
     """
     df = men.unionByName(women, allowMissingColumns=True)
     df = convert_time_columns(df, S.TIME_COLS, "ingest")
     df = drop_missing(df)
+    if materialize:
+        from lapline.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     df = add_intervals(df)
     df = impute_median(df)
     return df.dropna(subset=S.FEATURE_COLS)

@@ -84,41 +84,60 @@ def swimmer_lines(secs: DataFrame, keep: list[str] | None = None) -> DataFrame:
             .select(*keep, F.col("p.line").alias("line"), F.col("p.splits_line").alias("splits_line")))
 
 
-def split_time(splits_line: Column, distance: str) -> Column:
+FIELD_SEP = "\u0002"
+
+
+def split_entries(splits_line: Column) -> Column:
+    """The ``(d, t)`` pairs of a splits line, in line order."""
+    return F.zip_with(F.regexp_extract_all(splits_line, F.lit(SPLIT_ENTRY), 1),
+                      F.regexp_extract_all(splits_line, F.lit(SPLIT_ENTRY), 2),
+                      lambda d, t: F.struct(d.alias("d"), t.alias("t")))
+
+
+def split_time(entries: Column, distance: str) -> Column:
     """The time given for one distance; the last entry of a repeated distance wins."""
-    entries = F.zip_with(F.regexp_extract_all(splits_line, F.lit(SPLIT_ENTRY), 1),
-                         F.regexp_extract_all(splits_line, F.lit(SPLIT_ENTRY), 2),
-                         lambda d, t: F.struct(d.alias("d"), t.alias("t")))
     hits = F.filter(entries, lambda e: e["d"] == distance)
     return F.try_element_at(hits, F.lit(-1))["t"]
 
 
+def _groups(c: Column, pattern: str, n: int) -> Column:
+    """All n groups of a pattern that matches the whole string, from one regex pass."""
+    template = FIELD_SEP.join(f"${i}" for i in range(1, n + 1))
+    return F.split(F.regexp_replace(c, pattern, template), FIELD_SEP, -1)
+
+
 def split_name(name: Column) -> tuple[Column, Column]:
     """P10: leading all-capital tokens are the last name, the rest the first name.
 
     When no token leads, the last name is the whole raw string (and the first
     name is every token), as in the reference.
     """
-    last = py_squash(F.regexp_extract(name, NAME_PARTS, 1))
-    first = py_squash(F.regexp_extract(name, NAME_PARTS, 2))
+    g = _groups(name, NAME_PARTS, 2)
+    last = py_squash(F.get(g, 0))
+    first = py_squash(F.get(g, 1))
     return F.when(last == "", name).otherwise(last), first
 
 
 def swimmer_fields(lines: DataFrame, keep: list[str]) -> DataFrame:
-    """Typed fields from a swimmer line and its splits line."""
-    g = lambda i: F.regexp_extract("line", SWIMMER_LINE, i)
-    raw_middle = py_strip(g(3))
-    name_clean = py_strip(F.regexp_replace(raw_middle, CODE_SUFFIX, ""))
-    last, first = split_name(name_clean)
+    """Typed fields from a swimmer line and its splits line.
+
+    The swimmer pattern matches the whole line, so one ``regexp_replace``
+    returns all five groups; the split entries are found once per row.
+    """
+    staged = lines.select(*keep, _groups(F.col("line"), SWIMMER_LINE, 5).alias("g"),
+                          split_entries(F.col("splits_line")).alias("entries"))
+    g = lambda i: F.get(F.col("g"), i - 1)
+    name_clean = py_strip(F.regexp_replace(py_strip(g(3)), CODE_SUFFIX, ""))
+    named = staged.select(*keep, "g", "entries", name_clean.alias("name_clean"))
+    last, first = split_name(F.col("name_clean"))
     cols = [*[F.col(c) for c in keep],
             F.regexp_replace(g(1), "[^0-9]", "").try_cast("int").alias("rank"),
             g(2).try_cast("int").alias("lane"),
             last.alias("last_name"), first.alias("first_name"),
             F.nullif(g(4), F.lit("")).try_cast("double").alias("reaction_time")]
-    cols += [split_time(F.col("splits_line"), d).alias(c)
-             for c, d in zip(S.TIME_SPLITS, S.SPLIT_DISTANCES)]
+    cols += [split_time(F.col("entries"), d).alias(c) for c, d in zip(S.TIME_SPLITS, S.SPLIT_DISTANCES)]
     cols.append(g(5).alias("final_time"))
-    return lines.select(*cols)
+    return named.select(*cols)
 
 
 def parse_sheets(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

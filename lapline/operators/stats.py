@@ -15,9 +15,11 @@ def correlation_matrix(df: DataFrame, cols=None, digits: int | None = 6) -> Data
     ``F.corr`` drops a pair's missing values pairwise, as pandas does.
     """
     cols = available_columns(df, cols or S.CORR_COLS)
-    aggs = [F.corr(a, b).alias(f"{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    # r is symmetric: aggregate each unordered pair once, then emit both orders
+    aggs = [F.corr(a, b).alias(f"{i}_{j}") for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]
     wide = df.agg(*aggs)
-    cells = F.array(*[F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"), F.col(f"{i}_{j}").alias("r"))
+    cells = F.array(*[F.struct(F.lit(a).alias("row"), F.lit(b).alias("col"),
+                               F.col(f"{min(i, j)}_{max(i, j)}").alias("r"))
                       for i, a in enumerate(cols) for j, b in enumerate(cols)])
     out = wide.select(F.inline(cells))
     if digits is not None:

@@ -29,13 +29,17 @@ def race_link(orderkey: F.Column) -> F.Column:
     return F.concat(F.lit(BASE_URL + "/File/R"), orderkey.cast("string"), F.lit(".pdf"))
 
 
+def _two(c: F.Column) -> F.Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
 def _time_text(cs: F.Column) -> F.Column:
     """Hundredths to ``SS.cc`` or ``M:SS.cc``."""
-    mins = idiv(cs, F.lit(6000))
-    rest = F.pmod(cs, F.lit(6000))
-    long_fmt = F.format_string("%d:%02d.%02d", mins, idiv(rest, F.lit(100)), F.pmod(rest, F.lit(100)))
-    short_fmt = F.format_string("%02d.%02d", idiv(cs, F.lit(100)), F.pmod(cs, F.lit(100)))
-    return F.when(cs.isNull(), F.lit(None)).when(cs >= 6000, long_fmt).otherwise(short_fmt)
+    secs = idiv(F.pmod(cs, F.lit(6000)), F.lit(100))
+    cents = _two(F.pmod(cs, F.lit(100)))
+    long_fmt = F.concat(idiv(cs, F.lit(6000)).cast("string"), F.lit(":"), _two(secs), F.lit("."), cents)
+    short_fmt = F.concat(_two(idiv(cs, F.lit(100))), F.lit("."), cents)
+    return F.when(cs >= 6000, long_fmt).otherwise(short_fmt)
 
 
 def results_cs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +107,7 @@ def render_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     cs = results_cs(spark, sf_dir).filter(F.col("final_time_cs").isNotNull())
     reaction = F.when(F.col("reaction_cs").isNotNull(),
-                      F.format_string("0.%02d ", F.col("reaction_cs"))).otherwise("")
+                      F.concat(F.lit("0."), _two(F.col("reaction_cs")), F.lit(" "))).otherwise("")
     swimmer = F.concat(F.col("rank").cast("string"), F.lit(" "), F.col("lane").cast("string"),
                        F.lit(" "), F.col("last_name"), F.lit(" "), F.col("first_name"),
                        F.lit(" USA "), reaction, _time_text(F.col("final_time_cs")))
