@@ -166,7 +166,8 @@ def compare_models_cv(spark: SparkSession, prepared: DataFrame, poly_degree: int
     try:
         for name, est in model_set(poly_degree, with_boosting=True).items():
             cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(),
-                                evaluator=evaluator, foldCol="fold", parallelism=parallelism, seed=SEED)
+                                evaluator=evaluator, numFolds=k, foldCol="fold", parallelism=parallelism,
+                                seed=SEED)
             rows.append((name, round(float(cv.fit(folded).avgMetrics[0]), 3)))
     finally:
         folded.unpersist()
