@@ -24,8 +24,7 @@ def _split_cs_sql() -> str:
 
 RESULTS_CS = f"""
 rc_pos AS (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
-    l_extendedprice, l_quantity, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS pos
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS pos
   FROM lineitem),
 rc_t AS (SELECT *, 22000 + (l_partkey * 37 + l_suppkey * 11 + pos * 13) % 6000 AS f_cs FROM rc_pos),
 rc AS (
