@@ -116,7 +116,7 @@ def count_rows(df: DataFrame) -> int:
 
 def read_documents(spark: SparkSession, path: str, link_from: str = "path") -> DataFrame:
     """One row per document file ``(Link, text)`` read as whole text."""
-    df = spark.read.option("wholetext", True).text(path)
+    df = spark.read.text(path, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("Link"), F.col("value").alias("text"))
 
 
