@@ -39,6 +39,10 @@ RF_MAX_DEPTH = 10
 RF_MAX_BINS = 32
 GBT_ROUNDS = 100
 BASE_COLS = S.FEATURE_SPLITS + ["reaction_time"]
+# Tree training: keep each row's node ids between levels instead of walking every
+# tree again, checkpoint that cache (to spark.checkpoint.dir) every 10 iterations,
+# and give the per-level statistics a moderate memory budget.
+TREE_RUNTIME = dict(cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=512)
 PROGRESSIVE_SPLITS = [S.FEATURE_SPLITS[:i] for i in range(1, 6)]
 ROW_KEY = ["Link", "heat", "rank", "lane", "last_name", "first_name", "reaction_time",
            *S.TIME_SPLITS, "final_time"]
@@ -88,7 +92,7 @@ def random_forest(features=None, trees: int = RF_TREES, max_depth: int = RF_MAX_
         VectorAssembler(inputCols=feats, outputCol="features"),
         RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=trees,
                               featureSubsetStrategy="all", maxDepth=max_depth, maxBins=RF_MAX_BINS,
-                              seed=SEED)])
+                              seed=SEED, **TREE_RUNTIME)])
 
 
 def gradient_boosting(features=None, rounds: int = GBT_ROUNDS) -> Pipeline:
@@ -97,7 +101,7 @@ def gradient_boosting(features=None, rounds: int = GBT_ROUNDS) -> Pipeline:
     return Pipeline(stages=[
         VectorAssembler(inputCols=feats, outputCol="features"),
         GBTRegressor(featuresCol="features", labelCol=LABEL, maxIter=rounds, stepSize=0.1, maxDepth=3,
-                     seed=SEED)])
+                     seed=SEED, **TREE_RUNTIME)])
 
 
 def model_set(poly_degree: int = 2, with_boosting: bool = False) -> dict:
