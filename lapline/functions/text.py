@@ -50,6 +50,8 @@ SKIP_COMPETITION_WORDS = ["25M", "SHORT COURSE"]
 # Python's str.isspace() set, which str.strip()/split() use:
 PY_SPACE_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
                   r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+# The same set as characters, derived from Python's own definition (all are below U+3001):
+PY_SPACE_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 # str.splitlines() boundaries:
 EOL_PY = r"\r\n|[\n\r\x{0B}\f\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
 SOFT_HYPHEN = "­"
@@ -75,8 +77,8 @@ SECTION_MARK = "\u0001"
 
 
 def py_strip(c: Column) -> Column:
-    """``str.strip()``: remove Python whitespace at both ends (``F.trim`` only removes spaces)."""
-    return F.regexp_replace(c, f"^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$", "")
+    """``str.strip()``: remove Python whitespace at both ends (plain ``F.trim`` only removes spaces)."""
+    return F.btrim(c, F.lit(PY_SPACE_CHARS))
 
 
 def py_squash(c: Column) -> Column:

@@ -163,6 +163,7 @@ register("residual_histogram")(lambda spark, d: A.histogram(spark, _scored(spark
 
 # --------------------------------------------------------------------------- K01-K11 (ingest)
 from lapline.operators import ingest as K  # noqa: E402
+from lapline.session import ensure_checkpoint_dir  # noqa: E402
 
 
 def _resumed(spark, d):
@@ -171,7 +172,9 @@ def _resumed(spark, d):
     docs = FX.render_sheets(spark, d).select("Link", "text")
     first_half = links.filter(F.pmod(F.xxhash64("Link"), F.lit(2)) == 0)
     earlier, _ = K.ingest(first_half, docs, S.empty(spark, S.RAW_RESULTS))
-    return K.ingest(links, docs, earlier)
+    # the first run's output is a stored table: written once to the shared checkpoint folder
+    ensure_checkpoint_dir(spark)
+    return K.ingest(links, docs, earlier.checkpoint(eager=True))
 
 
 from lapline import schema as S  # noqa: E402
