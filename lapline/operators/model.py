@@ -250,3 +250,21 @@ def ols_single(spark: SparkSession, prepared: DataFrame, feature: str = "split_2
         F.round(F.lit(float(lr.coefficients[0])), 4).alias("slope"),
         F.round(F.lit(float(lr.intercept)), 4).alias("intercept"),
         F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"), F.round("r2", 4).alias("r2"))
+
+
+# --------------------------------------------------------------------------- A07: example prediction
+
+# The reference's example swimmer (seconds).
+EXAMPLE_SPLITS = {"split_50m": 26.69, "split_100m": 55.38, "split_150m": 83.74,
+                  "split_200m": 112.53, "split_250m": 140.97, "reaction_time": 0.73}
+
+
+def prediction_example(spark: SparkSession, model: PipelineModel, predict_fn=None,
+                       example: dict | None = None) -> DataFrame:
+    """One example row through ``predict_fn`` (default M12), with the formatted time."""
+    from lapline.functions.times import format_seconds
+    row = dict(example or EXAMPLE_SPLITS)
+    cols = list(row)
+    df = spark.createDataFrame([tuple(float(row[c]) for c in cols)], ", ".join(f"{c} double" for c in cols))
+    out = (predict_fn or predict)(model, df)
+    return out.select("predicted_time", format_seconds(F.col("predicted_time")).alias("formatted"))

@@ -183,3 +183,13 @@ register("link_lists")(lambda spark, d: K.link_lists(_links(spark, d)))
 register("ingest_resumed")(lambda spark, d: _resumed(spark, d)[0])
 register("ingest_second_run_rows")(lambda spark, d: _resumed(spark, d)[1].groupBy("Link").count())
 register("ingest_report")(lambda spark, d: K.report(K.link_lists(_links(spark, d)), _resumed(spark, d)[0]))
+
+
+def _predict_from_text(spark, d):
+    """A linear model fitted on the prepared rows, applied to the splits as printed (text)."""
+    model = M.linear_regression().fit(_prepared(spark, d))
+    raw = FX.raw_results(spark, d).filter(F.col("final_time").isNotNull())
+    return M.predict(model, raw.select("Link", "heat", "rank", "lane", "reaction_time", *S.FEATURE_SPLITS))
+
+
+register("predict_from_text")(_predict_from_text)
