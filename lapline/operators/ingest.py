@@ -63,14 +63,20 @@ def ingest_to_path(spark: SparkSession, links: DataFrame, documents: DataFrame,
                    batch_size: int | None = None) -> DataFrame:
     """K10 batch form: append new rows to ``output`` (parquet); returns the stored table.
 
-    With ``batch_size`` the remaining links are processed in batches of that
-    many documents, each batch appended (committed) before the next, like the
-    reference's checkpoint every ten documents.  Batches are cut by a hash of
-    the Link, so no ordering or collection of the link list is needed.
+    With ``batch_size`` the remaining links are processed in batches of about
+    that many documents, each batch appended (committed) before the next, like
+    the reference's checkpoint every ten documents; on a cluster choose a size
+    that makes each batch a substantial job.  Batches are cut by a hash of the
+    Link, so no ordering or collection of the link list is needed, and the
+    list of remaining links is materialized once (a checkpoint in the shared
+    folder) rather than recomputed for every batch.
     """
     earlier = read_earlier_output(spark, output)
     todo = remaining_links(links.select("Link"), earlier).distinct()
     if batch_size:
+        from lapline.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        todo = todo.checkpoint(eager=True)
         n = todo.count()
         batches = max(1, -(-n // batch_size))
         keyed = todo.withColumn("_b", F.pmod(F.xxhash64("Link"), F.lit(batches)))

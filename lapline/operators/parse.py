@@ -188,7 +188,7 @@ def noise_summary(docs: DataFrame, key: str, text_col: str = "text") -> DataFram
 def peek(docs: DataFrame, n: int = 1200, text_col: str = "text") -> DataFrame:
     """The first n characters of each document (an inspection view)."""
     keep = [c for c in docs.columns if c != text_col]
-    return docs.select(*keep, F.substring(clean_text(F.col(text_col)), 1, n).alias("head"))
+    return docs.select(*keep, F.substring(soft_hyphen_to_dash(F.col(text_col)), 1, n).alias("head"))
 
 
 def inspect_lines(docs: DataFrame, n: int = 80, text_col: str = "text") -> DataFrame:

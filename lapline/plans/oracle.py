@@ -170,7 +170,7 @@ SELECT a.doc_id, CAST(len(a.arr) AS BIGINT) AS lines, CAST(coalesce(c.n, 0) AS B
 FROM dl_arr a LEFT JOIN (
   SELECT doc_id, count(*) AS n FROM dl WHERE line = '' OR regexp_matches(line, '{_NOISE_RE2}')
   GROUP BY doc_id) c ON a.doc_id = c.doc_id""",
-    "document_peek": "SELECT doc_id, substring(replace(replace(text, chr(173), '-'), chr(1), ''), 1, 1200) "
+    "document_peek": "SELECT doc_id, substring(replace(text, chr(173), '-'), 1, 1200) "
                      "AS head FROM documents",
     "document_inspect_lines": "WITH " + _NL_LINES + "\nSELECT doc_id, line_no, line FROM nl WHERE line_no < 80",
     "document_line_search": "WITH " + _NL_LINES + "\nSELECT doc_id, line_no, line FROM nl "
