@@ -50,10 +50,11 @@ def ingest(links: DataFrame, documents: DataFrame, earlier: DataFrame) -> tuple[
     """K04-K09 as one plan: (all rows = earlier + new, new rows only).
 
     ``documents`` holds ``(Link, text)``; a listed link without a document
-    (a failed fetch) or without a parsed row simply adds nothing (K07).
+    (a failed fetch) or without a parsed row simply adds nothing (K07).  A
+    link listed twice is processed twice, as in the reference.
     """
-    todo = remaining_links(links.select("Link"), earlier).distinct()
-    docs = documents.join(todo, "Link", "left_semi")
+    todo = remaining_links(links.select("Link"), earlier)
+    docs = documents.join(todo, "Link", "inner")
     new_rows = parse_sheets(docs.select("Link", "text"))
     all_rows = earlier.unionByName(new_rows, allowMissingColumns=True)
     return all_rows, new_rows
