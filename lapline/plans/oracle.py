@@ -303,3 +303,16 @@ QUERY_SQL.update({
 SELECT l.Link, CAST(coalesce(c.n, 0) AS BIGINT) AS rows FROM (SELECT DISTINCT Link FROM lists) l
 LEFT JOIN (SELECT Link, count(*) AS n FROM raw WHERE final_time IS NOT NULL GROUP BY Link) c ON l.Link = c.Link""",
 })
+
+
+QUERY_SQL.update({
+    "ingest_second_run_rows": "WITH " + RAW + "," + _EVENTS + _LISTS + """
+SELECT Link, count(*) AS count FROM raw
+WHERE final_time IS NOT NULL AND substring(md5(Link), 1, 1) >= '8' AND Link IN (SELECT Link FROM lists)
+GROUP BY Link""",
+    "parse_sheet_pages": QUERY_SQL["parse_sheets"],
+    "seed_list": "WITH " + _EVENTS + _LISTS + "\nSELECT Link AS url, string_split(Link, '/')[-1] AS file_name FROM lists",
+    "formatted_final_times": with_typed(
+        "SELECT Link, \"rank\", lane, printf('%.2fs (%d:%05.2f)', final_time, CAST(floor(final_time / 60) AS BIGINT), "
+        "final_time - 60 * floor(final_time / 60)) AS formatted FROM typed WHERE final_time IS NOT NULL"),
+})

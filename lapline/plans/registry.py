@@ -167,10 +167,10 @@ from lapline.session import ensure_checkpoint_dir  # noqa: E402
 
 
 def _resumed(spark, d):
-    """Two ingest runs: the first over the links of even competitions' rows, the second over all."""
+    """Two ingest runs: the first over the links whose md5 starts with 0-7, the second over all."""
     links = K.link_lists(_links(spark, d))
     docs = FX.render_sheets(spark, d).select("Link", "text")
-    first_half = links.filter(F.pmod(F.xxhash64("Link"), F.lit(2)) == 0)
+    first_half = links.filter(F.substring(F.md5("Link"), 1, 1) < "8")
     earlier, _ = K.ingest(first_half, docs, S.empty(spark, S.RAW_RESULTS))
     # the first run's output is a stored table: written once to the shared checkpoint folder
     ensure_checkpoint_dir(spark)
@@ -193,3 +193,16 @@ def _predict_from_text(spark, d):
 
 
 register("predict_from_text")(_predict_from_text)
+
+
+# --------------------------------------------------------------------------- S12 (page form), S13, F04
+from lapline.functions.times import format_seconds  # noqa: E402
+from lapline.sources import tables as T  # noqa: E402
+
+register("parse_sheet_pages")(
+    lambda spark, d: P.parse_sheets(T.join_pages(FX.render_sheet_pages(spark, d))))
+register("seed_list")(lambda spark, d: T.read_seed_list(
+    K.link_lists(_links(spark, d)).select(F.col("Link").alias("pdf_url"))))
+register("formatted_final_times")(lambda spark, d: _typed(spark, d).filter(F.col("final_time").isNotNull())
+                                  .select("Link", "rank", "lane",
+                                          format_seconds(F.col("final_time")).alias("formatted")))

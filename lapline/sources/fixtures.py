@@ -203,3 +203,34 @@ def competition_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("year").cast("int").alias("year"),
                        F.concat(F.lit(BASE_URL + "/results?year="), F.col("year").cast("string")).alias("url"),
                        html.alias("html"))
+
+
+def render_sheet_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sheets as pages ``(Link, page, text)``: a title page, one page per heat.
+
+    Joining a race's pages with newlines (S12, page form) gives a text that
+    parses to the same rows as ``render_sheets``.  Every third race also has
+    an empty trailing page, which the page join must skip.
+    """
+    cs = results_cs(spark, sf_dir).filter(F.col("final_time_cs").isNotNull())
+    reaction = F.when(F.col("reaction_cs").isNotNull(),
+                      F.concat(F.lit("0."), _two(F.col("reaction_cs")), F.lit(" "))).otherwise("")
+    swimmer = F.concat(F.col("rank").cast("string"), F.lit(" "), F.col("lane").cast("string"),
+                       F.lit(" "), F.col("last_name"), F.lit(" "), F.col("first_name"),
+                       F.lit(" USA "), reaction, _time_text(F.col("final_time_cs")))
+    split_parts = [F.when(F.col(f"{c}_cs").isNotNull(),
+                          F.concat(F.lit(f"{d}m (1) "), _time_text(F.col(f"{c}_cs"))))
+                   for c, d in zip(S.TIME_SPLITS, S.SPLIT_DISTANCES)]
+    entry = F.concat(swimmer, F.lit("\n"), F.concat_ws(" ", *split_parts))
+    per_heat = (cs.select("Link", "heat", "rank", entry.alias("entry"))
+                .groupBy("Link", "heat")
+                .agg(F.array_sort(F.collect_list(F.struct("rank", "entry"))).alias("rows")))
+    heat_pages = per_heat.select(
+        "Link", (F.ascii(F.substring("heat", 7, 1)) - 64).cast("int").alias("page"),
+        F.concat(F.col("heat"), F.lit(f" Event {EVENT_NO}\nRank Lane Name\n"),
+                 F.array_join(F.transform("rows", lambda x: x["entry"]), "\n")).alias("text"))
+    races = cs.select("Link", F.regexp_extract("Link", r"R([0-9]+)\.pdf$", 1).cast("bigint").alias("k")).distinct()
+    title = races.select("Link", F.lit(0).alias("page"), F.lit("Results").alias("text"))
+    blank = races.filter(F.pmod("k", F.lit(3)) == 0).select(
+        "Link", F.lit(9).alias("page"), F.lit(None).cast("string").alias("text"))
+    return title.unionByName(heat_pages).unionByName(blank)
