@@ -58,3 +58,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/lapline/{name}"
+
+
+def cluster_conf(executors: int, cores_per_executor: int, input_tb: float = 100.0) -> dict:
+    """Settings this engine is designed around, for a cluster run (pass to ``spark-submit --conf``).
+
+    * AQE on, with partition coalescing and skew-join splitting: per-race and
+      per-competition aggregates are partial, and a skewed anti/semi join side
+      is split at run time.
+    * Shuffle partitions start at ~3 waves of the cluster's cores (or one per
+      ~256 MB of input, whichever is larger) and AQE coalesces them to
+      ``advisoryPartitionSizeInBytes``.
+    * Scan splits of 128 MB; result-sheet and document tables have wide rows,
+      so fewer rows per split keep the in-row parse (arrays of lines) within
+      executor memory.
+    * The broadcast threshold stays at a fixed 32 MB: AQE compares it with
+      the measured size of a join side, so nothing is broadcast unchecked.
+    """
+    cores = executors * cores_per_executor
+    by_input = int(input_tb * 1024 * 1024 / 256)          # one partition per ~256 MB of input
+    partitions = max(3 * cores, min(by_input, 200_000))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": "128m",
+        "spark.sql.autoBroadcastJoinThreshold": "32m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+        "spark.sql.parquet.filterPushdown": "true",
+    }
