@@ -6,6 +6,8 @@ SQL over the driver's views; each query's oracle builds on these CTEs.
 
 from __future__ import annotations
 
+from lapline.functions.text import EOL_PY, NOISE_PATTERNS_PY, PY_SPACE_CLASS
+
 BASE_URL = "https://results.example.org"
 
 _SPLITS = ["split_50m", "split_100m", "split_150m", "split_200m", "split_250m",
@@ -132,8 +134,6 @@ QUERY_SQL = {
 
 
 # --------------------------------------------------------------------------- sheets and documents
-import sys as _sys  # noqa: E402
-from lapline.functions.text import EOL_PY, NOISE_PATTERNS_PY, PY_SPACE_CLASS  # noqa: E402
 
 _RAW_COLS = ['Link', 'heat', '"rank"', 'lane', 'last_name', 'first_name', 'reaction_time',
              *_SPLITS, 'final_time']
@@ -316,3 +316,7 @@ GROUP BY Link""",
         "SELECT Link, \"rank\", lane, printf('%.2fs (%d:%05.2f)', final_time, CAST(floor(final_time / 60) AS BIGINT), "
         "final_time - 60 * floor(final_time / 60)) AS formatted FROM typed WHERE final_time IS NOT NULL"),
 })
+
+QUERY_SQL["slowest_women_text"] = with_raw(
+    "SELECT first_name, last_name, final_time, Link FROM raw WHERE sex = 'F' "
+    "ORDER BY final_time DESC NULLS LAST, first_name, last_name, Link LIMIT 10")

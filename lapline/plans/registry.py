@@ -12,8 +12,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapline import schema as S
+from lapline.functions.times import format_seconds
+from lapline.operators import clean as C
+from lapline.operators import ingest as K
+from lapline.operators import model as M
+from lapline.operators import parse as P
+from lapline.operators import stats as A
+from lapline.operators import weblinks as L
 from lapline.plans import queries as Q
+from lapline.session import ensure_checkpoint_dir
 from lapline.sources import fixtures as FX
+from lapline.sources import tables as T
+from lapline.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -55,8 +66,6 @@ register("results_row_count")(
 
 
 # --------------------------------------------------------------------------- P01-P21 (sheets, documents)
-from lapline.operators import parse as P  # noqa: E402
-from lapline.sources.tables import read_table  # noqa: E402
 
 # A user pattern for the line search (P20): a capitalised word then a short function word.
 LINE_SEARCH_PATTERN = r"[A-Z][a-z]+ (?:the|de|la|der|und|el) "
@@ -84,7 +93,6 @@ register("document_line_search")(
 
 
 # --------------------------------------------------------------------------- S14, L01-L14 (stored pages)
-from lapline.operators import weblinks as L  # noqa: E402
 
 YEARS = (1990, 2002)
 
@@ -104,7 +112,6 @@ register("link_year_counters")(
 
 
 # --------------------------------------------------------------------------- C01-C14
-from lapline.operators import clean as C  # noqa: E402
 
 
 def _parsed_by_sex(spark, d):
@@ -127,8 +134,6 @@ register("prepared")(lambda spark, d: C.prepare_data(*_parsed_by_sex(spark, d)))
 
 
 # --------------------------------------------------------------------------- A01-A08, M01-M14
-from lapline.operators import model as M  # noqa: E402
-from lapline.operators import stats as A  # noqa: E402
 
 
 def _prepared(spark, d):
@@ -162,8 +167,6 @@ register("residual_histogram")(lambda spark, d: A.histogram(spark, _scored(spark
 
 
 # --------------------------------------------------------------------------- K01-K11 (ingest)
-from lapline.operators import ingest as K  # noqa: E402
-from lapline.session import ensure_checkpoint_dir  # noqa: E402
 
 
 def _resumed(spark, d):
@@ -177,7 +180,6 @@ def _resumed(spark, d):
     return K.ingest(links, docs, earlier.checkpoint(eager=True))
 
 
-from lapline import schema as S  # noqa: E402
 
 register("link_lists")(lambda spark, d: K.link_lists(_links(spark, d)))
 register("ingest_resumed")(lambda spark, d: _resumed(spark, d)[0])
@@ -196,8 +198,6 @@ register("predict_from_text")(_predict_from_text)
 
 
 # --------------------------------------------------------------------------- S12 (page form), S13, F04
-from lapline.functions.times import format_seconds  # noqa: E402
-from lapline.sources import tables as T  # noqa: E402
 
 register("parse_sheet_pages")(
     lambda spark, d: P.parse_sheets(T.join_pages(FX.render_sheet_pages(spark, d))))
@@ -206,3 +206,5 @@ register("seed_list")(lambda spark, d: T.read_seed_list(
 register("formatted_final_times")(lambda spark, d: _typed(spark, d).filter(F.col("final_time").isNotNull())
                                   .select("Link", "rank", "lane",
                                           format_seconds(F.col("final_time")).alias("formatted")))
+register("slowest_women_text")(
+    lambda spark, d: Q.slowest(FX.raw_results(spark, d), "F"))

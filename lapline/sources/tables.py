@@ -29,8 +29,6 @@ def read_links_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_results_csv(spark: SparkSession, path: str, typed: bool = False) -> DataFrame:
     """Results written by an earlier run (raw times as text, or typed)."""
     sch = S.TYPED_RESULTS if typed else S.RAW_RESULTS
-    if not typed:
-        sch = T.StructType(list(sch.fields))
     return spark.read.schema(sch).option("header", True).csv(path)
 
 
