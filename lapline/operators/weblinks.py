@@ -26,9 +26,21 @@ EVENT_EXCLUDE = "25"
 DEFAULT_BASE_URL = "https://results.example.org"
 
 
+# Character references decoded in visible text (``&amp;`` last).
+ENTITIES = [("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+            ("&#x27;", "'"), ("&apos;", "'"), ("&amp;", "&")]
+
+
+def html_unescape(c: Column) -> Column:
+    """Decode the common character references, as a browser's text does."""
+    for ref, ch in ENTITIES:
+        c = F.replace(c, F.lit(ref), F.lit(ch))
+    return c
+
+
 def visible_text(html: Column) -> Column:
-    """Text of an HTML fragment: tags dropped, blanks collapsed."""
-    return py_squash(F.regexp_replace(html, "<[^>]*>", " "))
+    """Text of an HTML fragment: tags dropped, references decoded, blanks collapsed."""
+    return py_squash(html_unescape(F.regexp_replace(html, "<[^>]*>", " ")))
 
 
 def page_rows(pages: DataFrame, keep: list[str] | None = None, html_col: str = "html") -> DataFrame:

@@ -53,3 +53,9 @@ def test_anchor_links(spark):
         "page_id long, url string, html string")
     got = [(r.pos, r.abs_url, r.file_name) for r in L.anchor_links(pages).collect()]
     assert got == [(0, "https://h.example.net/p/f.html", "f.html"), (1, "https://o/z", "z")]
+
+
+def test_visible_text_decodes_references(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("<b>O&#39;Neil</b> &amp; Co&nbsp;<i>Cup</i>",)], "h string")
+    assert df.select(L.visible_text(F.col("h"))).first()[0] == "O'Neil & Co Cup"
