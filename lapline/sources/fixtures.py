@@ -13,11 +13,12 @@ The exact same definitions exist as DuckDB SQL in ``lapline.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapline import schema as S
 from lapline.functions.times import small_idiv as idiv
+from lapline.operators.ranking import row_number_by_key
 from lapline.sources.tables import read_table
 
 # Fixed values of the fixture layout (shared with the SQL oracle).
@@ -45,12 +46,11 @@ def _time_text(cs: F.Column) -> F.Column:
 def results_cs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical swimmer rows with every time as integer hundredths (``*_cs``)."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    # A race is an order (a handful of lines).  Ranks follow (line number, part,
-    # supplier); rows that tie on these are equal in every column used below,
-    # so the multiset of rows is the same whichever way the tie falls, and the
-    # scan reads only these four columns.
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    r = li.withColumn("pos", F.row_number().over(w))
+    # A race is an order.  Ranks follow (line number, part, supplier); rows that
+    # tie on these are equal in every column used below, so the multiset of rows
+    # is the same whichever way the tie falls, and the scan reads only these
+    # four columns.  The ranking stays distributed even if one order is huge.
+    r = row_number_by_key(li, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], out="pos")
     f_cs = F.lit(22000) + F.pmod(F.col("l_partkey") * 37 + F.col("l_suppkey") * 11
                                  + F.col("pos") * 13, F.lit(6000))
     r = r.withColumn("f_cs", f_cs)
