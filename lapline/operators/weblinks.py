@@ -115,22 +115,24 @@ def year_range(rows: DataFrame, start: int, end: int) -> DataFrame:
 
 def event_links(portal_pages: DataFrame, base_url: str = DEFAULT_BASE_URL) -> DataFrame:
     """400 m freestyle events of each page with their result link and sex."""
-    rows = page_rows(portal_pages, keep=["url"])
+    rows = page_rows(portal_pages, keep=["url", "page_id"])
     text = F.upper(visible_text(F.regexp_extract("row_html", ROUND_TEXT, 1)))
     links = F.regexp_extract_all(F.col("row_html"), F.lit(TWO_LINK), 1)
     is_event = text.contains(EVENT_WORDS[0]) & text.contains(EVENT_WORDS[1]) & ~text.contains(EVENT_EXCLUDE)
     second = F.when(F.size(links) >= 2, F.get(links, 1))
     sex = F.when(text.contains("WOMEN"), "F").when(text.contains("MEN"), "M")
-    return (rows.select("url", "row_pos", is_event.alias("is_event"),
+    return (rows.select("url", "page_id", "row_pos", is_event.alias("is_event"),
                         absolute_url(second, base_url).alias("link"), sex.alias("sex"))
             .filter(F.col("is_event") & F.col("link").isNotNull() & F.col("sex").isNotNull())
             .drop("is_event"))
 
 
 def links_per_competition(events: DataFrame) -> DataFrame:
-    """Last men's and last women's link per page; pages with neither are dropped."""
+    """Last men's and last women's link per competition url (pages in page order,
+    rows in page order); competitions with neither are dropped."""
+    order = F.struct("page_id", "row_pos")
     pick = lambda s: F.max_by(F.when(F.col("sex") == s, F.col("link")),
-                              F.when(F.col("sex") == s, F.col("row_pos")))
+                              F.when(F.col("sex") == s, order))
     out = events.groupBy("url").agg(pick("M").alias("mens_400_free_pdf"),
                                      pick("F").alias("womens_400_free_pdf"))
     return out.filter(F.col("mens_400_free_pdf").isNotNull() | F.col("womens_400_free_pdf").isNotNull())

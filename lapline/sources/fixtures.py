@@ -24,6 +24,9 @@ from lapline.sources.tables import read_table
 # Fixed values of the fixture layout (shared with the SQL oracle).
 BASE_URL = "https://results.example.org"
 EVENT_NO = "105"
+SHEET_ROWS = 200          # swimmers per generated sheet document
+PAGE_EVENTS = 500         # events per generated competition page
+LIST_ROWS = 1000          # rows per generated result-list page
 
 
 def race_link(orderkey: F.Column) -> F.Column:
@@ -115,9 +118,11 @@ def render_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.concat(F.lit(f"{d}m (1) "), _time_text(F.col(f"{c}_cs"))))
                    for c, d in zip(S.TIME_SPLITS, S.SPLIT_DISTANCES)]
     entry = F.concat(swimmer, F.lit("\n"), F.concat_ws(" ", *split_parts), F.lit("\n"))
-    rows = cs.select("Link", "sex", "rank", "heat", entry.alias("entry"))
-    # One document gathers the rows of one race (a sheet is the unit of input).
-    per_race = rows.groupBy("Link", "sex").agg(
+    sheet = idiv(F.col("rank") - 1, F.lit(SHEET_ROWS))
+    rows = cs.select("Link", "sex", sheet.alias("sheet"), "rank", "heat", entry.alias("entry"))
+    # A document gathers at most SHEET_ROWS swimmers: a longer race continues on
+    # further sheets (same Link), each repeating the header of the heat it is in.
+    per_race = rows.groupBy("Link", "sex", "sheet").agg(
         F.array_sort(F.collect_list(F.struct("rank", "heat", "entry"))).alias("rows"))
     body = F.transform(
         "rows",
@@ -156,7 +161,8 @@ def _competitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def portal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One competition page ``(page_id, url, html)`` per (customer, year)."""
+    """Competition pages ``(page_id, url, html)``: a (customer, year)'s events in date order,
+    ``PAGE_EVENTS`` per page (a larger competition continues on pages with the same url)."""
     ev = _competitions(spark, sf_dir)
     key = F.col("o_orderkey").cast("string")
     first = F.concat(F.lit('<p class="two"><a href="/File/S'), key, F.lit('.pdf" target="_blank">x</a></p>'))
@@ -164,23 +170,22 @@ def portal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = F.when(F.pmod("o_orderkey", F.lit(13)) == 0, first).otherwise(F.concat(first, second))
     row = F.concat(F.lit('<div class="row"><p class="round">'), F.col("event_text"),
                    F.lit('</p><div class="other">'), links, F.lit("</div></div>"))
-    rows = ev.select("comp_url", "o_custkey", "year", "o_orderdate", "o_orderkey", row.alias("row"))
-    page = rows.groupBy("comp_url", "o_custkey", "year").agg(
+    ranked = row_number_by_key(ev.select("comp_url", "o_custkey", "year", "o_orderdate", "o_orderkey",
+                                         row.alias("row")), "comp_url", ["o_orderdate", "o_orderkey"], out="ev_pos")
+    rows = ranked.withColumn("page_no", idiv(F.col("ev_pos") - 1, F.lit(PAGE_EVENTS)))
+    page = rows.groupBy("comp_url", "o_custkey", "year", "page_no").agg(
         F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey", "row"))).alias("rows"))
     html = F.concat(F.lit('<html><div class="page-wrapper"><div class="block-table">\n'),
                     F.array_join(F.transform("rows", lambda x: x["row"]), "\n"),
                     F.lit("\n</div></div></html>"))
-    return page.select((F.col("year").cast("bigint") * 1_000_000_000 + F.col("o_custkey")).alias("page_id"),
-                       F.col("comp_url").alias("url"), html.alias("html"))
-
-
-LIST_BUCKETS = 16
+    page_id = (F.col("year").cast("bigint") * 1_000_000_000 + F.col("o_custkey")) * 1000 + F.col("page_no")
+    return page.select(page_id.alias("page_id"), F.col("comp_url").alias("url"), html.alias("html"))
 
 
 def competition_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Year result-list pages ``(page_id, year, url, html)``, one row per order.
 
-    A year's list is cut into ``LIST_BUCKETS`` pages by customer.  Mixed in:
+    A year's list runs in date order over pages of ``LIST_ROWS`` rows.  Mixed in:
     other sports, links to the wrong year, repeated links (one row per order
     of a competition), relative and absolute links, 25M / Short Course names.
     """
@@ -192,14 +197,15 @@ def competition_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     href = F.when(F.pmod(key, F.lit(2)) == 0, F.concat(F.lit(BASE_URL), rel)).otherwise(rel)
     row = F.concat(F.lit('<div class="row"><h3 class="detail"><a href="'), href, F.lit('">'),
                    F.col("competition"), F.lit("</a></h3><p>"), sport, F.lit("</p></div>"))
-    bucket = F.pmod(F.col("o_custkey"), F.lit(LIST_BUCKETS))
-    rows = ev.select("year", bucket.alias("bucket"), "o_orderdate", "o_orderkey", row.alias("row"))
+    ranked = row_number_by_key(ev.select("year", "o_orderdate", "o_orderkey", row.alias("row")),
+                               "year", ["o_orderdate", "o_orderkey"], out="list_pos")
+    rows = ranked.withColumn("bucket", idiv(F.col("list_pos") - 1, F.lit(LIST_ROWS)))
     page = rows.groupBy("year", "bucket").agg(
         F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey", "row"))).alias("rows"))
     html = F.concat(F.lit('<html><div class="results-page"><div class="page-wrapper"><div class="block-table">\n'),
                     F.array_join(F.transform("rows", lambda x: x["row"]), "\n"),
                     F.lit("\n</div></div></div></html>"))
-    return page.select((F.col("year").cast("bigint") * 100 + F.col("bucket")).alias("page_id"),
+    return page.select((F.col("year").cast("bigint") * 1_000_000 + F.col("bucket")).alias("page_id"),
                        F.col("year").cast("int").alias("year"),
                        F.concat(F.lit(BASE_URL + "/results?year="), F.col("year").cast("string")).alias("url"),
                        html.alias("html"))
@@ -222,15 +228,16 @@ def render_sheet_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.concat(F.lit(f"{d}m (1) "), _time_text(F.col(f"{c}_cs"))))
                    for c, d in zip(S.TIME_SPLITS, S.SPLIT_DISTANCES)]
     entry = F.concat(swimmer, F.lit("\n"), F.concat_ws(" ", *split_parts))
-    per_heat = (cs.select("Link", "heat", "rank", entry.alias("entry"))
-                .groupBy("Link", "heat")
+    chunk = idiv(F.col("rank") - 1, F.lit(SHEET_ROWS))
+    per_heat = (cs.select("Link", "heat", chunk.alias("chunk"), "rank", entry.alias("entry"))
+                .groupBy("Link", "heat", "chunk")
                 .agg(F.array_sort(F.collect_list(F.struct("rank", "entry"))).alias("rows")))
     heat_pages = per_heat.select(
-        "Link", (F.ascii(F.substring("heat", 7, 1)) - 64).cast("int").alias("page"),
+        "Link", ((F.ascii(F.substring("heat", 7, 1)) - 64) * 1_000_000 + F.col("chunk")).cast("int").alias("page"),
         F.concat(F.col("heat"), F.lit(f" Event {EVENT_NO}\nRank Lane Name\n"),
                  F.array_join(F.transform("rows", lambda x: x["entry"]), "\n")).alias("text"))
     races = cs.select("Link", F.regexp_extract("Link", r"R([0-9]+)\.pdf$", 1).cast("bigint").alias("k")).distinct()
     title = races.select("Link", F.lit(0).alias("page"), F.lit("Results").alias("text"))
     blank = races.filter(F.pmod("k", F.lit(3)) == 0).select(
-        "Link", F.lit(9).alias("page"), F.lit(None).cast("string").alias("text"))
+        "Link", F.lit(2_000_000_000).alias("page"), F.lit(None).cast("string").alias("text"))
     return title.unionByName(heat_pages).unionByName(blank)
