@@ -131,15 +131,14 @@ def _mae(pred: DataFrame) -> float:
 # --------------------------------------------------------------------------- M08-M11
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a training frame at least one partition per core before it is cached.
+    """Spread a training frame evenly over the cluster's cores before it is cached.
 
-    Small inputs arrive as one partition (AQE coalesces them), which would
-    train every tree on one core; large inputs keep their partitioning.
+    Training passes over the cached rows many times (every tree level, every
+    boosting round), so one round-robin shuffle buys even tasks for all of
+    them.  (Asking the frame for its partition count instead would run its
+    upstream stages under AQE.)
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def _split(prepared: DataFrame):
