@@ -63,3 +63,15 @@ def test_forest_train_and_score(spark):
     assert {"predicted_time", "residual"} <= set(scored.columns) and "prediction" not in scored.columns
     r = scored.first()
     assert abs(r.residual - (r.predicted_time - r.final_time)) < 1e-9
+
+
+def test_two_feature_ols_matches_lstsq(spark):
+    import numpy as np
+    df = _frame(spark)
+    model = M.linear_regression(["split_250m", "reaction_time"]).fit(df)
+    lr = model.stages[-1]
+    rows = df.select("split_250m", "reaction_time", "final_time").collect()
+    X = np.array([[r[0], r[1], 1.0] for r in rows])
+    y = np.array([r[2] for r in rows])
+    coef, *_ = np.linalg.lstsq(X, y, rcond=None)
+    assert np.allclose(list(lr.coefficients) + [lr.intercept], coef, atol=1e-6)
