@@ -170,17 +170,20 @@ register("residual_histogram")(lambda spark, d: A.histogram(spark, _scored(spark
 
 
 def _resumed(spark, d):
-    """Two ingest runs: the first over the links whose md5 starts with 0-7, the second over all."""
-    links = K.link_lists(_links(spark, d))
-    docs = FX.render_sheets(spark, d).select("Link", "text")
+    """Two ingest runs: the first over the links whose md5 starts with 0-7, the second over all.
+
+    The link list and the documents are stored inputs in the reference (a CSV
+    and fetched files); here each is written once to the shared checkpoint
+    folder and both runs read it, as do the first run's results.
+    """
+    ensure_checkpoint_dir(spark)
+    links = K.link_lists(_links(spark, d)).checkpoint(eager=True)
+    docs = FX.render_sheets(spark, d).select("Link", "text").checkpoint(eager=True)
     first_half = links.filter(F.substring(F.md5("Link"), 1, 1) < "8")
     earlier, _ = K.ingest(first_half, docs, S.empty(spark, S.RAW_RESULTS))
-    # the first run's output is a stored table: written once to the shared checkpoint folder
-    ensure_checkpoint_dir(spark)
     return K.ingest(links, docs, earlier.checkpoint(eager=True))
 
 
-
 register("link_lists")(lambda spark, d: K.link_lists(_links(spark, d)))
 register("ingest_resumed")(lambda spark, d: _resumed(spark, d)[0])
 register("ingest_second_run_rows")(lambda spark, d: _resumed(spark, d)[1].groupBy("Link").count())
