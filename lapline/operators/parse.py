@@ -27,9 +27,13 @@ from lapline.functions.text import (
 )
 
 
+FIELD_SEP = "\u0002"
+
+
 def clean_text(c: Column) -> Column:
-    """P01 plus removal of the section marker character (it must not occur in the text)."""
-    return F.regexp_replace(soft_hyphen_to_dash(c), SECTION_MARK, "")
+    """P01, and removal of the two control characters the parser uses as markers
+    (U+0001 between sections, U+0002 between captured fields)."""
+    return F.translate(soft_hyphen_to_dash(c), SECTION_MARK + FIELD_SEP, "")
 
 
 def sections(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -84,9 +88,6 @@ def swimmer_lines(secs: DataFrame, keep: list[str] | None = None) -> DataFrame:
             .select(*keep, F.col("p.line").alias("line"), F.col("p.splits_line").alias("splits_line")))
 
 
-FIELD_SEP = "\u0002"
-
-
 def split_entries(splits_line: Column) -> Column:
     """The ``(d, t)`` pairs of a splits line, in line order."""
     return F.zip_with(F.regexp_extract_all(splits_line, F.lit(SPLIT_ENTRY), 1),

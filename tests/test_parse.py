@@ -79,3 +79,9 @@ def test_parse_plan_has_no_shuffle(spark):
         F.col("doc_id").cast("string").alias("Link"), "text")
     plan = P.parse_sheets(sheets)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_marker_characters_in_text(spark):
+    docs = spark.createDataFrame([("m", "1 4 SU\u0001N Ya\u0002ng CHN 0.73 3:40.29\n")], "Link string, text string")
+    r = P.parse_sheets(docs).first()
+    assert (r.last_name, r.first_name, r.final_time) == ("SUN", "Yang", "3:40.29")
