@@ -28,12 +28,14 @@ from lapline.functions.text import (
 
 
 FIELD_SEP = "\u0002"
+MATCH_MARK = "\u0003"
+MATCH_TEMPLATE = MATCH_MARK + FIELD_SEP.join(f"${i}" for i in range(1, 6))
 
 
 def clean_text(c: Column) -> Column:
-    """P01, and removal of the two control characters the parser uses as markers
-    (U+0001 between sections, U+0002 between captured fields)."""
-    return F.translate(soft_hyphen_to_dash(c), SECTION_MARK + FIELD_SEP, "")
+    """P01, and removal of the three control characters the parser uses as markers
+    (U+0001 between sections, U+0002 between captured fields, U+0003 before a match)."""
+    return F.translate(soft_hyphen_to_dash(c), SECTION_MARK + FIELD_SEP + MATCH_MARK, "")
 
 
 def sections(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -69,10 +71,16 @@ def swimmer_lines(secs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """P04 + P13: ``(…keep, heat, line, splits_line)`` for every swimmer line."""
     keep = keep if keep is not None else [c for c in secs.columns if c not in ("section_text",)]
     stripped = F.transform(splitlines(F.col("section_text")), lambda l: py_strip(l))
+    # one pass of the swimmer pattern both detects a swimmer line and captures its
+    # groups: a match is rewritten to MATCH_MARK + the groups, anything else is unchanged
     classified = F.filter(
         F.transform(stripped, lambda l: F.struct(
-            l.alias("line"), l.rlike(SWIMMER_LINE).alias("sw"), l.rlike(SPLIT_ENTRY).alias("sp"))),
-        lambda x: x["sw"] | x["sp"])
+            l.alias("line"), F.regexp_replace(l, SWIMMER_LINE, MATCH_TEMPLATE).alias("g"),
+            l.rlike(SPLIT_ENTRY).alias("sp"))),
+        lambda x: x["g"].startswith(MATCH_MARK) | x["sp"])
+    classified = F.transform(classified, lambda x: F.struct(
+        x["line"].alias("line"), x["g"].startswith(MATCH_MARK).alias("sw"), x["sp"].alias("sp"),
+        x["g"].alias("g")))
     step1 = secs.select(*keep, classified.alias("cls"))
     kinds = F.array_join(F.transform("cls", lambda x: F.when(x["sw"] & x["sp"], "B")
                                      .when(x["sw"], "S").otherwise("P")), "")
@@ -80,12 +88,13 @@ def swimmer_lines(secs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     step2 = step1.select(*keep, "cls",
                          F.array_join(F.transform(runs, _run_flags), "").alias("flags"))
     paired = F.transform("cls", lambda x, i: F.struct(
-        x["line"].alias("line"),
+        x["line"].alias("line"), x["g"].alias("g"),
         (F.substr(F.col("flags"), i + 1, F.lit(1)) == "1").alias("swimmer"),
         F.when(F.get(F.col("cls"), i + 1)["sp"], F.get(F.col("cls"), i + 1)["line"]).alias("splits_line")))
     chosen = F.filter(paired, lambda p: p["swimmer"])
     return (step2.select(*keep, F.explode(chosen).alias("p"))
-            .select(*keep, F.col("p.line").alias("line"), F.col("p.splits_line").alias("splits_line")))
+            .select(*keep, F.col("p.line").alias("line"), F.col("p.splits_line").alias("splits_line"),
+                    F.split(F.substr(F.col("p.g"), F.lit(2)), FIELD_SEP, -1).alias("groups")))
 
 
 def split_entries(splits_line: Column) -> Column:
@@ -122,10 +131,10 @@ def split_name(name: Column) -> tuple[Column, Column]:
 def swimmer_fields(lines: DataFrame, keep: list[str]) -> DataFrame:
     """Typed fields from a swimmer line and its splits line.
 
-    The swimmer pattern matches the whole line, so one ``regexp_replace``
-    returns all five groups; the split entries are found once per row.
+    The five groups were captured when the line was classified; the split
+    entries are found once per row.
     """
-    staged = lines.select(*keep, _groups(F.col("line"), SWIMMER_LINE, 5).alias("g"),
+    staged = lines.select(*keep, F.col("groups").alias("g"),
                           split_entries(F.col("splits_line")).alias("entries"))
     g = lambda i: F.get(F.col("g"), i - 1)
     name_clean = py_strip(F.regexp_replace(py_strip(g(3)), CODE_SUFFIX, ""))
