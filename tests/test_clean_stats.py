@@ -63,3 +63,10 @@ def test_prepare_for_sql_tags(spark):
     assert dict(typed.dtypes)["final_time"] == "double"
     assert typed.count() == raw.count()
     assert typed.filter(F.col("sex").isNull()).count() == 0
+
+
+def test_tag_and_union_with_labels(spark):
+    men = spark.createDataFrame([("a", "3:50.00")], "Link string, final_time string")
+    women = spark.createDataFrame([("b", "4:00.00", 0.7)], "Link string, final_time string, reaction_time double")
+    out = {r.Link: r for r in C.tag_and_union(men, women, labels=("Men", "Women")).collect()}
+    assert out["a"].sex == "Men" and out["b"].sex == "Women" and out["a"].reaction_time is None
