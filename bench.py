@@ -3,7 +3,8 @@
 Runs the registered headline queries over ``$BENCH_SF_DIR`` (default
 /root/testdata/sf0.1) on ``local[$BENCH_CPUS]`` and prints one JSON line.
 Each query is run to completion through the ``noop`` sink (every column of
-every row computed, nothing collected).
+every row computed, nothing collected).  Set ``BENCH_EVENT_LOG_DIR`` to a
+scratch folder to get Spark's event log (stage and task times).
 """
 
 from __future__ import annotations
@@ -40,7 +41,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from lapline.plans.registry import REGISTRY
     from lapline.session import local_session
-    spark = local_session(cpus=cpus, shuffle_partitions=cpus * 2, app="lapline-bench")
+    spark = local_session(cpus=cpus, shuffle_partitions=cpus * 2, app="lapline-bench",
+                          event_log_dir=os.environ.get("BENCH_EVENT_LOG_DIR"))
     # warm the JVM and the file listing once (not timed)
     spark.read.parquet(f"{sf_dir}/region.parquet").count()
     names = sys.argv[1:] or HEADLINE
