@@ -88,14 +88,12 @@ def impute_median(df: DataFrame, col: str = "reaction_time") -> DataFrame:
     """Fill missing values with the exact (interpolated) median of the column.
 
     The median is one aggregate over the frame (``percentile`` keeps a
-    value-to-count map, small for times in hundredths); its one-row result is
-    broadcast, which is bounded by construction.
+    value-to-count map, small for times in hundredths), used as a scalar
+    subquery: one value, no join.
     """
     value = to_double(F.col(col))
-    med = df.agg(F.percentile(value, F.lit(0.5)).alias("_median"))
-    return (df.crossJoin(F.broadcast(med))
-            .withColumn(col, F.coalesce(value, F.col("_median")))
-            .drop("_median"))
+    median = df.agg(F.percentile(value, F.lit(0.5))).scalar()
+    return df.withColumn(col, F.coalesce(value, median))
 
 
 def prepare_data(men: DataFrame, women: DataFrame, materialize: bool = True) -> DataFrame:

@@ -34,17 +34,18 @@ def histogram(spark: SparkSession, df: DataFrame, col: str, bins: int = 40) -> D
     min = max the range is widened by 0.5 on each side (numpy's rule).
     """
     v = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    rng = v.agg(F.min("v").alias("lo0"), F.max("v").alias("hi0")).select(
-        F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
-        F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"))
-    idx = F.least(F.floor((F.col("v") - F.col("lo")) * (F.lit(float(bins)) / (F.col("hi") - F.col("lo")))),
-                  F.lit(bins - 1)) + 1
-    counts = (v.crossJoin(F.broadcast(rng)).select(idx.cast("int").alias("bin"))
-              .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
-    width = (F.col("hi") - F.col("lo")) / bins
-    grid = (spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin")).crossJoin(F.broadcast(rng))
-            .select("bin", (F.col("lo") + (F.col("bin") - 1) * width).alias("lo_edge"),
-                    (F.col("lo") + F.col("bin") * width).alias("hi_edge")))
+    # min and max in one pass, used as a scalar subquery (one row, no join)
+    rng = v.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
+    same = rng["lo"] == rng["hi"]
+    lo = F.when(same, rng["lo"] - 0.5).otherwise(rng["lo"])
+    hi = F.when(same, rng["hi"] + 0.5).otherwise(rng["hi"])
+    idx = F.least(F.floor((F.col("v") - lo) * (F.lit(float(bins)) / (hi - lo))), F.lit(bins - 1)) + 1
+    counts = v.select(idx.cast("int").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    width = (hi - lo) / bins
+    grid = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    grid = grid.select("bin", (lo + (F.col("bin") - 1) * width).alias("lo_edge"),
+                       (lo + F.col("bin") * width).alias("hi_edge"))
+    # the counts hold at most `bins` rows
     return (grid.join(F.broadcast(counts), "bin", "left")
             .select("bin", "lo_edge", "hi_edge", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
 
