@@ -15,11 +15,20 @@ from pyspark.sql import functions as F
 from lapline.functions.text import last_path_element, py_squash
 
 # The page structure and the event test of the reference.
-ROW_TAG = '<div class="row">'
-ROUND_TEXT = r'<p class="round">(.*?)</p>'
-TWO_LINK = r'<p class="two">\s*<a [^>]*?href="([^"]*)"'
-DETAIL_LINK = r'<h3 class="detail">\s*<a [^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
-ANCHOR_HREF = r'<a\s[^>]*?href="([^"]*)"'
+ROW_CLASS, ROUND_CLASS, TWO_CLASS, DETAIL_CLASS = "row", "round", "two", "detail"
+
+
+def _open_tag(tag: str, css_class: str) -> str:
+    """An opening tag whose class list contains ``css_class`` (any other attributes, either quote)."""
+    return (rf"<{tag}\b[^>]*?\bclass\s*=\s*[\"'](?:[^\"']*\s)?{css_class}(?:\s[^\"']*)?[\"'][^>]*>")
+
+
+ROW_TAG = _open_tag("div", ROW_CLASS)
+ROUND_TEXT = "(?s)" + _open_tag("p", ROUND_CLASS) + r"(.*?)</p>"
+TWO_LINK = _open_tag("p", TWO_CLASS) + r"""\s*<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
+DETAIL_LINK = ("(?s)" + _open_tag("h3", DETAIL_CLASS)
+               + r"""\s*<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>""")
+ANCHOR_HREF = r"""<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
 SPORT_WORD = "SWIMMING"
 EVENT_WORDS = ("FREESTYLE", "400")
 EVENT_EXCLUDE = "25"

@@ -7,6 +7,7 @@ SQL over the driver's views; each query's oracle builds on these CTEs.
 from __future__ import annotations
 
 from lapline.functions.text import EOL_PY, NOISE_PATTERNS_PY, PY_SPACE_CLASS
+from lapline.operators.weblinks import ANCHOR_HREF
 
 BASE_URL = "https://results.example.org"
 
@@ -204,7 +205,7 @@ linktab AS (SELECT year, competition, mens_400_free_pdf, womens_400_free_pdf
 
 QUERY_SQL.update({
     "page_anchor_links": r"""
-WITH pa AS (SELECT page_id, url, regexp_extract_all(html, '<a\s[^>]*?href="([^"]*)"', 1) AS arr FROM pages),
+WITH pa AS (SELECT page_id, url, regexp_extract_all(html, '""" + ANCHOR_HREF.replace("'", "''") + r"""', 1) AS arr FROM pages),
 pr AS (SELECT page_id, url, unnest(range(0, len(arr))) AS pos, unnest(arr) AS href FROM pa),
 pb AS (SELECT page_id, CAST(pos AS INTEGER) AS pos, href,
          CASE WHEN starts_with(href, '/')

@@ -59,3 +59,13 @@ def test_visible_text_decodes_references(spark):
     from pyspark.sql import functions as F
     df = spark.createDataFrame([("<b>O&#39;Neil</b> &amp; Co&nbsp;<i>Cup</i>",)], "h string")
     assert df.select(L.visible_text(F.col("h"))).first()[0] == "O'Neil & Co Cup"
+
+
+def test_class_lists_quotes_and_line_breaks(spark):
+    html = ("<div class='block-table'><div id=r1 class=\"row odd\">"
+            "<p class='round big'>Women's Freestyle\n400m   Final</p>"
+            "<p class=\"two\"><a target=_blank href='/File/S9.pdf'>x</a></p>"
+            "<p class=\"two last\"><a href=\"/File/R9.pdf\">x</a></p></div></div>")
+    pages = spark.createDataFrame([(1, f"{BASE}/2020/c", html)], "page_id long, url string, html string")
+    out = L.links_per_competition(L.event_links(pages, BASE)).collect()
+    assert [(r.mens_400_free_pdf, r.womens_400_free_pdf) for r in out] == [(None, f"{BASE}/File/R9.pdf")]
