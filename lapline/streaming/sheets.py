@@ -2,9 +2,12 @@
 
 A file source reads each new sheet file once (whole text, the file path as
 ``Link``), at most ``max_files`` files per micro-batch; every batch is parsed
-and appended to a parquet table by ``foreachBatch``.  The checkpoint folder
-records which files are done, so a restarted query continues where it
-stopped and a rerun over the same files starts no batch.  Unlike the batch
+and written by ``foreachBatch``.  The checkpoint folder records which files
+are done, so a restarted query continues where it stopped and a rerun over
+the same files starts no batch.  ``foreachBatch`` runs a batch again after a
+failure, so each batch overwrites its own folder ``batch_id=<n>`` under the
+output: a retried batch replaces its earlier attempt instead of adding rows
+twice (the table reads back with a ``batch_id`` column).  Unlike the batch
 form, a sheet that gave no row is not tried again.
 
 The pairing of swimmers with splits is computed inside each document row, so
@@ -28,8 +31,9 @@ def sheet_stream(spark: SparkSession, folder: str, max_files: int = 10) -> DataF
 def start_ingest(spark: SparkSession, folder: str, output: str, checkpoint: str,
                  max_files: int = 10, available_now: bool = True):
     """Start the query; with ``available_now`` it processes what is there and stops."""
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
-        parse_sheets(batch).write.mode("append").parquet(output)
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        target = f"{output.rstrip('/')}/batch_id={batch_id}"
+        parse_sheets(batch).write.mode("overwrite").parquet(target)
 
     writer = (sheet_stream(spark, folder, max_files).writeStream
               .foreachBatch(write_batch).option("checkpointLocation", checkpoint))

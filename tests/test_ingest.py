@@ -53,7 +53,8 @@ def test_streaming_equals_batch(spark):
     out, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
     q = start_ingest(spark, folder, out, ckpt, max_files=10)
     q.awaitTermination(300)
-    streamed = spark.read.parquet(out).drop("Link")
+    streamed = spark.read.parquet(out).drop("Link", "batch_id")
+    assert spark.read.parquet(out).select("batch_id").distinct().count() == 3   # 30 files, 10 per batch
     batch = parse_sheets(spark.createDataFrame([(r.Link, r.text) for r in docs], "Link string, text string")).drop("Link")
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0
