@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapline.functions.text import last_path_element, py_squash
+from lapline.functions.text import last_path_element, py_squash, upper_contains
 
 # The page structure and the event test of the reference.
 ROW_CLASS, ROUND_CLASS, TWO_CLASS, DETAIL_CLASS = "row", "round", "two", "detail"
@@ -90,7 +90,7 @@ def competition_rows(list_pages: DataFrame, base_url: str = DEFAULT_BASE_URL) ->
     rows = page_rows(list_pages, keep=["page_id", "year"])
     href = F.regexp_extract("row_html", DETAIL_LINK, 1)
     name = visible_text(F.regexp_extract("row_html", DETAIL_LINK, 2))
-    swimming = F.upper(visible_text(F.col("row_html"))).contains(SPORT_WORD)
+    swimming = upper_contains(visible_text(F.col("row_html")), SPORT_WORD)
     out = rows.select("year", "page_id", "row_pos", name.alias("competition"),
                       absolute_url(href, base_url).alias("href"), swimming.alias("swimming"),
                       (href != "").alias("has_link"))
@@ -125,11 +125,12 @@ def year_range(rows: DataFrame, start: int, end: int) -> DataFrame:
 def event_links(portal_pages: DataFrame, base_url: str = DEFAULT_BASE_URL) -> DataFrame:
     """400 m freestyle events of each page with their result link and sex."""
     rows = page_rows(portal_pages, keep=["url", "page_id"])
-    text = F.upper(visible_text(F.regexp_extract("row_html", ROUND_TEXT, 1)))
+    text = visible_text(F.regexp_extract("row_html", ROUND_TEXT, 1))
     links = F.regexp_extract_all(F.col("row_html"), F.lit(TWO_LINK), 1)
-    is_event = text.contains(EVENT_WORDS[0]) & text.contains(EVENT_WORDS[1]) & ~text.contains(EVENT_EXCLUDE)
+    is_event = (upper_contains(text, EVENT_WORDS[0]) & upper_contains(text, EVENT_WORDS[1])
+                & ~upper_contains(text, EVENT_EXCLUDE))
     second = F.when(F.size(links) >= 2, F.get(links, 1))
-    sex = F.when(text.contains("WOMEN"), "F").when(text.contains("MEN"), "M")
+    sex = F.when(upper_contains(text, "WOMEN"), "F").when(upper_contains(text, "MEN"), "M")
     return (rows.select("url", "page_id", "row_pos", is_event.alias("is_event"),
                         absolute_url(second, base_url).alias("link"), sex.alias("sex"))
             .filter(F.col("is_event") & F.col("link").isNotNull() & F.col("sex").isNotNull())

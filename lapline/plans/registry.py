@@ -96,7 +96,7 @@ register("document_line_search")(
 
 YEARS = (1990, 2002)
 
-register("page_anchor_links")(lambda spark, d: L.anchor_links(read_table(spark, d, "pages")))
+register("page_anchor_links")(lambda spark, d: L.anchor_links(T.read_html_pages(spark, d)))
 register("portal_links")(
     lambda spark, d: L.links_per_competition(L.event_links(FX.portal_pages(spark, d))))
 register("competition_list")(

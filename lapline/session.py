@@ -65,12 +65,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for intermediate tables under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/lapline/{name}"
-
-
 def cluster_conf(executors: int, cores_per_executor: int, input_tb: float = 100.0) -> dict:
     """Settings this engine is designed around, for a cluster run (pass to ``spark-submit --conf``).
 

@@ -112,7 +112,7 @@ def count_rows(df: DataFrame) -> int:
     return df.count()
 
 
-def read_documents(spark: SparkSession, path: str, link_from: str = "path") -> DataFrame:
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """One row per document file ``(Link, text)`` read as whole text."""
     df = spark.read.text(path, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("Link"), F.col("value").alias("text"))

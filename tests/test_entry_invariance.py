@@ -28,3 +28,9 @@ def test_named_sql_surface(spark):
     assert len(res) == 7 and res["Rows missing late splits"].count() == 1
     fast = [tuple(r) for r in res["Top 10 fastest men's swims"].collect()]
     assert [r[2] for r in fast] == sorted(r[2] for r in fast)
+
+
+def test_all_queries_dict(spark):
+    typed = FX.canonical_results(spark, SF_SMALL)
+    qs = Q.all_queries(typed)
+    assert len(qs) == 10 and qs["missing_late_splits"].count() == 1

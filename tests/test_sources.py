@@ -64,3 +64,13 @@ def test_table_sink_schema_and_count(spark):
     sch = {r.name: r.type for r in T.table_schema(spark, df).collect()}
     assert sch == {"sex": "STRING", "final_time": "DOUBLE"}
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_results_csv_round_trip(spark):
+    path = _tmp("results_csv")
+    rows = spark.createDataFrame([("l1", "Final", 1, 4, "SUN", "", None) + (None,) * 7 + ("3:40.29",)],
+                                 S.RAW_RESULTS)
+    T.write_results(rows, path, fmt="csv")
+    back = T.read_results_csv(spark, path)
+    r = back.first()
+    assert back.count() == 1 and r.rank == 1 and r.final_time == "3:40.29" and r.split_50m is None
