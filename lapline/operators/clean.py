@@ -91,7 +91,11 @@ def impute_median(df: DataFrame, col: str = "reaction_time") -> DataFrame:
     value-to-count map, small for times in hundredths), used as a scalar
     subquery: one value, no join.
     """
-    value = to_double(F.col(col))
+    if dict(df.dtypes).get(col) == "string":
+        value = to_double(F.col(col))                  # text: coerce, bad -> missing
+    else:
+        value = F.col(col).cast("double")
+        value = F.when(~F.isnan(value), value)          # NaN counts as missing
     median = df.agg(F.percentile(value, F.lit(0.5))).scalar()
     return df.withColumn(col, F.coalesce(value, median))
 

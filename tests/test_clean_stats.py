@@ -70,3 +70,8 @@ def test_tag_and_union_with_labels(spark):
     women = spark.createDataFrame([("b", "4:00.00", 0.7)], "Link string, final_time string, reaction_time double")
     out = {r.Link: r for r in C.tag_and_union(men, women, labels=("Men", "Women")).collect()}
     assert out["a"].sex == "Men" and out["b"].sex == "Women" and out["a"].reaction_time is None
+
+
+def test_median_imputation_text_column(spark):
+    df = spark.createDataFrame([("0.70",), ("bad",), (None,), ("0.80",)], "reaction_time string")
+    assert sorted(r[0] for r in C.impute_median(df).collect()) == [0.70, 0.75, 0.75, 0.80]
