@@ -1,13 +1,18 @@
 """Row numbers per key that stay distributed when one key is huge.
 
 ``row_number() OVER (PARTITION BY key ORDER BY …)`` sends every row of a key to
-one task.  Here keys are first counted (a partial aggregate).  Keys with at
-most ``hot_rows`` rows take the plain window.  Rows of hot keys are range
-partitioned on (key, order, row hash), so a hot key is cut across many
-tasks in order; each task numbers its rows locally, and a per-(key,
-partition) count table — at most (hot keys + partitions) rows — gives each
-slice its offset.  The hot-key list holds at most ``total_rows / hot_rows``
-keys, which bounds what is broadcast.
+one task.  Here the keys with more than ``hot_rows`` rows are found first (a
+partial aggregate; there are at most ``total_rows / hot_rows`` of them), and
+the plan is chosen from what was found:
+
+* no hot key: the plain window (one shuffle), the usual case;
+* hot keys: ordinary keys take the plain window; rows of hot keys are range
+  partitioned on (key, order, row hash), so a hot key is cut across many
+  tasks in order, each task numbers its rows locally, and a per-(key,
+  partition) count table — at most (hot keys + partitions) rows — gives each
+  slice its offset.  Up to ``max_listed`` hot keys are applied as a literal
+  list; beyond that the hot-key table is broadcast (its size is bounded as
+  above).
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+MAX_LISTED = 10_000
 
 
 def _sort_cols(order: list) -> list[Column]:
@@ -23,26 +29,41 @@ def _sort_cols(order: list) -> list[Column]:
 
 
 def row_number_by_key(df: DataFrame, key: str, order: list, out: str = "pos",
-                      hot_rows: int = HOT_ROWS, hot_partitions: int | None = None) -> DataFrame:
+                      hot_rows: int = HOT_ROWS, hot_partitions: int | None = None,
+                      max_listed: int = MAX_LISTED) -> DataFrame:
     """``df`` plus ``out`` = 1-based rank of each row within its key by ``order``."""
     sort = _sort_cols(order)
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > hot_rows).select(key)
-    cold = df.join(F.broadcast(hot), key, "left_anti")
-    ranked_cold = cold.withColumn(out, F.row_number().over(Window.partitionBy(key).orderBy(*sort)))
+    window = Window.partitionBy(key).orderBy(*sort)
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(key)
+    found = [r[0] for r in hot.limit(max_listed + 1).collect()]
+    if not found:
+        return df.withColumn(out, F.row_number().over(window))
+
+    if len(found) <= max_listed:
+        listed = [k for k in found if k is not None]
+        is_hot = F.col(key).isin(listed) if listed else F.lit(False)
+        if len(listed) < len(found):                      # the NULL key is hot too
+            is_hot = is_hot | F.col(key).isNull()
+        is_hot = F.coalesce(is_hot, F.lit(False))
+        cold, hot_df = df.filter(~is_hot), df.filter(is_hot)
+    else:
+        cold = df.join(F.broadcast(hot), key, "left_anti")
+        hot_df = df.join(F.broadcast(hot), key, "left_semi")
 
     spark = df.sparkSession
     parts = hot_partitions or max(2, spark.sparkContext.defaultParallelism)
     cols = df.columns
-    hot_df = (df.join(F.broadcast(hot), key, "left_semi")
-              .withColumn("_tie", F.xxhash64(*[F.col(c) for c in cols])))
-    sliced = (hot_df.repartitionByRange(parts, F.col(key), *sort, F.col("_tie"))
+    sliced = (hot_df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in cols]))
+              .repartitionByRange(parts, F.col(key), *sort, F.col("_tie"))
               .sortWithinPartitions(F.col(key), *sort, F.col("_tie"))
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     stats = sliced.groupBy(key, "_pid").agg(F.count(F.lit(1)).alias("_c"), F.min("_mid").alias("_m0"))
-    stats = stats.withColumn("_off", F.sum("_c").over(Window.partitionBy(key).orderBy("_pid")) - F.col("_c"))
-    ranked_hot = (sliced.join(F.broadcast(stats), [key, "_pid"])
+    stats = (stats.withColumn("_off", F.sum("_c").over(Window.partitionBy(key).orderBy("_pid")) - F.col("_c"))
+             .withColumnRenamed(key, "_k"))
+    # null-safe on the key: a NULL key can be hot too
+    on = sliced[key].eqNullSafe(stats["_k"]) & (sliced["_pid"] == stats["_pid"])
+    ranked_hot = (sliced.join(F.broadcast(stats), on, "inner")
                   .withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_m0") + 1).cast("int"))
-                  .select(*cols, out))
-    return ranked_cold.unionByName(ranked_hot)
+                  .select(*[sliced[c] for c in cols], out))
+    return cold.withColumn(out, F.row_number().over(window)).unionByName(ranked_hot)

@@ -34,15 +34,21 @@ def histogram(spark: SparkSession, df: DataFrame, col: str, bins: int = 40) -> D
     min = max the range is widened by 0.5 on each side (numpy's rule).
     """
     v = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    # min and max in one pass, used as a scalar subquery (one row, no join)
+    # min and max in one pass, a scalar subquery (one row, no join) read once per branch
     rng = v.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
-    same = rng["lo"] == rng["hi"]
-    lo = F.when(same, rng["lo"] - 0.5).otherwise(rng["lo"])
-    hi = F.when(same, rng["hi"] + 0.5).otherwise(rng["hi"])
+
+    def with_range(frame: DataFrame) -> DataFrame:
+        r = frame.withColumn("_r", rng)
+        same = F.col("_r.lo") == F.col("_r.hi")
+        return (r.withColumn("_lo", F.when(same, F.col("_r.lo") - 0.5).otherwise(F.col("_r.lo")))
+                .withColumn("_hi", F.when(same, F.col("_r.hi") + 0.5).otherwise(F.col("_r.hi"))))
+
+    lo, hi = F.col("_lo"), F.col("_hi")
     idx = F.least(F.floor((F.col("v") - lo) * (F.lit(float(bins)) / (hi - lo))), F.lit(bins - 1)) + 1
-    counts = v.select(idx.cast("int").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = (with_range(v).select(idx.cast("int").alias("bin"))
+              .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
     width = (hi - lo) / bins
-    grid = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    grid = with_range(spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin")))
     grid = grid.select("bin", (lo + (F.col("bin") - 1) * width).alias("lo_edge"),
                        (lo + F.col("bin") * width).alias("hi_edge"))
     # the counts hold at most `bins` rows

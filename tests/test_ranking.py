@@ -1,15 +1,24 @@
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lapline.operators.ranking import row_number_by_key
 
 
-def test_hot_and_cold_keys_match_plain_window(spark):
+@pytest.mark.parametrize("max_listed", [10, 0])
+def test_hot_and_cold_keys_match_plain_window(spark, max_listed):
     rows = [(1, i % 97, i) for i in range(3000)] + [(k, i, i) for k in range(2, 40) for i in range(5)]
     rows += [(1, 5, 10_000)] * 3                       # exact ties inside the hot key
+    rows += [(None, i, i) for i in range(150)]         # a hot NULL key
     df = spark.createDataFrame(rows, "k long, a long, b long")
-    got = row_number_by_key(df, "k", ["a", "b"], hot_rows=100, hot_partitions=7)
+    got = row_number_by_key(df, "k", ["a", "b"], hot_rows=100, hot_partitions=7, max_listed=max_listed)
     want = df.withColumn("pos", F.row_number().over(Window.partitionBy("k").orderBy("a", "b")))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     hot_ranks = sorted(r.pos for r in got.filter("k = 1").collect())
     assert hot_ranks == list(range(1, 3004))
+
+
+def test_no_hot_key_is_one_plain_window(spark):
+    df = spark.createDataFrame([(k, i) for k in range(50) for i in range(4)], "k long, a long")
+    plan = row_number_by_key(df, "k", ["a"], hot_rows=100)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Union" not in plan
