@@ -75,3 +75,15 @@ def test_two_feature_ols_matches_lstsq(spark):
     y = np.array([r[2] for r in rows])
     coef, *_ = np.linalg.lstsq(X, y, rcond=None)
     assert np.allclose(list(lr.coefficients) + [lr.intercept], coef, atol=1e-6)
+
+
+def test_cross_validation_means_fold_errors(spark):
+    df = _frame(spark, 120)
+    trees, rounds = M.RF_TREES, M.GBT_ROUNDS
+    try:
+        M.RF_TREES, M.GBT_ROUNDS = 3, 3
+        out = {r.model_name: r.mae for r in M.compare_models_cv(spark, df, k=3).collect()}
+    finally:
+        M.RF_TREES, M.GBT_ROUNDS = trees, rounds
+    assert set(out) == {"Linear Regression", "Polynomial Regression", "Random Forest", "Gradient Boosting"}
+    assert all(v >= 0 for v in out.values()) and out["Linear Regression"] < 1.0
