@@ -287,3 +287,18 @@ def prediction_example(spark: SparkSession, model: PipelineModel, predict_fn=Non
     df = spark.createDataFrame([tuple(float(row[c]) for c in cols)], ", ".join(f"{c} double" for c in cols))
     out = (predict_fn or predict)(model, df)
     return out.select("predicted_time", format_seconds(F.col("predicted_time")).alias("formatted"))
+
+
+def ols_pair(spark: SparkSession, prepared: DataFrame, f1: str = "split_250m",
+             f2: str = "reaction_time") -> DataFrame:
+    """Two-feature least squares fitted with pyspark.ml, with in-sample metrics (4 digits)."""
+    model = linear_regression([f1, f2]).fit(prepared)
+    lr = model.stages[-1]
+    e = F.col("prediction") - F.col(LABEL)
+    return model.transform(prepared).agg(
+        F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
+        (1 - F.sum(e * e) / (F.var_pop(LABEL) * F.count(F.lit(1)))).alias("r2")).select(
+        F.round(F.lit(float(lr.coefficients[0])), 4).alias(f"b_{f1}"),
+        F.round(F.lit(float(lr.coefficients[1])), 4).alias(f"b_{f2}"),
+        F.round(F.lit(float(lr.intercept)), 4).alias("intercept"),
+        F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"), F.round("r2", 4).alias("r2"))

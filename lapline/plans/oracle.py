@@ -321,3 +321,17 @@ GROUP BY Link""",
 QUERY_SQL["slowest_women_text"] = with_raw(
     "SELECT first_name, last_name, final_time, Link FROM raw WHERE sex = 'F' "
     "ORDER BY final_time DESC NULLS LAST, first_name, last_name, Link LIMIT 10")
+
+# two-feature least squares from covariances (a 2x2 solve)
+QUERY_SQL["ols_split250_reaction"] = "WITH " + _PREPARED + """,
+m AS (SELECT var_pop(split_250m) AS s11, var_pop(reaction_time) AS s22,
+             covar_pop(split_250m, reaction_time) AS s12,
+             covar_pop(split_250m, final_time) AS c1, covar_pop(reaction_time, final_time) AS c2,
+             avg(split_250m) AS m1, avg(reaction_time) AS m2, avg(final_time) AS my FROM prepared),
+fit AS (SELECT (s22 * c1 - s12 * c2) / (s11 * s22 - s12 * s12) AS b1,
+               (s11 * c2 - s12 * c1) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my FROM m),
+coef AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS a FROM fit),
+e AS (SELECT (a + b1 * split_250m + b2 * reaction_time) - final_time AS e, final_time FROM prepared, coef)
+SELECT round((SELECT b1 FROM coef), 4) AS b_split_250m, round((SELECT b2 FROM coef), 4) AS b_reaction_time,
+       round((SELECT a FROM coef), 4) AS intercept, round(avg(abs(e)), 4) AS mae, round(sqrt(avg(e * e)), 4) AS rmse,
+       round(1 - sum(e * e) / (var_pop(final_time) * count(*)), 4) AS r2 FROM e"""

@@ -211,3 +211,5 @@ register("formatted_final_times")(lambda spark, d: _typed(spark, d).filter(F.col
                                           format_seconds(F.col("final_time")).alias("formatted")))
 register("slowest_women_text")(
     lambda spark, d: Q.slowest(FX.raw_results(spark, d), "F"))
+register("ols_split250_reaction")(
+    lambda spark, d: M.ols_pair(spark, _prepared(spark, d), "split_250m", "reaction_time"))

@@ -5,7 +5,8 @@ from tests.conftest import SF_SMALL
 
 # queries whose callables fit models while the plan is built
 TRAINED = {"model_comparison", "model_comparison_cv", "progressive_accuracy", "feature_importances",
-           "scored_results", "biggest_surprises", "residual_histogram", "ols_split250", "predict_from_text"}
+           "scored_results", "biggest_surprises", "residual_histogram", "ols_split250", "predict_from_text",
+           "ols_split250_reaction"}
 
 
 def _plan(df):

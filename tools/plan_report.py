@@ -13,7 +13,8 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 TRAINED = {"model_comparison", "model_comparison_cv", "progressive_accuracy", "feature_importances",
-           "scored_results", "biggest_surprises", "residual_histogram", "ols_split250", "predict_from_text"}
+           "scored_results", "biggest_surprises", "residual_histogram", "ols_split250", "predict_from_text",
+           "ols_split250_reaction"}
 
 
 def summarise(plan: str) -> dict:
