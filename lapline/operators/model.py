@@ -11,8 +11,9 @@ Settings and their relation to the reference's library defaults:
   bounded (``RF_MAX_DEPTH``) because Spark grows trees level by level across
   the cluster; the reference grows them to purity.
 * Gradient boosting: 100 rounds, step 0.1, depth 3, seed 42.
-* Hold-out and folds come from a hash of each row's own values, so they do
-  not depend on row order or partitioning (the reference used row order).
+* Hold-out and folds come from an md5 hash of each row's identifying values,
+  so they do not depend on row order or partitioning (the reference used
+  row order) and can be reproduced by any SQL engine.
 """
 
 from __future__ import annotations
@@ -42,15 +43,19 @@ BASE_COLS = S.FEATURE_SPLITS + ["reaction_time"]
 # and give the per-level statistics a moderate memory budget.
 TREE_RUNTIME = dict(cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=512)
 PROGRESSIVE_SPLITS = [S.FEATURE_SPLITS[:i] for i in range(1, 6)]
-ROW_KEY = ["Link", "heat", "rank", "lane", "last_name", "first_name", "reaction_time",
-           *S.TIME_SPLITS, "final_time"]
+# Rows are identified by their text and integer columns (printed the same by every engine).
+ROW_KEY = ["Link", "heat", "rank", "lane", "last_name", "first_name"]
+KEY_SEP = "\u001f"
 
 
 # --------------------------------------------------------------------------- M01, M07: stable row assignment
 
 def _row_hash(df: DataFrame, cols, seed: int) -> F.Column:
+    """A 60-bit hash of the row's identifying columns, reproducible in any SQL engine:
+    md5 of the seed and the columns' text joined by U+001F (NULLs skipped), first 15 hex digits."""
     cols = [c for c in (cols or ROW_KEY) if c in df.columns]
-    return F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
+    text = F.concat_ws(KEY_SEP, F.lit(str(seed)), *[F.col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
 def holdout(df: DataFrame, test_fraction: float = TEST_FRACTION, seed: int = SEED, cols=None) -> DataFrame:

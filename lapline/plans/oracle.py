@@ -335,3 +335,17 @@ e AS (SELECT (a + b1 * split_250m + b2 * reaction_time) - final_time AS e, final
 SELECT round((SELECT b1 FROM coef), 4) AS b_split_250m, round((SELECT b2 FROM coef), 4) AS b_reaction_time,
        round((SELECT a FROM coef), 4) AS intercept, round(avg(abs(e)), 4) AS mae, round(sqrt(avg(e * e)), 4) AS rmse,
        round(1 - sum(e * e) / (var_pop(final_time) * count(*)), 4) AS r2 FROM e"""
+
+# hold-out and folds: md5 of the seed and the row's identifying columns (see operators.model)
+_ROW_TEXT = ('concat_ws(chr(31), \'{seed}\', Link, heat, CAST("rank" AS VARCHAR), CAST(lane AS VARCHAR), '
+             'last_name, first_name)')
+
+
+def _row_hash_sql(seed: int) -> str:
+    return f"CAST(('0x' || substr(md5({_ROW_TEXT.format(seed=seed)}), 1, 15)) AS BIGINT)"
+
+
+QUERY_SQL["holdout_sizes"] = "WITH " + _PREPARED + f"""
+SELECT ({_row_hash_sql(42)} % 10000) < 2000 AS is_test, count(*) AS count FROM prepared GROUP BY 1"""
+QUERY_SQL["fold_sizes"] = "WITH " + _PREPARED + f"""
+SELECT CAST({_row_hash_sql(43)} % 5 AS INTEGER) AS fold, count(*) AS count FROM prepared GROUP BY 1"""
