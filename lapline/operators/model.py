@@ -53,7 +53,7 @@ KEY_SEP = "\u001f"
 def _row_hash(df: DataFrame, cols, seed: int) -> F.Column:
     """A 60-bit hash of the row's identifying columns, reproducible in any SQL engine:
     md5 of the seed and the columns' text joined by U+001F (NULLs skipped), first 15 hex digits."""
-    cols = [c for c in (cols or ROW_KEY) if c in df.columns]
+    cols = [c for c in (cols or ROW_KEY) if c in df.columns] or df.columns   # no key columns: all of them
     text = F.concat_ws(KEY_SEP, F.lit(str(seed)), *[F.col(c).cast("string") for c in cols])
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 

@@ -87,3 +87,9 @@ def test_cross_validation_means_fold_errors(spark):
         M.RF_TREES, M.GBT_ROUNDS = trees, rounds
     assert set(out) == {"Linear Regression", "Polynomial Regression", "Random Forest", "Gradient Boosting"}
     assert all(v >= 0 for v in out.values()) and out["Linear Regression"] < 1.0
+
+
+def test_holdout_without_key_columns_uses_all_columns(spark):
+    df = spark.createDataFrame([(float(i), float(i % 7)) for i in range(400)], "x double, y double")
+    share = M.holdout(df).filter("is_test").count() / 400
+    assert 0.1 < share < 0.3
