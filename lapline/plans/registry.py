@@ -76,7 +76,7 @@ def _sheets(spark, d):
 
 
 def _docs(spark, d):
-    return read_table(spark, d, "documents").select("doc_id", "text")
+    return T.spread_input(read_table(spark, d, "documents").select("doc_id", "text"))
 
 
 register("parse_sheets")(lambda spark, d: P.parse_sheets(_sheets(spark, d)))

@@ -20,6 +20,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread_input(df: DataFrame) -> DataFrame:
+    """Spread an input that arrives as fewer splits than cores (a small file with one
+    row group) before CPU-heavy text work; larger inputs keep their scan splits.
+    Call it on a plain scan: counting its partitions only lists file splits."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_links_csv(spark: SparkSession, path: str) -> DataFrame:
     """The link table; an empty field reads as NULL, CRLF line ends are fine."""
     return (spark.read.schema(S.LINKS).option("header", True)
