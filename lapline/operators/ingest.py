@@ -21,7 +21,12 @@ from lapline.sources.tables import path_exists, read_earlier_output, write_resul
 
 
 def link_lists(links: DataFrame) -> DataFrame:
-    """The men's and women's links as one list ``(sex, Link)``; duplicates kept."""
+    """The men's and women's links as one list ``(sex, Link)``; duplicates kept.
+
+    Anything but a DataFrame raises (the reference returned ``(None, None)``).
+    """
+    if not isinstance(links, DataFrame):
+        raise TypeError(f"expected a DataFrame of links, got {type(links).__name__}")
     require = {"mens_400_free_pdf", "womens_400_free_pdf"}
     if not require.issubset(links.columns):
         raise ValueError("link table must contain mens_400_free_pdf and womens_400_free_pdf")

@@ -68,3 +68,9 @@ def test_duplicate_listed_link_is_processed_twice(spark):
     links = spark.createDataFrame([("m1",), ("m1",)], "Link string")
     _, new = K.ingest(links, docs, spark.createDataFrame([], "Link string"))
     assert new.count() == 2
+
+
+def test_link_lists_rejects_non_frames():
+    import pytest
+    with pytest.raises(TypeError):
+        K.link_lists([("2020", "A", "m", "w")])
