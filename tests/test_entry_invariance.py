@@ -34,3 +34,11 @@ def test_all_queries_dict(spark):
     typed = FX.canonical_results(spark, SF_SMALL)
     qs = Q.all_queries(typed)
     assert len(qs) == 10 and qs["missing_late_splits"].count() == 1
+
+
+def test_cluster_conf_sizes_partitions():
+    from lapline.session import cluster_conf
+    big = cluster_conf(1000, 8, input_tb=100)
+    small = cluster_conf(4, 4, input_tb=0.001)
+    assert big["spark.sql.adaptive.enabled"] == "true" and int(big["spark.sql.shuffle.partitions"]) >= 24_000
+    assert int(small["spark.sql.shuffle.partitions"]) == 48
