@@ -188,9 +188,12 @@ def is_noise(line: Column) -> Column:
 
 
 def noise_summary(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
-    """P17 per document: line count and noise-line count, computed inside the row."""
+    """P17 per document: line count and noise-line count, computed inside the row.
+
+    A document without text has no lines and gives no row, as in ``lines_of``.
+    """
     arr = splitlines(F.col(text_col))
-    return docs.select(
+    return docs.filter(F.col(text_col).isNotNull()).select(
         key, F.size(arr).cast("bigint").alias("lines"),
         F.size(F.filter(arr, lambda l: is_noise(l))).cast("bigint").alias("noise_lines"))
 
