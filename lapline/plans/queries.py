@@ -140,6 +140,26 @@ NAMED_SQL = {
 }
 
 
+# The reference's per-race queries (Q08-Q10), with {t} for the table name.
+PER_RACE_SQL = {
+    "swimmers_per_race":
+        "SELECT Link, COUNT(*) AS swimmer_count FROM {t} GROUP BY Link ORDER BY swimmer_count DESC",
+    "fastest_swim_per_race":
+        "SELECT Link, MIN(final_time) AS fastest_time FROM {t} WHERE final_time IS NOT NULL "
+        "GROUP BY Link ORDER BY fastest_time ASC",
+    "average_final_time_per_race":
+        "SELECT Link, ROUND(AVG(final_time), 2) AS avg_final_time FROM {t} WHERE final_time IS NOT NULL "
+        "GROUP BY Link ORDER BY avg_final_time ASC",
+}
+
+
+def run_sql(spark: SparkSession, df: DataFrame, name: str, table: str = "swim_results") -> DataFrame:
+    """One of the reference's SQL texts (sample or per-race) over the frame as a view."""
+    df.createOrReplaceTempView(table)
+    text = {**NAMED_SQL, **PER_RACE_SQL}[name]
+    return spark.sql(text.format(t=table))
+
+
 def run_named_queries(spark: SparkSession, df: DataFrame, table: str = "swim_results") -> dict:
     """Q11: register the table as a view and return title -> lazy result frame."""
     df.createOrReplaceTempView(table)

@@ -42,3 +42,12 @@ def test_cluster_conf_sizes_partitions():
     small = cluster_conf(4, 4, input_tb=0.001)
     assert big["spark.sql.adaptive.enabled"] == "true" and int(big["spark.sql.shuffle.partitions"]) >= 24_000
     assert int(small["spark.sql.shuffle.partitions"]) == 48
+
+
+def test_per_race_sql_texts(spark):
+    typed = FX.canonical_results(spark, SF_SMALL)
+    per_race = Q.run_sql(spark, typed, "swimmers_per_race")
+    assert per_race.count() == Q.swimmers_per_race(typed).count()
+    fastest = {r.Link: r.fastest_time for r in Q.run_sql(spark, typed, "fastest_swim_per_race").collect()}
+    assert fastest == {r.Link: r.fastest_time for r in Q.fastest_per_race(typed).collect()}
+    assert Q.run_sql(spark, typed, "average_final_time_per_race").count() == len(fastest)
