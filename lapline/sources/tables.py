@@ -94,8 +94,12 @@ def write_links(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite",
-               partition_by: list[str] | None = None) -> None:
-    """Replace a catalog table (parquet); optionally partitioned, e.g. by ``sex``."""
+               partition_by: list[str] | None = None, sort_within: list[str] | None = None) -> None:
+    """Replace a catalog table (parquet); optionally partitioned (e.g. by ``sex``) and
+    sorted within each file (e.g. by ``Link``), so parquet min/max statistics let filters on
+    those columns skip files and row groups — the role the reference's indexes played."""
+    if sort_within:
+        df = df.sortWithinPartitions(*sort_within)
     w = df.write.mode(mode).format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)

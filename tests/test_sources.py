@@ -58,7 +58,7 @@ def test_documents_pages_and_seeds(spark):
 def test_table_sink_schema_and_count(spark):
     df = spark.createDataFrame([("M", 1.0), ("F", 2.0)], "sex string, final_time double")
     name = "lapline_test_results"
-    T.save_table(df, name, partition_by=["sex"])
+    T.save_table(df, name, partition_by=["sex"], sort_within=["final_time"])
     assert T.count_rows(spark.table(name)) == 2
     assert T.sql(spark, f"SELECT count(*) AS n FROM {name} WHERE sex = 'M'").first().n == 1
     sch = {r.name: r.type for r in T.table_schema(spark, df).collect()}
