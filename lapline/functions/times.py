@@ -119,3 +119,18 @@ def format_seconds(c: Column) -> Column:
     minutes = F.floor(s / 60).cast("bigint")
     remainder = F.pmod(s, F.lit(60.0))
     return F.format_string("%.2fs (%d:%05.2f)", s, minutes, remainder)
+
+
+def bad_time_counts(df: DataFrame, cols: list[str], mode: str = "table") -> DataFrame:
+    """F02 diagnostics: per column, how many non-empty values the converter turned into NULL
+    (the reference raised on some of them).  One aggregate pass, one row."""
+    aggs = []
+    for f in df.schema.fields:
+        if f.name not in cols:
+            continue
+        numeric = isinstance(f.dataType, T.NumericType)
+        raw = F.col(f.name)
+        present = raw.isNotNull() if numeric else (raw.isNotNull() & (F.trim(raw.cast("string")) != ""))
+        bad = present & time_to_seconds(raw, mode, numeric=numeric).isNull()
+        aggs.append(F.count_if(bad).cast("bigint").alias(f.name))
+    return df.agg(*aggs)

@@ -59,3 +59,10 @@ def test_half_up_mean(spark):
     got = [r[0] for r in df.select(half_up_mean(F.col("s"), F.col("n"), 2)).collect()]
     assert got == [113.45, 0.03, 0.0]
     assert not any(math.isnan(x) for x in got)
+
+
+def test_bad_time_counts(spark):
+    from lapline.functions.times import bad_time_counts
+    df = spark.createDataFrame([("3:46.88", "a:b"), ("abc", None), ("", "26.00")], "x string, y string")
+    r = bad_time_counts(df, ["x", "y"]).first()
+    assert (r.x, r.y) == (1, 1)
