@@ -126,7 +126,7 @@ def metrics(pred: DataFrame, label: str = LABEL, prediction: str = "prediction")
     stats = pred.agg(F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
                      F.sum(e * e).alias("sse"), F.var_pop(label).alias("var"), F.count(F.lit(1)).alias("n"))
     return stats.select(F.round("mae", 3).alias("mae"), F.round(F.sqrt("mse"), 3).alias("rmse"),
-                        F.round(1 - F.col("sse") / (F.col("var") * F.col("n")), 4).alias("r2"))
+                        F.round(1 - F.try_divide(F.col("sse"), F.col("var") * F.col("n")), 4).alias("r2"))
 
 
 def _mae(pred: DataFrame) -> float:
@@ -269,7 +269,7 @@ def ols_single(spark: SparkSession, prepared: DataFrame, feature: str = "split_2
     m = model.transform(prepared)
     e = F.col("prediction") - F.col(LABEL)
     return m.agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                 (1 - F.sum(e * e) / (F.var_pop(LABEL) * F.count(F.lit(1)))).alias("r2")).select(
+                 (1 - F.try_divide(F.sum(e * e), F.var_pop(LABEL) * F.count(F.lit(1)))).alias("r2")).select(
         F.lit(feature).alias("feature"),
         F.round(F.lit(float(lr.coefficients[0])), 4).alias("slope"),
         F.round(F.lit(float(lr.intercept)), 4).alias("intercept"),
@@ -302,7 +302,7 @@ def ols_pair(spark: SparkSession, prepared: DataFrame, f1: str = "split_250m",
     e = F.col("prediction") - F.col(LABEL)
     return model.transform(prepared).agg(
         F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-        (1 - F.sum(e * e) / (F.var_pop(LABEL) * F.count(F.lit(1)))).alias("r2")).select(
+        (1 - F.try_divide(F.sum(e * e), F.var_pop(LABEL) * F.count(F.lit(1)))).alias("r2")).select(
         F.round(F.lit(float(lr.coefficients[0])), 4).alias(f"b_{f1}"),
         F.round(F.lit(float(lr.coefficients[1])), 4).alias(f"b_{f2}"),
         F.round(F.lit(float(lr.intercept)), 4).alias("intercept"),
