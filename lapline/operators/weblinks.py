@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapline.functions.text import last_path_element, py_squash, upper_contains
+from lapline.functions.text import SKIP_COMPETITION_WORDS, last_path_element, py_squash, upper_contains
 
 # The page structure and the event test of the reference.
 ROW_CLASS, ROUND_CLASS, TWO_CLASS, DETAIL_CLASS = "row", "round", "two", "detail"
@@ -106,7 +106,7 @@ def dedupe_first_seen(rows: DataFrame) -> DataFrame:
                     F.col("f.competition").alias("competition"), "href"))
 
 
-def drop_skipped_names(rows: DataFrame, words=("25M", "SHORT COURSE")) -> DataFrame:
+def drop_skipped_names(rows: DataFrame, words=tuple(SKIP_COMPETITION_WORDS)) -> DataFrame:
     """Competitions whose upper-cased name holds 25M or SHORT COURSE are not visited."""
     up = F.upper(F.col("competition"))
     cond = F.lit(False)
