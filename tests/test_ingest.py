@@ -74,3 +74,12 @@ def test_link_lists_rejects_non_frames():
     import pytest
     with pytest.raises(TypeError):
         K.link_lists([("2020", "A", "m", "w")])
+
+
+def test_earlier_output_without_link_skips_nothing(spark):
+    earlier = spark.createDataFrame([("Final", 1)], "heat string, rank int")
+    docs = spark.createDataFrame([("m1", "1 4 SUN Yang CHN 0.73 3:40.29\n")], "Link string, text string")
+    links = spark.createDataFrame([("m1",)], "Link string")
+    assert K.processed_links(earlier) is None
+    allrows, new = K.ingest(links, docs, earlier)
+    assert new.count() == 1 and allrows.count() == 2            # earlier rows kept, nothing skipped
