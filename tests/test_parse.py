@@ -85,3 +85,14 @@ def test_marker_characters_in_text(spark):
     docs = spark.createDataFrame([("m", "1 4 SU\u0001N Ya\u0002ng CHN 0.73 3:40.29\n")], "Link string, text string")
     r = P.parse_sheets(docs).first()
     assert (r.last_name, r.first_name, r.final_time) == ("SUN", "Yang", "3:40.29")
+
+
+def test_inspection_helpers(spark):
+    docs = spark.createDataFrame([("d", "Alpha SYS­FL\n\n  beta 12\r\ngamma")], "Link string, text string")
+    assert P.peek(docs, 9).first().head == "Alpha SYS"
+    lines = [(r.line_no, r.line) for r in P.inspect_lines(docs, 3).orderBy("line_no").collect()]
+    assert lines == [(0, "Alpha SYS­FL"), (1, ""), (2, "  beta 12\r")]      # cut on \\n only, kept as is
+    hits = [r.line_no for r in P.regex_line_search(docs, r"\s*beta \d+").collect()]
+    assert hits == [2] and P.regex_line_search(docs, "beta").count() == 0     # anchored at the line start
+    stripped = [r.line for r in P.lines_of(docs).orderBy("line_no").collect()]
+    assert stripped == ["Alpha SYS­FL", "", "beta 12", "gamma"]            # splitlines + strip
