@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapline import schema as S
+from lapline.functions.times import convert_time_columns
 from lapline.operators.parse import parse_sheets
 
 
@@ -29,11 +31,27 @@ def sheet_stream(spark: SparkSession, folder: str, max_files: int = 10) -> DataF
 
 
 def start_ingest(spark: SparkSession, folder: str, output: str, checkpoint: str,
-                 max_files: int = 10, available_now: bool = True):
-    """Start the query; with ``available_now`` it processes what is there and stops."""
+                 max_files: int = 10, available_now: bool = True,
+                 typed_output: str | None = None, sex: str | None = None):
+    """Start the query; with ``available_now`` it processes what is there and stops.
+
+    With ``typed_output`` and the stream's ``sex`` (one stream per list, as
+    the reference keeps men's and women's results apart), each batch is also
+    written as typed rows (C01: ``sex`` added, the nine times converted by the
+    table converter), in the same idempotent per-batch folders.
+    """
+    if typed_output and not sex:
+        raise ValueError("typed_output needs the stream's sex")
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        target = f"{output.rstrip('/')}/batch_id={batch_id}"
-        parse_sheets(batch).write.mode("overwrite").parquet(target)
+        rows = parse_sheets(batch).persist()
+        try:
+            rows.write.mode("overwrite").parquet(f"{output.rstrip('/')}/batch_id={batch_id}")
+            if typed_output:
+                typed = convert_time_columns(rows.withColumn("sex", F.lit(sex)), S.NUMERIC_COLS, "table")
+                typed.write.mode("overwrite").parquet(f"{typed_output.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
 
     writer = (sheet_stream(spark, folder, max_files).writeStream
               .foreachBatch(write_batch).option("checkpointLocation", checkpoint))

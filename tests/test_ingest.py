@@ -50,9 +50,11 @@ def test_streaming_equals_batch(spark):
     for i, r in enumerate(docs):
         with open(os.path.join(folder, f"sheet{i:03d}.txt"), "w") as fh:
             fh.write(r.text)
-    out, ckpt = os.path.join(base, "out"), os.path.join(base, "ckpt")
-    q = start_ingest(spark, folder, out, ckpt, max_files=10)
+    out, ckpt, typed_out = os.path.join(base, "out"), os.path.join(base, "ckpt"), os.path.join(base, "typed")
+    q = start_ingest(spark, folder, out, ckpt, max_files=10, typed_output=typed_out, sex="M")
     q.awaitTermination(300)
+    typed = spark.read.parquet(typed_out)
+    assert dict(typed.dtypes)["final_time"] == "double" and typed.filter("sex = 'M'").count() == typed.count()
     streamed = spark.read.parquet(out).drop("Link", "batch_id")
     assert spark.read.parquet(out).select("batch_id").distinct().count() == 3   # 30 files, 10 per batch
     batch = parse_sheets(spark.createDataFrame([(r.Link, r.text) for r in docs], "Link string, text string")).drop("Link")
