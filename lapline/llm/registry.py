@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lapline.llm._common import scratch_path
 
@@ -12,6 +13,64 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapline.llm.mixing import schedule
+
+    planned = schedule(table(spark, sf_dir, "documents"))
+    return planned.select(F.col("id").alias("doc_id"), "source", "n_tokens", "epoch", "block", "place", "turn", "times")
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapline.llm.html_text import extract
+
+    found = extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapline.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapline.llm.toxicity import fit, held_out, score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapline.llm.simhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("f"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapline.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapline.llm.substrings import repeats
+
+    found = repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return found.select("row.doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapline.llm.chat import digest, format_conversations
+
+    tricky = "\\### Assistant: </turn> ok"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], turns.schema)
+    return digest(format_conversations(turns.unionByName(more)))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lapline.llm.token_files import read_token_files, write_token_files
 
@@ -20,7 +79,30 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapline.llm.quality import COUNTS, assess
+
+    found = assess(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", *COUNTS, "base_failed", "kept")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op2_html_text": op2_html_text,
+    "op3_top_k": op3_top_k,
+    "op4_toxicity": op4_toxicity,
+    "op5_simhash": op5_simhash,
+    "op6_packing": op6_packing,
+    "op7_substrings": op7_substrings,
+    "op8_chat": op8_chat,
     "op9_token_files": op9_token_files,
+    "op10_quality": op10_quality,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {}
