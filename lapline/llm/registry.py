@@ -2,11 +2,37 @@
 
 from __future__ import annotations
 
+import functools
+import shutil
+from collections.abc import Callable
+from pathlib import Path
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapline.llm._common import scratch_path
+from lapline.llm._common import local_temp, scratch_path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers (as ``--py-files`` would), once an application."""
+    if spark.sparkContext.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[1]
+        made = shutil.make_archive(f"{local_temp('lapline-')}/{root.name}", "zip", root.parent, root.name)
+        spark.sparkContext.addPyFile(made)
+        _SHIPPED.add(spark.sparkContext.applicationId)
+
+
+def _registered(query: Callable) -> Callable:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,17 +118,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {
-    "op1_mixing": op1_mixing,
-    "op2_html_text": op2_html_text,
-    "op3_top_k": op3_top_k,
-    "op4_toxicity": op4_toxicity,
-    "op5_simhash": op5_simhash,
-    "op6_packing": op6_packing,
-    "op7_substrings": op7_substrings,
-    "op8_chat": op8_chat,
-    "op9_token_files": op9_token_files,
-    "op10_quality": op10_quality,
-    "pipeline": pipeline,
-}
+QUERIES = {q.__name__: _registered(q) for q in (
+    op1_mixing, op2_html_text, op3_top_k, op4_toxicity, op5_simhash, op6_packing, op7_substrings, op8_chat, op9_token_files,
+    op10_quality, pipeline)}
 ORACLES: dict[str, str] = {}
