@@ -1,8 +1,9 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-A linear classifier over hashed words is trained in numpy from confirmed toxic documents and unlabelled text.
-Some of the unlabelled text is toxic too; the risk of calling it clean is therefore corrected by the class
-prior, and where the corrected part falls below zero (it cannot in truth) the step goes the other way.
+A linear classifier over hashed words and pieces of words is trained in numpy from confirmed toxic documents and
+unlabelled text.  Some of the unlabelled text is toxic too; the risk of calling it clean is therefore corrected by
+the class prior, and where the corrected part falls below zero (it cannot in truth) the step goes the other way.
+Only features that the confirmed documents have more often than the unlabelled ones take part.
 
 The sample is bounded (``MAX_POSITIVE``, ``MAX_UNLABELLED`` documents, the smallest by a hash of their id, whole
 texts); it is turned into feature numbers by tasks, and only those reach the driver.  Every document is scored.
@@ -21,21 +22,41 @@ from pyspark.sql import functions as F
 
 from lapline.llm._common import arrow_batches
 
-MAX_POSITIVE = 3000
-MAX_UNLABELLED = 9000
-FEATURES = 1 << 18
-LEAST_DOCUMENTS = 5  # sampled documents that hold a feature at least; rarer ones have no weight
-EPOCHS, BATCHES = 30, 12
-RATE, PENALTY = 0.05, 3e-4
+MAX_POSITIVE = 2000
+MAX_UNLABELLED = 6000
+FEATURES = 1 << 20
+PIECES = (4, 5)  # lengths in bytes of the pieces of a word, its two ends marked
+USED, LEAST_EXCESS, LEAST_DOCUMENTS = 1000, 3.0, 3  # most features, their least excess in standard errors, and least documents
+EPOCHS, BATCHES = 40, 12
+RATE, PENALTY, BIAS = 0.05, 1e-4, -2.0
 HELD_OUT = 5  # labels are learnt only where crc32(id as text) mod HELD_OUT is not 0
 EDGES = b".,;:!?\"'()[]{}*#<>|-_"
 CACHE_WORDS = 300_000
 
 
-def features(text: str | None) -> list[int]:
-    """Numbers of the distinct words of a text, in ASCII lower case and without marks at their ends."""
-    words = set() if text is None else set(text.encode().lower().split())
-    return sorted({xxhash.xxh32_intdigest(w.strip(EDGES)) % FEATURES for w in words})
+def word_features(word: bytes) -> list[int]:
+    """Numbers of a word and its pieces."""
+    marked = b"<" + word.strip(EDGES) + b">"
+    parts = [marked] + [marked[i:i + n] for n in PIECES for i in range(len(marked) - n + 1)]
+    return [xxhash.xxh32_intdigest(p) % FEATURES for p in parts]
+
+
+class _Known(dict):
+    """Features of a raw word, only those of ``named`` if given."""
+
+    def __init__(self, named: dict | None = None):
+        super().__init__()
+        self.named = named
+
+    def __missing__(self, word: bytes) -> tuple:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        found = self[word] = tuple([f for f in word_features(word) if self.named is None or f in self.named])
+        return found
+
+    def of(self, text: str | None) -> set[int]:
+        """Features of a text: of its distinct words in ASCII lower case, without marks at their ends."""
+        return set() if text is None else set().union(*map(self.__getitem__, set(text.encode().lower().split())))
 
 
 def held_out(id_: Column) -> Column:
@@ -48,7 +69,7 @@ class Rows:
 
     def __init__(self, lists: list):
         self.sizes = np.array([len(x) for x in lists], dtype=np.int64)
-        self.flat = np.concatenate([np.asarray(x, dtype=np.int64) for x in lists]) if len(lists) else np.empty(0, np.int64)
+        self.flat = np.concatenate([np.asarray(x, dtype=np.int32) for x in lists]) if len(lists) else np.empty(0, np.int32)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
 
     def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,16 +79,29 @@ class Rows:
         return self.flat[np.arange(int(sizes.sum())) + shift], np.repeat(np.arange(len(which)), sizes)
 
 
+def select(p: Rows, u: Rows) -> np.ndarray:
+    """Mask of the features to use: those with the largest excess among the positive documents."""
+    in_p, in_u = (np.bincount(r.flat, minlength=FEATURES) for r in (p, u))
+    n_p, n_u = max(1, len(p.sizes)), max(1, len(u.sizes))
+    a, b = in_p / n_p, in_u / n_u
+    excess = (a - b) / np.sqrt((a + b + 1e-9) / 2 * (1 / n_p + 1 / n_u))
+    best = np.lexsort((np.arange(FEATURES), -excess))[:USED]
+    mask = np.zeros(FEATURES, bool)
+    mask[best[(excess[best] > LEAST_EXCESS) & (in_p[best] >= LEAST_DOCUMENTS)]] = True
+    return mask
+
+
 def train(positive: list, unlabelled: list, prior: float, seed: int = 0) -> tuple[np.ndarray, float]:
-    """Weights and bias that minimise the non-negative risk with logistic loss (Adam, shuffled batches)."""
+    """Weights and bias that minimise the non-negative risk with the sigmoid loss (Adam, shuffled batches)."""
     p, u, rng = Rows(positive), Rows(unlabelled), np.random.default_rng(seed)
-    seen = np.bincount(p.flat, minlength=FEATURES) + np.bincount(u.flat, minlength=FEATURES)
-    used = seen >= LEAST_DOCUMENTS
-    w, bias = np.zeros(FEATURES + 1), math.log(prior / (1 - prior))
-    w[-1] = bias
+    w = np.zeros(FEATURES + 1)
+    w[-1] = BIAS
     if not len(positive) or not len(unlabelled):
-        return w[:-1], bias
+        return w[:-1], BIAS
+    mask = select(p, u)
+    p, u = (Rows([r.flat[a:b][mask[r.flat[a:b]]] for a, b in zip(r.starts[:-1], r.starts[1:])]) for r in (p, u))
     first, second, step = np.zeros_like(w), np.zeros_like(w), 0
+    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for _ in range(EPOCHS):
         of_p = np.array_split(rng.permutation(len(positive)), BATCHES)
         of_u = np.array_split(rng.permutation(len(unlabelled)), BATCHES)
@@ -76,24 +110,23 @@ def train(positive: list, unlabelled: list, prior: float, seed: int = 0) -> tupl
                 continue
             fp, dp = p.take(some_p)
             fu, du = u.take(some_u)
-            zp = np.bincount(dp, w[fp], len(some_p)) + w[-1]
-            zu = np.bincount(du, w[fu], len(some_u)) + w[-1]
-            sp, su = 1 / (1 + np.exp(-np.clip(zp, -30, 30))), 1 / (1 + np.exp(-np.clip(zu, -30, 30)))
-            # risk of clean: mean over unlabelled of log(1 + e^z), less the toxic share's part of it
-            clean = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-            gp, gu = -prior * sp / len(sp), su / len(su)
-            if clean < 0:
+            sp = sigmoid(np.bincount(dp, w[fp], len(some_p)) + w[-1])
+            su = sigmoid(np.bincount(du, w[fu], len(some_u)) + w[-1])
+            # risk of calling clean text toxic: that of the unlabelled, less the toxic share's part of it
+            risk = su.mean() - prior * sp.mean()
+            gp, gu = -prior * sp * (1 - sp) / len(sp), su * (1 - su) / len(su)
+            if risk < 0:
                 gp, gu = -gp, -gu
             else:
-                gp = gp + prior * (sp - 1) / len(sp)
+                gp = gp - prior * sp * (1 - sp) / len(sp)
             g = np.bincount(fp, gp[dp], FEATURES + 1) + np.bincount(fu, gu[du], FEATURES + 1)
             g[-1] = gp.sum() + gu.sum()
-            g[:-1] = np.where(used, g[:-1], 0.0) + PENALTY * w[:-1]
+            g[:-1] += PENALTY * w[:-1]
             step += 1
             first = 0.9 * first + 0.1 * g
             second = 0.999 * second + 0.001 * g * g
             w -= RATE * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
-    return np.where(used, w[:-1], 0.0), float(w[-1])
+    return np.where(mask, w[:-1], 0.0), float(w[-1])
 
 
 def _sample(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> list:
@@ -101,12 +134,13 @@ def _sample(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> l
     rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"], "left_semi").select(F.col(text_col).cast("string").alias("text"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Known()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([features(t.as_py()) for t in batch.column(0)], pa.list_(pa.int32()))], names=["f"])
+            yield pa.RecordBatch.from_arrays([pa.array([sorted(known.of(t.as_py())) for t in batch.column(0)], pa.list_(pa.int32()))], names=["f"])
 
     lists = rows.mapInArrow(read, "f array<int>").toArrow().column("f").combine_chunks()
     flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
-    return [flat[a:b] for a, b in zip(at[:-1], at[1:])]
+    return [flat[a:b] for a, b in zip(at[:-1], at[1:])]  # flat starts at the first offset
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -114,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Weights and bias. ``prior``: share of toxic documents; None: that of the labels that may be used.
 
     Labels other than 1 serve for that share alone.  Without a usable toxic label there is nothing to learn, and
-    every score is the prior's.
+    every score is that of the bias alone.
     """
     arrow_batches(docs.sparkSession)
     usable = labels.filter(F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
@@ -137,26 +171,14 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
     named = {int(i): float(weights[i]) for i in np.flatnonzero(weights)}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Numbers()
+        known = _Known(named)
         for batch in batches:
             out = []
             for text in batch.column(1):
-                t = text.as_py()
-                numbers = set() if t is None else set(map(known.__getitem__, set(t.encode().lower().split())))
-                z = bias + math.fsum(named[i] for i in numbers if i in named)
+                z = bias + math.fsum(map(named.__getitem__, known.of(text.as_py())))
                 out.append(1 / (1 + math.exp(-min(max(z, -30.0), 30.0))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["id", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     out = rows.mapInArrow(read, f"id {kind}, score double")
     return out.select(F.col("id").alias(id_col), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
-
-
-class _Numbers(dict):
-    """Feature number of a raw word."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh32_intdigest(word.strip(EDGES)) % FEATURES
-        return found
