@@ -94,12 +94,14 @@ def select(p: Rows, u: Rows) -> np.ndarray:
 def train(positive: list, unlabelled: list, prior: float, seed: int = 0) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative risk with the sigmoid loss (Adam, shuffled batches)."""
     p, u, rng = Rows(positive), Rows(unlabelled), np.random.default_rng(seed)
-    w = np.zeros(FEATURES + 1)
-    w[-1] = BIAS
+    weights = np.zeros(FEATURES)
     if not len(positive) or not len(unlabelled):
-        return w[:-1], BIAS
+        return weights, BIAS
     mask = select(p, u)
-    p, u = (Rows([r.flat[a:b][mask[r.flat[a:b]]] for a, b in zip(r.starts[:-1], r.starts[1:])]) for r in (p, u))
+    place, n = np.cumsum(mask) - 1, int(mask.sum())  # used features have the numbers 0 .. n - 1
+    p, u = (Rows([place[x[mask[x]]] for x in np.split(r.flat, r.starts[1:-1])]) for r in (p, u))
+    w = np.zeros(n + 1)
+    w[-1] = BIAS
     first, second, step = np.zeros_like(w), np.zeros_like(w), 0
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for _ in range(EPOCHS):
@@ -119,14 +121,15 @@ def train(positive: list, unlabelled: list, prior: float, seed: int = 0) -> tupl
                 gp, gu = -gp, -gu
             else:
                 gp = gp - prior * sp * (1 - sp) / len(sp)
-            g = np.bincount(fp, gp[dp], FEATURES + 1) + np.bincount(fu, gu[du], FEATURES + 1)
+            g = np.bincount(fp, gp[dp], n + 1) + np.bincount(fu, gu[du], n + 1)
             g[-1] = gp.sum() + gu.sum()
             g[:-1] += PENALTY * w[:-1]
             step += 1
             first = 0.9 * first + 0.1 * g
             second = 0.999 * second + 0.001 * g * g
             w -= RATE * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.999 ** step)) + 1e-8)
-    return np.where(mask, w[:-1], 0.0), float(w[-1])
+    weights[mask] = w[:-1]
+    return weights, float(w[-1])
 
 
 def _sample(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> list:
