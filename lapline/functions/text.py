@@ -21,7 +21,6 @@ SWIMMER_LINE_PY = (r"^([=T]?\d+[=T]?)\s+(\d+)\s+(.+?)\s+(?:(0\.\d{2})\s+)?"
 CODE_SUFFIX_PY = r"\s+[A-Z]{2,8}(?:-[A-Z]{2,3})?\s*$"
 SPLIT_ENTRY_PY = (r"(\d{2,3})m\s*(?:[\(﴾（]\d+[\)﴿）]\s*)?"
                   r"(\d+:\d{2}\.\d{2}|\d{2,3}\.\d{2})")
-LAST_NAME_TOKEN_PY = r"^[A-Z][A-Z\-']+$"
 # Noise-line prefixes (IGNORECASE, matched at the start of the stripped line):
 NOISE_PATTERNS_PY = [
     r"^Legend",
@@ -54,7 +53,7 @@ PY_SPACE_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x
 PY_SPACE_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 # str.splitlines() boundaries:
 EOL_PY = r"\r\n|[\n\r\x{0B}\f\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
-SOFT_HYPHEN = "­"
+SOFT_HYPHEN = "\u00ad"
 # ---------------------------------------------------------------------------
 
 
@@ -70,8 +69,6 @@ SPLIT_ENTRY = java_regex(SPLIT_ENTRY_PY)
 # split_name as one match: a leading run of last-name tokens, then the rest.
 NAME_PARTS = java_regex(rf"^((?:[A-Z][A-Z\-']+(?:{PY_SPACE_CLASS}+|$))*)(.*)$")
 NOISE_LINE = java_regex("^(?:" + "|".join(p[1:] for p in NOISE_PATTERNS_PY) + ")", "i")
-PARA_CLASS = java_regex(PARA_CLASS_PY)
-SHORT_COURSE = java_regex(SHORT_COURSE_PY, "i")
 
 SECTION_MARK = "\u0001"
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapline import schema as S
 from lapline.functions.text import PARA_CLASS_PY, SHORT_COURSE_PY, regex_contains
 from lapline.functions.times import convert_time_columns, to_double
+from lapline.sources.tables import normalize_input
 
 
 def require_columns(df: DataFrame, cols, what: str = "frame") -> None:
@@ -87,36 +88,40 @@ def build_features(splits) -> list[str]:
 def impute_median(df: DataFrame, col: str = "reaction_time") -> DataFrame:
     """Fill missing values with the exact (interpolated) median of the column.
 
-    The median is one aggregate over the frame (``percentile`` keeps a
-    value-to-count map, small for times in hundredths), used as a scalar
-    subquery: one value, no join.
+    The median is one aggregate over value counts (combined before the
+    shuffle; reaction times come in hundredths, so there are few), used as a
+    scalar subquery: one value, no join.
     """
     if dict(df.dtypes).get(col) == "string":
         value = to_double(F.col(col))                  # text: coerce, bad -> missing
     else:
         value = F.col(col).cast("double")
         value = F.when(~F.isnan(value), value)          # NaN counts as missing
-    median = df.agg(F.percentile(value, F.lit(0.5))).scalar()
+    counts = df.select(value.alias("v")).filter("v IS NOT NULL").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    median = counts.agg(F.percentile("v", F.lit(0.5), F.col("n"))).scalar()
     return df.withColumn(col, F.coalesce(value, median))
 
 
-def prepare_data(men: DataFrame, women: DataFrame, materialize: bool = True) -> DataFrame:
-    """Union → time conversion (F01) → C04 → C09 → C08 → C10.
+def as_frame(src, schema=S.RAW_RESULTS) -> DataFrame:
+    """S04 for every entry point: a frame as it is, or the frame stored at a path."""
+    return src if isinstance(src, DataFrame) else normalize_input(SparkSession.active(), src, schema)
+
+
+def prepare_data(men, women, work: str | None = None) -> DataFrame:
+    """Union → time conversion (F01) → C04 → C09 → C08 → C10.  ``men`` and ``women``: frames or paths.
 
     No ``sex`` column is added here, as in the reference.  The median needs a
-    pass over the converted rows before they can be filled; with
-    ``materialize`` those rows are checkpointed once to the shared checkpoint
-    folder, so the median pass and the output read them back instead of
-    running the upstream job (parsing, conversion) twice, and a lost
-    executor does not send the work back to the start.
+    pass over the converted rows before they can be filled.  Without ``work``
+    the plan is lazy and runs its upstream for both.  With ``work``, a folder
+    that all executors share, the converted rows are written there once as
+    Parquet and read back for both; the caller removes the folder.
     """
-    df = men.unionByName(women, allowMissingColumns=True)
+    df = as_frame(men).unionByName(as_frame(women), allowMissingColumns=True)
     df = convert_time_columns(df, S.TIME_COLS, "ingest")
     df = drop_missing(df)
-    if materialize:
-        from lapline.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
+    if work:
+        df.write.mode("overwrite").parquet(work)
+        df = df.sparkSession.read.schema(df.schema).parquet(work)
     df = add_intervals(df)
     df = impute_median(df)
     return df.dropna(subset=S.FEATURE_COLS)

@@ -12,12 +12,16 @@ that gave no row are tried again at every run, as in the reference
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapline import schema as S
 from lapline.operators.parse import parse_sheets, rows_per_document
-from lapline.sources.tables import path_exists, read_earlier_output, write_results
+from lapline.session import ensure_checkpoint_dir
+from lapline.sources.tables import read_earlier_output, remove_path, write_results
 
 
 def link_lists(links: DataFrame) -> DataFrame:
@@ -66,36 +70,36 @@ def ingest(links: DataFrame, documents: DataFrame, earlier: DataFrame) -> tuple[
 
 
 def ingest_to_path(spark: SparkSession, links: DataFrame, documents: DataFrame, output: str,
-                   batch_size: int | None = None) -> DataFrame:
+                   batches: int | None = None, work: str | None = None) -> DataFrame:
     """K10 batch form: append new rows to ``output`` (parquet); returns the stored table.
 
-    With ``batch_size`` the remaining links are processed in batches of about
-    that many documents, each batch appended (committed) before the next, like
-    the reference's checkpoint every ten documents; on a cluster choose a size
-    that makes each batch a substantial job.  Batches are cut by a hash of the
-    Link, so no ordering or collection of the link list is needed, and the
-    list of remaining links is materialized once (a checkpoint in the shared
-    folder) rather than recomputed for every batch.
+    Without ``batches`` the remaining documents are parsed and appended in one
+    job.  With ``batches`` each of that many parts is appended (committed)
+    before the next, like the reference's checkpoint every ten documents: the
+    remaining documents are first written once to ``work`` (a folder all
+    executors share; default: a new one under the checkpoint folder), one
+    directory per hash of the Link, and a batch reads its directory alone, so
+    the corpus is read twice however many batches there are.  A run that stops
+    leaves the batches already appended; the next one takes up the links that
+    are missing.  ``work`` is removed at the end.  A link listed twice is
+    processed twice, as in ``ingest``.
     """
     earlier = read_earlier_output(spark, output)
-    todo = remaining_links(links.select("Link"), earlier).distinct()
-    if batch_size:
-        from lapline.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)
-        todo = todo.checkpoint(eager=True)
-        n = todo.count()
-        batches = max(1, -(-n // batch_size))
-        keyed = todo.withColumn("_b", F.pmod(F.xxhash64("Link"), F.lit(batches)))
-        for b in range(batches):
-            part = keyed.filter(F.col("_b") == b).drop("_b")
-            docs = documents.join(part, "Link", "left_semi")
-            write_results(parse_sheets(docs.select("Link", "text")), output, mode="append")
+    docs = documents.join(remaining_links(links.select("Link"), earlier), "Link", "inner").select("Link", "text")
+    if batches:
+        work = work or f"{ensure_checkpoint_dir(spark).rstrip('/')}/lapline-ingest-{uuid.uuid4().hex}"
+        try:
+            part = F.pmod(F.xxhash64("Link"), F.lit(batches)).cast("int")
+            docs.withColumn("batch", part).write.partitionBy("batch").parquet(work)
+            schema = T.StructType([*docs.schema.fields, T.StructField("batch", T.IntegerType())])
+            stored = spark.read.schema(schema).parquet(work)
+            for b in range(batches):
+                write_results(parse_sheets(stored.filter(F.col("batch") == b).select("Link", "text")), output, mode="append")
+        finally:
+            remove_path(spark, work)
     else:
-        docs = documents.join(todo, "Link", "left_semi")
-        write_results(parse_sheets(docs.select("Link", "text")), output, mode="append")
-    if not path_exists(spark, output):
-        return S.empty(spark, S.RAW_RESULTS)
-    return spark.read.parquet(output)
+        write_results(parse_sheets(docs), output, mode="append")
+    return spark.read.schema(S.RAW_RESULTS).parquet(output)
 
 
 def report(links: DataFrame, rows: DataFrame) -> DataFrame:

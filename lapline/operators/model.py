@@ -7,9 +7,10 @@ Settings and their relation to the reference's library defaults:
   differences of the splits, so they add no rank to a linear model; the
   fitted predictions are the same and the normal equations stay well posed.
 * Random forest: 100 trees, every feature considered at each split (the
-  reference library's regression default), bootstrap, seed 42.  Depth is
-  bounded (``RF_MAX_DEPTH``) because Spark grows trees level by level across
-  the cluster; the reference grows them to purity.
+  reference library's regression default), bootstrap, seed 42.  Depth and
+  bins (``RF_MAX_DEPTH``, ``RF_MAX_BINS``) are settings of every entry point
+  that fits a forest (``forest={"max_depth": ..., "max_bins": ..., "trees": ...}``):
+  Spark grows trees level by level over binned values, the reference to purity.
 * Gradient boosting: 100 rounds, step 0.1, depth 3, seed 42.
 * Hold-out and folds come from an md5 hash of each row's identifying values,
   so they do not depend on row order or partitioning (the reference used
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from lapline import schema as S
-from lapline.functions.times import time_to_seconds
-from lapline.operators.clean import add_intervals, build_features, require_columns
+from lapline.functions.times import time_to_seconds, to_double
+from lapline.operators.clean import add_intervals, as_frame, build_features, require_columns
 from lapline.operators.stats import importances_frame
 
 LABEL = "final_time"
@@ -35,7 +36,7 @@ SEED = 42
 TEST_FRACTION = 0.2
 RF_TREES = 100
 RF_MAX_DEPTH = 10
-RF_MAX_BINS = 32
+RF_MAX_BINS = 64
 GBT_ROUNDS = 100
 BASE_COLS = S.FEATURE_SPLITS + ["reaction_time"]
 # Tree training: keep each row's node ids between levels instead of walking every
@@ -88,14 +89,15 @@ def polynomial_regression(degree: int = 2, features=None) -> Pipeline:
         LinearRegression(featuresCol="features", labelCol=LABEL, solver="normal")])
 
 
-def random_forest(features=None, trees: int | None = None, max_depth: int | None = None) -> Pipeline:
+def random_forest(features=None, trees: int | None = None, max_depth: int | None = None,
+                  max_bins: int | None = None) -> Pipeline:
     """M04 (defaults: the module settings at call time)."""
     feats = list(features or S.FEATURE_COLS)
-    trees, max_depth = trees or RF_TREES, max_depth or RF_MAX_DEPTH
+    trees, max_depth, max_bins = trees or RF_TREES, max_depth or RF_MAX_DEPTH, max_bins or RF_MAX_BINS
     return Pipeline(stages=[
         VectorAssembler(inputCols=feats, outputCol="features"),
         RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=trees,
-                              featureSubsetStrategy="all", maxDepth=max_depth, maxBins=RF_MAX_BINS,
+                              featureSubsetStrategy="all", maxDepth=max_depth, maxBins=max_bins,
                               seed=SEED, **TREE_RUNTIME)])
 
 
@@ -109,10 +111,11 @@ def gradient_boosting(features=None, rounds: int | None = None) -> Pipeline:
                      seed=SEED, **TREE_RUNTIME)])
 
 
-def model_set(poly_degree: int = 2, with_boosting: bool = False) -> dict:
+# The reference's model names.
+def model_set(poly_degree: int = 2, with_boosting: bool = False, forest: dict | None = None) -> dict:
     models = {"Linear Regression": linear_regression(),
               "Polynomial Regression": polynomial_regression(poly_degree),
-              "Random Forest": random_forest()}
+              "Random Forest": random_forest(**(forest or {}))}
     if with_boosting:
         models["Gradient Boosting"] = gradient_boosting()
     return models
@@ -120,13 +123,13 @@ def model_set(poly_degree: int = 2, with_boosting: bool = False) -> dict:
 
 # --------------------------------------------------------------------------- M06: metrics
 
-def metrics(pred: DataFrame, label: str = LABEL, prediction: str = "prediction") -> DataFrame:
+def metrics(pred: DataFrame, label: str = LABEL, prediction: str = "prediction", digits=(3, 3, 4)) -> DataFrame:
     """MAE (3 digits), RMSE (3), R² (4) in one aggregate over the scored rows."""
     e = F.col(prediction) - F.col(label)
     stats = pred.agg(F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
                      F.sum(e * e).alias("sse"), F.var_pop(label).alias("var"), F.count(F.lit(1)).alias("n"))
-    return stats.select(F.round("mae", 3).alias("mae"), F.round(F.sqrt("mse"), 3).alias("rmse"),
-                        F.round(1 - F.try_divide(F.col("sse"), F.col("var") * F.col("n")), 4).alias("r2"))
+    return stats.select(F.round("mae", digits[0]).alias("mae"), F.round(F.sqrt("mse"), digits[1]).alias("rmse"),
+                        F.round(1 - F.try_divide(F.col("sse"), F.col("var") * F.col("n")), digits[2]).alias("r2"))
 
 
 def _mae(pred: DataFrame) -> float:
@@ -145,23 +148,18 @@ def _in_parallel(tasks, parallelism: int = PARALLEL_FITS) -> list:
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         return list(pool.map(lambda t: t(), tasks))
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a training frame evenly over the cluster's cores before it is cached.
 
-    Training passes over the cached rows many times (every tree level, every
-    boosting round), so one round-robin shuffle buys even tasks for all of
-    them.  (Asking the frame for its partition count instead would run its
-    upstream stages under AQE.)
-    """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
+def _split(prepared):
+    """The hold-out split of a prepared frame (or of the one stored at a path), kept for the passes of a fit.
 
-def _split(prepared: DataFrame):
-    tagged = spread(holdout(prepared)).persist(StorageLevel.MEMORY_AND_DISK)
+    The partitions are the frame's own, so they follow the size of the data.
+    """
+    tagged = holdout(as_frame(prepared)).persist(StorageLevel.MEMORY_AND_DISK)
     return tagged, tagged.filter(~F.col("is_test")), tagged.filter(F.col("is_test"))
 
 
-def compare_models(spark: SparkSession, prepared: DataFrame, poly_degree: int = 2) -> DataFrame:
+def compare_models(spark: SparkSession, prepared, poly_degree: int = 2, forest: dict | None = None) -> DataFrame:
     """Linear, polynomial and forest on one hold-out split → ``(model_name, mae, rmse, r2)``."""
     tagged, train, test = _split(prepared)
 
@@ -170,23 +168,23 @@ def compare_models(spark: SparkSession, prepared: DataFrame, poly_degree: int =
         return name, m["mae"], m["rmse"], m["r2"]
 
     try:
-        rows = _in_parallel([lambda n=n, e=e: run(n, e) for n, e in model_set(poly_degree).items()])
+        rows = _in_parallel([lambda n=n, e=e: run(n, e) for n, e in model_set(poly_degree, forest=forest).items()])
     finally:
         tagged.unpersist()
     out = spark.createDataFrame(rows, "model_name string, mae double, rmse double, r2 double")
     return out.orderBy("mae", "model_name")
 
 
-def compare_models_cv(spark: SparkSession, prepared: DataFrame, poly_degree: int = 2, k: int = 5,
-                      parallelism: int = 2 * PARALLEL_FITS) -> DataFrame:
-    """K-fold mean MAE of the four models → ``(model_name, mae)``.
+def compare_models_cv(spark: SparkSession, prepared, poly_degree: int = 2, k: int = 5,
+                      parallelism: int = 2 * PARALLEL_FITS, forest: dict | None = None, models: dict | None = None) -> DataFrame:
+    """K-fold mean MAE of the four models (or of ``models``) → ``(model_name, mae)``.
 
     Every (model, fold) fit is independent, so they run concurrently over one
     cached copy of the folded rows; a model's score is the mean of its fold
     MAEs, as in the reference.
     """
-    folded = spread(with_folds(prepared, k)).persist(StorageLevel.MEMORY_AND_DISK)
-    models = model_set(poly_degree, with_boosting=True)
+    folded = with_folds(as_frame(prepared), k).persist(StorageLevel.MEMORY_AND_DISK)
+    models = models or model_set(poly_degree, with_boosting=True, forest=forest)
 
     def run(name, est, i):
         fold = F.col("fold") == i
@@ -201,13 +199,17 @@ def compare_models_cv(spark: SparkSession, prepared: DataFrame, poly_degree: int
     return spark.createDataFrame(rows, "model_name string, mae double").orderBy("mae", "model_name")
 
 
-def progressive_accuracy(spark: SparkSession, prepared: DataFrame) -> DataFrame:
-    """A forest per prefix of splits (50 m … 250 m) → ``(splits_used, n_features, mae)``."""
+def progressive_accuracy(spark: SparkSession, prepared, forest: dict | None = None, estimator=None) -> DataFrame:
+    """A forest per prefix of splits (50 m … 250 m) → ``(splits_used, n_features, mae)``.
+
+    ``estimator(features)``: another model than the forest.
+    """
+    make = estimator or (lambda feats: random_forest(feats, **(forest or {})))
     tagged, train, test = _split(prepared)
 
     def run(splits):
         feats = build_features(splits)
-        mae = _mae(random_forest(feats).fit(add_intervals(train, splits)).transform(add_intervals(test, splits)))
+        mae = _mae(make(feats).fit(add_intervals(train, splits)).transform(add_intervals(test, splits)))
         return splits[-1], len(feats), round(float(mae), 3)
 
     try:
@@ -217,11 +219,11 @@ def progressive_accuracy(spark: SparkSession, prepared: DataFrame) -> DataFrame:
     return spark.createDataFrame(rows, "splits_used string, n_features int, mae double")
 
 
-def train_model(spark: SparkSession, prepared: DataFrame):
+def train_model(spark: SparkSession, prepared, forest: dict | None = None):
     """Forest on the hold-out split → (PipelineModel, test MAE, importances frame)."""
     tagged, train, test = _split(prepared)
     try:
-        model = random_forest().fit(train)
+        model = random_forest(**(forest or {})).fit(train)
         mae = float(_mae(model.transform(test)))
     finally:
         tagged.unpersist()
@@ -233,6 +235,7 @@ def train_model(spark: SparkSession, prepared: DataFrame):
 
 def predict_batch(model: PipelineModel, prepared: DataFrame) -> DataFrame:
     """Adds ``predicted_time`` and ``residual`` (predicted − actual)."""
+    prepared = as_frame(prepared)
     require_columns(prepared, S.FEATURE_COLS + [LABEL], "prepared frame")
     out = model.transform(prepared)
     drop = [c for c in out.columns if c not in prepared.columns]
@@ -244,20 +247,25 @@ def predict_batch(model: PipelineModel, prepared: DataFrame) -> DataFrame:
 def predict(model: PipelineModel, splits: DataFrame) -> DataFrame:
     """M12, batch form: rows of splits (seconds or ``M:SS.ss`` text) → ``predicted_time`` (2 digits).
 
-    A missing reaction time takes the fixed default 0.72 s.
+    A missing or unreadable reaction time takes the fixed default 0.72 s.  A
+    row with a missing or unreadable split has no prediction (NULL); no row is dropped.
     """
     df = splits
     for c in S.FEATURE_SPLITS:
         numeric = dict(df.dtypes)[c] != "string"
         df = df.withColumn(c, F.col(c) if numeric else time_to_seconds(F.col(c), "ingest"))
-    if "reaction_time" not in df.columns:
-        df = df.withColumn("reaction_time", F.lit(S.DEFAULT_REACTION))
-    df = df.withColumn("reaction_time", F.coalesce(F.col("reaction_time").cast("double"),
-                                                   F.lit(S.DEFAULT_REACTION)))
+    reaction = to_double(F.col("reaction_time")) if "reaction_time" in df.columns else F.lit(None).cast("double")
+    df = df.withColumn("reaction_time", F.coalesce(reaction, F.lit(S.DEFAULT_REACTION)))
     df = add_intervals(df)
-    out = model.transform(df)
-    drop = [c for c in out.columns if c not in df.columns]
-    return out.withColumn("predicted_time", F.round("prediction", 2)).drop(*drop)
+    used = [*S.FEATURE_SPLITS, *S.INTERVAL_COLS]
+    missing = F.lit(False)
+    for c in S.FEATURE_SPLITS:
+        missing = missing | F.col(c).isNull() | F.isnan(c)
+    row = F.struct(*[F.col(c) for c in df.columns])
+    filled = df.select(row.alias("_row"), missing.alias("_missing"), "reaction_time",
+                       *[F.when(missing, 0.0).otherwise(F.col(c)).alias(c) for c in used])
+    out = model.transform(filled)
+    return out.select("_row.*", F.when(~F.col("_missing"), F.round("prediction", 2)).alias("predicted_time"))
 
 
 # --------------------------------------------------------------------------- OLS with a closed-form check
@@ -266,14 +274,31 @@ def ols_single(spark: SparkSession, prepared: DataFrame, feature: str = "split_2
     """One-feature least squares fitted with pyspark.ml, with in-sample metrics (4 digits)."""
     model = linear_regression([feature]).fit(prepared)
     lr = model.stages[-1]
-    m = model.transform(prepared)
-    e = F.col("prediction") - F.col(LABEL)
-    return m.agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                 (1 - F.try_divide(F.sum(e * e), F.var_pop(LABEL) * F.count(F.lit(1)))).alias("r2")).select(
+    return metrics(model.transform(prepared), digits=(4, 4, 4)).select(
         F.lit(feature).alias("feature"),
         F.round(F.lit(float(lr.coefficients[0])), 4).alias("slope"),
-        F.round(F.lit(float(lr.intercept)), 4).alias("intercept"),
-        F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"), F.round("r2", 4).alias("r2"))
+        F.round(F.lit(float(lr.intercept)), 4).alias("intercept"), "mae", "rmse", "r2")
+
+
+def ols_pair(spark: SparkSession, prepared: DataFrame, f1: str = "split_250m",
+             f2: str = "reaction_time") -> DataFrame:
+    """Two-feature least squares fitted with pyspark.ml, with in-sample metrics (4 digits)."""
+    model = linear_regression([f1, f2]).fit(prepared)
+    lr = model.stages[-1]
+    return metrics(model.transform(prepared), digits=(4, 4, 4)).select(
+        F.round(F.lit(float(lr.coefficients[0])), 4).alias(f"b_{f1}"),
+        F.round(F.lit(float(lr.coefficients[1])), 4).alias(f"b_{f2}"),
+        F.round(F.lit(float(lr.intercept)), 4).alias("intercept"), "mae", "rmse", "r2")
+
+
+def holdout_metrics(prepared, estimators: dict) -> DataFrame:
+    """M08's measure for any set of estimators: each fitted on the training rows, measured on the test rows."""
+    tagged, train, test = _split(prepared)
+    try:
+        rows = [(name, *metrics(est.fit(train).transform(test)).first()) for name, est in estimators.items()]
+    finally:
+        tagged.unpersist()
+    return tagged.sparkSession.createDataFrame(rows, "model_name string, mae double, rmse double, r2 double")
 
 
 # --------------------------------------------------------------------------- A07: example prediction
@@ -292,18 +317,3 @@ def prediction_example(spark: SparkSession, model: PipelineModel, predict_fn=Non
     df = spark.createDataFrame([tuple(float(row[c]) for c in cols)], ", ".join(f"{c} double" for c in cols))
     out = (predict_fn or predict)(model, df)
     return out.select("predicted_time", format_seconds(F.col("predicted_time")).alias("formatted"))
-
-
-def ols_pair(spark: SparkSession, prepared: DataFrame, f1: str = "split_250m",
-             f2: str = "reaction_time") -> DataFrame:
-    """Two-feature least squares fitted with pyspark.ml, with in-sample metrics (4 digits)."""
-    model = linear_regression([f1, f2]).fit(prepared)
-    lr = model.stages[-1]
-    e = F.col("prediction") - F.col(LABEL)
-    return model.transform(prepared).agg(
-        F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-        (1 - F.try_divide(F.sum(e * e), F.var_pop(LABEL) * F.count(F.lit(1)))).alias("r2")).select(
-        F.round(F.lit(float(lr.coefficients[0])), 4).alias(f"b_{f1}"),
-        F.round(F.lit(float(lr.coefficients[1])), 4).alias(f"b_{f2}"),
-        F.round(F.lit(float(lr.intercept)), 4).alias("intercept"),
-        F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"), F.round("r2", 4).alias("r2"))

@@ -122,13 +122,17 @@ def year_range(rows: DataFrame, start: int, end: int) -> DataFrame:
 
 # --------------------------------------------------------------------------- competition pages
 
-def event_links(portal_pages: DataFrame, base_url: str = DEFAULT_BASE_URL) -> DataFrame:
-    """400 m freestyle events of each page with their result link and sex."""
+def event_links(portal_pages: DataFrame, base_url: str = DEFAULT_BASE_URL, exclude_25: bool = True) -> DataFrame:
+    """400 m freestyle events of each page with their result link and sex.
+
+    ``exclude_25=False`` is the older event test, which lets texts with 25 pass.
+    """
     rows = page_rows(portal_pages, keep=["url", "page_id"])
     text = visible_text(F.regexp_extract("row_html", ROUND_TEXT, 1))
     links = F.regexp_extract_all(F.col("row_html"), F.lit(TWO_LINK), 1)
-    is_event = (upper_contains(text, EVENT_WORDS[0]) & upper_contains(text, EVENT_WORDS[1])
-                & ~upper_contains(text, EVENT_EXCLUDE))
+    is_event = upper_contains(text, EVENT_WORDS[0]) & upper_contains(text, EVENT_WORDS[1])
+    if exclude_25:
+        is_event = is_event & ~upper_contains(text, EVENT_EXCLUDE)
     second = F.when(F.size(links) >= 2, F.get(links, 1))
     sex = F.when(upper_contains(text, "WOMEN"), "F").when(upper_contains(text, "MEN"), "M")
     return (rows.select("url", "page_id", "row_pos", is_event.alias("is_event"),

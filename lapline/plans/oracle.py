@@ -6,8 +6,12 @@ SQL over the driver's views; each query's oracle builds on these CTEs.
 
 from __future__ import annotations
 
-from lapline.functions.text import EOL_PY, NOISE_PATTERNS_PY, PY_SPACE_CLASS
-from lapline.operators.weblinks import ANCHOR_HREF
+# Stated here anew, so that a wrong pattern in the engine shows.
+_SPACE = r"[\t-\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_EOL = r"\r\n|[\n-\r\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+_NOISE = ("(?i)^(?:Legend|R\\.T\\.|Timing|SWM\\d|Record\\s+Splits|(?:WR|WC|CR|AR|US)\\s|\\d+:\\d{2}\\.\\d{2}\\s+\\d+:\\d{2}|Rank|NOC|Code|Points|"
+          "Behind|Results|R.sultats|Name\\s+(?:Club|NOC)|Page\\s+\\d|Report\\s+Created|FINA/|Event\\s+\\d|Final\\s*[ABC]?\\s*(?:Event|$))")
+_HREF = r"""<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
 
 BASE_URL = "https://results.example.org"
 
@@ -26,21 +30,19 @@ def _split_cs_sql() -> str:
 
 
 RESULTS_CS = f"""
-rc_pos AS (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS pos
-  FROM lineitem),
-rc_t AS (SELECT *, 22000 + (l_partkey * 37 + l_suppkey * 11 + pos * 13) % 6000 AS f_cs FROM rc_pos),
+rc_t AS (SELECT *, 22000 + (l_partkey * 37 + l_suppkey * 11 + l_linenumber * 13) % 6000 AS f_cs FROM lineitem),
 rc AS (
   SELECT '{BASE_URL}/File/R' || CAST(l_orderkey AS VARCHAR) || '.pdf' AS Link,
   CASE WHEN l_orderkey % 2 = 0 THEN 'M' ELSE 'F' END AS sex,
-  CASE WHEN pos <= 4 THEN 'Final A' WHEN pos <= 8 THEN 'Final B' ELSE 'Final C' END AS heat,
-  CAST(pos AS INTEGER) AS "rank", CAST(l_linenumber AS INTEGER) AS lane,
+  CASE WHEN l_linenumber <= 3 THEN 'Final A' WHEN l_linenumber <= 6 THEN 'Final B' ELSE 'Final C' END AS heat,
+  CAST(l_linenumber AS INTEGER) AS "rank", CAST(l_linenumber AS INTEGER) AS lane,
   'SWIM' || chr(CAST(65 + l_suppkey % 26 AS INTEGER)) AS last_name,
   'Ann' || chr(CAST(97 + l_partkey % 26 AS INTEGER))
         || CASE WHEN l_partkey % 29 = 0 THEN ' S9' ELSE '' END AS first_name,
   CASE WHEN l_linenumber % 5 = 0 THEN NULL ELSE 55 + l_partkey % 40 END AS reaction_cs,
 {_split_cs_sql()},
-  CASE WHEN l_suppkey % 23 = 0 THEN NULL ELSE f_cs END AS final_time_cs
+  CASE WHEN l_suppkey % 23 = 0 THEN NULL ELSE f_cs END AS final_time_cs,
+  CAST(l_suppkey // 25 AS BIGINT) AS session, l_orderkey, l_linenumber, l_partkey, l_suppkey
   FROM rc_t)"""
 
 
@@ -138,15 +140,14 @@ QUERY_SQL = {
 
 _RAW_COLS = ['Link', 'heat', '"rank"', 'lane', 'last_name', 'first_name', 'reaction_time',
              *_SPLITS, 'final_time']
-_STRIP = f"'^{PY_SPACE_CLASS}+|{PY_SPACE_CLASS}+$'"
-_NOISE_RE2 = "(?i)^(?:" + "|".join(p[1:] for p in NOISE_PATTERNS_PY) + ")"
+_STRIP = f"'^{_SPACE}+|{_SPACE}+$'"
 LINE_SEARCH_PATTERN = r"[A-Z][a-z]+ (?:the|de|la|der|und|el) "
 
 _DOC_LINES = f"""
-dl_parts AS (SELECT doc_id, text, regexp_split_to_array(text, '{EOL_PY}') AS parts
+dl_parts AS (SELECT doc_id, text, regexp_split_to_array(text, '{_EOL}') AS parts
              FROM documents WHERE text IS NOT NULL),
 dl_arr AS (SELECT doc_id, CASE WHEN text = '' THEN []::VARCHAR[]
-                  WHEN regexp_matches(text, '(?:{EOL_PY})\\z') THEN parts[1:len(parts) - 1]
+                  WHEN regexp_matches(text, '(?:{_EOL})\\z') THEN parts[1:len(parts) - 1]
                   ELSE parts END AS arr FROM dl_parts),
 dl_raw AS (SELECT doc_id, unnest(range(0, len(arr))) AS line_no, unnest(arr) AS raw_line FROM dl_arr),
 dl AS (SELECT doc_id, CAST(line_no AS INTEGER) AS line_no,
@@ -159,9 +160,9 @@ nl AS (SELECT doc_id, CAST(unnest(range(0, len(arr))) AS INTEGER) AS line_no, un
 QUERY_SQL.update({
     "parse_sheets": with_raw("SELECT " + ", ".join(_RAW_COLS) + " FROM raw WHERE final_time IS NOT NULL"),
     "sheet_sections": "WITH " + RESULTS_CS + """
-SELECT Link, CAST(dense_rank() OVER (PARTITION BY Link ORDER BY heat) AS INTEGER) AS section, heat,
-       CAST(2 + 2 * count(*) AS BIGINT) AS n_lines
-FROM rc WHERE final_time_cs IS NOT NULL GROUP BY Link, heat""",
+SELECT Link, session, CAST(row_number() OVER (PARTITION BY Link, session ORDER BY heat) AS INTEGER) AS section, heat,
+       CAST(2 + sum(CASE WHEN final_time_cs IS NULL THEN 1 ELSE 2 END) AS BIGINT) AS n_lines
+FROM rc GROUP BY Link, session, heat""",
     "sheet_head": with_raw("SELECT " + ", ".join(_RAW_COLS) + """ FROM (
   SELECT *, row_number() OVER (PARTITION BY Link ORDER BY heat, "rank", lane, last_name, first_name) AS i
   FROM raw WHERE final_time IS NOT NULL) WHERE i <= 2"""),
@@ -169,7 +170,7 @@ FROM rc WHERE final_time_cs IS NOT NULL GROUP BY Link, heat""",
     "document_noise": "WITH " + _DOC_LINES + f"""
 SELECT a.doc_id, CAST(len(a.arr) AS BIGINT) AS lines, CAST(coalesce(c.n, 0) AS BIGINT) AS noise_lines
 FROM dl_arr a LEFT JOIN (
-  SELECT doc_id, count(*) AS n FROM dl WHERE line = '' OR regexp_matches(line, '{_NOISE_RE2}')
+  SELECT doc_id, count(*) AS n FROM dl WHERE line = '' OR regexp_matches(line, '{_NOISE}')
   GROUP BY doc_id) c ON a.doc_id = c.doc_id""",
     "document_peek": "SELECT doc_id, substring(replace(text, chr(173), '-'), 1, 1200) "
                      "AS head FROM documents",
@@ -189,8 +190,9 @@ evt AS (SELECT *, '{BASE_URL}/' || CAST(y AS VARCHAR) || '/comp-' || CAST(c AS V
             || CASE WHEN c % 10 = 0 THEN ' Short Course' ELSE '' END AS competition,
           CASE WHEN k % 7 = 0 THEN 'X' WHEN k % 2 = 0 THEN 'M' ELSE 'F' END AS sx,
           (k % 5 <> 0 AND k % 11 <> 0 AND k % 13 <> 0) AS listed,
+          (k % 5 <> 0 AND k % 13 <> 0) AS listed_with_25,
           '{BASE_URL}/File/R' || CAST(k AS VARCHAR) || '.pdf' AS link,
-          row_number() OVER (PARTITION BY c, y ORDER BY dt, k) AS pos
+          k AS pos
         FROM ev),
 portal AS (SELECT comp_url AS url,
           max_by(link, pos) FILTER (WHERE sx = 'M' AND listed) AS mens_400_free_pdf,
@@ -198,14 +200,14 @@ portal AS (SELECT comp_url AS url,
         FROM evt GROUP BY comp_url
         HAVING count(*) FILTER (WHERE sx IN ('M', 'F') AND listed) > 0),
 comps AS (SELECT DISTINCT y AS year, competition, comp_url AS href FROM evt
-          WHERE k % 8 <> 3 AND k % 19 <> 0 AND y BETWEEN 1990 AND 2002),
+          WHERE k % 8 <> 3 AND k % 19 <> 0 AND y BETWEEN 1996 AND 2000),
 linktab AS (SELECT year, competition, mens_400_free_pdf, womens_400_free_pdf
           FROM comps JOIN portal ON comps.href = portal.url
           WHERE NOT (upper(competition) LIKE '%25M%' OR upper(competition) LIKE '%SHORT COURSE%'))"""
 
 QUERY_SQL.update({
     "page_anchor_links": r"""
-WITH pa AS (SELECT page_id, url, regexp_extract_all(html, '""" + ANCHOR_HREF.replace("'", "''") + r"""', 1) AS arr FROM pages),
+WITH pa AS (SELECT page_id, url, regexp_extract_all(html, '""" + _HREF.replace("'", "''") + r"""', 1) AS arr FROM pages),
 pr AS (SELECT page_id, url, unnest(range(0, len(arr))) AS pos, unnest(arr) AS href FROM pa),
 pb AS (SELECT page_id, CAST(pos AS INTEGER) AS pos, href,
          CASE WHEN starts_with(href, '/')
@@ -218,7 +220,7 @@ SELECT page_id, pos, href, abs_url, string_split(abs_url, '/')[-1] AS file_name
     "link_year_counters": "WITH " + _EVENTS + """
 SELECT CAST(r.range AS INTEGER) AS year,
        CAST(coalesce(f.n, 0) AS BIGINT) AS found, CAST(coalesce(s.n, 0) AS BIGINT) AS saved
-FROM range(1990, 2003) r
+FROM range(1996, 2001) r
 LEFT JOIN (SELECT year, count(*) AS n FROM comps GROUP BY year) f ON f.year = r.range
 LEFT JOIN (SELECT year, count(*) AS n FROM linktab GROUP BY year) s ON s.year = r.range""",
 })
@@ -349,3 +351,114 @@ QUERY_SQL["holdout_sizes"] = "WITH " + _PREPARED + f"""
 SELECT ({_row_hash_sql(42)} % 10000) < 2000 AS is_test, count(*) AS count FROM prepared GROUP BY 1"""
 QUERY_SQL["fold_sizes"] = "WITH " + _PREPARED + f"""
 SELECT CAST({_row_hash_sql(43)} % 5 AS INTEGER) AS fold, count(*) AS count FROM prepared GROUP BY 1"""
+
+
+# --------------------------------------------------------------------------- mixed sheets: known by construction
+# The layouts of ``render_mixed_sheets``.  A swimmer without a splits line (3) that is followed, in its heat, by one
+# whose own line holds a split (4) takes that line as its splits, and the other is no swimmer.
+_MIXED = RAW + """,
+mx0 AS (SELECT rc.*, (l_partkey * 7 + l_suppkey * 3 + l_linenumber) % 12 AS k FROM rc WHERE final_time_cs IS NOT NULL),
+mx AS (SELECT *, lag(k) OVER w AS before, lead(k) OVER w AS after FROM mx0
+       WINDOW w AS (PARTITION BY Link, session, heat ORDER BY l_linenumber, l_partkey, l_suppkey))"""
+
+
+def _mixed_split(c: str) -> str:
+    taken = "'11.11'" if c == "split_50m" else "NULL"
+    return f"CASE WHEN k = 3 AND after = 4 THEN {taken} WHEN k = 3 THEN NULL ELSE {time_text(c + '_cs')} END AS {c}"
+
+
+QUERY_SQL["parse_sheets_mixed"] = "WITH " + _MIXED + """
+SELECT Link, CASE WHEN l_orderkey % 4 = 1 THEN lower(heat) ELSE heat END AS heat, "rank", lane,
+       CASE k WHEN 6 THEN 'O-' || last_name WHEN 7 THEN 'VAN DE ' || last_name ELSE last_name END AS last_name,
+       CASE k WHEN 7 THEN first_name || ' Lea' ELSE first_name END AS first_name, """ + secs("reaction_cs") + """ AS reaction_time,
+       """ + ",\n".join(_mixed_split(c) for c in _SPLITS) + ", " + time_text("final_time_cs") + """ AS final_time
+FROM mx WHERE NOT (k = 4 AND before IS NOT DISTINCT FROM 3)"""
+
+# --------------------------------------------------------------------------- models checked by their normal equations
+_TEST = f"({_row_hash_sql(42)} % 10000) < 2000"
+_FOLD = f"CAST({_row_hash_sql(43)} % 5 AS INTEGER)"
+_LINEAR = ("split_50m", "split_150m", "split_250m", "reaction_time")
+
+
+def _holdout_sql(feature: str) -> str:
+    return f"""
+SELECT 'Linear {feature}' AS model_name, round(avg(abs(e)), 3) AS mae, round(sqrt(avg(e * e)), 3) AS rmse,
+       round(1 - sum(e * e) / (var_pop(final_time) * count(*)), 4) AS r2
+FROM (SELECT final_time, (SELECT regr_intercept(final_time, {feature}) FROM tagged WHERE NOT is_test)
+        + (SELECT regr_slope(final_time, {feature}) FROM tagged WHERE NOT is_test) * {feature} - final_time AS e
+      FROM tagged WHERE is_test)"""
+
+
+_TAGGED = _PREPARED + f""",
+tagged AS (SELECT *, {_TEST} AS is_test, {_FOLD} AS fold FROM prepared)"""
+
+_SCORED = _TAGGED + """,
+lin AS (SELECT regr_slope(final_time, split_250m) AS b, regr_intercept(final_time, split_250m) AS a FROM tagged WHERE NOT is_test),
+scored AS (SELECT prepared.*, a + b * split_250m AS predicted_time, a + b * split_250m - final_time AS residual FROM prepared, lin)"""
+
+_PAIR_FIT = """,
+pm AS (SELECT var_pop(split_250m) AS s11, var_pop(reaction_time) AS s22, covar_pop(split_250m, reaction_time) AS s12,
+       covar_pop(split_250m, final_time) AS c1, covar_pop(reaction_time, final_time) AS c2,
+       avg(split_250m) AS m1, avg(reaction_time) AS m2, avg(final_time) AS my FROM prepared),
+pb AS (SELECT (s22 * c1 - s12 * c2) / (s11 * s22 - s12 * s12) AS b1, (s11 * c2 - s12 * c1) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my FROM pm),
+pair AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS a FROM pb)"""
+_FORMAT = ("printf('%.2fs (%d:%05.2f)', p, CAST(floor(p / 60) AS BIGINT), p - 60 * floor(p / 60))")
+
+QUERY_SQL.update({
+    "linear_holdout": "WITH " + _TAGGED + "\nSELECT *, printf('%.3fs', mae) AS label FROM (" + "\nUNION ALL".join(_holdout_sql(c) for c in _LINEAR) + ")",
+    "polynomial_holdout": "WITH " + _TAGGED + """,
+z AS (SELECT final_time, is_test, split_250m - (SELECT avg(split_250m) FROM tagged WHERE NOT is_test) AS x FROM tagged),
+m AS (SELECT var_pop(x) AS s11, var_pop(x * x) AS s22, covar_pop(x, x * x) AS s12, covar_pop(x, final_time) AS c1,
+      covar_pop(x * x, final_time) AS c2, avg(x) AS m1, avg(x * x) AS m2, avg(final_time) AS my FROM z WHERE NOT is_test),
+b AS (SELECT (s22 * c1 - s12 * c2) / (s11 * s22 - s12 * s12) AS b1, (s11 * c2 - s12 * c1) / (s11 * s22 - s12 * s12) AS b2, m1, m2, my FROM m),
+e AS (SELECT final_time, my + b1 * (x - m1) + b2 * (x * x - m2) - final_time AS e FROM z, b WHERE is_test)
+SELECT 'Polynomial split_250m' AS model_name, round(avg(abs(e)), 3) AS mae, round(sqrt(avg(e * e)), 3) AS rmse,
+       round(1 - sum(e * e) / (var_pop(final_time) * count(*)), 4) AS r2 FROM e""",
+    "linear_cv": "WITH " + _TAGGED + "\n" + "\nUNION ALL\n".join(f"""
+SELECT 'Linear {c}' AS model_name, round(avg(mae), 3) AS mae FROM (
+  SELECT t.fold, avg(abs(a + b * {c} - final_time)) AS mae FROM tagged t JOIN (
+    SELECT f.fold, regr_slope(final_time, {c}) AS b, regr_intercept(final_time, {c}) AS a
+    FROM tagged t JOIN (SELECT DISTINCT fold FROM tagged) f ON t.fold <> f.fold GROUP BY f.fold) m ON t.fold = m.fold
+  GROUP BY t.fold)""" for c in _LINEAR),
+    "linear_by_distance": "WITH " + _TAGGED + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS splits_used, CAST({2 * i + 2} AS INTEGER) AS n_features, mae, CAST({50 * i + 50} AS INTEGER) AS distance_m FROM ({_holdout_sql(c)})"
+        for i, c in enumerate(_SPLITS[:5])),
+    "linear_scored": "WITH " + _SCORED + """
+SELECT Link, heat, "rank", lane, last_name, first_name, round(predicted_time, 6) AS predicted_time, round(residual, 6) AS residual FROM scored""",
+    "linear_surprises": "WITH " + _SCORED + """
+SELECT last_name, first_name, final_time, round(predicted_time, 4) AS predicted_time, round(residual, 4) AS residual FROM scored
+ORDER BY residual DESC NULLS LAST, last_name NULLS FIRST, first_name NULLS FIRST, final_time NULLS FIRST, predicted_time NULLS FIRST LIMIT 5""",
+    "linear_residual_histogram": "WITH " + _SCORED + """,
+v AS (SELECT round(residual, 4) AS v FROM scored),
+r AS (SELECT min(v) AS lo, max(v) AS hi FROM v),
+c AS (SELECT CAST(least(floor((v - lo) * (CAST(40 AS DOUBLE) / (hi - lo))), 39) + 1 AS INTEGER) AS bin, count(*) AS n FROM v, r GROUP BY 1)
+SELECT CAST(b.range AS INTEGER) AS bin, round(lo + (b.range - 1) * ((hi - lo) / 40), 6) AS lo_edge, round(lo + b.range * ((hi - lo) / 40), 6) AS hi_edge,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n FROM range(1, 41) b CROSS JOIN r LEFT JOIN c ON c.bin = b.range""",
+    "predict_from_text": "WITH " + _PREPARED + _PAIR_FIT + """
+SELECT Link, heat, "rank", lane, """ + ", ".join(f"{secs(c + '_cs')} AS {c}" for c in _SPLITS[:5]) + """,
+       coalesce(""" + secs("reaction_cs") + """, 0.72) AS reaction_time,
+       round(a + b1 * """ + secs("split_250m_cs") + " + b2 * coalesce(" + secs("reaction_cs") + """, 0.72), 2) AS predicted_time FROM rc, pair""",
+    "prediction_example": "WITH " + _PREPARED + _PAIR_FIT + f"""
+SELECT p AS predicted_time, {_FORMAT} AS formatted FROM (SELECT round(a + b1 * 140.97 + b2 * 0.73, 2) AS p FROM pair)""",
+    "strict_times": "WITH " + RESULTS_CS + """
+SELECT Link, "rank", lane, last_name, first_name, """ + ", ".join(f"{secs_table(c + '_cs')} AS {c}" for c in _TIME_COLS) + " FROM rc",
+    "labelled_results": with_raw("SELECT " + ", ".join(_RAW_COLS) + ", CASE sex WHEN 'M' THEN 'Men' ELSE 'Women' END AS sex FROM raw"),
+    "portal_links_with_25": "WITH " + _EVENTS.replace("AND listed)", "AND listed_with_25)") + "\nSELECT * FROM portal",
+    "ingest_in_batches": QUERY_SQL["parse_sheets"],
+})
+
+
+def _named_sql(title: str, name: str, columns: list[str]) -> str:
+    shown = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+    body = QUERY_SQL[name]
+    return f"SELECT '{title.replace(chr(39), chr(39) * 2)}' AS title, concat_ws('|', {shown}) AS row FROM ({body})"
+
+
+QUERY_SQL["named_queries"] = "\nUNION ALL\n".join(_named_sql(*x) for x in (
+    ("Top 10 fastest men's swims", "fastest_men", ["first_name", "last_name", "final_time"]),
+    ("Top 10 fastest women's swims", "fastest_women", ["first_name", "last_name", "final_time"]),
+    ("Average final time by sex", "avg_final_by_sex", ["sex", "avg_final_time"]),
+    ("Average reaction time by sex", "avg_reaction_by_sex", ["sex", "avg_reaction_time"]),
+    ("Rows missing late splits", "missing_late_splits", ["missing_late_splits"]),
+    ("Swimmers parsed per race", "swimmers_per_race_top10", ["Link", "swimmer_count"]),
+    ("Fastest swim per race", "fastest_per_race_top10", ["Link", "fastest_time"])))

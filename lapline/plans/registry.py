@@ -7,13 +7,14 @@ SQL can express.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapline import schema as S
-from lapline.functions.times import format_seconds
+from lapline.functions.times import format_seconds, time_to_seconds
 from lapline.operators import clean as C
 from lapline.operators import ingest as K
 from lapline.operators import model as M
@@ -75,14 +76,19 @@ def _sheets(spark, d):
     return FX.render_sheets(spark, d).select("Link", "text")
 
 
+def _sections(spark, d):
+    found = P.sections(FX.render_sheets(spark, d).select("Link", "session", "text"))
+    return found.select("Link", "session", "section", "heat",
+                        F.size(P.splitlines(F.col("section_text"))).cast("bigint").alias("n_lines"))
+
+
 def _docs(spark, d):
-    return T.spread_input(read_table(spark, d, "documents").select("doc_id", "text"))
+    return read_table(spark, d, "documents").select("doc_id", "text")
 
 
 register("parse_sheets")(lambda spark, d: P.parse_sheets(_sheets(spark, d)))
-register("sheet_sections")(lambda spark, d: P.sections(_sheets(spark, d)).select(
-    "Link", "section", "heat",
-    F.size(P.splitlines(F.col("section_text"))).cast("bigint").alias("n_lines")))
+register("parse_sheets_mixed")(lambda spark, d: P.parse_sheets(FX.render_mixed_sheets(spark, d)))
+register("sheet_sections")(_sections)
 register("sheet_head")(lambda spark, d: P.head_per_document(P.parse_sheets(_sheets(spark, d)), 2))
 register("document_lines")(lambda spark, d: P.lines_of(_docs(spark, d), keep=["doc_id"]))
 register("document_noise")(lambda spark, d: P.noise_summary(_docs(spark, d), "doc_id"))
@@ -94,7 +100,7 @@ register("document_line_search")(
 
 # --------------------------------------------------------------------------- S14, L01-L14 (stored pages)
 
-YEARS = (1990, 2002)
+YEARS = (1996, 2000)  # the tables hold 1995 to 2001
 
 register("page_anchor_links")(lambda spark, d: L.anchor_links(T.read_html_pages(spark, d)))
 register("portal_links")(
@@ -116,7 +122,7 @@ register("link_year_counters")(
 
 def _parsed_by_sex(spark, d):
     """Rendered sheets parsed, split into the men's and women's frames by the sheet's list."""
-    parsed = P.parse_sheets(FX.render_sheets(spark, d))
+    parsed = P.parse_sheets(FX.render_sheets(spark, d).drop("session"))
     men = parsed.filter(F.col("sex") == "M").drop("sex")
     women = parsed.filter(F.col("sex") == "F").drop("sex")
     return men, women
@@ -170,18 +176,11 @@ register("residual_histogram")(lambda spark, d: A.histogram(spark, _scored(spark
 
 
 def _resumed(spark, d):
-    """Two ingest runs: the first over the links whose md5 starts with 0-7, the second over all.
-
-    The link list and the documents are stored inputs in the reference (a CSV
-    and fetched files); here each is written once to the shared checkpoint
-    folder and both runs read it, as do the first run's results.
-    """
-    ensure_checkpoint_dir(spark)
-    links = K.link_lists(_links(spark, d)).checkpoint(eager=True)
-    docs = FX.render_sheets(spark, d).select("Link", "text").checkpoint(eager=True)
-    first_half = links.filter(F.substring(F.md5("Link"), 1, 1) < "8")
-    earlier, _ = K.ingest(first_half, docs, S.empty(spark, S.RAW_RESULTS))
-    return K.ingest(links, docs, earlier.checkpoint(eager=True))
+    """Two ingest runs in one lazy plan: the first over the links whose md5 starts with 0-7, the second over all."""
+    links = K.link_lists(_links(spark, d))
+    docs = _sheets(spark, d)
+    earlier, _ = K.ingest(links.filter(F.substring(F.md5("Link"), 1, 1) < "8"), docs, S.empty(spark, S.RAW_RESULTS))
+    return K.ingest(links, docs, earlier)
 
 
 register("link_lists")(lambda spark, d: K.link_lists(_links(spark, d)))
@@ -190,20 +189,88 @@ register("ingest_second_run_rows")(lambda spark, d: _resumed(spark, d)[1].groupB
 register("ingest_report")(lambda spark, d: K.report(K.link_lists(_links(spark, d)), _resumed(spark, d)[0]))
 
 
+def _two_feature_model(spark, d):
+    return M.linear_regression(["split_250m", "reaction_time"]).fit(_prepared(spark, d))
+
+
 def _predict_from_text(spark, d):
-    """A linear model fitted on the prepared rows, applied to the splits as printed (text)."""
-    model = M.linear_regression().fit(_prepared(spark, d))
-    raw = FX.raw_results(spark, d).filter(F.col("final_time").isNotNull())
-    return M.predict(model, raw.select("Link", "heat", "rank", "lane", "reaction_time", *S.FEATURE_SPLITS))
+    """A two-feature linear model applied to every row's splits as printed (text)."""
+    raw = FX.raw_results(spark, d)
+    out = M.predict(_two_feature_model(spark, d), raw.select("Link", "heat", "rank", "lane", "reaction_time", *S.FEATURE_SPLITS))
+    return out.select("Link", "heat", "rank", "lane", *S.FEATURE_SPLITS, "reaction_time", "predicted_time")
 
 
 register("predict_from_text")(_predict_from_text)
+register("prediction_example")(lambda spark, d: M.prediction_example(spark, _two_feature_model(spark, d)))
+
+
+# --------------------------------------------------------------------------- models that SQL can check: one or two features
+
+def _linear_scored(spark, d):
+    """M13 with a one-feature linear model fitted on the training rows."""
+    prepared = _prepared(spark, d)
+    tagged = M.holdout(prepared)
+    model = M.linear_regression(["split_250m"]).fit(tagged.filter(~F.col("is_test")))
+    return M.predict_batch(model, prepared)
+
+
+LINEAR = {f"Linear {c}": [c] for c in ("split_50m", "split_150m", "split_250m", "reaction_time")}
+
+register("linear_holdout")(lambda spark, d: A.with_label(A.sort_by_error(M.holdout_metrics(
+    _prepared(spark, d), {name: M.linear_regression(cols) for name, cols in LINEAR.items()})), "mae", "%.3f", "s"))
+register("polynomial_holdout")(lambda spark, d: M.holdout_metrics(
+    _prepared(spark, d), {"Polynomial split_250m": M.polynomial_regression(2, ["split_250m"])}))
+register("linear_cv")(lambda spark, d: M.compare_models_cv(
+    spark, _prepared(spark, d), models={name: M.linear_regression(cols) for name, cols in LINEAR.items()}))
+register("linear_by_distance")(lambda spark, d: A.error_by_distance(M.progressive_accuracy(
+    spark, _prepared(spark, d), estimator=lambda feats: M.linear_regression([[c for c in feats if c.startswith("split_")][-1]]))))
+register("linear_scored")(lambda spark, d: _linear_scored(spark, d).select(
+    "Link", "heat", "rank", "lane", "last_name", "first_name", F.round("predicted_time", 6).alias("predicted_time"),
+    F.round("residual", 6).alias("residual")))
+register("linear_surprises")(lambda spark, d: A.biggest_surprises(
+    _linear_scored(spark, d).withColumn("residual", F.round("residual", 4)).withColumn("predicted_time", F.round("predicted_time", 4)), 5))
+register("linear_residual_histogram")(lambda spark, d: A.histogram(
+    spark, _linear_scored(spark, d).select(F.round("residual", 4).alias("residual")), "residual", 40).select(
+    "bin", F.round("lo_edge", 6).alias("lo_edge"), F.round("hi_edge", 6).alias("hi_edge"), "n"))
+
+
+# --------------------------------------------------------------------------- F03, C02, K10, Q11, L07
+
+register("strict_times")(lambda spark, d: FX.raw_results(spark, d).select(
+    "Link", "rank", "lane", "last_name", "first_name", *[time_to_seconds(F.col(c), "strict").alias(c) for c in S.TIME_COLS]))
+register("labelled_results")(lambda spark, d: C.tag_and_union(*[
+    FX.raw_results(spark, d).filter(F.col("sex") == s).drop("sex") for s in ("M", "F")], labels=("Men", "Women")))
+register("portal_links_with_25")(
+    lambda spark, d: L.links_per_competition(L.event_links(FX.portal_pages(spark, d), exclude_25=False)))
+
+
+def _stored_in_batches(spark, d):
+    """All sheets ingested into a stored table in four batches."""
+    output = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lapline-stored-{uuid.uuid4().hex}"
+    docs = _sheets(spark, d)
+    return K.ingest_to_path(spark, docs.select("Link").distinct(), docs, output, batches=4)
+
+
+register("ingest_in_batches")(_stored_in_batches)
+
+
+def _named(spark, d):
+    """Q11: every named query over the stored table, one row per result row, its values as text."""
+    out = None
+    for title, frame in Q.run_named_queries(_typed(spark, d)).items():
+        row = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in frame.columns])
+        part = frame.select(F.lit(title).alias("title"), row.alias("row"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+register("named_queries")(_named)
 
 
 # --------------------------------------------------------------------------- S12 (page form), S13, F04
 
 register("parse_sheet_pages")(
-    lambda spark, d: P.parse_sheets(T.join_pages(FX.render_sheet_pages(spark, d))))
+    lambda spark, d: P.parse_sheets(T.join_pages(FX.render_sheet_pages(spark, d), ("Link", "session")).drop("session")))
 register("seed_list")(lambda spark, d: T.read_seed_list(
     K.link_lists(_links(spark, d)).select(F.col("Link").alias("pdf_url"))))
 register("formatted_final_times")(lambda spark, d: _typed(spark, d).filter(F.col("final_time").isNotNull())

@@ -1,12 +1,17 @@
 """Race data derived from the driver tables, so every job grows with them.
 
 * ``canonical_results``: one swimmer row per ``lineitem`` row; a race is an
-  order.  Times are made from the row's keys as integer hundredths.
+  order, the rank is the line number (lines that share one are tied).  Every
+  value is made from the row's own keys, so this is a scan and a projection.
 * ``raw_results``: the same rows as the parser emits them (times as text).
-* ``render_sheets``: one result-sheet text per race, in the layout the parser
-  reads.  Parsing them must give back ``raw_results`` (rows with a final time).
+* ``render_sheets``: result-sheet texts, one per race and session, in the layout
+  the parser reads.  A session holds the swimmers of ``SESSION_SUPPLIERS``
+  suppliers, so a race with many rows has many sheets.  Parsing them must
+  give back ``raw_results`` (rows with a final time; the others are DSQ lines).
+* ``render_mixed_sheets``: the same swimmers in a dozen messy layouts.
 * ``portal_pages`` / ``competition_list_pages``: HTML rendered from ``orders``:
-  a competition is one customer's orders in one year, an event is one order.
+  a competition is one customer's orders in one year, an event is one order;
+  a page holds the orders of one block of ``PAGE_KEYS`` order keys.
 
 The exact same definitions exist as DuckDB SQL in ``lapline.plans.oracle``.
 """
@@ -18,15 +23,13 @@ from pyspark.sql import functions as F
 
 from lapline import schema as S
 from lapline.functions.times import small_idiv as idiv
-from lapline.operators.ranking import row_number_by_key
 from lapline.sources.tables import read_table
 
 # Fixed values of the fixture layout (shared with the SQL oracle).
 BASE_URL = "https://results.example.org"
 EVENT_NO = "105"
-SHEET_ROWS = 200          # swimmers per generated sheet document
-PAGE_EVENTS = 500         # events per generated competition page
-LIST_ROWS = 1000          # rows per generated result-list page
+SESSION_SUPPLIERS = 25    # suppliers whose swimmers share a sheet of a race
+PAGE_KEYS = 64            # order keys whose events share a page
 
 
 def race_link(orderkey: F.Column) -> F.Column:
@@ -48,21 +51,16 @@ def _time_text(cs: F.Column) -> F.Column:
 
 def results_cs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical swimmer rows with every time as integer hundredths (``*_cs``)."""
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    # A race is an order.  Ranks follow (line number, part, supplier); rows that
-    # tie on these are equal in every column used below, so the multiset of rows
-    # is the same whichever way the tie falls, and the scan reads only these
-    # four columns.  The ranking stays distributed even if one order is huge.
-    r = row_number_by_key(li, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], out="pos")
+    r = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     f_cs = F.lit(22000) + F.pmod(F.col("l_partkey") * 37 + F.col("l_suppkey") * 11
-                                 + F.col("pos") * 13, F.lit(6000))
+                                 + F.col("l_linenumber") * 13, F.lit(6000))
     r = r.withColumn("f_cs", f_cs)
     cols = [
         race_link(F.col("l_orderkey")).alias("Link"),
         F.when(F.pmod("l_orderkey", F.lit(2)) == 0, "M").otherwise("F").alias("sex"),
-        F.when(F.col("pos") <= 4, "Final A").when(F.col("pos") <= 8, "Final B")
+        F.when(F.col("l_linenumber") <= 3, "Final A").when(F.col("l_linenumber") <= 6, "Final B")
          .otherwise("Final C").alias("heat"),
-        F.col("pos").cast("int").alias("rank"),
+        F.col("l_linenumber").cast("int").alias("rank"),
         F.col("l_linenumber").cast("int").alias("lane"),
         F.concat(F.lit("SWIM"), F.expr("chr(CAST(65 + pmod(l_suppkey, 26) AS INT))")).alias("last_name"),
         F.concat(F.lit("Ann"), F.expr("chr(CAST(97 + pmod(l_partkey, 26) AS INT))"),
@@ -77,6 +75,8 @@ def results_cs(spark: SparkSession, sf_dir: str) -> DataFrame:
         cols.append(v.alias(f"{c}_cs"))
     cols.append(F.when(F.pmod("l_suppkey", F.lit(23)) == 0, F.lit(None).cast("bigint"))
                 .otherwise(F.col("f_cs")).alias("final_time_cs"))
+    cols += [idiv(F.col("l_suppkey"), F.lit(SESSION_SUPPLIERS)).alias("session"),
+             F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("line_order")]
     return r.select(*cols)
 
 
@@ -101,38 +101,92 @@ def raw_results(spark: SparkSession, sf_dir: str, with_sex: bool = True) -> Data
     return cs.select(*out)
 
 
-def render_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One result-sheet text per race ``(Link, sex, text)`` from rows with a final time.
+def _splits_text(sep: str = " ") -> F.Column:
+    """``50m (1) {t} 100m (1) {t} ...`` with missing parts left out."""
+    parts = [F.when(F.col(f"{c}_cs").isNotNull(), F.concat(F.lit(f"{d}m (1) "), _time_text(F.col(f"{c}_cs"))))
+             for c, d in zip(S.TIME_SPLITS, S.SPLIT_DISTANCES)]
+    return F.concat_ws(sep, *parts)
+
+
+def _reaction_text() -> F.Column:
+    return F.when(F.col("reaction_cs").isNotNull(),
+                  F.concat(F.lit("0."), _two(F.col("reaction_cs")), F.lit(" "))).otherwise("")
+
+
+def _entry() -> F.Column:
+    """A swimmer's lines: ``{rank} {lane} {last} {first} USA [0.rr] {final}`` and the splits line;
+    without a final time one ``DSQ`` line, which the parser drops."""
+    name = F.concat(F.col("lane").cast("string"), F.lit(" "), F.col("last_name"), F.lit(" "), F.col("first_name"), F.lit(" USA"))
+    swimmer = F.concat(F.col("rank").cast("string"), F.lit(" "), name, F.lit(" "), _reaction_text(),
+                       _time_text(F.col("final_time_cs")), F.lit("\n"), _splits_text())
+    return F.when(F.col("final_time_cs").isNull(), F.concat(F.lit("DSQ "), name)).otherwise(swimmer)
+
 
-    Layout: ``Results``; per heat ``{heat} Event 105`` and ``Rank Lane Name``;
-    per swimmer ``{rank} {lane} {last} {first} USA [0.rr] {final}`` and a
-    splits line ``50m (1) {t} 100m (1) {t} ...`` with missing parts left out.
+def _sheet_texts(rows: DataFrame) -> DataFrame:
+    """``(Link, sex, session, header, line_order, entry)`` to one text per Link and session.
+
+    Layout: ``Results``; per heat its ``header`` and ``Rank Lane Name``; the entries in line order.
     """
-    cs = results_cs(spark, sf_dir).filter(F.col("final_time_cs").isNotNull())
-    reaction = F.when(F.col("reaction_cs").isNotNull(),
-                      F.concat(F.lit("0."), _two(F.col("reaction_cs")), F.lit(" "))).otherwise("")
-    swimmer = F.concat(F.col("rank").cast("string"), F.lit(" "), F.col("lane").cast("string"),
-                       F.lit(" "), F.col("last_name"), F.lit(" "), F.col("first_name"),
-                       F.lit(" USA "), reaction, _time_text(F.col("final_time_cs")))
-    split_parts = [F.when(F.col(f"{c}_cs").isNotNull(),
-                          F.concat(F.lit(f"{d}m (1) "), _time_text(F.col(f"{c}_cs"))))
-                   for c, d in zip(S.TIME_SPLITS, S.SPLIT_DISTANCES)]
-    entry = F.concat(swimmer, F.lit("\n"), F.concat_ws(" ", *split_parts), F.lit("\n"))
-    sheet = idiv(F.col("rank") - 1, F.lit(SHEET_ROWS))
-    rows = cs.select("Link", "sex", sheet.alias("sheet"), "rank", "heat", entry.alias("entry"))
-    # A document gathers at most SHEET_ROWS swimmers: a longer race continues on
-    # further sheets (same Link), each repeating the header of the heat it is in.
-    per_race = rows.groupBy("Link", "sex", "sheet").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "heat", "entry"))).alias("rows"))
+    per_sheet = rows.groupBy("Link", "sex", "session").agg(
+        F.array_sort(F.collect_list(F.struct("line_order", "header", "entry"))).alias("rows"))
     body = F.transform(
         "rows",
         lambda x, i: F.concat(
-            F.when((i == 0) | (F.get(F.col("rows"), i - 1)["heat"] != x["heat"]),
-                   F.concat(x["heat"], F.lit(f" Event {EVENT_NO}\nRank Lane Name\n")))
-             .otherwise(F.lit("")),
-            x["entry"]))
-    return per_race.select("Link", "sex",
-                           F.concat(F.lit("Results\n"), F.array_join(body, "")).alias("text"))
+            F.when((i == 0) | (F.get(F.col("rows"), i - 1)["header"] != x["header"]),
+                   F.concat(x["header"], F.lit("\nRank Lane Name\n"))).otherwise(F.lit("")),
+            x["entry"], F.lit("\n")))
+    return per_sheet.select("Link", "sex", "session", F.concat(F.lit("Results\n"), F.array_join(body, "")).alias("text"))
+
+
+def render_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result-sheet texts ``(Link, sex, session, text)``, one per race and session."""
+    cs = results_cs(spark, sf_dir)
+    header = F.concat(F.col("heat"), F.lit(f" Event {EVENT_NO}"))
+    return _sheet_texts(cs.select("Link", "sex", "session", header.alias("header"), "line_order", _entry().alias("entry")))
+
+
+MIXED_LAYOUTS = 12
+
+
+def mixed_layout(rows: DataFrame) -> F.Column:
+    """Which layout a swimmer of a mixed sheet has, from the row's keys."""
+    o = F.col("line_order")
+    return F.pmod(o["l_partkey"] * 7 + o["l_suppkey"] * 3 + o["l_linenumber"], F.lit(MIXED_LAYOUTS))
+
+
+def render_mixed_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messy sheets ``(Link, text)``: one layout per swimmer, lower-case headers in every fourth race.
+
+    Layouts: 0 plain; 1 ``=n`` rank; 2 ``Tn`` rank; 3 no splits line; 4 a decoy split on the swimmer line
+    itself; 5 a distance given twice; 6 a soft hyphen in the last name; 7 names of several words; 8 a
+    country code with a region; 9 noise lines before the splits; 10 wide brackets; 11 blanks and tabs
+    around the line.  Rows without a final time are DSQ lines.
+    """
+    cs = results_cs(spark, sf_dir)
+    k = mixed_layout(cs)
+    rank = F.concat(F.when(k == 1, "=").when(k == 2, "T").otherwise(""), F.col("rank").cast("string"))
+    last = (F.when(k == 6, F.concat(F.lit("O\u00ad"), F.col("last_name")))
+            .when(k == 7, F.concat(F.lit("VAN DE "), F.col("last_name"))).otherwise(F.col("last_name")))
+    first = F.when(k == 7, F.concat(F.col("first_name"), F.lit(" Lea"))).otherwise(F.col("first_name"))
+    code = F.when(k == 8, " GBR-ENG").otherwise(" USA")
+    name = F.concat(F.col("lane").cast("string"), F.lit(" "), last, F.lit(" "), first, code)
+    swimmer = F.concat(rank, F.lit(" "), name, F.lit(" "), _reaction_text(), _time_text(F.col("final_time_cs")))
+    cs = cs.select("Link", "sex", "session", "heat", "line_order", "final_time_cs", k.alias("k"), name.alias("name"),
+                   swimmer.alias("swimmer"), _splits_text().alias("splits"))
+    k, swimmer, splits = F.col("k"), F.col("swimmer"), F.col("splits")
+    plain = F.concat(swimmer, F.lit("\n"), splits)
+    entry = (F.when(k == 3, swimmer)
+             .when(k == 4, F.concat(swimmer, F.lit(" 50m 11.11\n"), splits))
+             .when(k == 5, F.concat(swimmer, F.lit("\n50m (1) 10.00 "), splits))
+             .when(k == 9, F.concat(swimmer, F.lit("\nPage 3 of 9\n\nLegend: DSQ disqualified\n"), splits))
+             .when(k == 10, F.translate(plain, "()", "\uff08\uff09"))
+             .when(k == 11, F.concat(F.lit(" \t"), F.replace(plain, F.lit("\n"), F.lit("\u00a0\r\n  ")), F.lit("\t")))
+             .otherwise(plain))
+    entry = F.when(F.col("final_time_cs").isNull(), F.concat(F.lit("DSQ "), F.col("name"))).otherwise(entry)
+    number = F.regexp_extract("Link", r"R([0-9]+)\.pdf$", 1).cast("bigint")
+    heat = F.when(F.pmod(number, F.lit(4)) == 1, F.lower("heat")).otherwise(F.col("heat"))
+    rows = cs.select("Link", "sex", "session", F.concat(heat, F.lit(f" Event {EVENT_NO}")).alias("header"), "line_order", entry.alias("entry"))
+    return _sheet_texts(rows).select("Link", "text")
 
 
 # --------------------------------------------------------------------------- web pages
@@ -161,8 +215,8 @@ def _competitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def portal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Competition pages ``(page_id, url, html)``: a (customer, year)'s events in date order,
-    ``PAGE_EVENTS`` per page (a larger competition continues on pages with the same url)."""
+    """Competition pages ``(page_id, url, html)``: a (customer, year)'s events in order of key; the next block of
+    keys continues on another page with the same url.  ``page_id`` is the first order key on the page."""
     ev = _competitions(spark, sf_dir)
     key = F.col("o_orderkey").cast("string")
     first = F.concat(F.lit('<p class="two"><a href="/File/S'), key, F.lit('.pdf" target="_blank">x</a></p>'))
@@ -170,22 +224,19 @@ def portal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = F.when(F.pmod("o_orderkey", F.lit(13)) == 0, first).otherwise(F.concat(first, second))
     row = F.concat(F.lit('<div class="row"><p class="round">'), F.col("event_text"),
                    F.lit('</p><div class="other">'), links, F.lit("</div></div>"))
-    ranked = row_number_by_key(ev.select("comp_url", "o_custkey", "year", "o_orderdate", "o_orderkey",
-                                         row.alias("row")), "comp_url", ["o_orderdate", "o_orderkey"], out="ev_pos")
-    rows = ranked.withColumn("page_no", idiv(F.col("ev_pos") - 1, F.lit(PAGE_EVENTS)))
-    page = rows.groupBy("comp_url", "o_custkey", "year", "page_no").agg(
-        F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey", "row"))).alias("rows"))
+    rows = ev.select("comp_url", "o_orderkey", row.alias("row"), idiv(F.col("o_orderkey"), F.lit(PAGE_KEYS)).alias("keys"))
+    page = rows.groupBy("comp_url", "keys").agg(
+        F.min("o_orderkey").alias("page_id"), F.array_sort(F.collect_list(F.struct("o_orderkey", "row"))).alias("rows"))
     html = F.concat(F.lit('<html><div class="page-wrapper"><div class="block-table">\n'),
                     F.array_join(F.transform("rows", lambda x: x["row"]), "\n"),
                     F.lit("\n</div></div></html>"))
-    page_id = (F.col("year").cast("bigint") * 1_000_000_000 + F.col("o_custkey")) * 1000 + F.col("page_no")
-    return page.select(page_id.alias("page_id"), F.col("comp_url").alias("url"), html.alias("html"))
+    return page.select("page_id", F.col("comp_url").alias("url"), html.alias("html"))
 
 
 def competition_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Year result-list pages ``(page_id, year, url, html)``, one row per order.
 
-    A year's list runs in date order over pages of ``LIST_ROWS`` rows.  Mixed in:
+    A year's list runs in order of key over pages of ``PAGE_KEYS`` order keys.  Mixed in:
     other sports, links to the wrong year, repeated links (one row per order
     of a competition), relative and absolute links, 25M / Short Course names.
     """
@@ -197,47 +248,34 @@ def competition_list_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     href = F.when(F.pmod(key, F.lit(2)) == 0, F.concat(F.lit(BASE_URL), rel)).otherwise(rel)
     row = F.concat(F.lit('<div class="row"><h3 class="detail"><a href="'), href, F.lit('">'),
                    F.col("competition"), F.lit("</a></h3><p>"), sport, F.lit("</p></div>"))
-    ranked = row_number_by_key(ev.select("year", "o_orderdate", "o_orderkey", row.alias("row")),
-                               "year", ["o_orderdate", "o_orderkey"], out="list_pos")
-    rows = ranked.withColumn("bucket", idiv(F.col("list_pos") - 1, F.lit(LIST_ROWS)))
-    page = rows.groupBy("year", "bucket").agg(
-        F.array_sort(F.collect_list(F.struct("o_orderdate", "o_orderkey", "row"))).alias("rows"))
+    rows = ev.select("year", "o_orderkey", row.alias("row"), idiv(F.col("o_orderkey"), F.lit(PAGE_KEYS)).alias("keys"))
+    page = rows.groupBy("year", "keys").agg(
+        F.min("o_orderkey").alias("page_id"), F.array_sort(F.collect_list(F.struct("o_orderkey", "row"))).alias("rows"))
     html = F.concat(F.lit('<html><div class="results-page"><div class="page-wrapper"><div class="block-table">\n'),
                     F.array_join(F.transform("rows", lambda x: x["row"]), "\n"),
                     F.lit("\n</div></div></div></html>"))
-    return page.select((F.col("year").cast("bigint") * 1_000_000 + F.col("bucket")).alias("page_id"),
-                       F.col("year").cast("int").alias("year"),
+    return page.select("page_id", F.col("year").cast("int").alias("year"),
                        F.concat(F.lit(BASE_URL + "/results?year="), F.col("year").cast("string")).alias("url"),
                        html.alias("html"))
 
 
 def render_sheet_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same sheets as pages ``(Link, page, text)``: a title page, one page per heat.
+    """The same sheets as pages ``(Link, session, page, text)``: a title page, one page per heat.
 
-    Joining a race's pages with newlines (S12, page form) gives a text that
+    Joining a sheet's pages with newlines (S12, page form) gives a text that
     parses to the same rows as ``render_sheets``.  Every third race also has
     an empty trailing page, which the page join must skip.
     """
-    cs = results_cs(spark, sf_dir).filter(F.col("final_time_cs").isNotNull())
-    reaction = F.when(F.col("reaction_cs").isNotNull(),
-                      F.concat(F.lit("0."), _two(F.col("reaction_cs")), F.lit(" "))).otherwise("")
-    swimmer = F.concat(F.col("rank").cast("string"), F.lit(" "), F.col("lane").cast("string"),
-                       F.lit(" "), F.col("last_name"), F.lit(" "), F.col("first_name"),
-                       F.lit(" USA "), reaction, _time_text(F.col("final_time_cs")))
-    split_parts = [F.when(F.col(f"{c}_cs").isNotNull(),
-                          F.concat(F.lit(f"{d}m (1) "), _time_text(F.col(f"{c}_cs"))))
-                   for c, d in zip(S.TIME_SPLITS, S.SPLIT_DISTANCES)]
-    entry = F.concat(swimmer, F.lit("\n"), F.concat_ws(" ", *split_parts))
-    chunk = idiv(F.col("rank") - 1, F.lit(SHEET_ROWS))
-    per_heat = (cs.select("Link", "heat", chunk.alias("chunk"), "rank", entry.alias("entry"))
-                .groupBy("Link", "heat", "chunk")
-                .agg(F.array_sort(F.collect_list(F.struct("rank", "entry"))).alias("rows")))
+    cs = results_cs(spark, sf_dir)
+    per_heat = (cs.select("Link", "session", "heat", "line_order", _entry().alias("entry"))
+                .groupBy("Link", "session", "heat")
+                .agg(F.array_sort(F.collect_list(F.struct("line_order", "entry"))).alias("rows")))
     heat_pages = per_heat.select(
-        "Link", ((F.ascii(F.substring("heat", 7, 1)) - 64) * 1_000_000 + F.col("chunk")).cast("int").alias("page"),
+        "Link", "session", (F.ascii(F.substring("heat", 7, 1)) - 64).cast("int").alias("page"),
         F.concat(F.col("heat"), F.lit(f" Event {EVENT_NO}\nRank Lane Name\n"),
                  F.array_join(F.transform("rows", lambda x: x["entry"]), "\n")).alias("text"))
-    races = cs.select("Link", F.regexp_extract("Link", r"R([0-9]+)\.pdf$", 1).cast("bigint").alias("k")).distinct()
-    title = races.select("Link", F.lit(0).alias("page"), F.lit("Results").alias("text"))
-    blank = races.filter(F.pmod("k", F.lit(3)) == 0).select(
-        "Link", F.lit(2_000_000_000).alias("page"), F.lit(None).cast("string").alias("text"))
+    sheets = cs.select("Link", "session", F.regexp_extract("Link", r"R([0-9]+)\.pdf$", 1).cast("bigint").alias("k")).distinct()
+    title = sheets.select("Link", "session", F.lit(0).alias("page"), F.lit("Results").alias("text"))
+    blank = sheets.filter(F.pmod("k", F.lit(3)) == 0).select(
+        "Link", "session", F.lit(99).alias("page"), F.lit(None).cast("string").alias("text"))
     return title.unionByName(heat_pages).unionByName(blank)

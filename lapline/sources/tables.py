@@ -20,12 +20,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_input(df: DataFrame) -> DataFrame:
-    """Spread an input that arrives as fewer splits than cores (a small file with one
-    row group) before CPU-heavy text work; larger inputs keep their scan splits.
-    Call it on a plain scan: counting its partitions only lists file splits."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread_input(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Spread an input over ``partitions`` tasks before CPU-heavy text work (rows do not change).
+
+    None leaves the scan splits as they are: right wherever the input is larger than a few splits.
+    """
+    return df.repartition(partitions) if partitions else df
 
 
 def read_links_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -47,6 +47,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files, on whatever file system it is."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def read_earlier_output(spark: SparkSession, path: str, fmt: str = "parquet",
                         schema: T.StructType = S.RAW_RESULTS) -> DataFrame:
     """Earlier output that may be absent or empty; absent gives an empty frame.
@@ -130,17 +136,18 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col("_metadata.file_path").alias("Link"), F.col("value").alias("text"))
 
 
-def join_pages(pages: DataFrame) -> DataFrame:
-    """S12 (page form): ``(Link, page, text)`` to ``(Link, text)``; pages without text are skipped.
+def join_pages(pages: DataFrame, key=("Link",)) -> DataFrame:
+    """S12 (page form): ``(*key, page, text)`` to ``(*key, text)``; pages without text are skipped.
 
-    Pages are joined in page order with a newline.  A document is the unit of
-    parsing, so this gathers the pages of one document only.
+    Pages are joined in page order with a newline.  ``key`` names one
+    document: its pages make one text, the unit of parsing, and nothing else
+    is gathered.  A race with many sheets has one document per sheet, so the
+    key then holds the sheet too.
     """
     kept = pages.filter(F.col("text").isNotNull() & (F.col("text") != ""))
-    agg = kept.groupBy("Link").agg(
+    agg = kept.groupBy(*key).agg(
         F.array_sort(F.collect_list(F.struct("page", "text"))).alias("pages"))
-    return agg.select("Link", F.array_join(F.transform("pages", lambda p: p["text"]), "\n")
-                      .alias("text"))
+    return agg.select(*key, F.array_join(F.transform("pages", lambda p: p["text"]), "\n").alias("text"))
 
 
 def read_seed_list(df: DataFrame, url_col: str = "pdf_url") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Races and competitions spread over several generated documents give the same results."""
+"""A race's sheets and a year's pages are bounded by keys of the data; every form of them gives the same rows."""
 
 from pyspark.sql import functions as F
 
@@ -13,23 +13,25 @@ def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_small_documents_give_same_rows(spark, monkeypatch):
+def test_smaller_sessions_give_same_rows(spark, monkeypatch):
     expected = FX.raw_results(spark, SF_SMALL, with_sex=False).filter(F.col("final_time").isNotNull())
-    monkeypatch.setattr(FX, "SHEET_ROWS", 2)
+    monkeypatch.setattr(FX, "SESSION_SUPPLIERS", 2)
     sheets = FX.render_sheets(spark, SF_SMALL)
     assert sheets.groupBy("Link").count().filter("count > 1").count() > 0   # races really span sheets
+    assert sheets.filter(F.col("text").contains("\nDSQ ")).count() > 0
     assert _same(P.parse_sheets(sheets.select("Link", "text")), expected)
     pages = FX.render_sheet_pages(spark, SF_SMALL)
-    assert _same(P.parse_sheets(T.join_pages(pages)), expected)
+    joined = T.join_pages(pages, ("Link", "session"))
+    assert joined.count() == sheets.count()
+    assert _same(P.parse_sheets(joined.drop("session")), expected)
 
 
-def test_small_pages_give_same_links(spark, monkeypatch):
+def test_smaller_pages_give_same_links(spark, monkeypatch):
     base_links = L.links_per_competition(L.event_links(FX.portal_pages(spark, SF_SMALL))).cache()
     base_list = L.dedupe_first_seen(L.competition_rows(FX.competition_list_pages(spark, SF_SMALL))) \
         .select("year", "competition", "href").cache()
     base_links.count(), base_list.count()
-    monkeypatch.setattr(FX, "PAGE_EVENTS", 2)
-    monkeypatch.setattr(FX, "LIST_ROWS", 3)
+    monkeypatch.setattr(FX, "PAGE_KEYS", 2)
     portal = FX.portal_pages(spark, SF_SMALL)
     assert portal.groupBy("url").count().filter("count > 1").count() > 0
     assert _same(L.links_per_competition(L.event_links(portal)), base_links)

@@ -18,7 +18,7 @@ def test_prepare_data_drops_and_intervals(spark):
     men = spark.createDataFrame([("a", 0.7, "27.00", "56.00", "1:25.00", "1:54.00", "2:23.00", "3:50.00"),
                                  ("b", None, "27.00", None, "1:25.00", "1:54.00", "2:23.00", "3:50.00")], cols)
     women = spark.createDataFrame([("c", None, "28.00", "58.00", "1:28.00", "1:58.00", "2:28.00", "4:00.00")], cols)
-    out = {r.Link: r for r in C.prepare_data(men, women, materialize=False).collect()}
+    out = {r.Link: r for r in C.prepare_data(men, women).collect()}
     assert set(out) == {"a", "c"}
     assert out["c"].reaction_time == 0.7 and out["a"].interval_split_100m == 29.0
     assert out["a"].final_time == 230.0
@@ -75,3 +75,35 @@ def test_tag_and_union_with_labels(spark):
 def test_median_imputation_text_column(spark):
     df = spark.createDataFrame([("0.70",), ("bad",), (None,), ("0.80",)], "reaction_time string")
     assert sorted(r[0] for r in C.impute_median(df).collect()) == [0.70, 0.75, 0.75, 0.80]
+
+
+def test_prepare_data_from_paths_and_with_a_work_folder(spark, tmp_path):
+    from lapline.sources import fixtures as FX
+    from lapline.sources import tables as T
+
+    raw = FX.raw_results(spark, SF_SMALL)
+    sides = [raw.filter(F.col("sex") == s).drop("sex") for s in ("M", "F")]
+    for side, name in zip(sides, ("men", "women")):
+        T.write_results(side, str(tmp_path / name))
+    want = C.prepare_data(*sides)
+    got = C.prepare_data(str(tmp_path / "men"), str(tmp_path / "women"), work=str(tmp_path / "work"))
+    assert got.columns == want.columns and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    T.remove_path(spark, str(tmp_path / "work"))
+    assert not (tmp_path / "work").exists()
+
+
+def test_year_range_leaves_years_out(spark):
+    from lapline.operators import weblinks as L
+    from lapline.plans.registry import YEARS
+    from lapline.sources import fixtures as FX
+
+    rows = L.competition_rows(FX.competition_list_pages(spark, SF_SMALL))
+    kept = L.year_range(rows, *YEARS)
+    assert 0 < kept.count() < rows.count() and {r.year for r in kept.select("year").distinct().collect()} == set(range(YEARS[0], YEARS[1] + 1))
+
+
+def test_final_drop_removes_rows_without_any_reaction(spark):
+    cols = "Link string, reaction_time double, split_50m string, split_100m string, split_150m string, " \
+           "split_200m string, split_250m string, final_time string"
+    side = spark.createDataFrame([("a", None, "27.00", "56.00", "1:25.00", "1:54.00", "2:23.00", "3:50.00")], cols)
+    assert C.prepare_data(side, side).count() == 0      # no median to fill with: the last drop takes them

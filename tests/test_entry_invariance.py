@@ -22,12 +22,21 @@ def test_same_result_for_one_and_many_partitions(spark):
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
 
 
-def test_named_sql_surface(spark):
+def test_named_queries_are_the_same_queries(spark):
     typed = FX.canonical_results(spark, SF_SMALL)
-    res = Q.run_named_queries(spark, typed)
-    assert len(res) == 7 and res["Rows missing late splits"].count() == 1
-    fast = [tuple(r) for r in res["Top 10 fastest men's swims"].collect()]
-    assert [r[2] for r in fast] == sorted(r[2] for r in fast)
+    res, forms = Q.run_named_queries(typed), Q.all_queries(typed)
+    assert len(res) == 7
+    for title, name in Q.NAMED.items():
+        assert res[title].collect() == forms[name].collect()
+
+
+def test_sql_over_a_stored_table(spark):
+    from lapline.sources import tables as T
+
+    FX.canonical_results(spark, SF_SMALL).createOrReplaceTempView("swims")
+    best = T.sql(spark, "SELECT Link, MIN(final_time) AS t FROM swims WHERE final_time IS NOT NULL GROUP BY Link")
+    want = {r.Link: r.fastest_time for r in Q.fastest_per_race(FX.canonical_results(spark, SF_SMALL)).collect()}
+    assert {r.Link: r.t for r in best.collect()} == want
 
 
 def test_all_queries_dict(spark):
@@ -42,12 +51,3 @@ def test_cluster_conf_sizes_partitions():
     small = cluster_conf(4, 4, input_tb=0.001)
     assert big["spark.sql.adaptive.enabled"] == "true" and int(big["spark.sql.shuffle.partitions"]) >= 24_000
     assert int(small["spark.sql.shuffle.partitions"]) == 48
-
-
-def test_per_race_sql_texts(spark):
-    typed = FX.canonical_results(spark, SF_SMALL)
-    per_race = Q.run_sql(spark, typed, "swimmers_per_race")
-    assert per_race.count() == Q.swimmers_per_race(typed).count()
-    fastest = {r.Link: r.fastest_time for r in Q.run_sql(spark, typed, "fastest_swim_per_race").collect()}
-    assert fastest == {r.Link: r.fastest_time for r in Q.fastest_per_race(typed).collect()}
-    assert Q.run_sql(spark, typed, "average_final_time_per_race").count() == len(fastest)

@@ -21,7 +21,7 @@ def test_resume_skips_done_links(spark):
     first = links.filter(F.pmod(F.xxhash64("Link"), F.lit(2)) == 0)
     K.ingest_to_path(spark, first, docs, out)
     n_first = spark.read.parquet(out).count()
-    stored = K.ingest_to_path(spark, links, docs, out, batch_size=40)
+    stored = K.ingest_to_path(spark, links, docs, out, batches=4)
     full = parse_sheets(docs)
     assert stored.count() == full.count() > n_first
     assert stored.exceptAll(full).count() == 0
@@ -85,3 +85,78 @@ def test_earlier_output_without_link_skips_nothing(spark):
     assert K.processed_links(earlier) is None
     allrows, new = K.ingest(links, docs, earlier)
     assert new.count() == 1 and allrows.count() == 2            # earlier rows kept, nothing skipped
+
+
+def test_both_forms_keep_list_duplicates(spark, tmp_path):
+    docs = spark.createDataFrame([("m1", "1 4 SUN Yang CHN 0.73 3:40.29\n")], "Link string, text string")
+    links = spark.createDataFrame([("m1",), ("m1",)], "Link string")
+    for batches in (None, 3):
+        out = str(tmp_path / f"out{batches}")
+        assert K.ingest_to_path(spark, links, docs, out, batches=batches, work=str(tmp_path / "work")).count() == 2
+        assert not (tmp_path / "work").exists()
+
+
+def test_resume_after_a_batch_that_failed(spark, tmp_path, monkeypatch):
+    docs, out = _docs(spark), str(tmp_path / "out")
+    full, write, done = parse_sheets(docs), K.write_results, []
+
+    def failing(df, path, mode):
+        if len(done) == 2:
+            raise RuntimeError("an executor went")
+        done.append(path)
+        write(df, path, mode=mode)
+
+    monkeypatch.setattr(K, "write_results", failing)
+    try:
+        K.ingest_to_path(spark, docs.select("Link").distinct(), docs, out, batches=4, work=str(tmp_path / "work"))
+    except RuntimeError:
+        pass
+    assert 0 < spark.read.parquet(out).count() < full.count() and not (tmp_path / "work").exists()
+    monkeypatch.setattr(K, "write_results", write)
+    stored = K.ingest_to_path(spark, docs.select("Link").distinct(), docs, out, batches=4, work=str(tmp_path / "work2"))
+    assert stored.exceptAll(full).count() == 0 and full.exceptAll(stored).count() == 0
+
+
+def test_batches_do_not_read_the_documents_again(spark, tmp_path):
+    """The documents are scanned for one write; a batch reads its own directory."""
+    seen = []
+    docs = _docs(spark)
+    docs.write.parquet(str(tmp_path / "docs"))
+    stored = spark.read.parquet(str(tmp_path / "docs"))
+    real = K.parse_sheets
+
+    def watched(df):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df)
+
+    K.parse_sheets = watched
+    try:
+        K.ingest_to_path(spark, stored.select("Link").distinct(), stored, str(tmp_path / "out"), batches=5, work=str(tmp_path / "work"))
+    finally:
+        K.parse_sheets = real
+    assert len(seen) == 5 and all("PartitionFilters: [isnotnull(batch" in p and str(tmp_path / "docs") not in p for p in seen)
+
+
+def test_off_local_mode_a_shared_folder_is_required():
+    import pytest
+
+    from lapline.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())

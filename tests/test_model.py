@@ -93,3 +93,27 @@ def test_holdout_without_key_columns_uses_all_columns(spark):
     df = spark.createDataFrame([(float(i), float(i % 7)) for i in range(400)], "x double, y double")
     share = M.holdout(df).filter("is_test").count() / 400
     assert 0.1 < share < 0.3
+
+
+def test_predict_keeps_rows_that_cannot_be_scored(spark):
+    model = M.linear_regression().fit(_frame(spark))
+    rows = [("a", "26.50", "55.10", "1:24.00", "1:53.20", "2:22.80", "0.70"), ("b", None, "55.10", "1:24.00", "1:53.20", "2:22.80", "0.70"),
+            ("c", "26.50", "55.10", "DNF", "1:53.20", "2:22.80", "0.70"), ("d", "26.50", "55.10", "1:24.00", "1:53.20", "2:22.80", "bad"),
+            ("e", "26.50", "55.10", "1:24.00", "1:53.20", "2:22.80", None)]
+    df = spark.createDataFrame(rows, "who string, " + ", ".join(f"{c} string" for c in S.FEATURE_SPLITS) + ", reaction_time string")
+    out = {r.who: r for r in M.predict(model, df).collect()}
+    assert out["a"].predicted_time is not None and out["b"].predicted_time is None and out["c"].predicted_time is None
+    assert out["d"].reaction_time == out["e"].reaction_time == S.DEFAULT_REACTION and out["d"].predicted_time == out["e"].predicted_time
+
+
+def test_forest_settings_reach_every_entry_point(spark, tmp_path):
+    df = _frame(spark, 80)
+    small = {"trees": 2, "max_depth": 1, "max_bins": 8}
+    model, _, _ = M.train_model(spark, df, forest=small)
+    forest = model.stages[-1]
+    assert forest.getNumTrees == 2 and max(t.depth for t in forest.trees) == 1 and forest.getOrDefault("maxBins") == 8
+    assert {r.model_name for r in M.compare_models(spark, df, forest=small).collect()} == set(M.model_set())
+    assert M.progressive_accuracy(spark, df, forest=small).count() == 5
+    df.write.parquet(str(tmp_path / "prepared"))
+    stored, mae, _ = M.train_model(spark, str(tmp_path / "prepared"), forest=small)
+    assert M.predict_batch(stored, str(tmp_path / "prepared")).count() == 80 and mae >= 0

@@ -69,3 +69,10 @@ def test_class_lists_quotes_and_line_breaks(spark):
     pages = spark.createDataFrame([(1, f"{BASE}/2020/c", html)], "page_id long, url string, html string")
     out = L.links_per_competition(L.event_links(pages, BASE)).collect()
     assert [(r.mens_400_free_pdf, r.womens_400_free_pdf) for r in out] == [(None, f"{BASE}/File/R9.pdf")]
+
+
+def test_older_event_test_lets_25_pass(spark):
+    html = _row("Men's Freestyle 400m (25m pool)", ["/File/S4.pdf", "/File/R4.pdf"])
+    pages = spark.createDataFrame([(1, f"{BASE}/2020/c", html)], "page_id long, url string, html string")
+    assert L.event_links(pages, BASE).count() == 0
+    assert [r.link for r in L.event_links(pages, BASE, exclude_25=False).collect()] == [f"{BASE}/File/R4.pdf"]
