@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapline.llm._common import local_temp, scratch_path
+from lapline.llm.oracle import oracles
 
 
 _SHIPPED: set[str] = set()
@@ -43,7 +44,8 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lapline.llm.mixing import schedule
 
     planned = schedule(table(spark, sf_dir, "documents"))
-    return planned.select(F.col("id").alias("doc_id"), "source", "n_tokens", "epoch", "block", "place", "turn", "times")
+    return planned.select(F.col("id").alias("doc_id"), "source", "n_tokens", "epoch", "block",
+                          F.round(F.col("place") * 1_000_000).cast("long").alias("place_ppm"), "turn", "times")
 
 
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,4 +123,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {q.__name__: _registered(q) for q in (
     op1_mixing, op2_html_text, op3_top_k, op4_toxicity, op5_simhash, op6_packing, op7_substrings, op8_chat, op9_token_files,
     op10_quality, pipeline)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles()
