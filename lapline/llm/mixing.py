@@ -152,15 +152,16 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     planned = schedule(docs, id_col, text_col, source_col, **settings)
     counts = planned.groupBy("id", "text_key", "source", "have").agg(F.sum("times").cast("int").alias("times"))
     counts = cut(counts.select(F.col("id").alias("_id"), F.col("text_key").alias("_k"), F.col("source").alias("_s"), F.col("have").alias("_have"), "times"))
-    names = docs.columns
-    rows = docs.withColumn("_text_key", F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"),
+                       F.md5(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("key"), F.col(f"`{source_col}`").alias("source"))
 
-    def of(left: DataFrame, some: DataFrame) -> DataFrame:
-        on = left[id_col].eqNullSafe(some["_id"]) & (left["_text_key"] == some["_k"]) & left[source_col].eqNullSafe(some["_s"])
-        out = left.join(some, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
-        return out.select(*[left[c] for c in names])
+    def on(some: DataFrame):
+        return rows["id"].eqNullSafe(some["_id"]) & (rows["key"] == some["_k"]) & rows["source"].eqNullSafe(some["_s"])
 
-    same = [id_col, "_text_key", source_col]
+    once = counts.filter("_have = 1")
+    one = rows.join(once, on(once)).select("row", "times")
+    # rows that repeat wholly are one document: one of them stands for all, as often as the schedule says
     more = counts.filter("_have > 1")
-    again = rows.join(more, rows[id_col].eqNullSafe(more["_id"]) & (rows["_text_key"] == more["_k"]), "left_semi").dropDuplicates(same)
-    return of(rows, counts.filter("_have = 1")).union(of(again, more))
+    same = rows.join(more, on(more)).dropDuplicates(["id", "key", "source"]).select("row", "times")
+    out = one.union(same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return out.select(*[F.col(f"row.`{c}`") for c in docs.columns])

@@ -271,11 +271,12 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = marks.filter(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("root", "component_id", "f", "h").agg(F.count(F.lit(1)).alias("n"))
     kept = kept.groupBy("root", "component_id").agg(F.min(F.struct("h", "n")).alias("k")).select(
         F.col("component_id").alias("_id"), F.col("k.h").alias("_h"), F.col("k.n").alias("_n"))
-    rows = docs.withColumn("_text_hash", F.xxhash64(F.col(text_col).cast("string")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"),
+                       F.xxhash64(F.col(text_col).cast("string")).alias("h"))
 
     def of(some: DataFrame) -> DataFrame:
-        return rows.join(some, rows[id_col].eqNullSafe(some["_id"]) & (rows["_text_hash"] == some["_h"]), "left_semi")
+        return rows.join(some, rows["id"].eqNullSafe(some["_id"]) & (rows["h"] == some["_h"]), "left_semi")
 
     once = of(kept.filter("_n = 1"))
-    more = of(kept.filter("_n > 1")).dropDuplicates([id_col, "_text_hash"])
-    return once.union(more).drop("_text_hash")
+    more = of(kept.filter("_n > 1")).dropDuplicates(["id", "h"])
+    return once.union(more).select(*[F.col(f"row.`{c}`") for c in docs.columns])

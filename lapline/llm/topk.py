@@ -151,7 +151,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K, id_col: str = "vec_id
     """
     spark = vectors.sparkSession
     arrow_batches(spark, 4096)
-    rows = cut(scaled(vectors.withColumn("_asked", queries), id_col, vector_col, scale).join(
+    rows = cut(scaled(vectors, id_col, vector_col, scale).join(
         vectors.filter(queries).select(F.col(id_col).cast("long").alias("asked")).filter("asked IS NOT NULL").distinct(),
         F.col("id") == F.col("asked"), "left"))
     asked = rows.filter("asked IS NOT NULL").groupBy("id").agg(F.min("v").alias("v"))
