@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 from lapline.llm._common import arrow_batches
 from lapline.llm.labelled_pages import labelled_pages
 
-ROUNDS, RATE, PENALTY = 60, 0.15, 2e-3  # training: full-batch Adam
+ROUNDS, RATE, PENALTY = 80, 0.15, 2e-5  # training: full-batch Adam
 LEAST_BLOCKS = 5  # training blocks that have a feature at least
 
 # HTML elements by their part in the page's layout.
 BLOCK_TAGS = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt
 fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe input label legend li main menu
 nav object ol optgroup option p pre search section select summary table tbody td template tfoot th thead tr ul video audio ins""".split())
+ZONES = frozenset("article aside footer form header main nav section figure blockquote table".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCK_TAGS - frozenset("button label option optgroup input ins object video audio iframe".split())
 SELF_CLOSING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -129,9 +130,10 @@ def page_features(blocks: list) -> list[list[str]]:
         words = text.count(" ") + 1
         tags = [m[0] for m in above if m[0] in BLOCK_TAGS]
         leaf = tags[-1] if tags else "none"
+        zones = [t for t in tags if t in ZONES] or ["none"]
         names = {"leaf:" + leaf, "in:" + "/".join(tags[-2:]), f"words:{min(9, int(math.log2(words)))}", f"links:{round(4 * min(1.0, linked / size))}",
                  "end:" + ("stop" if text[-1] in ".!?…" else "mark" if not text[-1].isalnum() else "word"),
-                 f"commas:{min(3, text.count(','))}", f"place:{int(5 * i / n)}", f"stops:{min(3, text.count('. '))}", "bias"}
+                 f"commas:{min(3, text.count(','))}", f"place:{int(5 * i / n)}", f"stops:{min(3, text.count('. '))}", "bias", "zone:" + zones[-1], "zones:" + "/".join(zones[-2:])}
         if "©" in text:
             names.add("sign")
         for depth, marks in enumerate(above):
@@ -214,7 +216,7 @@ def train(pages: list[tuple[list[list[str]], list[int]]], rounds: int = ROUNDS)
         np.add.at(seen, (gold[:-1][mask[1:]], gold[1:][mask[1:]]), 1)
         g[n_features:n_features + 4] = (pair - seen).reshape(-1)
         g[n_features + 4:] = p[0].sum(axis=0) - np.bincount(gold[0], minlength=2)
-        g = g / blocks + PENALTY / 10 * theta
+        g = g / blocks + PENALTY * theta
         first_moment = 0.9 * first_moment + 0.1 * g
         second_moment = 0.999 * second_moment + 0.001 * g * g
         theta -= RATE * (first_moment / (1 - 0.9 ** k)) / (np.sqrt(second_moment / (1 - 0.999 ** k)) + 1e-8)

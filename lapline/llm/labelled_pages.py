@@ -72,7 +72,12 @@ class _Page:
     def header(self) -> None:
         a, b = self.tag(("header", "div"), ("header", "site-header", "masthead", "banner", "page-top", "branding"))
         self.add(a)
-        self.add(f'<a href="/">{self.words(1, 3)}</a>' if self.rng.random() < 0.5 else f"<div>{self.words(1, 4)}</div>", REST)
+        style = self.rng.random()
+        if style < 0.4:
+            self.add(f'<a href="/">{self.words(1, 3)}</a>', REST)
+        else:
+            tag = "div" if style < 0.6 else self.rng.choice(("h1", "h2", "p", "span"))
+            self.add(f"<{tag}>{self.words(1, 4)}</{tag}>", REST)
         if self.rng.random() < 0.4:
             self.add(f"<p>{self.words(3, 8)}</p>", REST)
         if self.rng.random() < 0.4:
