@@ -54,6 +54,9 @@ def _em(rows):
             if a[-1] > quality.FALSE_ALARMS:
                 rest = (1 - quality.FALSE_ALARMS) / (1 - a[-1])
                 a = {v: quality.FALSE_ALARMS if v == -1 else x * rest for v, x in a.items()}
+            if b[-1] < quality.CAUGHT:
+                rest = (1 - quality.CAUGHT) / (1 - b[-1])
+                b = {v: quality.CAUGHT if v == -1 else x * rest for v, x in b.items()}
             shares[name] = {v: (a[v], b[v]) for v in quality.VOTES}
     return prior, shares
 
