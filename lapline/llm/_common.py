@@ -43,6 +43,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_dealt(df: DataFrame) -> DataFrame:
+    """As :func:`cut` for a frame dealt by key (``repartition(n, key)``), which stays dealt: a later grouping by the key
+    moves only the other side.  Spark keeps the partitioning of a checkpoint whose plan is not adaptive."""
+    spark, key = df.sparkSession, "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return cut(df.select("*"))
+    finally:
+        spark.conf.set(key, before)
+
+
 def arrow_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Lower the Arrow batch size of the session to ``rows``; a smaller setting stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

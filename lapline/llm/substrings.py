@@ -23,15 +23,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapline.llm._common import arrow_batches, cut, mix64, shuffle_partitions, words_of
+from lapline.llm._common import arrow_batches, cut, cut_dealt, mix64, shuffle_partitions, words_of
 
 WINDOW = 20
 BASE = 5
-BLOCK_WORDS = 2_000_000  # a block is closed at the first document end past this many words
+BLOCK_WORDS = 1_000_000  # a block is closed at the first document end past this many words
 BUCKET_WINDOWS = 2_000_000  # windows for each bucket, about
 SPARE_BITS = 6  # bits of a hash beyond those that number the windows: chance matches under 2 ** -SPARE_BITS
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 NULL_ID = -(1 << 63)
 
 _ODD = np.random.default_rng(20).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -74,12 +74,12 @@ def _unpack(data: bytes, kind) -> np.ndarray:
 class _Block:
     """Documents of a block in order of id (null first, rows of one id as they came) and their word hashes."""
 
-    def __init__(self, payload: bytes, id_col: str, text_col: str):
-        self.table = _rows(payload)
-        ids = self.table.column(id_col).combine_chunks().cast(pa.int64()).fill_null(NULL_ID)
+    def __init__(self, payload: bytes, id_at: int, text_at: int):
+        self.rows = _rows(payload).column(0).combine_chunks()
+        ids = self.rows.field(id_at).cast(pa.int64()).fill_null(NULL_ID)
         self.order = np.argsort(ids.to_numpy(zero_copy_only=False), kind="stable")
         self.ids = ids.to_numpy(zero_copy_only=False)[self.order]
-        self.texts = self.table.column(text_col).combine_chunks()
+        self.texts = self.rows.field(text_at).cast(pa.string())
         hashes, ends = [], [0]
         for i in self.order:
             words = words_of(self.texts[int(i)].as_py())
@@ -124,8 +124,8 @@ def _checks(h: np.ndarray, block: _Block, at: np.ndarray, length: int) -> np.nda
 class _Levels:
     """The work on one block: requests of a level, and what its answers leave."""
 
-    def __init__(self, id_col: str, text_col: str, base: int, window: int, bits: int, buckets: int):
-        self.id_col, self.text_col, self.base, self.window, self.bits, self.buckets = id_col, text_col, base, window, bits, buckets
+    def __init__(self, base: int, window: int, bits: int, buckets: int):
+        self.base, self.window, self.bits, self.buckets = base, window, bits, buckets
 
     def candidates(self, block: _Block, length: int, alive: np.ndarray | None) -> np.ndarray:
         """Starts of windows to ask for; ``alive``: where a window of half the length is found again."""
@@ -181,10 +181,13 @@ class _Levels:
 
 
 def _answer(length: int, window: int):
-    """All requests of one bucket: one bit for each value of each block."""
+    """All requests of one bucket: one bit for each value of each block.  Negative buckets hold a block's own
+    survivors, which pass on."""
     def answer(rows):
         import pandas as pd
 
+        if rows["bucket"].iloc[0] < 0:
+            return rows[["block", "bucket", "steps"]].rename(columns={"steps": "bits"})
         rows = rows.sort_values("block", ignore_index=True)
         parts = [np.cumsum(_unpack(x, np.uint64)) for x in rows["steps"]]
         sizes = [len(p) for p in parts]
@@ -209,13 +212,14 @@ def _answer(length: int, window: int):
     return answer
 
 
-ASKED = "block long, bucket int, steps binary, checks binary, ids binary"
-ANSWERED = "block long, bucket int, bits binary"
+ASKED = "block long, bucket long, steps binary, checks binary, ids binary"
+ANSWERED = "block long, bucket long, bits binary"
 
 
-def blocks_of(docs: DataFrame, text_col: str, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``block``, ``n_words``, ``payload``: the rows of ``docs`` in bounded compressed blocks."""
-    arrow_batches(docs.sparkSession)
+def blocks_of(rows: DataFrame, text_at: int, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``block``, ``n_words``, ``payload``: the structs of ``rows`` in bounded compressed blocks, dealt by block."""
+    spark = rows.sparkSession
+    arrow_batches(spark)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -223,12 +227,13 @@ def blocks_of(docs: DataFrame, text_col: str, block_words: int = BLOCK_WORDS) ->
         number, held, words = TaskContext.get().partitionId() << 32, [], 0
 
         def closed() -> pa.RecordBatch:
-            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([words]), pa.array([_ipc(rows)], pa.binary())],
+            some = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([words]), pa.array([_ipc(some)], pa.binary())],
                                               names=["block", "n_words", "payload"])
 
         for batch in batches:
-            sizes = np.array([len(words_of(t.as_py())) for t in batch.column(text_col)])
+            texts = batch.column(0).field(text_at).cast(pa.string())
+            sizes = np.array([len(words_of(t.as_py())) for t in texts])
             at = 0
             while at < len(sizes):  # a batch is cut where the block is full
                 upto = at + int(np.searchsorted(np.cumsum(sizes[at:]) + words, block_words)) + 1
@@ -240,7 +245,8 @@ def blocks_of(docs: DataFrame, text_col: str, block_words: int = BLOCK_WORDS) ->
         if held:
             yield closed()
 
-    return docs.mapInArrow(read, "block long, n_words long, payload binary")
+    made = rows.mapInArrow(read, "block long, n_words long, payload binary")
+    return made.repartition(shuffle_partitions(spark), "block")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, base: int = BASE,
@@ -260,31 +266,32 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     if length != window:
         raise ValueError("window must be base times a power of two")
     spark, names = docs.sparkSession, docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(id_col).cast("long").alias("id"),
-                         F.col(text_col).cast("string").alias("text"))
-    blocks = cut(blocks_of(packed, "text", block_words))
+    where = names.index(id_col), names.index(text_col)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    # dealt by block once: later levels bring their answers to where the blocks lie
+    blocks = cut_dealt(blocks_of(packed, where[1], block_words))
     total = blocks.agg(F.sum("n_words")).first()[0] or 0
     bits = min(63, max(33, int(total).bit_length() + SPARE_BITS))
-    work = _Levels("id", "text", base, window, bits, max(shuffle_partitions(spark), -(-total // BUCKET_WINDOWS)))
+    work = _Levels(base, window, bits, max(shuffle_partitions(spark), -(-total // BUCKET_WINDOWS)))
     data = blocks.select("block", "payload")
 
     def first_ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
-                block = _Block(payload.as_py(), "id", "text")
+                block = _Block(payload.as_py(), *where)
                 rows = list(work.requests(block, base, work.candidates(block, base, None)))
                 if rows:
                     cols = list(zip(*rows))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([number] * len(rows), pa.int64()), pa.array(cols[0], pa.int32()),
+                        [pa.array([number] * len(rows), pa.int64()), pa.array(cols[0], pa.int64()),
                          *(pa.array(c, pa.binary()) for c in cols[1:])], names=["block", "bucket", "steps", "checks", "ids"])
 
     def settle(block: _Block, length: int, answers) -> tuple[np.ndarray, np.ndarray | None]:
-        """Windows of ``length`` found again; ``answers`` holds the last level's survivors under bucket -1."""
+        """Windows of ``length`` found again; ``answers`` holds the last level's survivors under a negative bucket."""
         got = dict(zip(answers["bucket"], answers["bits"]))
         alive = None
-        if -1 in got:
-            alive = np.unpackbits(np.frombuffer(got[-1], np.uint8), count=len(block.words)).astype(bool)
+        if min(got, default=0) < 0:
+            alive = np.unpackbits(np.frombuffer(got[min(got)], np.uint8), count=len(block.words)).astype(bool)
         elif length > base:
             alive = np.zeros(len(block.words), bool)
         at = work.candidates(block, length, alive)
@@ -297,9 +304,9 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
         def ask(mine, answers):
             import pandas as pd
 
-            number, block = int(mine["block"].iloc[0]), _Block(mine["payload"].iloc[0], "id", "text")
+            number, block = int(mine["block"].iloc[0]), _Block(mine["payload"].iloc[0], *where)
             alive = settle(block, length, answers)
-            rows = [(number, -1, np.packbits(alive).tobytes(), None, None)]
+            rows = [(number, -1 - number, np.packbits(alive).tobytes(), None, None)]
             at = work.candidates(block, 2 * length, alive)
             if len(at):
                 rows += [(number, *r) for r in work.requests(block, 2 * length, at)]
@@ -308,8 +315,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
         return lambda mine, answers: ask(mine, answers) if len(mine) else _none(ASKED)
 
     def answers_to(asked: DataFrame, length: int) -> DataFrame:
-        got = asked.filter("bucket >= 0").groupBy("bucket").applyInPandas(_answer(length, window), ANSWERED)
-        return got.unionByName(asked.filter("bucket < 0").select("block", "bucket", F.col("steps").alias("bits")))
+        return asked.groupBy("bucket").applyInPandas(_answer(length, window), ANSWERED)
 
     kind = packed.schema["row"].dataType
 
@@ -318,7 +324,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
 
         if not len(mine):
             return _none("block long, payload binary")
-        block = _Block(mine["payload"].iloc[0], "id", "text")
+        block = _Block(mine["payload"].iloc[0], *where)
         starts = settle(block, window, answers)
         gone = np.zeros(len(block.words) + 1, np.int64)
         at = np.flatnonzero(starts)
@@ -333,9 +339,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
             n_words.append(int(b - a))
             spans.append([{"start": int(s), "end": int(e)} for s, e in edge.reshape(-1, 2)])
             kept.append(_kept(text, mark, own_space))
-        rows = block.table.select(["row"]).take(pa.array(block.order))
         out = pa.RecordBatch.from_arrays(
-            [rows.column("row").combine_chunks(), pa.array(n_words, pa.int64()),
+            [block.rows.take(pa.array(block.order)), pa.array(n_words, pa.int64()),
              pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.string())],
             names=["row", "n_words", "spans", "kept"])
         return pd.DataFrame({"block": [mine["block"].iloc[0]], "payload": [_ipc(out)]})
@@ -346,15 +351,13 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
                 for some in _rows(payload.as_py()).to_batches(max_chunksize=1000):
                     yield some
 
-    asked, length = cut(data.mapInArrow(first_ask, ASKED)), base
-    while length < window and not asked.filter("bucket >= 0").isEmpty():
-        answers = cut(answers_to(asked, length))
-        asked = cut(data.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(next_ask(length), ASKED))
+    answers, length = cut(answers_to(data.mapInArrow(first_ask, ASKED), base)), base
+    while length < window and not answers.filter("bucket >= 0").isEmpty():
+        asked = data.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(next_ask(length), ASKED)
         length *= 2
+        answers = cut(answers_to(asked, length))
     if length < window:  # no candidate survives: nothing is found again
         answers = spark.createDataFrame([], ANSWERED)
-    else:
-        answers = answers_to(asked, window)
     done = data.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(finish, "block long, payload binary")
     return done.mapInArrow(open_blocks, f"row {kind.simpleString()}, n_words long, spans array<struct<start:long,end:long>>, kept string")
 
