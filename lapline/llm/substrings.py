@@ -31,7 +31,7 @@ BLOCK_WORDS = 1_000_000  # a block is closed at the first document end past this
 BUCKET_WINDOWS = 2_000_000  # windows for each bucket, about
 SPARE_BITS = 6  # bits of a hash beyond those that number the windows: chance matches under 2 ** -SPARE_BITS
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 NULL_ID = -(1 << 63)
 
 _ODD = np.random.default_rng(20).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
