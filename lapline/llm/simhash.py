@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapline.llm import tokens
 from lapline.llm._common import arrow_batches, cut, shuffle_partitions
 from lapline.llm.graph import components
 
@@ -241,6 +242,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = docs.schema[id_col].dataType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         for batch in batches:
             f = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(f)], names=["id", "h", "f"])

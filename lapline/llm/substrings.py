@@ -23,6 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lapline.llm import tokens
 from lapline.llm._common import arrow_batches, cut, cut_dealt, mix64, shuffle_partitions, words_of
 
 WINDOW = 20
@@ -224,6 +225,7 @@ def blocks_of(rows: DataFrame, text_at: int, block_words: int = BLOCK_WORDS) ->
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        tokens.forget()
         number, held, words = TaskContext.get().partitionId() << 32, [], 0
 
         def closed() -> pa.RecordBatch:

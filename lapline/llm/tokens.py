@@ -15,8 +15,7 @@ import sys
 from array import array
 from collections.abc import Iterable
 
-# Entries of a generation (about 200 bytes each); a worker keeps two.  A part costs more to find again than a run.
-CACHE_PARTS, CACHE_RUNS = 200_000, 75_000
+CACHE_PARTS = 450_000  # parts a worker keeps (about 200 bytes each) before it starts anew
 KEPT_PART = 200  # longer parts are encoded each time
 
 # The characters that \s means in the tokenizers' patterns (Unicode White_Space).
@@ -48,52 +47,37 @@ def _byte_letters() -> dict[int, str]:
 BYTE_LETTERS = _byte_letters()
 
 
-class _Kept(dict):
-    """A bounded memory in two generations: what the last one held and is asked for again comes over."""
-
-    def __init__(self, most: int):
-        super().__init__()
-        self.older, self.most = {}, most
-
-    def age(self) -> None:
-        if len(self) > self.most:
-            self.older = dict(self)
-            self.clear()
-
-    def __missing__(self, key) -> bytes:
-        found = self.older.get(key)
-        if found is None:
-            found = self.make(key)
-        if len(key) <= KEPT_PART:
-            self[key] = found
-        return found
-
-
-class _Parts(_Kept):
+class _Parts(dict):
     """Ids of a part (see the patterns above) as little-endian uint32 bytes, found when first asked for."""
 
     def __init__(self, tokenizer, single, lower):
-        super().__init__(CACHE_PARTS)
+        super().__init__()
         self.tokenizer, self.model, self.single, self.lower = tokenizer, tokenizer.model, single, lower
 
-    def make(self, part: str) -> bytes:
+    def __missing__(self, part: str) -> bytes:
         if self.single is not None and self.single.fullmatch(part):
             spelt = (part.lower() if self.lower else part).encode().decode("latin-1").translate(BYTE_LETTERS)
             ids = [t.id for t in self.model.tokenize(spelt)]
         else:
             ids = self.tokenizer.encode(part, add_special_tokens=False).ids
-        return array("I", ids).tobytes()
+        found = array("I", ids).tobytes()
+        if len(part) <= KEPT_PART:
+            self[part] = found
+        return found
 
 
-class _Runs(_Kept):
+class _Runs(dict):
     """Ids of a run between white space, joined from its parts; ``lead`` stands before each run."""
 
     def __init__(self, parts: _Parts, cut, lead: str):
-        super().__init__(CACHE_RUNS)
+        super().__init__()
         self.parts, self.cut, self.lead = parts, cut, lead
 
-    def make(self, run) -> bytes:
-        return b"".join(map(self.parts.__getitem__, self.cut(self.lead + (run if isinstance(run, str) else run.decode()))))
+    def __missing__(self, run) -> bytes:
+        found = b"".join(map(self.parts.__getitem__, self.cut(self.lead + (run if isinstance(run, str) else run.decode()))))
+        if len(run) <= KEPT_PART:
+            self[run] = found
+        return found
 
 
 class Encoder:
@@ -143,8 +127,9 @@ class Encoder:
         """Ids of each text; null and empty texts have none."""
         out = []
         for text in texts:
-            self.parts.age()
-            self.runs.age()
+            for kept in (self.parts, self.runs):
+                if len(kept) > CACHE_PARTS:
+                    kept.clear()
             out.append(self._text(text) if text else b"")
         return out
 
@@ -157,3 +142,10 @@ def encoder(path: str) -> Encoder:
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
+
+
+def forget() -> None:
+    """Give the worker's kept parts back: called where another operator's tasks begin in the same worker."""
+    for one in _ENCODERS.values():
+        one.parts.clear()
+        one.runs.clear()
