@@ -91,6 +91,33 @@ def test_good_and_bad_documents(spark):
     assert quality.keep_good(with_clashes(docs)).columns == with_clashes(docs).columns
 
 
+RARE = {"symbols": lambda i: " ".join(w + "$%" for w in prose(i, 80).split()), "duplicate_lines": lambda i: (prose(i, 90) + "\n") + (prose(i + 1, 2) + "\n") * 4,
+        "repeated_windows": lambda i: prose(i, 57) + (" " + prose(i + 1, 7)) * 6, "shouting": lambda i: prose(i, 80).upper(), "word_length": lambda i: prose(i, 80).replace(" ", "longerword ")}
+
+
+@pytest.mark.parametrize("kind", [*RARE, "all"])
+@pytest.mark.parametrize("permille", [5, 10, 30])
+def test_rare_bad_documents_of_one_rule(spark, kind, permille):
+    clean = spark.range(1000 - permille).select("id", F.lit("good").alias("kind"), F.lit(prose(1, 80)).alias("text"))  # copies dilute too
+    kinds = list(RARE) if kind == "all" else [kind]
+    bad = [(10_000 + 10 * i, kinds[i % len(kinds)], RARE[kinds[i % len(kinds)]](10_000 + 10 * i)) for i in range(permille)]
+    got = quality.assess(clean.union(spark.createDataFrame(bad, "id long, kind string, text string")))
+    rows = got.select("row.kind", "base_failed", "kept").distinct().collect()
+    assert {(r["kind"], r["base_failed"], r["kept"]) for r in rows} == {("good", False, True)} | {(k, False, False) for k in kinds}
+
+
+@pytest.mark.parametrize("n", [1000, 100_000, 10_000_000])
+def test_kinds_are_judged_alike_however_common(n):
+    none = (False,) * len(quality.RULES)
+    one = [tuple(i == j for i in range(len(none))) for j in range(len(none))]
+    for bad in ([1, 0, 0, 0, 0], [n // 200, 0, 0, 0, 0], [n // 1000] * 5, [n // 100, n // 2000, n // 5, n // 1000, 1], [n // 10] * 5, [n // 6] * 5):
+        counts = {none: n - sum(bad)} | {m: c for m, c in zip(one, bad) if c}
+        kinds = quality.Kinds.start()
+        for _ in range(quality.EM_ROUNDS):
+            kinds = kinds.update(counts)
+        assert kinds.shares(none)[0] > 0.99 and all(kinds.shares(m)[0] < 0.1 for m in one)
+
+
 def _digest(*parts):
     return int(hashlib.md5("|".join("" if p is None else str(p) for p in parts).encode()).hexdigest()[:15], 16)
 
