@@ -36,8 +36,9 @@ SELF_CLOSING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("t
 BARRIERS = frozenset("ul ol dl table select body html".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|title|noscript|iframe|xmp|svg|template)\b(?:[^<>\"']|\"[^\"]{0,2000}+\"|'[^']{0,2000}+')*+>.*?(?:</\1\s*+>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    r"|<svg(?=[\s/>])(?:[^<>=\"'/]++|=\s*+[^\s<>\"']++|=|\"[^\"]{0,2000}+\"|'[^']{0,2000}+'|/(?!>))*+/>"
+    r"|<(script|style|textarea|title|noscript|iframe|xmp|svg|template)(?=[\s/>])(?:[^<>\"']|\"[^\"]{0,2000}+\"|'[^']{0,2000}+')*+>.*?(?:</\1(?=[\s/>])[^>]*+(?:>|\Z)|\Z)"
     r"|<(/?)([a-zA-Z][^\s/<>]{0,40}+)((?:[^<>\"']++|\"[^\"]{0,2000}+\"|'[^']{0,2000}+')*+|[^<>]*+)>"
     r"|<[!?/][^<>]*+>"
     r"|[^<]++|<", re.S | re.I)

@@ -115,6 +115,14 @@ def test_broken_pages(page):
     assert all(b and b == " ".join(b.split()) for b in blocks) or blocks == []
 
 
+@pytest.mark.parametrize("mark", ['<svg class="i"/>', "<svg/>", "<SVG viewBox='0 0 1 1' />", "<svg a=b/>no</svg>", "<svg><text>no</text></svg>", "<svg-icon></svg-icon>",
+                                  "<template-part>", "<style-guide/>", "<title-bar x='1'></title-bar>", "<script>no</script/>", "<style>no</style x>",
+                                  "<!-- no --!>", "<!-->", "<!--->", "<!-- no -->"])
+def test_text_after_raw_marks_is_read(mark):
+    blocks = [b[0] for b in html_text.leaf_blocks(f"<article><h1>T</h1>{mark}<p>one two.</p>{mark}<p>three four.</p></article>")]
+    assert blocks == ["T", "one two.", "three four."]
+
+
 def test_extract_keeps_every_row(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", ""), (3, "w", "<p>" + "word " * 200_000 + "</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("x") for c in ("text", "blocks", "row")})
