@@ -35,18 +35,47 @@ CLOSES_P = BLOCK_TAGS - frozenset("button label option optgroup input ins object
 SELF_CLOSING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BARRIERS = frozenset("ul ol dl table select body html".split())
 
-TOKEN = re.compile(
-    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
-    r"|<svg(?=[\s/>])(?:[^<>=\"'/]++|=\s*+[^\s<>\"']++|=|\"[^\"]{0,2000}+\"|'[^']{0,2000}+'|/(?!>))*+/>"
-    r"|<(script|style|textarea|title|noscript|iframe|xmp|svg|template)(?=[\s/>])(?:[^<>\"']|\"[^\"]{0,2000}+\"|'[^']{0,2000}+')*+>.*?(?:</\1(?=[\s/>])[^>]*+(?:>|\Z)|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/<>]{0,40}+)((?:[^<>\"']++|\"[^\"]{0,2000}+\"|'[^']{0,2000}+')*+|[^<>]*+)>"
-    r"|<[!?/][^<>]*+>"
-    r"|[^<]++|<", re.S | re.I)
+VALUE = r"=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s<>\"'][^\s<>]*+)?+"  # a quote opens a value only after "=", and only if it closes
+ATTRIBUTES = rf"(?:[^<>=]++|{VALUE})*+"
+
+
+def _token(attributes: str) -> str:
+    """Comments, raw elements (1: name) with their content, tags (2: slash, 3: name, 4: attributes), other marks, text."""
+    return (r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+            rf"|<svg(?=[\s/>])(?:[^<>=/]++|{VALUE}|/(?!>))*+/>"
+            rf"|<(script|style|textarea|title|noscript|iframe|xmp|svg|template)(?=[\s/>]){attributes}>.*?(?:</\1(?=[\s/>])[^>]*+(?:>|\Z)|\Z)"
+            rf"|<(/?)([a-zA-Z][^\s/<>]{{0,40}}+)({attributes})>"
+            r"|<[!?/][^<>]*+>")
+
+
+TOKEN = re.compile(_token(ATTRIBUTES) + rf"|(</?[a-zA-Z]{ATTRIBUTES})|[^<]++|<", re.S | re.I)  # 5: a tag that does not end
+PLAIN_TOKEN = re.compile(_token("[^<>]*+") + r"|[^<]++|<", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 NAME_WORD = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
 
+def _tokens(page: str) -> Iterator[re.Match]:
+    """Where quotes leave a tag without an end, they count as ordinary characters up to there.  No part is read more
+    than a few times."""
+    at = 0
+    while True:
+        for m in TOKEN.finditer(page, at):
+            if m.group(5) is not None:
+                break
+            yield m
+        else:
+            return
+        upto = m.end()
+        for m in PLAIN_TOKEN.finditer(page, m.start()):
+            if m.start() >= upto:
+                at = m.start()
+                break
+            yield m
+        else:
+            return
+
+
 def leaf_blocks(page: str) -> list[tuple[str, tuple, int]]:
     """(text, ancestors, link characters) of every block with text, in page order.
 
@@ -78,7 +107,7 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple, int]]:
         del stack[to:]
         above = tuple([m for _, m in stack])
 
-    for m in TOKEN.finditer(page):
+    for m in _tokens(page):
         raw, shut, tag, attributes = m.group(1, 2, 3, 4)
         if tag is None:
             if raw is None and m.group()[0] != "<" or m.group() == "<":

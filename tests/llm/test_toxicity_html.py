@@ -1,6 +1,7 @@
 """Toxicity (operator 4) by held-out accuracy; HTML extraction (operator 2) by known pages."""
 
 import random
+import time
 import zlib
 
 import pytest
@@ -123,6 +124,24 @@ def test_text_after_raw_marks_is_read(mark):
     assert blocks == ["T", "one two.", "three four."]
 
 
+LONG = "x" * 50_000
+
+
+@pytest.mark.parametrize("mark", [f'<script data-x="{LONG}">no()</script>', f"<div data-x='{LONG}<b>no</b>'></div>", f'<img src="data:{LONG}>">', f'<svg d="{LONG}>"/>',
+                                  f'<a title="5" q">one</a> two.<p>{LONG} "</p>'])
+def test_long_quoted_values(mark):
+    blocks = [b[0] for b in html_text.leaf_blocks(f"<p>{mark}</p><p>three four.</p>")]
+    assert blocks == (["one two.", f'{LONG} "'] if "one" in mark else []) + ["three four."]
+
+
+@pytest.mark.parametrize("unit", ["<x\" ' =\"", "<x '\"", "<svg =\"", "<script ='", '<a href="', "<a =", "<!-", "</a b='"])
+@pytest.mark.parametrize("end", ["", "\" <", "' \" <p>"])
+def test_broken_quotes_take_time_in_proportion(unit, end):
+    began = time.process_time()
+    html_text.leaf_blocks(unit * (400_000 // len(unit)) + end)
+    assert time.process_time() - began < 15
+
+
 def test_extract_keeps_every_row(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", ""), (3, "w", "<p>" + "word " * 200_000 + "</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("x") for c in ("text", "blocks", "row")})
