@@ -113,8 +113,10 @@ class Encoder:
         return self.tokenizer.get_vocab_size(with_added_tokens=True)
 
     def _text(self, text: str) -> bytes:
-        if self.kind == "word":  # the six ASCII separators; ASCII letters may be lowered before the rest
-            return b"".join(map(self.runs.__getitem__, text.encode().lower().split()))
+        if self.kind == "word":  # the six ASCII separators
+            # a text in ASCII may be lowered first; elsewhere a capital may compose with a mark that its small letter does not take
+            spelt = text.encode()
+            return b"".join(map(self.runs.__getitem__, (spelt.lower() if text.isascii() else spelt).split()))
         if self.kind == "byte":
             if "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or OTHER_WHITE.search(text):
                 # a space that is not alone between two runs

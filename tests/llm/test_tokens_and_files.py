@@ -1,6 +1,7 @@
 """Cached encoding, packed token files (operator 9) and packing (operator 6) against whole-text encoding."""
 
 import random
+import string
 import zlib
 from collections import Counter
 
@@ -36,6 +37,17 @@ def test_cached_encoding_equals_whole_texts(name):
     check()
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_capitals_with_marks_and_odd_characters(name):
+    """Every ASCII letter with every combining mark of the first block, and random code points."""
+    rng = random.Random(6)
+    texts = [f"{a}{chr(m)}{b}" for a in string.ascii_letters for m in range(0x300, 0x370) for b in ("", "b C")]
+    plane = [*range(0x20, 0x7F), *range(0x300, 0x370), *range(0x80, 0x590), *range(0x1E00, 0x2100), *range(0x1100, 0x1200), *range(0xAC00, 0xAC80)]
+    texts += ["".join(chr(rng.choice(plane)) if rng.random() < 0.6 else rng.choice("AHJTWY aefi.,\n'") for _ in range(rng.randint(1, 12))) for _ in range(20_000)]
+    got = Encoder(FILES[name]).ids(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == whole(name, texts)
+
+
 @pytest.mark.parametrize("bits", [1, 7, 15, 16, 17, 31, 32])
 @pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 5000])
 def test_bits_round_trip(bits, n):
