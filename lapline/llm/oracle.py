@@ -6,7 +6,7 @@ against brute force, round trips or held-out accuracy in ``tests/llm``.
 
 from __future__ import annotations
 
-from lapline.llm import mixing, quality
+from lapline.llm import contamination, lexical, mixing, quality
 
 TOP_K = """
 WITH c AS (SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
@@ -139,5 +139,56 @@ SELECT doc_id, source, n AS n_tokens, CAST(epoch AS BIGINT) AS epoch, CAST(block
 FROM started WHERE NOT last OR space > 0"""
 
 
+TRIE = r"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos,
+  sha256(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+  len([x FOR x IN string_split_regex(coalesce(text, ''), '[ \t-\r]+') IF x <> '']) AS w FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, xor(list_reduce([ascii(x) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')], lambda crc, b: list_reduce(range(8),
+  lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END, xor(crc, CAST(b AS BIGINT))), CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+turns AS (SELECT c.conv_id, pos, k, w FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND pos < h
+  UNION ALL SELECT c.conv_id, pos, k, w FROM c JOIN t ON t.conv_id = c.conv_id AND pos >= h),
+s AS (SELECT c.conv_id, coalesce(list(k ORDER BY pos) FILTER (k IS NOT NULL), []) AS ks, coalesce(list(w ORDER BY pos) FILTER (k IS NOT NULL), []) AS ws
+  FROM c LEFT JOIN turns USING (conv_id) GROUP BY c.conv_id),
+p AS MATERIALIZED (SELECT conv_id, depth, len(ks) AS n, sha256(array_to_string(ks[1:depth], ',')) AS k, CASE WHEN depth > 0 THEN sha256(array_to_string(ks[1:depth - 1], ',')) END AS up,
+  CASE WHEN depth > 0 THEN ws[depth] ELSE 0 END AS w FROM (SELECT *, unnest(range(len(ks) + 1)) AS depth FROM s)),
+node AS MATERIALIZED (SELECT depth, k, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(w) AS w,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256 FROM p GROUP BY depth, k),
+kids AS (SELECT depth - 1 AS depth, up AS k, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY ALL),
+family AS MATERIALIZED (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (depth, k)),
+below AS (SELECT p.depth, p.k, count(*) FILTER (family.n_children = 0) AS n_leaves, sum((family.n_convs - 1) * family.w) AS saved_tokens
+  FROM family JOIN p ON p.conv_id = family.conv_id AND p.depth <= family.depth GROUP BY ALL)
+SELECT family.conv_id, CAST(family.depth AS BIGINT) AS depth, above.conv_id AS parent_conv_id, family.n_convs, family.n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, family.ends_sha256
+FROM family JOIN below USING (depth, k) LEFT JOIN node AS above ON above.depth = family.depth - 1 AND above.k = family.up"""
+
+_TERMS = r"""
+d AS MATERIALIZED (SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w FROM documents),
+b AS MATERIALIZED (SELECT item_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w FROM benchmark)"""
+
+LEXICAL = "WITH " + _TERMS + f""",
+total AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+asked AS MATERIALIZED (SELECT DISTINCT item_id, unnest(w) AS term FROM b),
+posting AS MATERIALIZED (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d) SEMI JOIN asked USING (term) GROUP BY ALL),
+weight AS (SELECT term, CAST(floor({lexical.WEIGHT} * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM posting, total GROUP BY term, n_docs),
+scored AS (SELECT item_id, doc_id, CAST(sum(w * (({lexical.IMPACT} * tf) // (1000 * tf + {lexical.SATURATION} * ({lexical.BASE} + ({lexical.SLOPE} * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM asked JOIN posting USING (term) JOIN weight USING (term), total GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= {lexical.TOP}"""
+
+DECONTAMINATION = "WITH " + _TERMS + f""",
+win AS MATERIALIZED (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS k
+  FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM (SELECT *, least(len(w), {contamination.WINDOW}) AS m FROM b WHERE len(w) > 0))),
+occ AS MATERIALIZED (SELECT doc_id, m, i, k FROM (SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS k
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d JOIN (SELECT DISTINCT m FROM win) ON len(w) >= m)) SEMI JOIN win USING (m, k)),
+hit AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS j FROM occ) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occ JOIN win USING (m, k)) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(found.n, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op1_mixing": mixing_sql(), "op3_top_k": TOP_K, "op7_substrings": SUBSTRINGS, "op8_chat": CHAT, "op10_quality": quality_sql()}
+    return {"op1_mixing": mixing_sql(), "op3_top_k": TOP_K, "op7_substrings": SUBSTRINGS, "op8_chat": CHAT, "op10_quality": quality_sql(), "op11_trie": TRIE, "op12_lexical": LEXICAL,
+            "op13_decontamination": DECONTAMINATION}

@@ -114,6 +114,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", *COUNTS, "base_failed", "kept")
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapline.llm.trie import conversation_trie
+
+    return conversation_trie(table(spark, sf_dir, "conversations"), graft=True)
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapline.llm.lexical import rank_documents
+
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lapline.llm.contamination import contaminated
+
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return found.select("row.doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -122,5 +143,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: _registered(q) for q in (
     op1_mixing, op2_html_text, op3_top_k, op4_toxicity, op5_simhash, op6_packing, op7_substrings, op8_chat, op9_token_files,
-    op10_quality, pipeline)}
+    op10_quality, op11_trie, op12_lexical, op13_decontamination, pipeline)}
 ORACLES: dict[str, str] = oracles()

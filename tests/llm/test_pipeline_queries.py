@@ -22,7 +22,7 @@ def _docs(spark):
 
 
 def test_every_operator_has_a_query():
-    assert [q.split("_")[0] for q in QUERIES if q != "pipeline"] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in QUERIES if q != "pipeline"] == [f"op{n}" for n in range(1, 14)]
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "near duplicates", "substring dedup", "source mixing", "packing"]
 
 
