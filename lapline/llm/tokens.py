@@ -29,6 +29,8 @@ BYTE_PARTS = re.compile(rf" ?[{LETTERS}]++(?=[{WHITE}{MARKS}]|\Z)|[{MARKS}]++(?=
 WORD_PARTS = re.compile(rf"[{LETTERS}]++(?=[{WHITE}{MARKS}]|\Z)|[{MARKS}]++(?=[{WHITE}]|\Z)|[^{WHITE}]+")
 #: White space but the space and the line feed.
 OTHER_WHITE = re.compile("[\x09\x0b-\x0d\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Marks that compose with ASCII letters (NFC) all lie in this block.
+COMPOSING = re.compile("[\u0300-\u036f]")
 ONE_BYTE = re.compile(rf" ?(?:[{LETTERS}]+|[{MARKS}]+)")
 ONE_WORD = re.compile(rf"[{LETTERS}]+|[{MARKS}]+")
 
@@ -114,9 +116,9 @@ class Encoder:
 
     def _text(self, text: str) -> bytes:
         if self.kind == "word":  # the six ASCII separators
-            # a text in ASCII may be lowered first; elsewhere a capital may compose with a mark that its small letter does not take
+            # ASCII letters may be lowered first unless a mark may compose with the small letter only
             spelt = text.encode()
-            return b"".join(map(self.runs.__getitem__, (spelt.lower() if text.isascii() else spelt).split()))
+            return b"".join(map(self.runs.__getitem__, (spelt if COMPOSING.search(text) else spelt.lower()).split()))
         if self.kind == "byte":
             if "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or OTHER_WHITE.search(text):
                 # a space that is not alone between two runs
