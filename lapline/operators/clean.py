@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapline import schema as S
+from lapline.functions.quantile import exact_quantile
 from lapline.functions.text import PARA_CLASS_PY, SHORT_COURSE_PY, regex_contains
 from lapline.functions.times import convert_time_columns, to_double
 from lapline.sources.tables import normalize_input
@@ -88,18 +89,16 @@ def build_features(splits) -> list[str]:
 def impute_median(df: DataFrame, col: str = "reaction_time") -> DataFrame:
     """Fill missing values with the exact (interpolated) median of the column.
 
-    The median is one aggregate over value counts (combined before the
-    shuffle; reaction times come in hundredths, so there are few), used as a
-    scalar subquery: one value, no join.
+    The median is found by a few passes of bounded state (``exact_quantile``), whatever number of distinct values the
+    column has; ``df`` is read once for each, so give it stored rows (``prepare_data(work=...)``).
     """
     if dict(df.dtypes).get(col) == "string":
         value = to_double(F.col(col))                  # text: coerce, bad -> missing
     else:
         value = F.col(col).cast("double")
         value = F.when(~F.isnan(value), value)          # NaN counts as missing
-    counts = df.select(value.alias("v")).filter("v IS NOT NULL").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    median = counts.agg(F.percentile("v", F.lit(0.5), F.col("n"))).scalar()
-    return df.withColumn(col, F.coalesce(value, median))
+    median = exact_quantile(df, value, 0.5)
+    return df.withColumn(col, F.coalesce(value, F.lit(median).cast("double")))
 
 
 def as_frame(src, schema=S.RAW_RESULTS) -> DataFrame:
@@ -110,11 +109,11 @@ def as_frame(src, schema=S.RAW_RESULTS) -> DataFrame:
 def prepare_data(men, women, work: str | None = None) -> DataFrame:
     """Union → time conversion (F01) → C04 → C09 → C08 → C10.  ``men`` and ``women``: frames or paths.
 
-    No ``sex`` column is added here, as in the reference.  The median needs a
-    pass over the converted rows before they can be filled.  Without ``work``
-    the plan is lazy and runs its upstream for both.  With ``work``, a folder
-    that all executors share, the converted rows are written there once as
-    Parquet and read back for both; the caller removes the folder.
+    No ``sex`` column is added here, as in the reference.  The median needs
+    passes over the converted rows before they can be filled.  With ``work``, a
+    folder that all executors share, the converted rows are written there once as
+    Parquet and read back for all of them; the caller removes the folder.  Without
+    it the upstream runs again for each pass.
     """
     df = as_frame(men).unionByName(as_frame(women), allowMissingColumns=True)
     df = convert_time_columns(df, S.TIME_COLS, "ingest")

@@ -7,10 +7,13 @@ Settings and their relation to the reference's library defaults:
   differences of the splits, so they add no rank to a linear model; the
   fitted predictions are the same and the normal equations stay well posed.
 * Random forest: 100 trees, every feature considered at each split (the
-  reference library's regression default), bootstrap, seed 42.  Depth and
-  bins (``RF_MAX_DEPTH``, ``RF_MAX_BINS``) are settings of every entry point
-  that fits a forest (``forest={"max_depth": ..., "max_bins": ..., "trees": ...}``):
-  Spark grows trees level by level over binned values, the reference to purity.
+  reference library's regression default), bootstrap, seed 42.  Every entry point
+  that fits a forest takes its settings (``forest={...}``): ``{"pure": True}`` grows
+  trees until their leaves are pure, as the reference does (``operators/forest.py``);
+  otherwise ``pyspark.ml`` grows them level by level over binned values to
+  ``max_depth`` (``RF_MAX_DEPTH``), ``max_bins`` (``RF_MAX_BINS``).
+* Where only errors are asked for, linear and polynomial models are solved from moment
+  matrices (``operators/gram.py``): three jobs for all models and folds.
 * Gradient boosting: 100 rounds, step 0.1, depth 3, seed 42.
 * Hold-out and folds come from an md5 hash of each row's identifying values,
   so they do not depend on row order or partitioning (the reference used
@@ -29,6 +32,8 @@ from pyspark.storagelevel import StorageLevel
 from lapline import schema as S
 from lapline.functions.times import time_to_seconds, to_double
 from lapline.operators.clean import add_intervals, as_frame, build_features, require_columns
+from lapline.operators.forest import PureForest, PureForestModel
+from lapline.operators.gram import LeastSquares, cross_validated, held_out
 from lapline.operators.stats import importances_frame
 
 LABEL = "final_time"
@@ -90,9 +95,12 @@ def polynomial_regression(degree: int = 2, features=None) -> Pipeline:
 
 
 def random_forest(features=None, trees: int | None = None, max_depth: int | None = None,
-                  max_bins: int | None = None) -> Pipeline:
-    """M04 (defaults: the module settings at call time)."""
+                  max_bins: int | None = None, pure: bool = False, **growth) -> Pipeline | PureForest:
+    """M04 (defaults: the module settings at call time).  ``pure``: grown to purity; ``max_depth`` is then no cap unless
+    given, and ``growth`` has further settings of :class:`PureForest`."""
     feats = list(features or S.FEATURE_COLS)
+    if pure:
+        return PureForest(feats, LABEL, trees or RF_TREES, SEED, max_depth, **growth)
     trees, max_depth, max_bins = trees or RF_TREES, max_depth or RF_MAX_DEPTH, max_bins or RF_MAX_BINS
     return Pipeline(stages=[
         VectorAssembler(inputCols=feats, outputCol="features"),
@@ -111,10 +119,15 @@ def gradient_boosting(features=None, rounds: int | None = None) -> Pipeline:
                      seed=SEED, **TREE_RUNTIME)])
 
 
+def least_squares(features=None, degree: int = 1) -> LeastSquares:
+    """M02/M03 where only errors or predictions are asked for: solved from moment matrices."""
+    return LeastSquares(tuple(features or BASE_COLS), degree)
+
+
 # The reference's model names.
 def model_set(poly_degree: int = 2, with_boosting: bool = False, forest: dict | None = None) -> dict:
-    models = {"Linear Regression": linear_regression(),
-              "Polynomial Regression": polynomial_regression(poly_degree),
+    models = {"Linear Regression": least_squares(),
+              "Polynomial Regression": least_squares(degree=poly_degree),
               "Random Forest": random_forest(**(forest or {}))}
     if with_boosting:
         models["Gradient Boosting"] = gradient_boosting()
@@ -150,25 +163,41 @@ def _in_parallel(tasks, parallelism: int = PARALLEL_FITS) -> list:
 
 
 
-def _split(prepared):
-    """The hold-out split of a prepared frame (or of the one stored at a path), kept for the passes of a fit.
+def _kept(df: DataFrame, partitions: int | None) -> DataFrame:
+    """``df`` kept for the many passes of a fit, dealt once over ``partitions`` tasks by the row's hash.
 
-    The partitions are the frame's own, so they follow the size of the data.
+    None keeps the frame's own partitions, which follow the size of the data wherever it has many scan splits.
     """
-    tagged = holdout(as_frame(prepared)).persist(StorageLevel.MEMORY_AND_DISK)
+    if partitions:
+        df = df.repartition(partitions, _row_hash(df, None, 0))
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _split(prepared, partitions: int | None = None):
+    """The hold-out split of a prepared frame (or of the one stored at a path), kept for the passes of a fit."""
+    tagged = _kept(holdout(as_frame(prepared)), partitions)
     return tagged, tagged.filter(~F.col("is_test")), tagged.filter(F.col("is_test"))
 
 
-def compare_models(spark: SparkSession, prepared, poly_degree: int = 2, forest: dict | None = None) -> DataFrame:
-    """Linear, polynomial and forest on one hold-out split → ``(model_name, mae, rmse, r2)``."""
-    tagged, train, test = _split(prepared)
+def _solved_and_others(models: dict) -> tuple[dict, dict]:
+    solved = {n: e for n, e in models.items() if isinstance(e, LeastSquares)}
+    return solved, {n: e for n, e in models.items() if n not in solved}
+
+
+def compare_models(spark: SparkSession, prepared, poly_degree: int = 2, forest: dict | None = None, models: dict | None = None,
+                   partitions: int | None = None) -> DataFrame:
+    """Linear, polynomial and forest (or ``models``) on one hold-out split → ``(model_name, mae, rmse, r2)``."""
+    tagged, train, test = _split(prepared, partitions)
+    solved, others = _solved_and_others(models or model_set(poly_degree, forest=forest))
 
     def run(name, est):
         m = metrics(est.fit(train).transform(test)).first()
         return name, m["mae"], m["rmse"], m["r2"]
 
     try:
-        rows = _in_parallel([lambda n=n, e=e: run(n, e) for n, e in model_set(poly_degree, forest=forest).items()])
+        rows = _in_parallel([lambda n=n, e=e: run(n, e) for n, e in others.items()])
+        if solved:
+            rows += [(n, *[None if x is None else round(float(x), d) for x, d in zip(m, (3, 3, 4))]) for n, m in held_out(tagged, solved).items()]
     finally:
         tagged.unpersist()
     out = spark.createDataFrame(rows, "model_name string, mae double, rmse double, r2 double")
@@ -176,59 +205,72 @@ def compare_models(spark: SparkSession, prepared, poly_degree: int = 2, forest:
 
 
 def compare_models_cv(spark: SparkSession, prepared, poly_degree: int = 2, k: int = 5,
-                      parallelism: int = 2 * PARALLEL_FITS, forest: dict | None = None, models: dict | None = None) -> DataFrame:
+                      parallelism: int = 2 * PARALLEL_FITS, forest: dict | None = None, models: dict | None = None,
+                      partitions: int | None = None) -> DataFrame:
     """K-fold mean MAE of the four models (or of ``models``) → ``(model_name, mae)``.
 
-    Every (model, fold) fit is independent, so they run concurrently over one
-    cached copy of the folded rows; a model's score is the mean of its fold
-    MAEs, as in the reference.
+    Least-squares models are solved together from moment matrices by fold.  Every other (model, fold) fit is
+    independent, so they run concurrently over one cached copy of the folded rows; a model's score is
+    the mean of its fold MAEs, as in the reference.
     """
-    folded = with_folds(as_frame(prepared), k).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = _kept(with_folds(as_frame(prepared), k), partitions)
     models = models or model_set(poly_degree, with_boosting=True, forest=forest)
+    solved, others = _solved_and_others(models)
 
     def run(name, est, i):
         fold = F.col("fold") == i
         return name, _mae(est.fit(folded.filter(~fold)).transform(folded.filter(fold)))
 
     try:
-        scores = _in_parallel([lambda n=n, e=e, i=i: run(n, e, i) for n, e in models.items() for i in range(k)],
+        scores = _in_parallel([lambda n=n, e=e, i=i: run(n, e, i) for n, e in others.items() for i in range(k)],
                               parallelism)
+        rows = [(name, round(float(sum(m for n, m in scores if n == name)) / k, 3)) for name in others]
+        if solved:
+            rows += [(name, round(float(mae), 3)) for name, mae in cross_validated(folded, solved).items()]
     finally:
         folded.unpersist()
-    rows = [(name, round(float(sum(m for n, m in scores if n == name)) / k, 3)) for name in models]
     return spark.createDataFrame(rows, "model_name string, mae double").orderBy("mae", "model_name")
 
 
-def progressive_accuracy(spark: SparkSession, prepared, forest: dict | None = None, estimator=None) -> DataFrame:
+def progressive_accuracy(spark: SparkSession, prepared, forest: dict | None = None, estimator=None, partitions: int | None = None) -> DataFrame:
     """A forest per prefix of splits (50 m … 250 m) → ``(splits_used, n_features, mae)``.
 
-    ``estimator(features)``: another model than the forest.
+    ``estimator(features)``: another model than the forest; least-squares ones are solved together.
     """
     make = estimator or (lambda feats: random_forest(feats, **(forest or {})))
-    tagged, train, test = _split(prepared)
+    tagged, train, test = _split(prepared, partitions)
+    made = {splits[-1]: make(build_features(splits)) for splits in PROGRESSIVE_SPLITS}
+    solved, others = _solved_and_others(made)
 
     def run(splits):
-        feats = build_features(splits)
-        mae = _mae(make(feats).fit(add_intervals(train, splits)).transform(add_intervals(test, splits)))
-        return splits[-1], len(feats), round(float(mae), 3)
+        if splits[-1] in solved:
+            return None
+        return _mae(others[splits[-1]].fit(add_intervals(train, splits)).transform(add_intervals(test, splits)))
 
     try:
-        rows = _in_parallel([lambda s=s: run(s) for s in PROGRESSIVE_SPLITS])
+        maes = dict(zip(made, _in_parallel([lambda s=s: run(s) for s in PROGRESSIVE_SPLITS])))
+        if solved:
+            maes |= {name: m[0] for name, m in held_out(add_intervals(tagged, S.FEATURE_SPLITS), solved).items()}
     finally:
         tagged.unpersist()
+    rows = [(s[-1], len(build_features(s)), round(float(maes[s[-1]]), 3)) for s in PROGRESSIVE_SPLITS]
     return spark.createDataFrame(rows, "splits_used string, n_features int, mae double")
 
 
-def train_model(spark: SparkSession, prepared, forest: dict | None = None):
-    """Forest on the hold-out split → (PipelineModel, test MAE, importances frame)."""
-    tagged, train, test = _split(prepared)
+def importances_of(model) -> list[float]:
+    """The importances of a fitted forest, in feature order."""
+    return list(model.importances if isinstance(model, PureForestModel) else model.stages[-1].featureImportances.toArray())
+
+
+def train_model(spark: SparkSession, prepared, forest: dict | None = None, partitions: int | None = None):
+    """Forest on the hold-out split → (model, test MAE, importances frame)."""
+    tagged, train, test = _split(prepared, partitions)
     try:
         model = random_forest(**(forest or {})).fit(train)
         mae = float(_mae(model.transform(test)))
     finally:
         tagged.unpersist()
-    imp = importances_frame(spark, S.FEATURE_COLS, model.stages[-1].featureImportances.toArray())
-    return model, mae, imp
+    return model, mae, importances_frame(spark, S.FEATURE_COLS, importances_of(model))
 
 
 # --------------------------------------------------------------------------- M12, M13: scoring

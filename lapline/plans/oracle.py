@@ -462,3 +462,85 @@ QUERY_SQL["named_queries"] = "\nUNION ALL\n".join(_named_sql(*x) for x in (
     ("Rows missing late splits", "missing_late_splits", ["missing_late_splits"]),
     ("Swimmers parsed per race", "swimmers_per_race_top10", ["Link", "swimmer_count"]),
     ("Fastest swim per race", "fastest_per_race_top10", ["Link", "fastest_time"])))
+
+
+# --------------------------------------------------------------------------- every year, medians, six features, stumps
+
+for _name in ("link_lists", "ingest_resumed", "ingest_second_run_rows", "ingest_report", "short_course_filtered", "dropped_competitions", "seed_list"):
+    QUERY_SQL[_name] = QUERY_SQL[_name].replace("y BETWEEN 1996 AND 2000", "y IS NOT NULL")
+
+_SIX = _SPLITS[:5] + ["reaction_time"]
+
+
+def _terms(degree: int) -> list[str]:
+    """Products of the six features, centred and scaled as ``c0`` ... ``c5``."""
+    one = [f"c{i}" for i in range(6)]
+    return ["CAST(1 AS DOUBLE)", *one, *([f"c{i} * c{j}" for i in range(6) for j in range(i, 6)] if degree == 2 else [])]
+
+
+def _solved_sql(degree: int, groups: str, own: str, left_out: str) -> str:
+    """Normal equations of the rows outside each group, by Gauss-Jordan with the largest pivot left; a column whose pivot is
+    next to nothing is left out (weight 0).  Gives ``e_<degree>``: group, label, error of the group's rows."""
+    n = len(_terms(degree))
+    z = f"z_{degree}"
+    return f"""
+{z} AS MATERIALIZED (SELECT {own} AS g, final_time AS y, [{', '.join(_terms(degree))}] AS t FROM scaled),
+m_{degree} AS MATERIALIZED (SELECT g, i, j, sum(t[i] * CASE WHEN j = {n + 1} THEN y ELSE t[j] END) AS x FROM (SELECT g, y, t, i, unnest(range(1, {n + 2})) AS j
+  FROM (SELECT g, y, t, unnest(range(1, {n + 1})) AS i FROM {z})) GROUP BY ALL),
+a_{degree} AS MATERIALIZED (SELECT g, i, list(x ORDER BY j) AS r FROM (SELECT h.g, m.i, m.j, sum(m.x) AS x FROM m_{degree} m JOIN ({groups}) h ON {left_out} GROUP BY ALL) GROUP BY g, i),
+s_{degree}(g, k, m, used) AS (
+  SELECT g, 0, list(r ORDER BY i), CAST([] AS BIGINT[]) FROM a_{degree} GROUP BY g
+  UNION ALL
+  SELECT g, k + 1, CASE WHEN abs(m[p][p]) < 1e-7 THEN m ELSE [CASE WHEN i = p THEN [x / m[p][p] FOR x IN m[p]]
+      ELSE [m[i][j] - m[i][p] * m[p][j] / m[p][p] FOR j IN range(1, {n + 2})] END FOR i IN range(1, {n + 1})] END,
+    CASE WHEN abs(m[p][p]) < 1e-7 THEN used ELSE list_append(used, p) END
+  FROM (SELECT *, list_sort([struct_pack(x := -abs(m[i][i]), i := i) FOR i IN range(1, {n + 1}) IF NOT list_contains(used, i)])[1].i AS p FROM s_{degree} WHERE k < {n} AND len(used) = k)),
+w_{degree} AS (SELECT g, [CASE WHEN list_contains(used, i) THEN m[i][{n + 1}] ELSE 0 END FOR i IN range(1, {n + 1})] AS w
+  FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY k DESC) AS last FROM s_{degree}) WHERE last = 1),
+e_{degree} AS (SELECT g, y, list_sum([t[i] * w[i] FOR i IN range(1, {n + 1})]) - y AS e FROM {z} JOIN w_{degree} USING (g))"""
+
+
+# the later splits less their trend on the first, so that the equations are well posed
+_SCALED = _TAGGED + """,
+trend AS (SELECT """ + ", ".join(f"regr_slope({c}, split_50m) AS b{i}" for i, c in enumerate(_SIX)) + """ FROM tagged),
+bent AS (SELECT is_test, fold, final_time, """ + ", ".join(
+    f"{c} - {'b%d * split_50m' % i if i else '0'} AS v{i}" for i, c in enumerate(_SIX)) + """ FROM tagged, trend),
+scaled AS (SELECT is_test, fold, final_time, """ + ", ".join(
+    f"(v{i} - avg(v{i}) OVER ()) / stddev_pop(v{i}) OVER () AS c{i}" for i in range(6)) + """ FROM bent)"""
+_MODELS = {1: "Linear Regression", 2: "Polynomial Regression"}
+
+QUERY_SQL.update({
+    "imputed_prices": """
+WITH p AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 7 <> 0 THEN l_extendedprice END AS price FROM lineitem)
+SELECT l_orderkey, l_linenumber, round(coalesce(price, (SELECT quantile_cont(price, 0.5) FROM p)), 6) AS price FROM p""",
+    "six_feature_cv": "WITH RECURSIVE " + _SCALED + ","
+    + ",".join(_solved_sql(d, "SELECT DISTINCT fold AS g FROM scaled", "fold", "m.g <> h.g") for d in (1, 2)) + "\n"
+    + "\nUNION ALL\n".join(f"SELECT '{_MODELS[d]}' AS model_name, round(avg(mae), 3) AS mae FROM (SELECT g, avg(abs(e)) AS mae FROM e_{d} GROUP BY g)" for d in (1, 2)),
+    "six_feature_holdout": "WITH RECURSIVE " + _SCALED + ","
+    + ",".join(_solved_sql(d, "SELECT true AS g", "is_test", "NOT m.g") for d in (1, 2)) + "\n"
+    + "\nUNION ALL\n".join(f"SELECT '{_MODELS[d]}' AS model_name, round(avg(abs(e)), 3) AS mae, round(sqrt(avg(e * e)), 3) AS rmse, "
+                            f"round(1 - sum(e * e) / (var_pop(y) * count(*)), 4) AS r2 FROM e_{d}" for d in (1, 2)),
+})
+
+_FEATURES = _SPLITS[:5] + [f"interval_{c}" for c in _SPLITS[1:5]] + ["reaction_time"]
+_STUMP = _TAGGED + """,
+f AS (SELECT unnest([""" + ", ".join(f"struct_pack(f := {i}, x := {c})" for i, c in enumerate(_FEATURES)) + """], recursive := true), final_time - (SELECT avg(final_time) FROM tagged WHERE NOT is_test) AS y
+  FROM tagged WHERE NOT is_test),
+v AS (SELECT f, x, count(*) AS n, sum(y) AS s FROM f GROUP BY f, x),
+c AS (SELECT f, x, lead(x) OVER w AS higher, sum(n) OVER (w ROWS UNBOUNDED PRECEDING) AS n, sum(s) OVER (w ROWS UNBOUNDED PRECEDING) AS s,
+      sum(n) OVER (PARTITION BY f) AS every, sum(s) OVER (PARTITION BY f) AS whole FROM v WINDOW w AS (PARTITION BY f ORDER BY x)),
+best AS MATERIALIZED (SELECT f, x + (higher - x) / 2 AS cut FROM c WHERE higher IS NOT NULL
+      ORDER BY round(s * s / n + (whole - s) * (whole - s) / (every - n), 4) DESC, f, x LIMIT 1),
+named AS (SELECT *, CASE (SELECT f FROM best) """ + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(_FEATURES)) + """ END <= (SELECT cut FROM best) AS low FROM tagged),
+leaf AS (SELECT low, avg(final_time) AS p FROM named WHERE NOT is_test GROUP BY low),
+scored AS (SELECT named.*, p FROM named JOIN leaf USING (low))"""
+
+QUERY_SQL.update({
+    "stump_holdout": "WITH " + _STUMP + """
+SELECT 'Stump' AS model_name, round(avg(abs(p - final_time)), 3) AS mae, round(sqrt(avg((p - final_time) * (p - final_time))), 3) AS rmse,
+       round(1 - sum((p - final_time) * (p - final_time)) / (var_pop(final_time) * count(*)), 4) AS r2 FROM scored WHERE is_test""",
+    "stump_importances": "WITH " + _STUMP + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS feature, CAST((SELECT count(*) FROM best WHERE f = {i}) AS DOUBLE) AS importance" for i, c in enumerate(_FEATURES)),
+    "stump_scored": "WITH " + _STUMP + """
+SELECT Link, heat, "rank", lane, last_name, first_name, round(p, 6) AS predicted_time, round(p - final_time, 6) AS residual FROM scored""",
+})

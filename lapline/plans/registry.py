@@ -25,7 +25,7 @@ from lapline.plans import queries as Q
 from lapline.session import ensure_checkpoint_dir
 from lapline.sources import fixtures as FX
 from lapline.sources import tables as T
-from lapline.sources.tables import read_table
+from lapline.sources.tables import input_partitions, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -100,7 +100,8 @@ register("document_line_search")(
 
 # --------------------------------------------------------------------------- S14, L01-L14 (stored pages)
 
-YEARS = (1996, 2000)  # the tables hold 1995 to 2001
+YEARS = (1996, 2000)  # L13: a part of the years that the tables hold (1995 to 2001)
+EVERY_YEAR = (0, 9999)
 
 register("page_anchor_links")(lambda spark, d: L.anchor_links(T.read_html_pages(spark, d)))
 register("portal_links")(
@@ -129,14 +130,28 @@ def _parsed_by_sex(spark, d):
 
 
 def _links(spark, d):
-    return L.link_table(FX.competition_list_pages(spark, d), FX.portal_pages(spark, d), *YEARS)
+    return L.link_table(FX.competition_list_pages(spark, d), FX.portal_pages(spark, d), *EVERY_YEAR)
+
+
+def _work(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lapline-{name}-{uuid.uuid4().hex}"
 
 
 register("results_table")(lambda spark, d: C.prepare_for_sql(*_parsed_by_sex(spark, d)))
 register("para_filtered")(lambda spark, d: C.drop_para_class(_typed(spark, d)))
 register("short_course_filtered")(lambda spark, d: C.drop_short_course(_typed(spark, d), _links(spark, d)))
 register("dropped_competitions")(lambda spark, d: C.dropped_competitions(_links(spark, d)))
-register("prepared")(lambda spark, d: C.prepare_data(*_parsed_by_sex(spark, d)))
+register("prepared")(lambda spark, d: C.prepare_data(*_parsed_by_sex(spark, d), work=_work(spark, "prepared")))
+
+
+def _imputed_prices(spark, d):
+    """C08 over a column of distinct doubles: prices of every seventh order missing, filled with the exact median."""
+    lines = read_table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.pmod("l_orderkey", F.lit(7)) != 0, F.col("l_extendedprice")).alias("price"))
+    return C.impute_median(lines, "price").withColumn("price", F.round("price", 6))
+
+
+register("imputed_prices")(_imputed_prices)
 
 
 # --------------------------------------------------------------------------- A01-A08, M01-M14
@@ -146,12 +161,12 @@ def _prepared(spark, d):
     """C12 over the results read as text (the parser's output shape), men's and women's lists."""
     raw = FX.raw_results(spark, d)
     return C.prepare_data(raw.filter(F.col("sex") == "M").drop("sex"),
-                          raw.filter(F.col("sex") == "F").drop("sex"))
+                          raw.filter(F.col("sex") == "F").drop("sex"), work=_work(spark, "prepared"))
 
 
 def _scored(spark, d):
     prepared = _prepared(spark, d)
-    model, _, _ = M.train_model(spark, prepared)
+    model, _, _ = M.train_model(spark, prepared, partitions=input_partitions(spark))
     return M.predict_batch(model, prepared)
 
 
@@ -161,12 +176,12 @@ register("ols_split250")(lambda spark, d: M.ols_single(spark, _prepared(spark, d
 register("holdout_sizes")(lambda spark, d: M.holdout(_prepared(spark, d)).groupBy("is_test").count())
 register("fold_sizes")(lambda spark, d: M.with_folds(_prepared(spark, d)).groupBy("fold").count())
 register("model_comparison")(lambda spark, d: A.with_label(
-    A.sort_by_error(M.compare_models(spark, _prepared(spark, d))), "mae", "%.3f", "s"))
-register("model_comparison_cv")(lambda spark, d: M.compare_models_cv(spark, _prepared(spark, d)))
+    A.sort_by_error(M.compare_models(spark, _prepared(spark, d), partitions=input_partitions(spark))), "mae", "%.3f", "s"))
+register("model_comparison_cv")(lambda spark, d: M.compare_models_cv(spark, _prepared(spark, d), partitions=input_partitions(spark)))
 register("progressive_accuracy")(
-    lambda spark, d: A.error_by_distance(M.progressive_accuracy(spark, _prepared(spark, d))))
+    lambda spark, d: A.error_by_distance(M.progressive_accuracy(spark, _prepared(spark, d), partitions=input_partitions(spark))))
 register("feature_importances")(
-    lambda spark, d: A.with_label(M.train_model(spark, _prepared(spark, d))[2], "importance"))
+    lambda spark, d: A.with_label(M.train_model(spark, _prepared(spark, d), partitions=input_partitions(spark))[2], "importance"))
 register("scored_results")(_scored)
 register("biggest_surprises")(lambda spark, d: A.biggest_surprises(_scored(spark, d), 5))
 register("residual_histogram")(lambda spark, d: A.histogram(spark, _scored(spark, d), "residual", 40))
@@ -221,9 +236,23 @@ register("linear_holdout")(lambda spark, d: A.with_label(A.sort_by_error(M.holdo
 register("polynomial_holdout")(lambda spark, d: M.holdout_metrics(
     _prepared(spark, d), {"Polynomial split_250m": M.polynomial_regression(2, ["split_250m"])}))
 register("linear_cv")(lambda spark, d: M.compare_models_cv(
-    spark, _prepared(spark, d), models={name: M.linear_regression(cols) for name, cols in LINEAR.items()}))
+    spark, _prepared(spark, d), models={name: M.least_squares(cols) for name, cols in LINEAR.items()}))
 register("linear_by_distance")(lambda spark, d: A.error_by_distance(M.progressive_accuracy(
-    spark, _prepared(spark, d), estimator=lambda feats: M.linear_regression([[c for c in feats if c.startswith("split_")][-1]]))))
+    spark, _prepared(spark, d), estimator=lambda feats: M.least_squares([[c for c in feats if c.startswith("split_")][-1]]))))
+register("six_feature_cv")(lambda spark, d: M.compare_models_cv(
+    spark, _prepared(spark, d), models={"Linear Regression": M.least_squares(), "Polynomial Regression": M.least_squares(degree=2)}))
+register("six_feature_holdout")(lambda spark, d: M.compare_models(
+    spark, _prepared(spark, d), models={"Linear Regression": M.least_squares(), "Polynomial Regression": M.least_squares(degree=2)}))
+
+# a forest that SQL can restate: one tree of one split, every row drawn once
+STUMP = {"pure": True, "trees": 1, "max_depth": 1, "bootstrap": False}
+
+register("stump_holdout")(lambda spark, d: M.compare_models(spark, _prepared(spark, d), models={"Stump": M.random_forest(**STUMP)}))
+register("stump_importances")(lambda spark, d: M.train_model(spark, _prepared(spark, d), forest=STUMP)[2])
+register("stump_scored")(lambda spark, d: M.predict_batch(M.train_model(spark, _prepared(spark, d), forest=STUMP)[0], _prepared(spark, d)).select(
+    "Link", "heat", "rank", "lane", "last_name", "first_name", F.round("predicted_time", 6).alias("predicted_time"), F.round("residual", 6).alias("residual")))
+register("pure_forest_importances")(lambda spark, d: A.with_label(
+    M.train_model(spark, _prepared(spark, d), forest={"pure": True, "trees": 10, "partitions": input_partitions(spark)})[2], "importance"))
 register("linear_scored")(lambda spark, d: _linear_scored(spark, d).select(
     "Link", "heat", "rank", "lane", "last_name", "first_name", F.round("predicted_time", 6).alias("predicted_time"),
     F.round("residual", 6).alias("residual")))
@@ -246,7 +275,7 @@ register("portal_links_with_25")(
 
 def _stored_in_batches(spark, d):
     """All sheets ingested into a stored table in four batches."""
-    output = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lapline-stored-{uuid.uuid4().hex}"
+    output = _work(spark, "stored")
     docs = _sheets(spark, d)
     return K.ingest_to_path(spark, docs.select("Link").distinct(), docs, output, batches=4)
 

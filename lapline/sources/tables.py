@@ -15,9 +15,19 @@ from lapline import schema as S
 from lapline.functions.text import last_path_element, py_strip
 
 
+#: Session setting: tasks that the input tables are dealt over when they are read.  Unset (the default), scan splits stay as
+#: they are, which is right wherever a table has many; set it where a table is one file of one row group.
+INPUT_PARTITIONS = "spark.lapline.inputPartitions"
+
+
+def input_partitions(spark: SparkSession) -> int | None:
+    found = spark.conf.get(INPUT_PARTITIONS, None)
+    return int(found) if found else None
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table: ``{sf_dir}/{name}.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table: ``{sf_dir}/{name}.parquet``, dealt as ``INPUT_PARTITIONS`` says."""
+    return spread_input(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"), input_partitions(spark))
 
 
 def spread_input(df: DataFrame, partitions: int | None = None) -> DataFrame:
