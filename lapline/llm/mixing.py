@@ -24,6 +24,8 @@ REPEATS = 4.0  # no source is dealt more than so many times its tokens (unless t
 BLOCK_TOKENS = 100_000  # tokens of a block, about
 SEED = 17
 GRID_BITS, GRIDS = 5, 10  # bisection steps settled by one job, and jobs
+BROADCAST_BYTES = 8 << 20  # a table of sources up to this measured size is broadcast
+SALTS = 64
 ORDER_BUCKETS = 256  # a permutation is cut into so many runs for its running sums
 
 
@@ -92,6 +94,16 @@ def _running(df: DataFrame, group: list[str], key: str, tie: str, value: str, to
     return inner.join(runs, [*group, "_run"]).withColumn(to, F.col("_before") + F.col("_inside")).drop("_run", "_before", "_inside")
 
 
+def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` with their source's row of ``plan``.  The plan is broadcast if its measured size allows; else both sides are
+    salted, so that a source that holds a third of the rows is met by SALTS tasks."""
+    n, chars = plan.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.length("s.source"), F.lit(0)))).first()
+    if 64 * n + 4 * (chars or 0) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(plan), "s")
+    salted = plan.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64("id", "text_key"), F.lit(SALTS)).cast("int")).join(salted, ["s", "_salt"]).drop("_salt")
+
+
 def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
              tokens: Column | None = None, budget: int | None = BUDGET, entropy: float = ENTROPY, repeats: float = REPEATS,
              block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
@@ -123,7 +135,7 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     plan = plan.withColumn("whole", F.floor(F.col("b") / F.col("t")).cast("long")).withColumn("rest", F.col("b") - F.col("whole") * F.col("t"))
     plan = cut(plan)
 
-    dealt = rows.join(plan.select("s", "n_blocks"), "s").withColumn(
+    dealt = _with_plan(rows, plan.select("s", "n_blocks")).withColumn(
         "block", F.pmod(md5_long(F.lit("block"), F.lit(seed), F.col("id"), F.col("text_key")), F.col("n_blocks"))).drop("n_blocks")
     blocks = cut(dealt.groupBy("s", "block").agg(F.sum(F.col("n") * F.col("have")).alias("size")))
     passes = blocks.join(plan.select("s", "t", "b", "whole", "rest"), "s").withColumn(

@@ -43,36 +43,22 @@ FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FRO
 
 
 def quality_sql() -> str:
-    """Counts, votes, then EM unrolled over the table of vote patterns."""
-    names = [r.name for r in quality.RULES]
-    cap, floor, smooth = quality.FALSE_ALARMS, quality.CAUGHT, quality.SMOOTHING
-    prior, shares = quality.start()
-
-    def column(name: str, vote: int, of: str) -> str:
-        return f"{of}_{name}_{vote + 1}"
-
-    first = [f"{prior!r} AS prior"] + [f"{p!r} AS {column(n, v, of)}" for n in names for v in quality.VOTES for of, p in zip(("g", "b"), shares[n][v])]
-    odds = "ln(prior) - ln(1 - prior) + " + " + ".join(
-        "CASE v_{0} {1} END".format(n, " ".join(f"WHEN {v} THEN ln({column(n, v, 'g')}) - ln({column(n, v, 'b')})" for v in quality.VOTES)) for n in names)
-    ctes = [f"e0 AS (SELECT {', '.join(first)})"]
-    for k in range(quality.EM_ROUNDS):
-        sums = ["sum(n) AS n", "sum(n * q) AS good"]
-        sums += [f"coalesce(sum(n * {w}) FILTER (WHERE v_{m} = {v}), 0) AS {column(m, v, of)}" for m in names for v in quality.VOTES for of, w in (("g", "q"), ("b", "(1 - q)"))]
-        ctes.append(f"s{k} AS (SELECT {', '.join(sums)} FROM (SELECT patterns.*, 1 / (1 + exp(-({odds}))) AS q FROM patterns, e{k}))")
-        share = [f"({column(m, v, 'g')} + {smooth}) / (good + {3 * smooth}) AS {column(m, v, 'g')}, ({column(m, v, 'b')} + {smooth}) / (n - good + {3 * smooth}) AS {column(m, v, 'b')}"
-                 for m in names for v in quality.VOTES]
-        ctes.append(f"r{k} AS (SELECT least(greatest(good / n, 1e-6), 1 - 1e-6) AS prior, {', '.join(share)} FROM s{k})")
-        capped = []
-        for m in names:
-            for of, bound, sign in (("g", cap, ">"), ("b", floor, "<")):
-                bad = column(m, -1, of)
-                for v in quality.VOTES:
-                    c = column(m, v, of)
-                    held = f"{bound!r}" if v == -1 else f"{c} * (1 - {bound!r}) / (1 - {bad})"
-                    capped.append(f"CASE WHEN {bad} {sign} {bound!r} THEN {held} ELSE {c} END AS {c}")
-        ctes.append(f"e{k + 1} AS (SELECT prior, {', '.join(capped)} FROM r{k})")
-    votes = ", ".join(f"CASE WHEN {r.bad} THEN -1 WHEN {r.good} THEN 1 ELSE 0 END AS v_{r.name}" for r in quality.RULES)
-    keys = ", ".join(f"v_{n}" for n in names)
+    """Counts, votes, then EM unrolled over the vote patterns of distinct texts, in rows (class, rule, vote, rate)."""
+    q, n = quality, len(quality.RULES)
+    first = ", ".join(f"({k}, {j}, {v}, {(q.ON_GOOD if not k else q.ON_OWN if j == k - 1 else q.ON_OTHER)[v + 1]!r}, {q.Kinds.weight(k)!r})"
+                      for k in range(n + 1) for j in range(n) for v in q.VOTES)
+    ctes = [f"e0(k, j, v, p, w) AS MATERIALIZED (VALUES {first})"]
+    shares = """SELECT pid, n, k, exp(l - max(l) OVER o) / sum(exp(l - max_l)) OVER o AS q FROM (
+  SELECT *, max(l) OVER (PARTITION BY pid) AS max_l FROM (SELECT pid, any_value(n) AS n, k, ln(any_value(w)) + sum(ln(p)) AS l FROM vote JOIN {0} USING (j, v) GROUP BY pid, k)) WINDOW o AS (PARTITION BY pid)"""
+    for i in range(q.EM_ROUNDS):
+        ctes.append(f"q{i} AS MATERIALIZED ({shares.format(f'e{i}')})")
+        ctes.append(f"""e{i + 1} AS MATERIALIZED (SELECT e0.k, e0.j, e0.v, (coalesce(x, 0) + {q.STRENGTH!r} * e0.w * every * e0.p) / (size + {q.STRENGTH!r} * e0.w * every) AS p, e0.w
+  FROM e0 JOIN (SELECT k, sum(n * q) AS size, sum(n) AS every FROM q{i} GROUP BY k) USING (k)
+  LEFT JOIN (SELECT k, j, v, sum(q{i}.n * q) AS x FROM q{i} JOIN vote USING (pid) GROUP BY ALL) USING (k, j, v))""")
+    ctes.append(f"last AS ({shares.format(f'e{q.EM_ROUNDS}')})")
+    votes = ", ".join(f"CASE WHEN {r.bad} THEN -1 WHEN {r.good} THEN 1 ELSE 0 END AS v_{r.name}" for r in q.RULES)
+    keys = ", ".join(f"v_{r.name}" for r in q.RULES)
+    rows = " UNION ALL ".join(f"SELECT pid, n, {j} AS j, v_{r.name} AS v FROM patterns" for j, r in enumerate(q.RULES))
     return "WITH " + _WORDS + r""",
 l AS (SELECT doc_id, [x FOR x IN string_split(s, chr(10)) IF regexp_matches(x, '[^ \t-\r]')] AS lines FROM d),
 t AS (SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
@@ -84,11 +70,12 @@ f AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_str
   length(regexp_replace(s, '[^A-Z]', '', 'g')) AS n_capitals, length(regexp_replace(s, '[^!]', '', 'g')) AS n_exclamations
   FROM d JOIN l USING (doc_id) LEFT JOIN covered USING (doc_id)),
 """ + f"""v AS MATERIALIZED (SELECT *, {votes} FROM f),
-patterns AS MATERIALIZED (SELECT {keys}, count(*) AS n FROM v GROUP BY ALL),
-{', '.join(ctes)},
-p AS (SELECT v.*, n_words < {quality.BASE_WORDS} OR 100 * n_repeat_words > {quality.BASE_REPEATED} * n_words AS base_failed,
-      1 / (1 + exp(-({odds}))) AS q FROM v, e{quality.EM_ROUNDS})
-SELECT doc_id, {', '.join(quality.COUNTS)}, base_failed, NOT base_failed AND q >= 0.5 AS kept FROM p"""
+patterns AS MATERIALIZED (SELECT row_number() OVER () AS pid, * FROM (SELECT {keys}, count(DISTINCT s) AS n FROM v JOIN d USING (doc_id) GROUP BY ALL)),
+vote AS MATERIALIZED ({rows}),
+{', '.join(ctes)}
+SELECT doc_id, {', '.join(q.COUNTS)}, base_failed, NOT base_failed AND q >= 0.5 AS kept
+FROM (SELECT *, n_words < {q.BASE_WORDS} OR 100 * n_repeat_words > {q.BASE_REPEATED} * n_words AS base_failed FROM v)
+JOIN patterns USING ({keys}) JOIN last ON last.pid = patterns.pid AND k = 0"""
 
 
 def _md5(*parts: str) -> str:

@@ -1,7 +1,14 @@
 """Quality rules by weak supervision: rules vote or abstain, EM estimates their accuracies, the posterior decides.
 
+A document is good, or bad of one kind per rule (the one that minds it most).  Each class has for each rule the rates at
+which it votes bad, abstains or votes good; EM re-estimates all of them from the patterns of votes, with
+pseudo-documents in proportion to the table as priors, so that results do not depend on its size.  What a rule's
+bad vote is worth follows from its rates: a rule that minds few of the documents that all others call good keeps
+its word against them, one that minds many of them (the priors set that at about a twenty-fifth) is outvoted,
+until they are so many (a fifth) that they are a kind of their own; two bad votes, or one where others abstain, stand.
+
 Everything that reads documents is DataFrame expressions.  Features are array functions inside the row (no
-explode, no shuffle of words); EM runs over the table of vote patterns with their counts, at most
+explode, no shuffle of words); EM runs over the table of vote patterns with their counts of distinct texts, at most
 ``3 ** len(RULES)`` rows however many documents there are.
 """
 
@@ -14,15 +21,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapline.llm._common import cut, scratch_path
+from lapline.llm._common import scratch_path
 
 BASE_WORDS = 50  # base rule: fewer words fail
 BASE_REPEATED = 50  # base rule: more than so many hundredths of the words in repeated windows fail
-EM_ROUNDS = 12
-PRIOR = 0.9  # share of good documents that EM starts from
-CAUGHT = 0.5  # a rule votes bad on at least this share of the bad documents ...
-FALSE_ALARMS = 0.0005  # ... and on at most this share of the good ones; EM starts from both, and they tell the classes apart
-SMOOTHING = 1.0  # pseudo-documents for every vote in either class, so that no share becomes 0
+EM_ROUNDS = 30
+GOOD = 0.75  # prior probability of a good document; the kinds share the rest
+STRENGTH = 3.0  # pseudo-documents of all classes together for each distinct text
+VOTES = (-1, 0, 1)
+#: Prior rates of a bad vote, an abstention and a good vote: of any rule on good documents, of a rule on its own kind, and on another.
+ON_GOOD, ON_OWN, ON_OTHER = (0.001, 0.299, 0.7), (0.9, 0.05, 0.05), (0.1, 0.4, 0.5)
 
 
 @dataclass(frozen=True)
@@ -37,14 +45,14 @@ class Rule:
 #: Ratios are of long counts; texts without words leave the rules without a good vote.
 RULES = (
     Rule("symbols", "20 * n_symbols > n_words", "50 * n_symbols <= n_words AND n_words > 0"),
-    Rule("duplicate_lines", "2 * n_dup_lines > n_lines", "false"),
-    Rule("repeated_windows", "100 * n_repeat_words > 40 * n_words", "false"),
-    Rule("shouting", "10 * n_capitals > 3 * word_chars OR 10 * n_exclamations > n_words",
-         "100 * n_capitals <= 15 * word_chars AND 100 * n_exclamations <= 3 * n_words AND n_words > 0"),
+    Rule("symbol_share", "100 * n_symbols > 15 * word_chars", "100 * n_symbols <= 2 * word_chars AND n_words > 0"),
+    Rule("duplicate_lines", "2 * n_dup_lines > n_lines", "10 * n_dup_lines <= n_lines AND n_lines > 0"),
+    Rule("repeated_windows", "100 * n_repeat_words > 40 * n_words", "20 * n_repeat_words <= n_words AND n_words > 0"),
+    Rule("capitals", "10 * n_capitals > 3 * word_chars", "100 * n_capitals <= 15 * word_chars AND n_words > 0"),
+    Rule("exclamations", "10 * n_exclamations > n_words", "100 * n_exclamations <= 3 * n_words AND n_words > 0"),
     Rule("word_length", "2 * word_chars < 5 * n_words OR word_chars > 14 * n_words",
          "word_chars BETWEEN 3 * n_words AND 12 * n_words AND n_words > 0"),
 )
-VOTES = (-1, 0, 1)
 
 SPACE = "[ \\t-\\r]"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -54,21 +62,21 @@ def _without(text: str, pattern: str) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
 
 
-def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``row`` (the whole input row) and the counts of its text; a null text counts as empty.
+def features(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``row`` (the input row, or its columns ``keep``), ``text_key`` (md5) and the counts of its text; a null text counts as empty.
 
     n_words, word_chars (code points in words), n_symbols (``[#*$%&|<>]``), n_lines (lines with a word),
     n_dup_lines (of these, equal to an earlier one), n_repeat_words (words in 3-word windows found twice or more
     in the text; windows are compared by 64-bit hashes), n_capitals (A-Z), n_exclamations.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("t"))
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep or docs.columns]).alias("row"), text.alias("t"))
     d = d.select("row", "t", F.array_remove(F.split("t", SPACE + "+"), "").alias("w"),
                  F.filter(F.split("t", "\n"), lambda x: x.rlike("[^ \\t-\\r]")).alias("lines"))
     hashes = F.when(F.size("w") >= 3, F.transform(F.sequence(F.lit(0), F.size("w") - 3),
                                                   lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2))))
     d = d.select(
-        "row", F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        "row", F.unhex(F.md5("t")).alias("text_key"), F.size("w").cast("long").alias("n_words"), F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         _without("t", "[#*$%&|<>]+").alias("n_symbols"), F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _without("t", "[A-Z]+").alias("n_capitals"), _without("t", "!+").alias("n_exclamations"), hashes.alias("h"))
@@ -87,136 +95,77 @@ def votes(counted: DataFrame) -> DataFrame:
     return counted.withColumns({f"v_{r.name}": F.when(F.expr(r.bad), -1).when(F.expr(r.good), 1).otherwise(0) for r in RULES})
 
 
-Shares = dict[str, dict[int, tuple[float, float]]]  # by rule and vote: its share among good and among bad documents
-
-
-def start() -> tuple[float, Shares]:
-    once = {v: (FALSE_ALARMS, CAUGHT) if v == -1 else ((1 - FALSE_ALARMS) / 2, (1 - CAUGHT) / 2) for v in VOTES}
-    return PRIOR, {r.name: once for r in RULES}
-
-
-def _with_bad_share(shares: dict[int, float], bad: float) -> dict[int, float]:
-    """The shares of a rule's votes with that of bad votes set to ``bad``, the others in proportion."""
-    return {v: bad if v == -1 else x * (1 - bad) / (1 - shares[-1]) for v, x in shares.items()}
-
-
-def _posterior(prior: float, shares: Shares) -> Column:
-    """P(good | votes)."""
-    odds = F.lit(math.log(prior) - math.log(1 - prior))
-    for rule in RULES:
-        told = {v: F.lit(math.log(good) - math.log(bad)) for v, (good, bad) in shares[rule.name].items()}
-        v = F.col(f"v_{rule.name}")
-        odds = odds + F.when(v == -1, told[-1]).when(v == 1, told[1]).otherwise(told[0])
-    return 1 / (1 + F.exp(-odds))
-
-
-def estimate(voted: DataFrame, rounds: int = EM_ROUNDS) -> tuple[float, Shares]:
-    """EM over vote patterns: the share of good documents, and how often each rule votes what in either class.
-
-    One class for all bad documents, as the SQL restates it; :func:`assess` decides by :func:`estimate_kinds`, which
-    does not ask a bad document to trip half of the rules.
-
-    A rule's accuracy is these shares.  They stay within ``FALSE_ALARMS`` and ``CAUGHT``: bad votes must come from
-    bad documents, and a document that no rule minds is not thought bad for want of rules.  One aggregation
-    over the pattern table a round.
-    """
-    names = [f"v_{r.name}" for r in RULES]
-    patterns = cut(voted.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).coalesce(1))
-    prior, shares = start()
-    for _ in range(rounds):
-        q = patterns.select("n", *names, _posterior(prior, shares).alias("q"))
-        sums = [F.sum("n").alias("n"), F.sum(F.col("n") * F.col("q")).alias("good")]
-        sums += [F.sum(F.when(F.col(name) == v, F.col("n") * F.col("q")).otherwise(0.0)).alias(f"{name}_good_{v + 1}") for name in names for v in VOTES]
-        sums += [F.sum(F.when(F.col(name) == v, F.col("n") * (1 - F.col("q"))).otherwise(0.0)).alias(f"{name}_bad_{v + 1}") for name in names for v in VOTES]
-        got = q.agg(*sums).first()
-        if not got["n"]:
-            break
-        good, bad = got["good"], got["n"] - got["good"]
-        prior = min(max(good / got["n"], 1e-6), 1 - 1e-6)
-        for name, rule in zip(names, RULES):
-            of_good = {v: (got[f"{name}_good_{v + 1}"] + SMOOTHING) / (good + 3 * SMOOTHING) for v in VOTES}
-            of_bad = {v: (got[f"{name}_bad_{v + 1}"] + SMOOTHING) / (bad + 3 * SMOOTHING) for v in VOTES}
-            if of_good[-1] > FALSE_ALARMS:
-                of_good = _with_bad_share(of_good, FALSE_ALARMS)
-            if of_bad[-1] < CAUGHT:
-                of_bad = _with_bad_share(of_bad, CAUGHT)
-            shares[rule.name] = {v: (of_good[v], of_bad[v]) for v in VOTES}
-    return prior, shares
-
-
-Minded = tuple[bool, ...]  # by rule: it votes bad
+Pattern = tuple[int, ...]  # the votes of the rules, in order
 
 
 class Kinds:
-    """A mixture of good documents and one kind of bad documents per rule: those that the rule minds.
+    """Good documents (class 0) and one kind of bad documents per rule, with the rates of each rule's votes in each class.
 
-    ``weights``: shares of good documents and of each kind.  ``minds``: by class, how often each rule votes bad; on
-    its own kind always.  Whether a rule that does not mind a document votes good or abstains tells nothing here.
+    ``rates[class][rule]``: of a bad vote, an abstention, a good vote.  The classes' own probabilities are settings
+    (``GOOD``); what EM learns is how far each rule can be trusted.
     """
 
-    def __init__(self, weights: list[float], minds: list[list[float]]):
-        self.weights, self.minds = weights, minds
+    def __init__(self, rates: list[list[tuple[float, ...]]]):
+        self.rates = rates
+
+    @staticmethod
+    def weight(k: int) -> float:
+        return (1 - GOOD) / len(RULES) if k else GOOD
 
     @classmethod
     def start(cls) -> Kinds:
         n = len(RULES)
-        return cls([PRIOR] + [(1 - PRIOR) / n] * n, [[1.0 if k == j + 1 else FALSE_ALARMS for j in range(n)] for k in range(n + 1)])
+        return cls([[ON_GOOD] * n] + [[ON_OWN if j == k else ON_OTHER for j in range(n)] for k in range(n)])
 
-    def shares(self, minded: Minded) -> list[float]:
-        """P(class | bad votes), the good ones first."""
-        log = lambda x: math.log(x) if x > 0 else -math.inf
-        odds = [log(w) + sum(log(p if bad else 1 - p) for p, bad in zip(ps, minded)) for w, ps in zip(self.weights, self.minds)]
+    def shares(self, votes: Pattern) -> list[float]:
+        """P(class | votes), the good one first."""
+        odds = [math.log(self.weight(k)) + sum(math.log(r[v + 1]) for r, v in zip(rates, votes)) for k, rates in enumerate(self.rates)]
         most = max(odds)
         of = [math.exp(x - most) for x in odds]
         return [x / sum(of) for x in of]
 
-    def update(self, counts: dict[Minded, int]) -> Kinds:
-        """One round of EM.  Each class has ``SMOOTHING`` pseudo-documents besides, which vote as at the start."""
+    def update(self, counts: dict[Pattern, int]) -> Kinds:
+        """One round of EM: each class's rates over the documents it is given and its pseudo-documents, which vote as at the start."""
         first, n = Kinds.start(), sum(counts.values())
-        of = {minded: self.shares(minded) for minded in counts}
-        weights, minds = [], []
-        for k, (weight, start_minds) in enumerate(zip(first.weights, first.minds)):
-            size = math.fsum(c * of[m][k] for m, c in counts.items())
-            weights.append((size + SMOOTHING * weight) / (n + SMOOTHING))
-            found = [(math.fsum(c * of[m][k] for m, c in counts.items() if m[j]) + SMOOTHING * p) / (size + SMOOTHING) for j, p in enumerate(start_minds)]
-            minds.append([min(p, FALSE_ALARMS) for p in found] if k == 0 else [1.0 if k == j + 1 else min(p, 1 - 1e-9) for j, p in enumerate(found)])
-        return Kinds(weights, minds)
+        of = {votes: self.shares(votes) for votes in counts}
+        out = []
+        for k, prior in enumerate(first.rates):
+            pseudo = STRENGTH * self.weight(k) * n
+            size = math.fsum(c * of[v][k] for v, c in counts.items())
+            out.append([tuple((math.fsum(c * of[v][k] for v, c in counts.items() if v[j] == vote) + pseudo * p) / (size + pseudo)
+                              for vote, p in zip(VOTES, rates)) for j, rates in enumerate(prior)])
+        return Kinds(out)
 
     def probability(self) -> Column:
-        """P(good | votes): looked up by the bad votes, one value for each of their 2 ** len(RULES) patterns."""
-        table = F.array(*[F.lit(self.shares(m[::-1])[0]) for m in itertools.product((False, True), repeat=len(RULES))])
-        code = sum((F.when(F.col(f"v_{r.name}") == -1, 1 << j).otherwise(0) for j, r in enumerate(RULES)), F.lit(0))
-        return F.get(table, code)
+        """P(good | votes): looked up, one value for each of the 3 ** len(RULES) patterns."""
+        table = F.array(*[F.lit(self.shares(v[::-1])[0]) for v in itertools.product(VOTES, repeat=len(RULES))])
+        return F.get(table, sum(((F.col(f"v_{r.name}") + 1) * 3 ** j for j, r in enumerate(RULES)), F.lit(0)))
 
 
-def estimate_kinds(voted: DataFrame, rounds: int = EM_ROUNDS) -> Kinds:
-    """EM over the patterns of bad votes (one aggregation; its at most 2 ** len(RULES) rows come to the driver).
-
-    A kind is judged by what its own rule shows, however rare it is and however few other rules mind it; copies of
-    clean documents move no verdict.  A document that no rule minds is good.  Votes alone cannot tell a rule's
-    false alarms from a rare kind of bad documents: ``FALSE_ALARMS`` and ``PRIOR`` decide that.
-    """
+def estimate(voted: DataFrame, rounds: int = EM_ROUNDS) -> Kinds:
+    """EM over the vote patterns of distinct texts (two aggregations; at most 3 ** len(RULES) rows come to the driver), so
+    copies move no verdict."""
     names = [f"v_{r.name}" for r in RULES]
-    rows = voted.groupBy(*[(F.col(name) == -1).alias(name) for name in names]).agg(F.count(F.lit(1)).alias("n")).collect()
-    counts = {tuple(r[name] for name in names): r["n"] for r in rows}
+    patterns = voted.groupBy("text_key").agg(*[F.min(name).alias(name) for name in names]).groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+    counts = {tuple(r[name] for name in names): r["n"] for r in patterns.collect()}
     kinds = Kinds.start()
-    for _ in range(rounds):
+    for _ in range(rounds if counts else 0):
         kinds = kinds.update(counts)
     return kinds
 
 
-def assess(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``row`` (the input row as a struct, whatever its columns are called), the counts, ``probability`` that the
-    document is good, ``base_failed`` and ``kept``.
+def assess(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``row`` (the input row as a struct, or its columns ``keep``, whatever they are called), the counts, ``probability``
+    that the document is good, ``base_failed`` and ``kept``.
 
     The counted rows are written once to a scratch table in the shared folder; EM reads only its votes.  Rows
     that repeat are judged alike; an empty table gives no rows.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "quality")
-    votes(features(docs, text_col)).write.parquet(path)
+    votes(features(docs, text_col, keep)).write.parquet(path)
     voted = spark.read.parquet(path)
-    kinds = estimate_kinds(voted)
+    kinds = estimate(voted)
     failed = (F.col("n_words") < BASE_WORDS) | (100 * F.col("n_repeat_words") > BASE_REPEATED * F.col("n_words"))
     out = voted.select("row", *COUNTS, failed.alias("base_failed"), kinds.probability().alias("probability"))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("probability") >= 0.5))

@@ -110,7 +110,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lapline.llm.quality import COUNTS, assess
 
-    found = assess(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = assess(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select("row.doc_id", *COUNTS, "base_failed", "kept")
 
 
