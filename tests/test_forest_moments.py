@@ -167,7 +167,7 @@ def test_jobs_do_not_grow_with_models(spark):
     assert jobs({f"m{i}": M.least_squares(S.FEATURE_SPLITS[: i + 1], 1 + i % 2) for i in range(5)}) == one
 
 
-@pytest.mark.parametrize("values", [[], [1.5], [2.0, 1.0], [1.0] * 9 + [7.0], [1e308, -1e308, 0.0, 5e-324], [float(i) ** 3 for i in range(-50, 51)]])
+@pytest.mark.parametrize("values", [[], [1.5], [2.0, 1.0], [1.0] * 9 + [7.0], [1e308, -1e308, 0.0, 5e-324, 1.0], [float(i) ** 3 for i in range(-50, 51)]])
 def test_exact_quantile(spark, monkeypatch, values):
     from lapline.functions import quantile
     monkeypatch.setattr(quantile, "BUCKETS", 4)
