@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapline.llm import tokens
-from lapline.llm._common import arrow_batches, cut, cut_dealt, mix64, shuffle_partitions, words_of
+from lapline.llm._common import arrow_batches, cut, cut_dealt, give_back, mix64, shuffle_partitions, words_of
 
 WINDOW = 20
 BASE = 5
@@ -322,6 +322,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
     kind = packed.schema["row"].dataType
 
     def finish(mine, answers):
+        made = finished(mine, answers)
+        give_back()  # of the block just settled
+        return made
+
+    def finished(mine, answers):
         import pandas as pd
 
         if not len(mine):
@@ -352,6 +357,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
             for payload in batch.column(1):
                 for some in _rows(payload.as_py()).to_batches(max_chunksize=1000):
                     yield some
+        give_back()
 
     answers, length = cut(answers_to(data.mapInArrow(first_ask, ASKED), base)), base
     while length < window and not answers.filter("bucket >= 0").isEmpty():

@@ -15,6 +15,8 @@ import sys
 from array import array
 from collections.abc import Iterable
 
+from lapline.llm._common import give_back
+
 CACHE_PARTS = 450_000  # parts a worker keeps (about 200 bytes each) before it starts anew
 KEPT_PART = 200  # longer parts are encoded each time
 
@@ -143,6 +145,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a file; loaded once a worker."""
+    give_back()
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
@@ -153,3 +156,4 @@ def forget() -> None:
     for one in _ENCODERS.values():
         one.parts.clear()
         one.runs.clear()
+    give_back()
