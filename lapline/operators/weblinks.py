@@ -1,8 +1,8 @@
 """Result-sheet links from stored HTML pages.
 
 The reference drives a browser over a live results site.  Here pages are
-rows ``(page_id, url, html)`` and the page structure is cut with regular
-expressions: a page is split at each row block, and every test is a column
+rows ``(page_id, url, html)``: a page is cut at its ``div`` tags, a running
+depth over them finds each row block with all that is nested in it, and every test is a column
 expression over the row's HTML.  Per-competition choices are partial
 aggregates (``max_by``/``min_by``), so no group is gathered into one task.
 """
@@ -52,12 +52,35 @@ def visible_text(html: Column) -> Column:
     return py_squash(html_unescape(F.regexp_replace(html, "<[^>]*>", " ")))
 
 
+def row_blocks(html: Column) -> Column:
+    """The content of each outermost row block, in page order.
+
+    The page is cut before every ``<div`` and ``</div>``; one pass over the pieces keeps the depth, the depth at which
+    the open row began (-1: none), its content so far and the rows done.  A row nested in another belongs to it;
+    a row that is never closed runs to the page's end; a closing tag without an opening one counts as none.
+    """
+    pieces = F.split(html, r"(?i)(?=<div\b|</div\s*>)", -1)
+    state = F.struct(F.lit(0).alias("depth"), F.lit(-1).alias("row"), F.lit("").alias("text"), F.array().cast("array<string>").alias("rows"))
+
+    def step(a: Column, piece: Column) -> Column:
+        opens, closes = piece.rlike(r"(?i)^<div\b"), piece.rlike(r"(?i)^</div")
+        depth = F.when(opens, a["depth"] + 1).when(closes, F.greatest(a["depth"] - 1, F.lit(0))).otherwise(a["depth"])
+        starts = opens & (a["row"] < 0) & piece.rlike("^" + ROW_TAG)
+        ends = closes & (a["row"] >= 0) & (depth <= a["row"])
+        row = F.when(starts, a["depth"]).when(ends, -1).otherwise(a["row"])
+        text = (F.when(starts, F.regexp_replace(piece, "^" + ROW_TAG, "")).when(ends | (a["row"] < 0), F.lit(""))
+                .otherwise(F.concat(a["text"], piece)))
+        return F.struct(depth.alias("depth"), row.alias("row"), text.alias("text"),
+                        F.when(ends, F.array_append(a["rows"], a["text"])).otherwise(a["rows"]).alias("rows"))
+
+    return F.aggregate(pieces, state, step, lambda a: F.when(a["row"] >= 0, F.array_append(a["rows"], a["text"])).otherwise(a["rows"]))
+
+
 def page_rows(pages: DataFrame, keep: list[str] | None = None, html_col: str = "html") -> DataFrame:
-    """The row blocks of each page in page order ``(…keep, row_pos, row_html)``."""
+    """The row blocks of each page in page order ``(…keep, row_pos, row_html)``, numbered from 1."""
     keep = keep if keep is not None else [c for c in pages.columns if c != html_col]
-    pieces = F.split(F.col(html_col), ROW_TAG, -1)
-    return (pages.select(*keep, F.posexplode(pieces).alias("row_pos", "row_html"))
-            .filter(F.col("row_pos") > 0))
+    found = pages.select(*keep, F.posexplode(row_blocks(F.col(html_col))).alias("row_pos", "row_html"))
+    return found.withColumn("row_pos", F.col("row_pos") + 1)
 
 
 def absolute_url(href: Column, base: Column | str) -> Column:

@@ -544,3 +544,5 @@ SELECT 'Stump' AS model_name, round(avg(abs(p - final_time)), 3) AS mae, round(s
     "stump_scored": "WITH " + _STUMP + """
 SELECT Link, heat, "rank", lane, last_name, first_name, round(p, 6) AS predicted_time, round(p - final_time, 6) AS residual FROM scored""",
 })
+
+QUERY_SQL["portal_links_nested"] = QUERY_SQL["portal_links"]  # nesting changes no link

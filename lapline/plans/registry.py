@@ -106,6 +106,8 @@ EVERY_YEAR = (0, 9999)
 register("page_anchor_links")(lambda spark, d: L.anchor_links(T.read_html_pages(spark, d)))
 register("portal_links")(
     lambda spark, d: L.links_per_competition(L.event_links(FX.portal_pages(spark, d))))
+register("portal_links_nested")(
+    lambda spark, d: L.links_per_competition(L.event_links(FX.portal_pages(spark, d, nested=True))))
 register("competition_list")(
     lambda spark, d: L.dedupe_first_seen(
         L.year_range(L.competition_rows(FX.competition_list_pages(spark, d)), *YEARS))

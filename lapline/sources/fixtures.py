@@ -214,8 +214,9 @@ def _competitions(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.col("o_custkey").cast("string")).alias("comp_url"))
 
 
-def portal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Competition pages ``(page_id, url, html)``: a (customer, year)'s events in order of key; the next block of
+def portal_pages(spark: SparkSession, sf_dir: str, nested: bool = False) -> DataFrame:
+    """Competition pages ``(page_id, url, html)``; ``nested``: an event's links stand in a row block within its own, beside a
+    row block of another event that is not its own.  Otherwise: a (customer, year)'s events in order of key; the next block of
     keys continues on another page with the same url.  ``page_id`` is the first order key on the page."""
     ev = _competitions(spark, sf_dir)
     key = F.col("o_orderkey").cast("string")
@@ -224,6 +225,9 @@ def portal_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     links = F.when(F.pmod("o_orderkey", F.lit(13)) == 0, first).otherwise(F.concat(first, second))
     row = F.concat(F.lit('<div class="row"><p class="round">'), F.col("event_text"),
                    F.lit('</p><div class="other">'), links, F.lit("</div></div>"))
+    if nested:
+        row = F.concat(F.lit('<div class="list"><div class="row"><div class="head"><p class="round">'), F.col("event_text"),
+                       F.lit('</p></div><DIV class="row other">'), links, F.lit('</DIV><div class="row"><p class="round">Women\'s Freestyle 400m</p></div></div></div>'))
     rows = ev.select("comp_url", "o_orderkey", row.alias("row"), idiv(F.col("o_orderkey"), F.lit(PAGE_KEYS)).alias("keys"))
     page = rows.groupBy("comp_url", "keys").agg(
         F.min("o_orderkey").alias("page_id"), F.array_sort(F.collect_list(F.struct("o_orderkey", "row"))).alias("rows"))

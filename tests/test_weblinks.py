@@ -76,3 +76,34 @@ def test_older_event_test_lets_25_pass(spark):
     pages = spark.createDataFrame([(1, f"{BASE}/2020/c", html)], "page_id long, url string, html string")
     assert L.event_links(pages, BASE).count() == 0
     assert [r.link for r in L.event_links(pages, BASE, exclude_25=False).collect()] == [f"{BASE}/File/R4.pdf"]
+
+
+def _blocks(html):
+    """Outermost rows with a stack, by hand."""
+    import re
+    depth, start, out = 0, None, []
+    for m in re.finditer(r'(?i)<div\b[^>]*>|</div\s*>', html):
+        if m[0][1] != "/":
+            if start is None and re.search(r'class\s*=\s*["\'](?:[^"\']*\s)?row(?:\s[^"\']*)?["\']', m[0]):
+                start = depth, m.end()
+            depth += 1
+        else:
+            depth = max(depth - 1, 0)
+            if start is not None and depth <= start[0]:
+                out.append(html[start[1]:m.start()])
+                start = None
+    return out + ([html[start[1]:]] if start else [])
+
+
+def test_nested_rows_belong_to_their_parent(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from lapline.operators import weblinks as L
+    rng = random.Random(2)
+    tags = ['<div class="row">', '<div class="x row y">', "<div>", "<div class='rows'>", "</div>", "</div>", "</DIV >", "<p>a</p>", " text ", "<divan>"]
+    pages = ["", "no rows", "</div></div><div class=\"row\">a</div>b", '<div class="row">open <div class="row">in</div> to the end']
+    pages += ["".join(rng.choice(tags) for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    got = spark.createDataFrame(list(enumerate(pages)), "i int, html string").select("i", L.row_blocks(F.col("html")).alias("b")).collect()
+    assert {r["i"]: r["b"] for r in got} == {i: _blocks(p) for i, p in enumerate(pages)}
