@@ -102,6 +102,24 @@ def ingest_to_path(spark: SparkSession, links: DataFrame, documents: DataFrame,
     return spark.read.schema(S.RAW_RESULTS).parquet(output)
 
 
+def ingest_bucketed(spark: SparkSession, links: DataFrame, documents: str, results: str, path: str, buckets: int) -> DataFrame:
+    """K03-K09 where only the list moves: documents and results are tables in ``buckets`` buckets of Link.
+
+    ``documents`` names a table ``(Link, text)`` written by ``save_bucketed``; ``results`` names the output, made over
+    ``path`` at the first run.  The list is dealt by Link over as many partitions; done links, the list and the
+    documents then meet bucket by bucket, with no shuffle of texts or of stored rows however long the list is.
+    New rows stay in their document's partition, so a run appends one file a bucket, as one commit.  A link listed
+    twice is processed twice; links without a document or a row add nothing and are tried again.
+    """
+    todo = links.select("Link").repartition(buckets, "Link")
+    if spark.catalog.tableExists(results):
+        todo = remaining_links(todo, spark.table(results).hint("merge"))
+    docs = spark.table(documents).join(todo.hint("merge"), "Link", "inner")
+    new_rows = parse_sheets(docs.select("Link", "text"))
+    (new_rows.write.mode("append").format("parquet").bucketBy(buckets, "Link").option("path", path).saveAsTable(results))
+    return spark.table(results)
+
+
 def report(links: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows parsed per listed link, zero for links that gave none."""
     return rows_per_document(rows, links.select("Link"))

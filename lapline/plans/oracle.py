@@ -546,3 +546,19 @@ SELECT Link, heat, "rank", lane, last_name, first_name, round(p, 6) AS predicted
 })
 
 QUERY_SQL["portal_links_nested"] = QUERY_SQL["portal_links"]  # nesting changes no link
+
+
+# --------------------------------------------------------------------------- sinks read back, races by batch, buckets
+
+QUERY_SQL["races_by_batch"] = "WITH " + RESULTS_CS + "\n" + """
+SELECT Link, swimmer_count, fastest_time, """ + half_up("s", "n", 2) + """ AS avg_final_time FROM (
+  SELECT Link, count(*) AS swimmer_count, min(CAST(final_time_cs AS DOUBLE) / 100) AS fastest_time,
+         sum(final_time_cs) AS s, count(final_time_cs) AS n FROM rc GROUP BY Link)"""
+QUERY_SQL["ingest_bucketed"] = QUERY_SQL["ingest_resumed"]
+QUERY_SQL["links_file"] = QUERY_SQL["link_table"].replace("y BETWEEN 1996 AND 2000", "y IS NOT NULL")
+QUERY_SQL["results_file"] = "WITH " + RAW + "\nSELECT " + ", ".join(_RAW_COLS) + " FROM raw"
+QUERY_SQL["typed_file"] = QUERY_SQL["canonical_results"]
+QUERY_SQL["stored_table"] = with_typed(
+    "SELECT sex, count(*) AS swims, count(DISTINCT Link) AS races, min(final_time) AS fastest, max(final_time) AS slowest "
+    "FROM typed GROUP BY sex")
+QUERY_SQL["ingest_nothing_left"] = QUERY_SQL["ingest_in_batches"]

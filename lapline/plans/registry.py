@@ -19,6 +19,7 @@ from lapline.operators import clean as C
 from lapline.operators import ingest as K
 from lapline.operators import model as M
 from lapline.operators import parse as P
+from lapline.operators import race_states as R
 from lapline.operators import stats as A
 from lapline.operators import weblinks as L
 from lapline.plans import queries as Q
@@ -311,3 +312,87 @@ register("slowest_women_text")(
     lambda spark, d: Q.slowest(FX.raw_results(spark, d), "F"))
 register("ols_split250_reaction")(
     lambda spark, d: M.ols_pair(spark, _prepared(spark, d), "split_250m", "reaction_time"))
+
+
+# --------------------------------------------------------------------------- S01-S09, Q08-Q10 by batch, K03/K04 in buckets
+
+
+def _races_by_batch(spark, d):
+    """Q08-Q10 from states: the rows come in four batches, the second one twice, with a merge between."""
+    store = _work(spark, "races")
+    rows = _typed(spark, d)
+    for batch in (0, 1, 1, 2, 3):
+        R.add_batch(spark, rows.filter(F.pmod(F.col("rank"), F.lit(4)) == batch), store, batch)
+        if batch == 2:
+            R.merge(spark, store, 2)
+    states = R.current(spark, store)
+    return (R.swimmers_per_race(states).join(R.fastest_per_race(states), "Link", "left")
+            .join(R.avg_final_per_race(states), "Link", "left"))
+
+
+register("races_by_batch")(_races_by_batch)
+
+BUCKETS = 8  # of the stored sheets; a parameter of the store, not of the rows
+
+
+def _ingest_bucketed(spark, d):
+    """K03-K09 in buckets: a run over the links whose md5 starts with 0-7, then one over all."""
+    tag = uuid.uuid4().hex
+    documents, results, path = f"lapline_sheets_{tag}", f"lapline_results_{tag}", _work(spark, "results")
+    T.save_bucketed(_sheets(spark, d), documents, _work(spark, "sheets"), BUCKETS)
+    links = K.link_lists(_links(spark, d))
+    K.ingest_bucketed(spark, links.filter(F.substring(F.md5("Link"), 1, 1) < "8"), documents, results, path, BUCKETS)
+    return K.ingest_bucketed(spark, links, documents, results, path, BUCKETS)
+
+
+register("ingest_bucketed")(_ingest_bucketed)
+
+
+def _links_file(spark, d):
+    """The link table to CSV, the earlier years first and the later ones appended, read back."""
+    path = _work(spark, "links-csv")
+    links = _links(spark, d)
+    T.write_links(links.filter(F.col("year") < YEARS[1]), path)
+    T.write_links(links.filter(F.col("year") >= YEARS[1]), path, mode="append")
+    return T.read_links_csv(spark, path)
+
+
+def _results_file(spark, d):
+    """Raw results to CSV, the second half appended, read back as earlier output and as an input."""
+    path = _work(spark, "results") + ".csv"
+    raw = FX.raw_results(spark, d).select(*S.RAW_RESULTS.names)
+    before = T.read_earlier_output(spark, path, fmt="csv")
+    T.write_results(raw.filter(F.col("rank") <= 3), path, fmt="csv")
+    T.write_results(raw.filter(F.col("rank") > 3), path, fmt="csv", mode="append")
+    return before.unionByName(T.normalize_input(spark, path))
+
+
+def _typed_file(spark, d):
+    """Typed results to CSV and back."""
+    path = _work(spark, "typed-csv")
+    T.write_results(_typed(spark, d).select(*S.TYPED_RESULTS.names), path, fmt="csv")
+    return T.read_results_csv(spark, path, typed=True)
+
+
+def _stored_table(spark, d):
+    """The typed rows stored by sex and sorted by Link, asked in SQL."""
+    name = f"lapline_table_{uuid.uuid4().hex}"
+    T.save_table(_typed(spark, d), name, partition_by=["sex"], sort_within=["Link"], path=_work(spark, "table"))
+    return T.sql(spark, f"SELECT sex, count(*) AS swims, count(DISTINCT Link) AS races, min(final_time) AS fastest, "
+                        f"max(final_time) AS slowest FROM {name} GROUP BY sex")
+
+
+register("links_file")(_links_file)
+register("results_file")(_results_file)
+register("typed_file")(_typed_file)
+register("stored_table")(_stored_table)
+
+
+def _nothing_left(spark, d):
+    """A second run over the same list; it has nothing left, so the stored rows stay as they are."""
+    output, docs = _work(spark, "stored"), _sheets(spark, d)
+    K.ingest_to_path(spark, docs.select("Link").distinct(), docs, output)
+    return K.ingest_to_path(spark, docs.select("Link").distinct(), docs, output)
+
+
+register("ingest_nothing_left")(_nothing_left)

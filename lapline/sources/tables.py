@@ -110,18 +110,32 @@ def write_links(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite",
-               partition_by: list[str] | None = None, sort_within: list[str] | None = None) -> None:
+               partition_by: list[str] | None = None, sort_within: list[str] | None = None, path: str | None = None) -> None:
     """Replace a catalog table (parquet); optionally partitioned (e.g. by ``sex``) and
     sorted within each file (e.g. by ``Link``), so parquet min/max statistics let filters on
-    those columns skip files and row groups — the role the reference's indexes played."""
+    those columns skip files and row groups — the role the reference's indexes played.  ``path``: where its files lie
+    (None: the warehouse)."""
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     w = df.write.mode(mode).format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if path:
+        w = w.option("path", path)
     w.saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, path: str, buckets: int, key: str = "Link", mode: str = "overwrite") -> None:
+    """S08/S12 form for joins on ``key``: a catalog table over ``path`` in ``buckets`` buckets of the key.
+
+    A frame hash-partitioned by the key over as many partitions joins it where the bucket lies, so the table is not
+    shuffled.  A bucket is read by one task: choose ``buckets`` for some 256 MB in each.  Equal keys share a bucket.
+    Rows are dealt by the key before the write, so a bucket gets one file a write.
+    """
+    (df.repartition(buckets, key).write.mode(mode).format("parquet").bucketBy(buckets, key)
+     .option("path", path).saveAsTable(name))
+
+
 def sql(spark: SparkSession, query: str) -> DataFrame:
     """Any SQL over registered tables and views."""
     return spark.sql(query)

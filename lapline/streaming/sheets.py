@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from lapline import schema as S
 from lapline.functions.times import convert_time_columns
 from lapline.operators.parse import parse_sheets
+from lapline.operators.race_states import add_batch
 
 
 def sheet_stream(spark: SparkSession, folder: str, max_files: int = 10) -> DataFrame:
@@ -32,13 +33,15 @@ def sheet_stream(spark: SparkSession, folder: str, max_files: int = 10) -> DataF
 
 def start_ingest(spark: SparkSession, folder: str, output: str, checkpoint: str,
                  max_files: int = 10, available_now: bool = True,
-                 typed_output: str | None = None, sex: str | None = None):
+                 typed_output: str | None = None, sex: str | None = None, race_states: str | None = None):
     """Start the query; with ``available_now`` it processes what is there and stops.
 
     With ``typed_output`` and the stream's ``sex`` (one stream per list, as
     the reference keeps men's and women's results apart), each batch is also
     written as typed rows (C01: ``sex`` added, the nine times converted by the
-    table converter), in the same idempotent per-batch folders.
+    table converter), in the same idempotent per-batch folders.  With
+    ``race_states`` each batch also adds its states of the races to that store
+    (``operators.race_states``), which answers Q06-Q10 without the older rows.
     """
     if typed_output and not sex:
         raise ValueError("typed_output needs the stream's sex")
@@ -50,6 +53,8 @@ def start_ingest(spark: SparkSession, folder: str, output: str, checkpoint: str,
             if typed_output:
                 typed = convert_time_columns(rows.withColumn("sex", F.lit(sex)), S.NUMERIC_COLS, "table")
                 typed.write.mode("overwrite").parquet(f"{typed_output.rstrip('/')}/batch_id={batch_id}")
+            if race_states:
+                add_batch(batch.sparkSession, convert_time_columns(rows, ["final_time"], "table"), race_states, batch_id)
         finally:
             rows.unpersist()
 
