@@ -7,6 +7,7 @@ labels.  It is trained by the exact likelihood (forward-backward) on labelled pa
 
 from __future__ import annotations
 
+import bisect
 import functools
 import html as entities
 import math
@@ -76,16 +77,100 @@ def _tokens(page: str) -> Iterator[re.Match]:
             return
 
 
-def leaf_blocks(page: str) -> list[tuple[str, tuple, int]]:
-    """(text, ancestors, link characters) of every block with text, in page order.
+class Element:
+    """An open element: its marks (tag, class and id words) and the last two block tags and zones down to it.
 
-    ``ancestors``: the marks of the open elements, outermost first.  Character references are decoded, white space
-    runs are one space.  Comments, scripts, styles, titles and text areas hold no text.
+    ``fresh`` names the marks that no ancestor has, so that a chain is known from its parent's in steps that do not grow
+    with its depth.  A page has one object for equal chains.
+    """
+
+    __slots__ = ("above", "tag", "marks", "tags", "zones", "fresh")
+
+    def __init__(self, above: Element | None, marks: tuple, held: dict[str, int]):
+        self.above, self.marks = above, marks
+        self.tag = marks[0] if marks else ""
+        self.tags, self.zones = (above.tags, above.zones) if above else ((), ())
+        if self.tag in BLOCK_TAGS:
+            self.tags = (*self.tags[-1:], self.tag)
+        if self.tag in ZONES:
+            self.zones = (*self.zones[-1:], self.tag)
+        self.fresh = ["has:" + m for m in dict.fromkeys(marks) if m not in ("html", "body") and not held.get(m)]
+
+
+class Chain:
+    """The open elements of a page, with the places of every tag, so that no step looks through the chain."""
+
+    def __init__(self):
+        self.root = Element(None, (), {})
+        self.stack: list[Element] = []
+        self.known: dict[tuple[int, tuple], Element] = {}
+        self.held: dict[str, int] = {}  # open marks
+        self.places: dict[str, list[int]] = {}  # of a tag, rising
+        self.blocks: list[int] = []
+        self.barriers: list[int] = []
+
+    @property
+    def top(self) -> Element:
+        return self.stack[-1] if self.stack else self.root
+
+    def push(self, marks: tuple) -> None:
+        top, at = self.top, len(self.stack)
+        element = self.known.get((id(top), marks))
+        if element is None:
+            element = self.known[id(top), marks] = Element(top, marks, self.held)
+        self.stack.append(element)
+        for mark in marks:
+            self.held[mark] = self.held.get(mark, 0) + 1
+        self.places.setdefault(element.tag, []).append(at)
+        if element.tag in BLOCK_TAGS:
+            self.blocks.append(at)
+        if element.tag in BARRIERS:
+            self.barriers.append(at)
+
+    def pop(self, to: int) -> bool:
+        """Close the elements from place ``to`` on; true if a link was among them."""
+        link = False
+        while len(self.stack) > to:
+            element = self.stack.pop()
+            link |= element.tag == "a"
+            for mark in element.marks:
+                self.held[mark] -= 1
+            self.places[element.tag].pop()
+            for places in (self.blocks, self.barriers):
+                if places and places[-1] == len(self.stack):
+                    places.pop()
+        return link
+
+    def ended_by(self, tag: str) -> int | None:
+        """Place of the element that an end tag closes.  An inline end tag does not close a block."""
+        places = self.places.get(tag)
+        if not places or tag not in BLOCK_TAGS and self.blocks and self.blocks[-1] > places[-1]:
+            return None
+        return places[-1]
+
+    def cut_by(self, tag: str) -> int | None:
+        """Place from which a start tag closes elements: an open paragraph, or items of its own list or table."""
+        ends = SELF_CLOSING.get(tag)
+        if not ends:
+            return self.blocks[-1] if tag in CLOSES_P and self.blocks and self.stack[self.blocks[-1]].tag == "p" else None
+        floor = self.barriers[-1] if self.barriers else -1
+        found = []
+        for name in (*ends, "p") if tag in CLOSES_P else ends:
+            places = self.places.get(name, [])
+            k = bisect.bisect_right(places, floor)
+            found += places[k:k + 1]
+        return min(found, default=None)
+
+
+def leaf_blocks(page: str) -> list[tuple[str, Element, int]]:
+    """(text, innermost open element, link characters) of every block with text, in page order.
+
+    Character references are decoded, white space runs are one space.  Comments, scripts, styles, titles and text
+    areas hold no text.  Time goes with the page's length, however deep its elements lie.
     """
     blocks: list = []
-    stack: list[tuple[str, tuple]] = []  # tag, marks
+    chain = Chain()
     parts: list[str] = []
-    above: tuple = ()
     linked = in_link = 0
 
     def close() -> None:
@@ -96,16 +181,14 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple, int]]:
                 text = entities.unescape(text)
             text = SPACE.sub(" ", text).strip()
             if text:
-                blocks.append((text, above, linked))
+                blocks.append((text, chain.top, linked))
             parts.clear()
             linked = 0
 
-    def pop(to: int) -> None:
-        nonlocal above, in_link
-        if any(t == "a" for t, _ in stack[to:]):
+    def pop(to: int | None) -> None:
+        nonlocal in_link
+        if to is not None and chain.pop(to):
             in_link = 0
-        del stack[to:]
-        above = tuple([m for _, m in stack])
 
     for m in _tokens(page):
         raw, shut, tag, attributes = m.group(1, 2, 3, 4)
@@ -119,61 +202,52 @@ def leaf_blocks(page: str) -> list[tuple[str, tuple, int]]:
         if tag in BLOCK_TAGS:
             close()
         if shut:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    pop(k)
-                    break
-                if tag not in BLOCK_TAGS and stack[k][0] in BLOCK_TAGS:
-                    break  # an inline end tag does not close a block
+            pop(chain.ended_by(tag))
             continue
         if tag in VOID_TAGS:
             parts.append(" ")
             continue
         if tag in CLOSES_P or tag in SELF_CLOSING:
-            ends = SELF_CLOSING.get(tag, ())
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == "p" and tag in CLOSES_P or stack[k][0] in ends:
-                    pop(k)
-                    if not ends:
-                        break
-                elif stack[k][0] in BARRIERS or not ends and stack[k][0] in BLOCK_TAGS:
-                    break
+            pop(chain.cut_by(tag))
         if attributes.endswith("/") and tag not in BLOCK_TAGS:
             continue
         marks = (tag,)
         if "=" in attributes:
-            for found in ATTRIBUTE.findall(attributes):
-                marks += tuple(["." + w for w in NAME_WORD.findall("".join(found).lower())])
-        stack.append((tag, marks))
-        above = (*above, marks)
+            marks += tuple(["." + w for found in ATTRIBUTE.findall(attributes) for w in NAME_WORD.findall("".join(found).lower())])
+        chain.push(marks)
         if tag == "a":
             in_link = 1
     close()
     return blocks
 
 
-def page_features(blocks: list) -> list[list[str]]:
-    """Names of the features of every block."""
-    out, n, before = [], len(blocks), None
-    for i, (text, above, linked) in enumerate(blocks):
+def own_features(blocks: list) -> Iterator[list[str]]:
+    """Names of the features of every block, but for the marks of its ancestors."""
+    n, before = len(blocks), None
+    for i, (text, element, linked) in enumerate(blocks):
         size = len(text)
         words = text.count(" ") + 1
-        tags = [m[0] for m in above if m[0] in BLOCK_TAGS]
-        leaf = tags[-1] if tags else "none"
-        zones = [t for t in tags if t in ZONES] or ["none"]
-        names = {"leaf:" + leaf, "in:" + "/".join(tags[-2:]), f"words:{min(9, int(math.log2(words)))}", f"links:{round(4 * min(1.0, linked / size))}",
+        tags, zones = element.tags, element.zones or ("none",)
+        names = ["leaf:" + (tags[-1] if tags else "none"), "in:" + "/".join(tags), "zone:" + zones[-1], "zones:" + "/".join(zones),
+                 f"words:{min(9, int(math.log2(words)))}", f"links:{round(4 * min(1.0, linked / size))}",
                  "end:" + ("stop" if text[-1] in ".!?…" else "mark" if not text[-1].isalnum() else "word"),
-                 f"commas:{min(3, text.count(','))}", f"place:{int(5 * i / n)}", f"stops:{min(3, text.count('. '))}", "bias", "zone:" + zones[-1], "zones:" + "/".join(zones[-2:])}
+                 f"commas:{min(3, text.count(','))}", f"place:{int(5 * i / n)}", f"stops:{min(3, text.count('. '))}", "bias"]
         if "©" in text:
-            names.add("sign")
-        for depth, marks in enumerate(above):
-            for mark in marks:
-                if mark not in ("html", "body"):
-                    names.add("has:" + mark)
-        if above == before:
-            names.add("same")
-        before = above
-        out.append(list(names))
+            names.append("sign")
+        if element is before:
+            names.append("same")
+        before = element
+        yield names
+
+
+def page_features(blocks: list) -> list[list[str]]:
+    """Names of all features of every block (for training; :meth:`Labeller.label` adds up a chain only once)."""
+    out = []
+    for (_, element, _), names in zip(blocks, own_features(blocks)):
+        while element is not None:
+            names += element.fresh
+            element = element.above
+        out.append(names)
     return out
 
 
@@ -186,11 +260,27 @@ class Labeller:
 
     def decode(self, features: list[list[str]]) -> list[int]:
         """Viterbi: the most probable labels."""
-        if not features:
+        return self.best([sum([self.weights.get(name, 0.0) for name in names]) for names in features])
+
+    def label(self, blocks: list) -> list[int]:
+        """Labels of the blocks of a page; the weights of a chain of ancestors are added up once."""
+        weights, chains, score = self.weights, {None: 0.0}, []
+        for (_, element, _), names in zip(blocks, own_features(blocks)):
+            path, at = [], element
+            while at not in chains:
+                path.append(at)
+                at = at.above
+            for e in reversed(path):
+                chains[e] = chains[e.above] + sum([weights.get(name, 0.0) for name in e.fresh])
+            score.append(chains[element] + sum([weights.get(name, 0.0) for name in names]))
+        return self.best(score)
+
+    def best(self, score: list[float]) -> list[int]:
+        """The most probable labels, given each block's score of label 1 over label 0."""
+        if not score:
             return []
-        weights, (r0, r1) = self.weights, self.rows
+        r0, r1 = self.rows
         back: list[tuple[int, int]] = []
-        score = [sum([weights.get(name, 0.0) for name in names]) for names in features]
         a, b = float(self.first[0]), float(self.first[1]) + score[0]
         for s in score[1:]:
             to0, to1 = (r0[0] + a, r1[0] + b), (r0[1] + a, r1[1] + b)
@@ -268,7 +358,7 @@ def default_labeller() -> Labeller:
 
 def main_blocks(page: str | None, labeller: Labeller) -> list[str]:
     blocks = leaf_blocks(page) if page else []
-    return [b[0] for b, label in zip(blocks, labeller.decode(page_features(blocks))) if label]
+    return [b[0] for b, label in zip(blocks, labeller.label(blocks)) if label]
 
 
 def extract(pages: DataFrame, html_col: str = "html", labeller: Labeller | None = None, keep: list[str] | None = None) -> DataFrame:

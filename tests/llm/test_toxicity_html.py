@@ -109,6 +109,37 @@ def test_viterbi_is_the_best_path():
             assert value(labeller.decode(features)) == pytest.approx(best)
 
 
+def test_labels_by_chain_are_those_of_all_features():
+    labeller = html_text.default_labeller()
+    for page, _ in labelled_pages(60, seed=77):
+        blocks = html_text.leaf_blocks(page)
+        features = html_text.page_features(blocks)
+        assert all(len(names) == len(set(names)) for names in features)
+        assert labeller.label(blocks) == labeller.decode(features)
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<div><p>a<p>b<div>c</div>d</div>", [("a", "div p"), ("b", "div p"), ("c", "div div"), ("d", "div")]),
+    ("<ul><li>a<ul><li>b<li>c</ul>d<li>e</ul>", [("a", "ul li"), ("b", "ul li ul li"), ("c", "ul li ul li"), ("d", "ul li"), ("e", "ul li")]),
+    ("<table><tr><td>a<td>b<tr><td>c</table>d", [("a", "table tr td"), ("b", "table tr td"), ("c", "table tr td"), ("d", "")]),
+    ("<a><div>x</a>y</div>z", [("xy", "a div"), ("z", "a")]),
+    ("<div><b>x</div></b></i>y", [("x", "div b"), ("y", "")]),
+    ("<p>a<button>b</button>c</section>d", [("a", "p"), ("b", "p button"), ("c", "p"), ("d", "p")])])
+def test_what_tags_close(page, want):
+    def path(element):
+        return path(element.above) + [element.tag] if element.above else []
+    assert [(text, " ".join(path(element))) for text, element, _ in html_text.leaf_blocks(page)] == want
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<div>x", "<div class=a-{}>x", "<b>", "<b><p>x", "<p>x</i></section>", "<ul><li>x", "<a>x</b>", "<i><div></i>x"])
+def test_deep_pages_take_time_in_proportion(unit):
+    labeller = html_text.default_labeller()
+    page = "".join(unit.replace("{}", "".join(chr(97 + int(d)) for d in str(i))) for i in range(40_000))
+    began = time.process_time()
+    html_text.main_blocks(page, labeller)
+    assert time.process_time() - began < 12
+
+
 @pytest.mark.parametrize("page", [None, "", " ", "plain text", "<", "<<<p", "<p", "</p></div>", "<script>x", "<!-- open", "<p title='a>b", "a < b & c &amp &unknown; &#0; &#xD800;",
                                   "<div " * 3000, "<p>" * 3000 + "x", '<a href="' * 2000, "<b><p></b>x</p>", "\x00<p>\x00</p>"])
 def test_broken_pages(page):
