@@ -11,6 +11,10 @@ score ``t`` of its k-th best so far.  ``t / (|q| max|p|)`` is then the cosine a
 What survives is verified by its integer product.  Queries in blocks meet candidates in chunks of whole
 buckets, a cell a task; each cell returns at most k rows a query, and a ranking per query merges them.  The first
 thresholds are true scores, from the longest vectors, so no cell starts from nothing.
+
+They also prune before the shuffle.  A query needs candidates of length ``t / |q|`` at least, so it goes to the chunks
+down to the class of that length only.  Queries are numbered into blocks by that need, hardest first; a candidate goes to
+the blocks from the first one on that may use its class, and nowhere if none does.
 """
 
 from __future__ import annotations
@@ -141,13 +145,17 @@ class Search:
         return np.repeat(self.ids, sizes), np.concatenate([*self.found, np.empty(0, np.int64)]), np.concatenate([*self.scores, np.empty(0, np.int64)])
 
 
-def top_k(vectors: DataFrame, queries: Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = SCALE) -> DataFrame:
-    """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: for each row that ``queries`` selects, the ``k`` highest
-    integer inner products over every row of another id.
+def _length_class(length: Column) -> Column:
+    """Classes of nearly equal length, rising; ``CLASSES`` a doubling, so doubles have some 16,400 of them at most."""
+    return F.floor(F.log2(length + 1) * CLASSES).cast("int")
 
-    Vectors that are null or hold null or non-finite components, and rows without an id, take no part.  Shorter
-    vectors count as filled up with zeros, so an empty vector scores 0.  Rows that repeat an id are all
-    candidates; as a query the id is asked once, with its first vector in array order.  No queries: no rows.
+
+def cells(vectors: DataFrame, queries: Column, k: int, id_col: str, vector_col: str, scale: float) -> tuple[DataFrame | None, int]:
+    """The rows of every cell (``part``, ``chunk``): ``side`` 0 queries with their ``floor``, 1 candidates; and the
+    dimension.  None without queries.  No pair of a query and a candidate that may score its floor is apart.
+
+    Tables of length classes (candidates') and of need classes (queries') come to the driver: both are bounded by
+    ``CLASSES`` and the range of doubles, not by the data.
     """
     spark = vectors.sparkSession
     arrow_batches(spark, 4096)
@@ -157,8 +165,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K, id_col: str = "vec_id
     asked = rows.filter("asked IS NOT NULL").groupBy("id").agg(F.min("v").alias("v"))
     n, dim, n_asked = rows.agg(F.count(F.lit(1)), F.max(F.size("v")), F.countDistinct("asked")).first()
     if not n_asked:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    dim, parts = max(dim, 1), -(-n_asked // QUERY_ROWS)
+        return None, 0
+    dim = max(dim, 1)
 
     # first thresholds: each query's k-th best among the longest vectors (bounded by SEED_ROWS)
     seeds = rows.select("id", "v", "length").orderBy(F.desc("length"), "id").limit(SEED_ROWS).collect() if n > k else []
@@ -174,21 +182,55 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K, id_col: str = "vec_id
                     others = scores[i][seed_ids != ids[i]]
                     if len(others) >= k:
                         floors[i] = np.partition(others, len(others) - k)[len(others) - k]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(floors)], names=["id", "v", "floor"])
-
-    floors = asked.select("id", "v").mapInArrow(first, "id long, v array<double>, floor double")
-    # chunks: classes of nearly equal length in falling order, filled up to CHUNK_ROWS; large classes take several
-    longness = F.floor(F.log2(F.col("length") + 1) * CLASSES).cast("int")
-    classes = rows.groupBy(longness.alias("c")).agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    classes = cut(classes.select("c", F.floor(before / CHUNK_ROWS).cast("int").alias("first"),
-                                 F.ceil(F.col("n") / CHUNK_ROWS).cast("int").alias("cells")))
-    last = classes.agg(F.max(F.col("first") + F.col("cells") - 1)).first()[0]
-    left = floors.select(F.lit(0).alias("side"), "id", "v", "floor", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"),
-                         F.explode(F.sequence(F.lit(0), F.lit(last))).alias("chunk"))
-    right = rows.withColumn("c", longness).join(classes, "c").select(
-        F.lit(1).alias("side"), "id", "v", F.lit(0.0).alias("floor"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
+            with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+                need = np.where(floors > 0, floors / np.sqrt((q * q).sum(axis=1)), 0.0) * (1 - 1e-9)
+                # the class of the shortest vector of use, or the one below it where rounding may matter; -1: any vector
+                classes = np.where(floors > 0, np.floor(np.log2(need + 1) * CLASSES - 1e-6), -1.0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(floors), pa.array(classes.astype(np.int32))], names=["id", "v", "floor", "need"])
+
+    floors = cut(asked.select("id", "v").mapInArrow(first, "id long, v array<double>, floor double, need int"))
+    needs = floors.groupBy("need").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("need", ascending=False)
+    classes = rows.groupBy(_length_class(F.col("length")).alias("c")).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("c", ascending=False)
+
+    # classes in falling order, filled up to a chunk or block; large ones take several
+    def numbered(table, most: int):
+        before = table["n"].cumsum() - table["n"]
+        return before // most, -(-table["n"] // most)
+
+    classes["first"], classes["cells"] = numbered(classes, CHUNK_ROWS)
+    needs["first"], needs["cells"] = numbered(needs, QUERY_ROWS)
+    parts = int((needs["first"] + needs["cells"]).max())
+    length, need = classes["c"].to_numpy(np.int64), needs["need"].to_numpy(np.int64)
+    # a need's last chunk: that of the shortest class that it can use; -1 if there is none
+    ends = np.concatenate([[0], np.maximum.accumulate((classes["first"] + classes["cells"]).to_numpy(np.int64))])
+    needs["last"] = ends[np.searchsorted(-length, -need, side="right")] - 1
+    # a class's first block: that of the hardest need that can use it; ``parts`` if there is none
+    starts = np.append(needs["first"].to_numpy(np.int64), parts)
+    classes["part"] = starts[np.searchsorted(-need, -length, side="left")]
+    small = lambda table, names: F.broadcast(spark.createDataFrame(
+        [tuple(int(x) for x in row) for row in table[names].itertuples(index=False)], ", ".join(f"{x} int" for x in names)))
+
+    left = floors.join(small(needs, ["need", "first", "cells", "last"]), "need").filter("last >= 0").select(
+        F.lit(0).alias("side"), "id", "v", "floor", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("cells"))).cast("int").alias("part"),
+        F.explode(F.sequence(F.lit(0), F.col("last"))).alias("chunk"))
+    right = rows.withColumn("c", _length_class(F.col("length"))).join(small(classes, ["c", "first", "cells", "part"]), "c").filter(F.col("part") < parts).select(
+        F.lit(1).alias("side"), "id", "v", F.lit(0.0).alias("floor"), F.explode(F.sequence(F.col("part"), F.lit(parts - 1))).alias("part"),
         (F.col("first") + F.pmod(F.xxhash64("id", "v"), F.col("cells"))).cast("int").alias("chunk"))
+    return left.unionByName(right), dim
+
+
+def top_k(vectors: DataFrame, queries: Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = SCALE) -> DataFrame:
+    """``query_id``, ``rank`` (from 1), ``vec_id``, ``score``: for each row that ``queries`` selects, the ``k`` highest
+    integer inner products over every row of another id.
+
+    Vectors that are null or hold null or non-finite components, and rows without an id, take no part.  Shorter
+    vectors count as filled up with zeros, so an empty vector scores 0.  Rows that repeat an id are all
+    candidates; as a query the id is asked once, with its first vector in array order.  No queries: no rows.  Columns
+    other than the two named are not read, whatever their names.
+    """
+    dealt, dim = cells(vectors, queries, k, id_col, vector_col, scale)
+    if dealt is None:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
 
     def cell(rows_):
         import pandas as pd
@@ -207,6 +249,6 @@ def top_k(vectors: DataFrame, queries: Column, k: int = K, id_col: str = "vec_id
         a, b, c = search.rows()
         return pd.DataFrame({"query_id": a, "vec_id": b, "score": c})
 
-    found = left.unionByName(right).groupBy("part", "chunk").applyInPandas(cell, "query_id long, vec_id long, score long")
+    found = dealt.groupBy("part", "chunk").applyInPandas(cell, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best).cast("int")).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

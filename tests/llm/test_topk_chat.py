@@ -51,6 +51,33 @@ def test_fewer_candidates_than_k_and_no_query(spark):
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_pruned_before_the_shuffle(spark, monkeypatch):
+    """Cells get less than half of what pruning inside them would need sent; every pair that reaches a floor still meets in one cell."""
+    for name, value in (("BUCKET_ROWS", 16), ("CHUNK_ROWS", 64), ("QUERY_ROWS", 8), ("SEED_ROWS", 40)):
+        monkeypatch.setattr(topk, name, value)
+    sent = []
+    for spread in (0.0, 1.0, 3.0):
+        rng = random.Random(7)
+        rows = [(i, [abs(rng.gauss(0, 1)) * math.exp(rng.gauss(0, spread)) for _ in range(4)]) for i in range(600)]
+        rows += [(600 + 10 * i, [-1.0 - i, 0.0, 0.0, 0.0]) for i in range(6)] + [(700, [0.0] * 4), (710, [])]  # scores of zero and below
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        asked = F.col("vec_id") % 10 == 0
+        assert sorted(map(tuple, topk.top_k(df, asked).collect())) == _brute(rows, lambda i: i % 10 == 0, 20)
+        dealt, _ = topk.cells(df, asked, 20, "vec_id", "embedding", topk.SCALE)
+        got = dealt.collect()
+        queries, candidates = [r for r in got if r["side"] == 0], [r for r in got if r["side"] == 1]
+        sent.append((len(got), (1 + max(r["part"] for r in got)) * len(rows) + len({r["id"] for r in queries}) * (1 + max(r["chunk"] for r in got))))
+        held = {}
+        for r in candidates:
+            held.setdefault((r["part"], r["chunk"]), []).append(r)
+        for i in {r["id"] for r in queries}:
+            mine = [r for r in queries if r["id"] == i]
+            met = {p["id"] for r in mine for p in held.get((r["part"], r["chunk"]), [])}
+            reach = {v for v, x in rows if sum(a * math.floor(64 * b) for a, b in zip(mine[0]["v"], x)) >= mine[0]["floor"]}
+            assert reach - {i} <= met
+    assert all(few < whole / 2 for few, whole in sent), sent  # whole: every row to every block, every query to every chunk
+
+
 def test_products_past_doubles_are_exact():
     q, p = np.array([[float(2 ** 30), 1.0]]), np.array([[float(2 ** 30), 1.0], [3.0, 1.0]])
     assert topk.products(q, p).tolist() == [[2 ** 60 + 1, 3 * 2 ** 30 + 1]]
