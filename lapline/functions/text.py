@@ -85,12 +85,8 @@ def py_squash(c: Column) -> Column:
 
 def splitlines(c: Column) -> Column:
     """``str.splitlines()``: no trailing empty element, empty text gives no line."""
-    parts = F.split(c, EOL_PY, -1)
-    ends_with_eol = c.rlike(f"(?:{EOL_PY})\\z")
-    return (F.when(c.isNull(), F.lit(None))
-            .when(c == "", F.array().cast("array<string>"))
-            .when(ends_with_eol, F.slice(parts, 1, F.size(parts) - 1))
-            .otherwise(parts))
+    parts = F.split(F.regexp_replace(c, f"(?:{EOL_PY})\\z", ""), EOL_PY, -1)  # the last line end closes a line, it opens none
+    return F.when(c.isNull(), F.lit(None)).when(c == "", F.array().cast("array<string>")).otherwise(parts)
 
 
 def soft_hyphen_to_dash(c: Column) -> Column:

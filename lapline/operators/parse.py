@@ -46,11 +46,12 @@ def sections(docs: DataFrame, text_col: str = "text", keep: list[str] | None = N
     header is dropped, and a document without a header is one section "Final".
     """
     keep = keep if keep is not None else [c for c in docs.columns if c != text_col]
-    t = clean_text(F.col(text_col))
-    pieces = F.split(F.regexp_replace(t, HEAT_HEADER, SECTION_MARK + "$0"), SECTION_MARK, -1)
-    secs = (F.when(F.size(pieces) == 1, F.array(t))
-            .otherwise(F.slice(pieces, F.lit(2), F.size(pieces) - 1)))
-    exploded = docs.select(*keep, F.posexplode(secs).alias("section", "section_text"))
+    pieces = F.split(F.regexp_replace(clean_text(F.col(text_col)), HEAT_HEADER, SECTION_MARK + "$0"), SECTION_MARK, -1)
+    # the pieces pass through a generator of their own, so the text is searched once, not once for each use of them
+    cut = docs.select(*keep, F.explode(F.array(pieces)).alias("_pieces"))
+    secs = (F.when(F.size("_pieces") == 1, F.col("_pieces"))
+            .otherwise(F.slice("_pieces", F.lit(2), F.size("_pieces") - 1)))
+    exploded = cut.select(*keep, F.posexplode(secs).alias("section", "section_text"))
     label = F.coalesce(F.nullif(F.regexp_extract("section_text", HEAT_HEADER, 1), F.lit("")),
                        F.lit("Final"))
     return exploded.select(*keep, (F.col("section") + 1).alias("section"), label.alias("heat"),
