@@ -28,6 +28,7 @@ from lapline.llm._common import arrow_batches
 OPEN, CLOSE = b"<turn>", b"</turn>\n"
 SLASH, LESS, LINE = 0x5C, 0x3C, 0x0A
 LOSS_ROLE = "assistant"
+KEY_CHARS = 32  # code points of a role or text in a range key
 CHUNK_BYTES = 32 << 20  # a longer conversation goes on in further rows (chunk 1, 2, ...)
 
 
@@ -107,11 +108,13 @@ def read_turns(data: bytes) -> list[tuple[str, str, int, int]]:
 
 def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                          text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """``conv``, ``chunk``, ``formatted`` and ``loss`` (array of [start, end) code points of assistant texts as
+    """``conv``, ``part``, ``chunk``, ``formatted`` and ``loss`` (array of [start, end) code points of assistant texts as
     they stand in ``formatted``, escapes included).
 
-    One row per conversation; one longer than ``chunk_bytes`` goes on in further rows, cut between turns, so that no
-    task ever holds more than that and a batch.  Turns follow ``turn_col`` (null first), then role and text;
+    Turns are dealt by range over (conversation, turn, role, text), so a conversation of very many turns is formatted by
+    several tasks: it goes on in rows of the next ``part``, and within a part in rows ``chunk`` 0, 1, ... once longer
+    than ``chunk_bytes``, cut between turns; (part, chunk) puts its rows in order.  No task ever holds more than
+    ``chunk_bytes`` and a batch.  Turns follow ``turn_col`` (null first), then role and text;
     repeated rows are turns of their own.  Null roles and texts are empty; null conversation ids are one
     conversation; other columns are not read; an empty table gives no rows.
     """
@@ -119,11 +122,14 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
     kind = turns.schema[conv_col].dataType.simpleString()
     rows = turns.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.col(role_col).cast("string").alias("role"),
                         F.col(text_col).cast("string").alias("text"))
-    rows = rows.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text").select("conv", "role", "text")
+    rows = (rows.repartitionByRange(*_range_keys()).sortWithinPartitions("conv", "turn", "role", "text")
+            .select("conv", "role", "text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         held: list[pa.RecordBatch] = []
-        size, chunk, open_conv = 0, 0, None
+        size, chunk, open_conv, part = 0, 0, None, TaskContext.get().partitionId()
 
         def closed(some: pa.Table, first_chunk: int) -> pa.RecordBatch:
             """Every conversation of ``some``, whole or up to here, as a row; the first one as ``first_chunk``."""
@@ -144,8 +150,8 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), spans)
             chunks = np.zeros(len(edge), np.int32)
             chunks[0] = first_chunk
-            return pa.RecordBatch.from_arrays([conv.take(pa.array(edge)), pa.array(chunks), formatted, lists],
-                                              names=["conv", "chunk", "formatted", "loss"])
+            return pa.RecordBatch.from_arrays([conv.take(pa.array(edge)), pa.array(np.full(len(edge), part, np.int32)), pa.array(chunks), formatted, lists],
+                                              names=["conv", "part", "chunk", "formatted", "loss"])
 
         for batch in batches:
             for one in _slices(batch, chunk_bytes):
@@ -173,7 +179,19 @@ def format_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
             if some.num_rows:
                 yield closed(some, chunk)
 
-    return rows.mapInArrow(write, f"conv {kind}, chunk int, formatted string, loss array<struct<start:long,end:long>>")
+    return rows.mapInArrow(write, f"conv {kind}, part int, chunk int, formatted string, loss array<struct<start:long,end:long>>")
+
+
+def _range_keys() -> list:
+    """Keys in the order of (conv, turn, role, text) that hold no long value: range bounds are sampled by the driver.
+
+    A text's beginning counts only beside a role that stands whole in its key; longer roles of one beginning come
+    after it (null last) and keep together.
+    """
+    role, text = F.col("role"), F.coalesce("text", F.lit(""))
+    whole = role.isNull() | (F.length(role) <= KEY_CHARS)
+    return [F.asc("conv"), F.asc("turn"), F.substring(role, 1, KEY_CHARS).asc(),
+            F.when(whole, F.substring(text, 1, KEY_CHARS)).asc_nulls_last()]
 
 
 def _codes(column: pa.Array) -> tuple[np.ndarray, int]:
@@ -204,12 +222,28 @@ def _slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
 def digest(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     """Per conversation, read back from the formatted text alone: its turns, their hash, and what the loss mask covers.
 
-    Chunks of a conversation are read one after another with running hashes.
+    Every chunk is read where it was written; only the running hashes of a conversation follow its chunks one after another.
     """
     kind = formatted.schema["conv"].dataType.simpleString()
-    rows = formatted.repartition("conv").sortWithinPartitions("conv", "chunk")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one in _slices(batch, 4 << 20):
+                cols: list[list] = [[], [], [], [], []]
+                for text, spans in zip(one.column("formatted"), one.column("loss")):
+                    text = text.as_py()
+                    found = read_turns(text.encode("utf-8", "surrogatepass"))
+                    loss = [unescape(text[span["start"]:span["end"]]) for span in spans.as_py()]
+                    said = "".join(f"{role}\n{words}\n" for role, words, _, _ in found)
+                    for col, value in zip(cols, (len(found), said.encode("utf-8", "surrogatepass"), sum(map(len, loss)),
+                                                 "".join(loss).encode("utf-8", "surrogatepass"), len(text))):
+                        col.append(value)
+                kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [one.column("conv"), one.column("part"), one.column("chunk"), *(pa.array(c, k) for c, k in zip(cols, kinds))],
+                    names=["conv", "part", "chunk", "n", "said", "loss_n", "loss", "total"])
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = None
 
         def done():
@@ -222,27 +256,27 @@ def digest(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
         for batch in batches:
             conv_type = batch.schema.field("conv").type
             ready = []
-            for conv, chunk, text, spans in zip(*(batch.column(c).to_pylist() for c in ("conv", "chunk", "formatted", "loss"))):
-                if state is None or chunk == 0:
+            for i in range(batch.num_rows):
+                conv, n, said, loss_n, loss, total = (batch.column(c)[i].as_py() for c in ("conv", "n", "said", "loss_n", "loss", "total"))
+                if state is None or not (conv == state[0] or (conv != conv and state[0] != state[0])):
                     if state is not None:
                         ready.append(done())
                     state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                found = read_turns(text.encode("utf-8", "surrogatepass"))
-                state[1] += len(found)
-                state[5] += len(text)
-                for role, said, _, _ in found:
-                    state[2].update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
-                for span in spans:
-                    plain = unescape(text[span["start"]:span["end"]])
-                    state[3] += len(plain)
-                    state[4].update(plain.encode("utf-8", "surrogatepass"))
+                state[1] += n
+                state[2].update(said)
+                state[3] += loss_n
+                state[4].update(loss)
+                state[5] += total
             if ready:
                 yield pa.Table.from_batches(ready).combine_chunks().to_batches()[0]
         if state is not None:
             yield done()
 
+    plain = formatted.select("conv", "part", "chunk", "formatted", "loss").mapInArrow(
+        read, f"conv {kind}, part int, chunk int, n long, said binary, loss_n long, loss binary, total long")
     schema = f"conv {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    return rows.mapInArrow(read, schema).withColumnRenamed("conv", conv_col)
+    return (plain.repartition("conv").sortWithinPartitions("conv", "part", "chunk")
+            .select("conv", "n", "said", "loss_n", "loss", "total").mapInArrow(hashes, schema).withColumnRenamed("conv", conv_col))
 
 
 def unescape(text: str) -> str:

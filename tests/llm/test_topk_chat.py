@@ -135,6 +135,17 @@ def test_formatting_reads_back(spark, chunk_bytes):
     assert {r["conv_id"]: r["formatted_chars"] for r in chat.digest(formatted).collect()} == chars
 
 
+def test_a_long_conversation_is_dealt_to_several_tasks(spark):
+    rng = random.Random(3)
+    rows = [(1, rng.choice((None, i // 3)), rng.choice((None, "", "user", "assistant", "r" * 32, "r" * 33 + str(i % 5))),
+             rng.choice((None, "", "t" * 40, f"{i % 7} <turn> " * 5))) for i in range(4000)] + [(2, 0, "assistant", "other")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    formatted = chat.format_conversations(df, chunk_bytes=3000).cache()
+    assert formatted.filter("conv = 1").select("part").distinct().count() > 1
+    got = {r["conv_id"]: (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) for r in chat.digest(formatted).collect()}
+    assert got == _digests(rows)
+
+
 def test_no_conversations(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.digest(chat.format_conversations(df)).count() == 0
