@@ -228,7 +228,9 @@ def rows_per_document(parsed: DataFrame, links: DataFrame | None = None) -> Data
 
 
 def head_per_document(parsed: DataFrame, n: int = 2) -> DataFrame:
-    """The first n rows of each document by (heat, rank, lane)."""
+    """The first n rows of each document by (heat, rank, lane, name); equal ones by their other columns."""
     from pyspark.sql import Window
-    w = Window.partitionBy("Link").orderBy("heat", "rank", "lane", "last_name", "first_name")
+    order = ["heat", "rank", "lane", "last_name", "first_name"]
+    order += [c for c in parsed.columns if c not in (*order, "Link")]
+    w = Window.partitionBy("Link").orderBy(*order)
     return parsed.withColumn("_i", F.row_number().over(w)).filter(F.col("_i") <= n).drop("_i")

@@ -164,7 +164,8 @@ SELECT Link, session, CAST(row_number() OVER (PARTITION BY Link, session ORDER B
        CAST(2 + sum(CASE WHEN final_time_cs IS NULL THEN 1 ELSE 2 END) AS BIGINT) AS n_lines
 FROM rc GROUP BY Link, session, heat""",
     "sheet_head": with_raw("SELECT " + ", ".join(_RAW_COLS) + """ FROM (
-  SELECT *, row_number() OVER (PARTITION BY Link ORDER BY heat, "rank", lane, last_name, first_name) AS i
+  SELECT *, row_number() OVER (PARTITION BY Link ORDER BY heat, "rank", lane, last_name, first_name,
+    reaction_time NULLS FIRST, """ + ", ".join(f"{c} NULLS FIRST" for c in _SPLITS) + """, final_time) AS i
   FROM raw WHERE final_time IS NOT NULL) WHERE i <= 2"""),
     "document_lines": "WITH " + _DOC_LINES + "\nSELECT doc_id, line_no, line FROM dl",
     "document_noise": "WITH " + _DOC_LINES + f"""

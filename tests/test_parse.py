@@ -96,3 +96,11 @@ def test_inspection_helpers(spark):
     assert hits == [2] and P.regex_line_search(docs, "beta").count() == 0     # anchored at the line start
     stripped = [r.line for r in P.lines_of(docs).orderBy("line_no").collect()]
     assert stripped == ["Alpha SYS­FL", "", "beta 12", "gamma"]            # splitlines + strip
+
+
+def test_head_breaks_ties_by_the_other_columns(spark):
+    rows = [("L", "Final A", 1, 1, "A", "B", t) for t in ("23.00", "22.00", "24.00")]
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, "Link string, heat string, rank int, lane int, last_name string, first_name string, final_time string")
+        found = P.head_per_document(df.repartition(parts), 2).select("final_time").collect()
+        assert sorted(r[0] for r in found) == ["22.00", "23.00"]
