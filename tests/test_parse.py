@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from lapline.functions.text import splitlines
 from lapline.operators import parse as P
 from lapline.sources import fixtures as FX
 
@@ -104,3 +105,20 @@ def test_head_breaks_ties_by_the_other_columns(spark):
         df = spark.createDataFrame(rows, "Link string, heat string, rank int, lane int, last_name string, first_name string, final_time string")
         found = P.head_per_document(df.repartition(parts), 2).select("final_time").collect()
         assert sorted(r[0] for r in found) == ["22.00", "23.00"]
+
+
+def test_plain_patterns_read_ascii_text_as_the_general_ones_do(spark):
+    """The cheap path of plain text gives what the Unicode path gives: the same sheet with one foreign letter in its title."""
+    body = ("Final A Event 105\nRank Lane Name\n1 4 VAN DE SWIM Anna  Lea GBR-ENG 0.71 3:44.10\n50m (1) 26.01 100m 54.20 50m (1) 27.00\n"
+            "2 5 O'NEIL Bo USA 3:45.00\nfinal b event 105\n  =3 6 LEE\tAnn USA 0.80 3:46.10  \n\n50m(1)26.50\nFinal\nFINAL  C\n4 1 ROE Al FRA 59.90")
+    rows = []
+    for title in ("Results\n", "Résultats\n"):
+        docs = spark.createDataFrame([("a", title + t) for t in (body, body + "\n", body.replace("\n", "\r\n"), body.replace("Lea", "\x1cLea"), "")], "Link string, text string")
+        rows.append(sorted(map(repr, P.parse_sheets(docs).collect())))
+    assert rows[0] == rows[1] and len(rows[0]) >= 12
+
+
+def test_plain_lines_cut_as_python_does(spark):
+    texts = ["", "\n", "a", "a\n", "a\n\n", "\na b\n c", "a\rb", "a\x1cb\n", "é\n\n", "a b"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", splitlines(F.col("t")).alias("l")).collect()
+    assert {r.i: list(r.l) for r in got} == {i: t.splitlines() for i, t in enumerate(texts)}
