@@ -59,17 +59,19 @@ def row_blocks(html: Column) -> Column:
     the open row began (-1: none), its content so far and the rows done.  A row nested in another belongs to it;
     a row that is never closed runs to the page's end; a closing tag without an opening one counts as none.
     """
-    pieces = F.split(html, r"(?i)(?=<div\b|</div\s*>)", -1)
+    # what a piece is, is told once, before the pass: in the step every use of an expression is evaluated again
+    pieces = F.transform(F.split(html, r"(?i)(?=<(?:div\b|/div\s*>))", -1), lambda p: F.struct(
+        p.alias("html"), F.when(p.rlike(r"(?i)^<div\b"), 1).when(p.rlike(r"(?i)^</div"), -1).otherwise(0).alias("step"),
+        p.rlike("^" + ROW_TAG).alias("row")))
     state = F.struct(F.lit(0).alias("depth"), F.lit(-1).alias("row"), F.lit("").alias("text"), F.array().cast("array<string>").alias("rows"))
 
     def step(a: Column, piece: Column) -> Column:
-        opens, closes = piece.rlike(r"(?i)^<div\b"), piece.rlike(r"(?i)^</div")
-        depth = F.when(opens, a["depth"] + 1).when(closes, F.greatest(a["depth"] - 1, F.lit(0))).otherwise(a["depth"])
-        starts = opens & (a["row"] < 0) & piece.rlike("^" + ROW_TAG)
-        ends = closes & (a["row"] >= 0) & (depth <= a["row"])
+        depth = F.greatest(a["depth"] + piece["step"], F.lit(0))
+        starts = (piece["step"] > 0) & (a["row"] < 0) & piece["row"]
+        ends = (piece["step"] < 0) & (a["row"] >= 0) & (depth <= a["row"])
         row = F.when(starts, a["depth"]).when(ends, -1).otherwise(a["row"])
-        text = (F.when(starts, F.regexp_replace(piece, "^" + ROW_TAG, "")).when(ends | (a["row"] < 0), F.lit(""))
-                .otherwise(F.concat(a["text"], piece)))
+        text = (F.when(starts, F.regexp_replace(piece["html"], "^" + ROW_TAG, "")).when(ends | (a["row"] < 0), F.lit(""))
+                .otherwise(F.concat(a["text"], piece["html"])))
         return F.struct(depth.alias("depth"), row.alias("row"), text.alias("text"),
                         F.when(ends, F.array_append(a["rows"], a["text"])).otherwise(a["rows"]).alias("rows"))
 
@@ -83,6 +85,12 @@ def page_rows(pages: DataFrame, keep: list[str] | None = None, html_col: str = "
     return found.withColumn("row_pos", F.col("row_pos") + 1)
 
 
+def _once(rows: DataFrame, keep: list[str], *values: Column) -> DataFrame:
+    """``keep`` and the values, which pass through a generator of their own: conditions on them are not pushed beneath it,
+    where each condition would search the HTML again."""
+    return rows.select(*keep, F.inline(F.array(F.struct(*values))))
+
+
 def absolute_url(href: Column, base: Column | str) -> Column:
     """A path starting with '/' is joined to the base."""
     base_col = F.lit(base) if isinstance(base, str) else base
@@ -111,12 +119,11 @@ def competition_rows(list_pages: DataFrame, base_url: str = DEFAULT_BASE_URL) ->
     links not under ``/{year}/`` are dropped.
     """
     rows = page_rows(list_pages, keep=["page_id", "year"])
-    href = F.regexp_extract("row_html", DETAIL_LINK, 1)
-    name = visible_text(F.regexp_extract("row_html", DETAIL_LINK, 2))
-    swimming = upper_contains(visible_text(F.col("row_html")), SPORT_WORD)
-    out = rows.select("year", "page_id", "row_pos", name.alias("competition"),
-                      absolute_url(href, base_url).alias("href"), swimming.alias("swimming"),
-                      (href != "").alias("has_link"))
+    found = _once(rows, ["year", "page_id", "row_pos"], F.regexp_extract("row_html", DETAIL_LINK, 1).alias("link"),
+                  visible_text(F.regexp_extract("row_html", DETAIL_LINK, 2)).alias("competition"),
+                  upper_contains(visible_text(F.col("row_html")), SPORT_WORD).alias("swimming"))
+    out = found.select("year", "page_id", "row_pos", "competition", absolute_url(F.col("link"), base_url).alias("href"),
+                       "swimming", (F.col("link") != "").alias("has_link"))
     in_year = F.col("href").contains(F.concat(F.lit("/"), F.col("year").cast("string"), F.lit("/")))
     return out.filter(F.col("swimming") & F.col("has_link") & in_year).drop("swimming", "has_link")
 
@@ -151,14 +158,15 @@ def event_links(portal_pages: DataFrame, base_url: str = DEFAULT_BASE_URL, exclu
     ``exclude_25=False`` is the older event test, which lets texts with 25 pass.
     """
     rows = page_rows(portal_pages, keep=["url", "page_id"])
-    text = visible_text(F.regexp_extract("row_html", ROUND_TEXT, 1))
-    links = F.regexp_extract_all(F.col("row_html"), F.lit(TWO_LINK), 1)
+    found = _once(rows, ["url", "page_id", "row_pos"], visible_text(F.regexp_extract("row_html", ROUND_TEXT, 1)).alias("text"),
+                  F.regexp_extract_all(F.col("row_html"), F.lit(TWO_LINK), 1).alias("links"))
+    text, links = F.col("text"), F.col("links")
     is_event = upper_contains(text, EVENT_WORDS[0]) & upper_contains(text, EVENT_WORDS[1])
     if exclude_25:
         is_event = is_event & ~upper_contains(text, EVENT_EXCLUDE)
     second = F.when(F.size(links) >= 2, F.get(links, 1))
     sex = F.when(upper_contains(text, "WOMEN"), "F").when(upper_contains(text, "MEN"), "M")
-    return (rows.select("url", "page_id", "row_pos", is_event.alias("is_event"),
+    return (found.select("url", "page_id", "row_pos", is_event.alias("is_event"),
                         absolute_url(second, base_url).alias("link"), sex.alias("sex"))
             .filter(F.col("is_event") & F.col("link").isNotNull() & F.col("sex").isNotNull())
             .drop("is_event"))

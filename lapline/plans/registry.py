@@ -350,8 +350,9 @@ register("ingest_bucketed")(_ingest_bucketed)
 
 def _links_file(spark, d):
     """The link table to CSV, the earlier years first and the later ones appended, read back."""
-    path = _work(spark, "links-csv")
-    links = _links(spark, d)
+    path, found = _work(spark, "links-csv"), _work(spark, "links")
+    T.write_results(_links(spark, d), found)   # the pages are read once for both writes
+    links = spark.read.schema(S.LINKS).parquet(found)
     T.write_links(links.filter(F.col("year") < YEARS[1]), path)
     T.write_links(links.filter(F.col("year") >= YEARS[1]), path, mode="append")
     return T.read_links_csv(spark, path)

@@ -107,3 +107,13 @@ def test_nested_rows_belong_to_their_parent(spark):
     pages += ["".join(rng.choice(tags) for _ in range(rng.randint(1, 40))) for _ in range(300)]
     got = spark.createDataFrame(list(enumerate(pages)), "i int, html string").select("i", L.row_blocks(F.col("html")).alias("b")).collect()
     assert {r["i"]: r["b"] for r in got} == {i: _blocks(p) for i, p in enumerate(pages)}
+
+
+def test_html_is_searched_once_for_all_conditions(spark):
+    """Conditions on what was found in a row's HTML stay above the search (pushed beneath it, each would search again)."""
+    from lapline.operators import weblinks as L
+    pages = spark.createDataFrame([(1, 2000, "u", "<div class='row'></div>")], "page_id long, year int, url string, html string")
+    for frame in (L.competition_rows(pages.select("page_id", "year", "html")), L.event_links(pages.select("page_id", "url", "html"))):
+        lines = frame._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        assert not any("Filter" in l and "regexp_extract" in l for l in lines)
+        assert frame.count() == 0
