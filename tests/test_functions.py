@@ -86,3 +86,13 @@ def test_converting_columns_is_one_expression(spark):
     assert out.columns == ["a", "b", "c"] and tuple(out.first()) == (60.5, 59.1, 3.0)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "transform(" in plan and plan.count("RLIKE") <= 1
+
+
+def test_generated_code_of_rendered_rows_is_compiled(spark, capsys):
+    """No generated method of the rows' texts is over the 8,000 bytes up to which the JVM compiles."""
+    import re
+    from lapline.plans.registry import REGISTRY
+    from tests.conftest import SF_SMALL
+    REGISTRY["labelled_results"](spark, SF_SMALL).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8_000
