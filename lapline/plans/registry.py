@@ -193,18 +193,48 @@ register("residual_histogram")(lambda spark, d: A.histogram(spark, _scored(spark
 # --------------------------------------------------------------------------- K01-K11 (ingest)
 
 
+def _stored(spark, df, name):
+    """``df`` written once to a folder that all executors share and read back, for a query that reads it more than once."""
+    path = _work(spark, name)
+    T.write_results(df, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+BUCKETS = 8  # of the stored sheets, at least; a parameter of the store, not of the rows
+
+
+def _buckets(spark):
+    return max(BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _stored_sheets(spark, d):
+    """The name of a table of the sheets in buckets of Link: a long list meets them where they lie, without a shuffle of texts."""
+    name = f"lapline_sheets_{uuid.uuid4().hex}"
+    T.save_bucketed(_sheets(spark, d), name, _work(spark, "sheets"), _buckets(spark))
+    return name
+
+
 def _resumed(spark, d):
-    """Two ingest runs in one lazy plan: the first over the links whose md5 starts with 0-7, the second over all."""
-    links = K.link_lists(_links(spark, d))
-    docs = _sheets(spark, d)
+    """Two ingest runs: the first over the links whose md5 starts with 0-7, the second over all.
+
+    The list, the sheets and the first run's rows are stored, as a real run finds them: each is made once, not once for
+    each part of the plan that reads it.  Returns the list too.
+    """
+    links = _stored(spark, K.link_lists(_links(spark, d)), "links")
+    docs = spark.table(_stored_sheets(spark, d))
     earlier, _ = K.ingest(links.filter(F.substring(F.md5("Link"), 1, 1) < "8"), docs, S.empty(spark, S.RAW_RESULTS))
-    return K.ingest(links, docs, earlier)
+    return links, *K.ingest(links, docs, _stored(spark, earlier, "earlier"))
+
+
+def _report(spark, d):
+    links, rows, _ = _resumed(spark, d)
+    return K.report(links, rows)
 
 
 register("link_lists")(lambda spark, d: K.link_lists(_links(spark, d)))
-register("ingest_resumed")(lambda spark, d: _resumed(spark, d)[0])
-register("ingest_second_run_rows")(lambda spark, d: _resumed(spark, d)[1].groupBy("Link").count())
-register("ingest_report")(lambda spark, d: K.report(K.link_lists(_links(spark, d)), _resumed(spark, d)[0]))
+register("ingest_resumed")(lambda spark, d: _resumed(spark, d)[1])
+register("ingest_second_run_rows")(lambda spark, d: _resumed(spark, d)[2].groupBy("Link").count())
+register("ingest_report")(_report)
 
 
 def _two_feature_model(spark, d):
@@ -279,7 +309,7 @@ register("portal_links_with_25")(
 def _stored_in_batches(spark, d):
     """All sheets ingested into a stored table in four batches."""
     output = _work(spark, "stored")
-    docs = _sheets(spark, d)
+    docs = _stored(spark, _sheets(spark, d), "sheets")
     return K.ingest_to_path(spark, docs.select("Link").distinct(), docs, output, batches=4)
 
 
@@ -332,17 +362,13 @@ def _races_by_batch(spark, d):
 
 register("races_by_batch")(_races_by_batch)
 
-BUCKETS = 8  # of the stored sheets; a parameter of the store, not of the rows
-
-
 def _ingest_bucketed(spark, d):
     """K03-K09 in buckets: a run over the links whose md5 starts with 0-7, then one over all."""
-    tag = uuid.uuid4().hex
-    documents, results, path = f"lapline_sheets_{tag}", f"lapline_results_{tag}", _work(spark, "results")
-    T.save_bucketed(_sheets(spark, d), documents, _work(spark, "sheets"), BUCKETS)
-    links = K.link_lists(_links(spark, d))
-    K.ingest_bucketed(spark, links.filter(F.substring(F.md5("Link"), 1, 1) < "8"), documents, results, path, BUCKETS)
-    return K.ingest_bucketed(spark, links, documents, results, path, BUCKETS)
+    buckets, results, path = _buckets(spark), f"lapline_results_{uuid.uuid4().hex}", _work(spark, "results")
+    documents = _stored_sheets(spark, d)
+    links = _stored(spark, K.link_lists(_links(spark, d)), "links")
+    K.ingest_bucketed(spark, links.filter(F.substring(F.md5("Link"), 1, 1) < "8"), documents, results, path, buckets)
+    return K.ingest_bucketed(spark, links, documents, results, path, buckets)
 
 
 register("ingest_bucketed")(_ingest_bucketed)
@@ -391,7 +417,7 @@ register("stored_table")(_stored_table)
 
 def _nothing_left(spark, d):
     """A second run over the same list; it has nothing left, so the stored rows stay as they are."""
-    output, docs = _work(spark, "stored"), _sheets(spark, d)
+    output, docs = _work(spark, "stored"), _stored(spark, _sheets(spark, d), "sheets")
     K.ingest_to_path(spark, docs.select("Link").distinct(), docs, output)
     return K.ingest_to_path(spark, docs.select("Link").distinct(), docs, output)
 

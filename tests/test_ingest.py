@@ -160,3 +160,44 @@ def test_off_local_mode_a_shared_folder_is_required():
 
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(Session())
+
+
+def test_sheets_are_shuffled_as_numbers(spark):
+    plan = FX.render_sheets(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    above, _, below = plan.partition("Exchange hashpartitioning")
+    assert "collect_list" in above and "collect_list" not in below and "Exchange hashpartitioning" not in below
+
+
+def test_resumed_runs_render_the_sheets_once(spark):
+    from lapline.plans import registry as R
+    queries = ("ingest_resumed", "ingest_second_run_rows", "ingest_report")
+    frames = {q: R.REGISTRY[q](spark, SF_SMALL) for q in queries}
+    for q, frame in frames.items():
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "l_orderkey" not in plan and "o_orderkey" not in plan, q     # only stored lists, sheets and rows are read
+    links, docs = K.link_lists(R._links(spark, SF_SMALL)), _docs(spark)
+    rows = parse_sheets(docs.join(links.select("Link"), "Link", "inner"))
+    got = frames["ingest_resumed"]
+    assert got.count() == rows.count() and got.exceptAll(rows).count() == rows.exceptAll(got).count() == 0
+    new = rows.filter(F.substring(F.md5("Link"), 1, 1) >= "8").groupBy("Link").count()
+    second = frames["ingest_second_run_rows"]
+    assert second.count() == new.count() and second.exceptAll(new).count() == 0
+    report = frames["ingest_report"].select("Link", "rows")
+    assert report.exceptAll(K.report(links, rows)).count() == 0 and report.count() == links.select("Link").distinct().count()
+
+
+def test_runs_to_a_path_render_the_sheets_once(spark, monkeypatch):
+    from lapline.plans import registry as R
+    read = []
+    run = K.ingest_to_path
+
+    def noted(spark, links, documents, *rest, **more):
+        read.append(documents._jdf.queryExecution().executedPlan().toString())
+        return run(spark, links, documents, *rest, **more)
+
+    monkeypatch.setattr(K, "ingest_to_path", noted)
+    full = parse_sheets(_docs(spark))
+    for q in ("ingest_nothing_left", "ingest_in_batches"):
+        got = R.REGISTRY[q](spark, SF_SMALL)
+        assert got.count() == full.count() and got.exceptAll(full).count() == 0
+    assert len(read) == 3 and not any("l_orderkey" in plan for plan in read)
