@@ -185,3 +185,44 @@ def test_exact_median_of_many_distinct_values(spark):
     assert exact_quantile(df, F.col("v")) == float(np.median(values))
     filled = C.impute_median(df.unionByName(spark.createDataFrame([(None,)], "v double")), "v")
     assert filled.filter(F.col("v") == float(np.median(values))).count() == 2
+
+
+def test_forest_that_ends_in_its_tops_scores_in_one_pass(spark):
+    """Nothing is stored or shuffled for trees without subtrees, and the scores are the leaves' means."""
+    df = _swims(spark).withColumn("note", F.lit("kept"))
+    model = PureForest(S.FEATURE_COLS, trees=3, max_depth=1, small_rows=200, bins=16).fit(df)
+    assert model.subtrees(spark).isEmpty() and [len(t.feature) for t in model.tops] == [3, 3, 3]
+    odd = df.unionByName(df.limit(2).withColumn("split_50m", F.lit(None).cast("double")))
+    scored = model.transform(odd)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "lapline-scored" not in plan and "Join" not in plan and "Aggregate" not in plan
+    rows = scored.collect()
+    assert scored.columns == [*df.columns, "prediction"] and len(rows) == 1502 and sum(r.prediction is None for r in rows) == 2
+    for r in rows[:50]:
+        x = np.array([[r[c] for c in S.FEATURE_COLS]])
+        assert abs(r.prediction - np.mean([t.value[t.leaves(x)][0] for t in model.tops])) < 1e-9
+
+
+def test_forest_with_and_without_subtrees(spark):
+    """Scores are the same where some trees end in their tops and others go on below."""
+    df = _swims(spark, 900).withColumn("final_time", F.when(F.col("split_50m") < 28, 100.0).otherwise(F.col("final_time")))
+    model = PureForest(S.FEATURE_COLS, trees=3, small_rows=200, bins=64).fit(df)
+    below = {(r["tree"], r["node"]): Tree.unpack(r["packed"]) for r in model.subtrees(spark).collect()}
+    ends = {(t, int(n)) for t, top in enumerate(model.tops) for n in np.flatnonzero(top.feature < 0)}
+    assert below and ends - set(below)
+    for r in model.transform(df).collect()[:100]:
+        x = np.array([[r[c] for c in S.FEATURE_COLS]])
+        values = []
+        for t, top in enumerate(model.tops):
+            node = int(top.leaves(x)[0])
+            sub = below.get((t, node))
+            values.append(sub.value[sub.leaves(x)][0] if sub else top.value[node])
+        assert abs(r.prediction - np.mean(values)) < 1e-9
+
+
+def test_rows_of_pure_forests_are_not_cached(spark):
+    df = _swims(spark, 60)
+    assert not M._split(df, None, [M.random_forest(pure=True)])[0].storageLevel.useMemory
+    tagged = M._split(df, None, [M.random_forest(trees=2)])[0]
+    assert tagged.storageLevel.useMemory
+    tagged.unpersist()
