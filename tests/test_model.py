@@ -117,3 +117,28 @@ def test_forest_settings_reach_every_entry_point(spark, tmp_path):
     df.write.parquet(str(tmp_path / "prepared"))
     stored, mae, _ = M.train_model(spark, str(tmp_path / "prepared"), forest=small)
     assert M.predict_batch(stored, str(tmp_path / "prepared")).count() == 80 and mae >= 0
+
+
+def test_histogram_of_scores_makes_each_score_once(spark, tmp_path):
+    from lapline.operators import stats as A
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def score(i):
+        made.add(1)
+        return None if i == 7 else float("nan") if i == 8 else i / 10
+
+    scored = spark.range(100).select(score("id").alias("residual"))
+    got = A.histogram(spark, scored, "residual", 5, work=str(tmp_path / "values")).collect()
+    assert made.value == 100 and sum(r.n for r in got) == 98
+    assert got == A.histogram(spark, scored, "residual", 5).collect()
+
+
+def test_residual_histogram_reads_stored_scores(spark, tmp_path, monkeypatch):
+    from lapline.plans.registry import REGISTRY
+    spark.range(1, 200).selectExpr("id AS l_orderkey", "CAST(1 + id % 7 AS INT) AS l_linenumber", "id * 31 % 197 AS l_partkey",
+                                   "id * 7 % 101 AS l_suppkey").write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(M, "RF_TREES", 2)
+    out = REGISTRY["residual_histogram"](spark, str(tmp_path))
+    assert "UDF" not in out._jdf.queryExecution().optimizedPlan().toString()   # the model is not in the plan
+    assert sum(r.n for r in out.collect()) == REGISTRY["scored_results"](spark, str(tmp_path)).count() > 0
