@@ -226,3 +226,38 @@ def test_rows_of_pure_forests_are_not_cached(spark):
     tagged = M._split(df, None, [M.random_forest(trees=2)])[0]
     assert tagged.storageLevel.useMemory
     tagged.unpersist()
+
+
+def _odd_values(rng, n):
+    """Noise, steps, few values, far outliers, a constant and a copy: what equal bins tell apart badly or not at all."""
+    a, far = rng.normal(size=n).round(2), rng.normal(size=n)
+    far[:3] = 1e9, -1e12, 1e300
+    x = np.column_stack([a, rng.normal(size=n), far, rng.integers(0, 4, n), np.full(n, 7.0), a, np.exp(rng.normal(size=n) * 20)])
+    y = 3.0 * (far > 0.1234) + (x[:, 3] == 2) + rng.normal(size=n).round(3)
+    return x, y
+
+
+@pytest.mark.parametrize("depth", [1, 4, None])
+def test_splits_do_not_depend_on_the_size_switch(spark, depth):
+    """The splits of the top phase are those of ``grow`` over the same rows, whatever the bins."""
+    x, y = _odd_values(np.random.default_rng(5), 1200)
+    names = [f"c{j}" for j in range(x.shape[1])]
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], ", ".join(f"{c} double" for c in [*names, "y"])).repartition(3)
+    want, gains = grow(x, y, np.ones(len(y)), depth)
+    for bins in (4, 128):
+        model = PureForest(names, "y", trees=1, bootstrap=False, small_rows=40, bins=bins, max_depth=depth).fit(df)
+        assert len(model.tops[0].feature) > 1
+        got = {tuple(r[c] for c in names): r["prediction"] for r in model.transform(df).collect()}
+        assert np.allclose([got[tuple(r)] for r in x.tolist()], want.value[want.leaves(x)], rtol=0, atol=1e-9)
+        assert np.allclose(model.importances, gains / gains.sum(), atol=1e-9)
+    if depth == 1:
+        top = model.tops[0]
+        assert top.feature.tolist() == want.feature.tolist() and top.threshold.tolist() == want.threshold.tolist() and top.feature[0] == 2
+
+
+def test_drawn_forest_does_not_depend_on_the_size_switch(spark):
+    df = _swims(spark, 900)
+    small, large = [PureForest(S.FEATURE_COLS, trees=3, small_rows=s, bins=8).fit(df) for s in (100_000, 50)]
+    assert [len(t.feature) for t in small.tops] == [1, 1, 1] and min(len(t.feature) for t in large.tops) > 20
+    a, b = [{r["Link"]: r["prediction"] for r in m.transform(df).collect()} for m in (small, large)]
+    assert max(abs(a[k] - b[k]) for k in a) < 1e-9 and np.allclose(small.importances, large.importances, atol=1e-9)
