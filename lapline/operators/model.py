@@ -22,6 +22,8 @@ Settings and their relation to the reference's library defaults:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PolynomialExpansion, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -35,6 +37,7 @@ from lapline.operators.clean import add_intervals, as_frame, build_features, req
 from lapline.operators.forest import PureForest, PureForestModel
 from lapline.operators.gram import LeastSquares, cross_validated, held_out
 from lapline.operators.stats import importances_frame
+from lapline.session import ensure_checkpoint_dir
 
 LABEL = "final_time"
 SEED = 42
@@ -347,14 +350,30 @@ def ols_pair(spark: SparkSession, prepared: DataFrame, f1: str = "split_250m",
         F.round(F.lit(float(lr.intercept)), 4).alias("intercept"), "mae", "rmse", "r2")
 
 
+def _inputs(estimators, frame: DataFrame) -> list[str]:
+    """The columns of the frame that the stages of the estimators name, or all where a stage is of another kind."""
+    stages = [s for e in estimators for s in (e.getStages() if isinstance(e, Pipeline) else [e])]
+    if not all(isinstance(s, (VectorAssembler, StandardScaler, PolynomialExpansion, LinearRegression, RandomForestRegressor, GBTRegressor)) for s in stages):
+        return frame.columns
+    named = [v for s in stages for v in s.extractParamMap().values()]
+    return [c for c in frame.columns if any(c == v or isinstance(v, list) and c in v for v in named)]
+
+
 def holdout_metrics(prepared, estimators: dict) -> DataFrame:
-    """M08's measure for any set of estimators: each fitted on the training rows, measured on the test rows."""
-    tagged, train, test = _split(prepared)
-    try:
-        rows = [(name, *metrics(est.fit(train).transform(test)).first()) for name, est in estimators.items()]
-    finally:
-        tagged.unpersist()
-    return tagged.sparkSession.createDataFrame(rows, "model_name string, mae double, rmse double, r2 double")
+    """M08's measure for any set of estimators: each fitted on the training rows, measured on the test rows.
+
+    The columns that the models read are stored once in the shared folder, as there are two passes a model: no executor
+    has to hold rows, whatever their number.
+    """
+    tagged = holdout(as_frame(prepared))
+    spark = tagged.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lapline-holdout-{uuid.uuid4().hex}"
+    narrow = tagged.select(*dict.fromkeys([*_inputs(estimators.values(), tagged), LABEL, "is_test"]))
+    narrow.write.parquet(path)
+    narrow = spark.read.schema(narrow.schema).parquet(path)
+    train, test = narrow.filter(~F.col("is_test")), narrow.filter(F.col("is_test"))
+    rows = [(name, *metrics(est.fit(train).transform(test)).first()) for name, est in estimators.items()]
+    return spark.createDataFrame(rows, "model_name string, mae double, rmse double, r2 double")
 
 
 # --------------------------------------------------------------------------- A07: example prediction

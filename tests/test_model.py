@@ -142,3 +142,31 @@ def test_residual_histogram_reads_stored_scores(spark, tmp_path, monkeypatch):
     out = REGISTRY["residual_histogram"](spark, str(tmp_path))
     assert "UDF" not in out._jdf.queryExecution().optimizedPlan().toString()   # the model is not in the plan
     assert sum(r.n for r in out.collect()) == REGISTRY["scored_results"](spark, str(tmp_path)).count() > 0
+
+
+def test_holdout_metrics_hold_no_rows(spark, monkeypatch):
+    """Rows wait in storage with the columns that the models read, not in the executors' memory; figures are the plain ones."""
+    df = _frame(spark).withColumn("note", F.lit("x" * 50))
+    models = {"one": M.linear_regression(["split_50m"]), "two": M.linear_regression(["split_250m", "reaction_time"])}
+    tagged = M.holdout(df)
+    want = {n: tuple(M.metrics(e.fit(tagged.filter(~F.col("is_test"))).transform(tagged.filter("is_test"))).first()) for n, e in models.items()}
+
+    def held(*_):
+        raise AssertionError("rows are kept in memory")
+
+    seen = []
+    monkeypatch.setattr(type(df), "persist", held)
+    monkeypatch.setattr(M, "metrics", lambda pred, *a, plain=M.metrics, **k: seen.append(pred.columns) or plain(pred, *a, **k))
+    got = {r[0]: tuple(r[1:]) for r in M.holdout_metrics(df, models).collect()}
+    assert got == want and all("note" not in c and "Link" not in c for c in seen)
+
+
+def test_columns_that_estimators_read(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import SQLTransformer
+    from pyspark.ml.regression import LinearRegression
+    df = _frame(spark, 5)
+    assert M._inputs([M.linear_regression(["split_50m"]), M.polynomial_regression(2, ["split_250m"])], df) == ["split_50m", "split_250m", "final_time"]
+    weighted = Pipeline(stages=[*M.linear_regression(["split_50m"]).getStages()[:1], LinearRegression(labelCol="final_time", weightCol="reaction_time")])
+    assert M._inputs([weighted], df) == ["reaction_time", "split_50m", "final_time"]
+    assert M._inputs([M.linear_regression(), Pipeline(stages=[SQLTransformer(statement="SELECT * FROM __THIS__")])], df) == df.columns
