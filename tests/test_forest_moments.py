@@ -261,3 +261,26 @@ def test_drawn_forest_does_not_depend_on_the_size_switch(spark):
     assert [len(t.feature) for t in small.tops] == [1, 1, 1] and min(len(t.feature) for t in large.tops) > 20
     a, b = [{r["Link"]: r["prediction"] for r in m.transform(df).collect()} for m in (small, large)]
     assert max(abs(a[k] - b[k]) for k in a) < 1e-9 and np.allclose(small.importances, large.importances, atol=1e-9)
+
+
+def test_small_nodes_are_spread_over_tasks(spark):
+    """The work on a node does not follow its bytes, so its tasks are not put together by them."""
+    rows = _swims(spark, 200).select(*[F.col(c).alias(f"x{j}") for j, c in enumerate(S.FEATURE_COLS)], F.col("final_time").alias("y"), F.xxhash64("Link").alias("r"))
+    roots = [Tree(np.array([-1]), np.zeros(1), np.zeros(1, np.int64), np.zeros(1)) for _ in range(8)]
+    grown = PureForest(S.FEATURE_COLS, trees=8)._bottoms(rows, roots, [(t, 0) for t in range(8)], len(S.FEATURE_COLS))
+    found = grown.select("tree", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r["tree"] for r in found) == list(range(8)) and len({r["task"] for r in found}) > 2
+
+
+def test_rows_of_a_large_tree_end_in_their_leaves():
+    """Rows are renumbered while a tree grows: each leaf still has the mean of its rows, and rows told apart their own label."""
+    rng = np.random.default_rng(8)
+    x, w = rng.normal(size=(3000, 3)), rng.integers(1, 4, 3000).astype(float)
+    y = np.where(x[:, 0] > 0, 5.0, rng.normal(size=3000))
+    x[:50], y[:50] = x[0], rng.normal(size=50)
+    tree, gains = grow(x, y, w)
+    at = tree.leaves(x)
+    assert (tree.feature[at] < 0).all() and len(set(at.tolist())) > 1000
+    assert np.allclose(tree.value[at[50:]], y[50:]) and np.allclose(tree.value[at[:50]], np.average(y[:50], weights=w[:50]))
+    mean = np.average(y, weights=w)
+    assert math.isclose(gains.sum(), (w * (y - mean) ** 2).sum() - (w * (y - tree.value[at]) ** 2).sum(), rel_tol=1e-9)
