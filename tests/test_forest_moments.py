@@ -267,7 +267,7 @@ def test_small_nodes_are_spread_over_tasks(spark):
     """The work on a node does not follow its bytes, so its tasks are not put together by them."""
     rows = _swims(spark, 200).select(*[F.col(c).alias(f"x{j}") for j, c in enumerate(S.FEATURE_COLS)], F.col("final_time").alias("y"), F.xxhash64("Link").alias("r"))
     roots = [Tree(np.array([-1]), np.zeros(1), np.zeros(1, np.int64), np.zeros(1)) for _ in range(8)]
-    grown = PureForest(S.FEATURE_COLS, trees=8)._bottoms(rows, roots, [(t, 0) for t in range(8)], len(S.FEATURE_COLS))
+    grown = PureForest(S.FEATURE_COLS, trees=8)._bottoms(rows, roots, [(t, 0) for t in range(8)], len(S.FEATURE_COLS), {})
     found = grown.select("tree", F.spark_partition_id().alias("task")).collect()
     assert sorted(r["tree"] for r in found) == list(range(8)) and len({r["task"] for r in found}) > 2
 
