@@ -284,3 +284,17 @@ def test_rows_of_a_large_tree_end_in_their_leaves():
     assert np.allclose(tree.value[at[50:]], y[50:]) and np.allclose(tree.value[at[:50]], np.average(y[:50], weights=w[:50]))
     mean = np.average(y, weights=w)
     assert math.isclose(gains.sum(), (w * (y - mean) ** 2).sum() - (w * (y - tree.value[at]) ** 2).sum(), rel_tol=1e-9)
+
+
+def test_splits_do_not_depend_on_the_waves(spark, monkeypatch):
+    """The same splits where the bins of one node, or of one round, do not go into one pass."""
+    from lapline.operators import forest
+    x, y = _odd_values(np.random.default_rng(6), 600)
+    names = [f"c{j}" for j in range(x.shape[1])]
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], ", ".join(f"{c} double" for c in [*names, "y"])).repartition(2)
+    want, _ = grow(x, y, np.ones(len(y)), 2)
+    monkeypatch.setattr(forest, "WAVE_CELLS", 24)
+    monkeypatch.setattr(forest, "WAVE_NODES", 1)
+    top = PureForest(names, "y", trees=1, bootstrap=False, small_rows=60, bins=8, max_depth=2).fit(df).tops[0]
+    assert top.feature.tolist() == want.feature.tolist() and top.threshold.tolist() == want.threshold.tolist()
+    assert np.allclose(top.value, want.value)
